@@ -16,9 +16,10 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df``'s optimized plan (no job is run)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     except Exception:  # pragma: no cover - connect sessions have no _jdf
         return 1 << 62
+    return int(size if isinstance(size, int) else size.toString())
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:

@@ -740,6 +740,22 @@ def q_backfill_months(spark, d):
     return t.groupBy(C.month_start("pickup_datetime").alias("month")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("partition_prune_distinct", W("""
+SELECT DISTINCT vendor_id FROM trips
+WHERE CAST(dropoff_datetime AS DATE) BETWEEN DATE '1998-03-01' AND DATE '1998-03-15'""", TRIPS))
+def q_partition_prune_distinct(spark, d):
+    """Write a copy partitioned by dropoff date and clustered by vendor, then
+    read a date range: only the matching partition folders are opened."""
+    import uuid
+    from tripmart.operators.table_store import write_partitioned
+    from tripmart.session import scratch_path
+    path = scratch_path(spark, f"partitioned/{uuid.uuid4().hex}")
+    write_partitioned(trips(spark, d, locations=False), path, "dropoff_date", "dropoff_datetime", ["vendor_id"])
+    p = spark.read.parquet(path)
+    return (p.where(F.col("dropoff_date").between(dt.date(1998, 3, 1), dt.date(1998, 3, 15)))
+             .select("vendor_id").distinct())
+
+
 # =========================== event-time windows ==============================
 
 _E_MONEY = "CAST(value AS DECIMAL(18,2))"
@@ -907,3 +923,48 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
+
+
+# ================================ streaming ==================================
+# The stream reads the events table file as a file source (availableNow),
+# runs to completion and the result table is returned; the SQL twin is the
+# batch answer, so these check stream == batch.
+
+def _event_stream(spark, d, max_files=None):
+    from tripmart.streaming.jobs import read_events
+    schema = events(spark, d).schema
+    return read_events(spark, schema, path=f"{d.rstrip('/')}/event[s].parquet", fmt="parquet",
+                       max_per_trigger=max_files)
+
+
+@register("stream_pass_through", "SELECT event_id, ts, user_id, value FROM events")
+def q_stream_pass_through(spark, d):
+    import uuid
+    from tripmart.session import scratch_path
+    from tripmart.streaming.jobs import start
+    out = scratch_path(spark, f"stream_out/{uuid.uuid4().hex}")
+    q = start(_event_stream(spark, d).select("event_id", "ts", "user_id", "value"), fmt="parquet", path=out,
+              available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+@register("stream_tumble_1h_by_key", f"""
+SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
+       user_id, COUNT(*) AS num_events, CAST(SUM({_E_MONEY}) AS DECIMAL(38,2)) AS total_value
+FROM events GROUP BY 1, 2, 3""")
+def q_stream_tumble_1h_by_key(spark, d):
+    import uuid
+    from tripmart.operators.table_store import TableStore
+    from tripmart.session import scratch_path
+    from tripmart.streaming.jobs import start, tumbling_counts, upsert_sink, with_event_time
+    s = with_event_time(_event_stream(spark, d), "ts", "5 seconds").withColumn(
+        "amount", F.col("value").cast("decimal(18,2)"))
+    agg = tumbling_counts(s, "ts", "1 hour", ["user_id"],
+                          [F.count(F.lit(1)).alias("num_events"), F.sum("amount").cast("decimal(38,2)").alias("total_value")])
+    store = TableStore(spark, scratch_path(spark, f"stream_tables/{uuid.uuid4().hex}"))
+    q = start(agg, sink=upsert_sink(store, ["window_start", "user_id"], "hourly"), mode="update", available_now=True)
+    q.awaitTermination()
+    r = store.read()
+    return r.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                    F.col("window_end").cast("timestamp_ntz").alias("window_end"), "user_id", "num_events", "total_value")
