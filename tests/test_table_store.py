@@ -103,3 +103,25 @@ def test_pure_cores(spark):
     lb = M.high_water_filter(t, s, "ts", lookback=dt.timedelta(days=2))
     assert lb.count() == 2  # max(T2) - 2 days < T1
     assert M.high_water_filter(t, s, "ts", lookback=dt.timedelta(days=1)).count() == 0  # strict >
+
+
+def test_backfill_crosses_new_year_in_one_replace(spark, tmp_dir):
+    st = TableStore(spark, f"{tmp_dir}/t", ["part"])
+    old = [(1, "2019-12", dt.datetime(2019, 12, 5), 1), (2, "2020-01", dt.datetime(2020, 1, 5), 2),
+           (3, "2020-03", dt.datetime(2020, 3, 5), 3)]
+    st.append(df(spark, old))
+    new = [(10, "2019-12", dt.datetime(2019, 12, 6), 10), (20, "2020-02", dt.datetime(2020, 2, 6), 20)]
+    st.backfill(df(spark, new), "ts", [dt.date(2019, 12, 1), dt.date(2020, 2, 1)])
+    assert [r[0] for r in rows(st)] == [3, 10, 20]
+
+
+def test_reports_table_and_view(spark, tmp_dir):
+    from tripmart.operators.table_store import create_table_as, create_view, write_reports
+    base = df(spark, [(1, "a", T1, 1), (2, "a", T2, 5)])
+    write_reports(base, {f"{tmp_dir}/r1": lambda b: b.groupBy("part").count(),
+                         f"{tmp_dir}/r2": lambda b: b.agg(F.sum("v").alias("s"))})
+    assert spark.read.parquet(f"{tmp_dir}/r2").first()["s"] == 6
+    create_table_as(base, "tm_test_table", path=f"{tmp_dir}/tbl")
+    assert spark.table("tm_test_table").count() == 2
+    create_view(base, "tm_test_view")
+    assert spark.sql("SELECT SUM(v) FROM tm_test_view").first()[0] == 6

@@ -178,3 +178,39 @@ def test_publish_json_then_read_back(spark, tmp_dir):
     out = f"{tmp_dir}/back"
     S.start(back, fmt="parquet", path=out, available_now=True, checkpoint=f"{tmp_dir}/ck").awaitTermination()
     assert _norm(spark.read.parquet(out), e.columns) == _norm(e, e.columns)
+
+
+def test_stream_global_sessions_per_location_equal_batch(spark, tmp_dir):
+    from tripmart.streaming.global_sessions import global_sessions_by_location
+    e = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    src = f"{tmp_dir}/in"
+    schema = _split_events(spark, f"{SF_SMALL}/events.parquet", src)
+    # a far-future sentinel closes every real session (append mode emits closed ones only)
+    spark.createDataFrame([(10 ** 9, dt.datetime(2030, 1, 1), -1, "x", 0.0, "{}")], schema) \
+        .coalesce(1).write.parquet(f"{src}/part9")
+    stream = S.with_event_time(S.read_events(spark, schema, path=f"{src}/part*", fmt="parquet", max_per_trigger=1),
+                               "ts", "5 seconds")
+    out = global_sessions_by_location(stream, "ts", "user_id", "value", 300)
+    store = TableStore(spark, f"{tmp_dir}/out")
+    q = S.start(out, sink=S.append_sink(store, "gs"), mode="append", available_now=True, checkpoint=f"{tmp_dir}/ck")
+    q.awaitTermination()
+    got = sorted((r.session_start.replace(tzinfo=None), r.location, r.num_events, round(r.total_amount, 6))
+                 for r in store.read().collect())
+    t = islands(e, "ts", 300, [], session_col="sid")
+    start = t.groupBy("sid").agg(F.min("ts").alias("s"))
+    per = t.groupBy("sid", "user_id").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("v")).join(start, "sid")
+    exp = sorted((r.s, r.user_id, r.n, round(r.v, 6)) for r in per.collect())
+    assert got == exp
+
+
+def test_stream_restarts_from_checkpoint(spark, tmp_dir):
+    e = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    e.where("event_id < 500").coalesce(1).write.parquet(f"{tmp_dir}/in/a")
+    out, ck = f"{tmp_dir}/out", f"{tmp_dir}/ck"
+    S.start(S.read_events(spark, e.schema, path=f"{tmp_dir}/in/*", fmt="parquet"), fmt="parquet", path=out,
+            available_now=True, checkpoint=ck).awaitTermination()
+    e.where("event_id >= 500").coalesce(1).write.parquet(f"{tmp_dir}/in/b")
+    S.start(S.read_events(spark, e.schema, path=f"{tmp_dir}/in/*", fmt="parquet"), fmt="parquet", path=out,
+            available_now=True, checkpoint=ck).awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.count() == e.count() and got.select("event_id").distinct().count() == e.count()

@@ -59,7 +59,7 @@ def not_in(df: DataFrame, key: str, sub: DataFrame, sub_key: str) -> DataFrame:
     Plan: a distributed left-anti join on the key (never a nested loop) plus
     two scalar subqueries over the subquery side.
     """
-    s = sub.select(F.col(sub_key).alias("__k"))
+    s = sub.select(F.col(sub_key).alias("__k")).distinct()
     n_sub = s.select(F.count(F.lit(1))).scalar()
     n_null = s.select(F.count_if(F.col("__k").isNull())).scalar()
     anti = df.join(s.where(F.col("__k").isNotNull()), df[key] == F.col("__k"), "left_anti")

@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.operators.joins import broadcast_if_small
+
 
 def append(target: DataFrame, source: DataFrame) -> DataFrame:
     """``append``: every source row is added."""
@@ -36,10 +38,17 @@ def merge_insert(target: DataFrame, source: DataFrame, key: Sequence[str], dedup
     return target.unionByName(new_rows(target, src, key), allowMissingColumns=True)
 
 
+def key_set(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Distinct key values of ``df``.  The distinct runs map-side first, so a
+    key repeated in a third of the rows is shuffled once per task instead of
+    once per row, and a small key set becomes broadcastable."""
+    return broadcast_if_small(df.select(*key).distinct())
+
+
 def new_rows(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
     """Source rows whose key does not occur in the target (NULL-safe: a NULL
     key part never matches, like an equality join)."""
-    t = target.select(*[F.col(k).alias(f"__t_{k}") for k in key])
+    t = key_set(target, key).select(*[F.col(k).alias(f"__t_{k}") for k in key])
     cond = [source[k] == t[f"__t_{k}"] for k in key]
     return source.join(t, cond, "left_anti")
 
@@ -50,7 +59,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: Sequence[str], add_c
     source has (older rows get NULL); otherwise the target schema is kept.
     The source must be unique on ``key`` (see :func:`assert_unique`)."""
     key = list(key)
-    kept = target.join(source.select(*key), key, "left_anti")
+    kept = target.join(key_set(source, key), key, "left_anti")
     out = kept.unionByName(source, allowMissingColumns=True)
     if not add_columns:
         out = out.select(*target.columns)
@@ -93,9 +102,16 @@ def delete_insert(target: DataFrame, source: DataFrame, key: Sequence[str]) -> D
     """``delete+insert``: drop every target row whose key value occurs in the
     source, then insert all source rows."""
     key = list(key)
-    return target.join(source.select(*key), key, "left_anti").unionByName(source, allowMissingColumns=True)
+    return target.join(key_set(source, key), key, "left_anti").unionByName(source, allowMissingColumns=True)
 
 
 def truncate_insert(target: DataFrame, source: DataFrame) -> DataFrame:
     """Full refresh that keeps the target's schema."""
     return source.select(*[F.col(c).cast(target.schema[c].dataType) for c in target.columns])
+
+
+def backfill_window(months: Sequence[_dt.date]) -> tuple[_dt.datetime, _dt.datetime]:
+    """Half-open time window covering whole months (first .. last, inclusive)."""
+    lo, hi = min(months), max(months)
+    end = _dt.datetime(hi.year + (hi.month == 12), hi.month % 12 + 1, 1)
+    return _dt.datetime(lo.year, lo.month, 1), end

@@ -206,7 +206,7 @@ class TableStore:
         target = self.read()
         if not self.partition_by:
             return self.overwrite(M.merge_upsert(target, source, key, add_columns), marker)
-        hits = target.join(source.select(*key), list(key), "left_semi")
+        hits = target.join(M.key_set(source, key), list(key), "left_semi")
         touched = self._touched(source, hits)
         new = M.merge_upsert(self._only(target, touched), source, key, add_columns)
         self.replace_partitions(new, touched, marker)
@@ -228,7 +228,7 @@ class TableStore:
         target = self.read()
         if not self.partition_by:
             return self.overwrite(M.delete_insert(target, source, key), marker)
-        hits = target.join(source.select(*key), list(key), "left_semi")
+        hits = target.join(M.key_set(source, key), list(key), "left_semi")
         touched = self._touched(source, hits)
         new = M.delete_insert(self._only(target, touched), source, key)
         self.replace_partitions(new, touched, marker)
@@ -239,6 +239,43 @@ class TableStore:
         self.overwrite(source, marker)
 
 
+    def backfill(self, source: DataFrame, ts: str, months, marker: str | None = None) -> None:
+        """Re-load a list of months in ONE job: the whole range is replaced
+        (``time_interval`` over first..last month), not one job per month."""
+        start, end = M.backfill_window(months)
+        self.replace_interval(source, ts, start, end, marker)
+
+
+def write_reports(base: DataFrame, reports: dict, mode: str = "overwrite") -> None:
+    """Several reports from one joined input: the input is persisted (memory,
+    spilling to disk) for the duration of the writes, so the scan and join run
+    once; a lost executor only recomputes its lost blocks from lineage.
+    ``reports`` maps an output path to a function ``DataFrame -> DataFrame``."""
+    from pyspark import StorageLevel
+    base = base.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for path, build in reports.items():
+            build(base).write.mode(mode).parquet(path)
+    finally:
+        base.unpersist()
+
+
+def create_table_as(df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = ()) -> None:
+    """``table`` materialization: create or replace a catalog table as select."""
+    w = df.write.mode("overwrite").format("parquet")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(name)
+
+
+def create_view(df: DataFrame, name: str) -> DataFrame:
+    """``view`` materialization: a temp view, nothing is computed."""
+    df.createOrReplaceTempView(name)
+    return df
+
+
 def write_table(df: DataFrame, path: str, files: int = 4, mode: str = "overwrite") -> None:
     """Parquet write with a fixed number of output files."""
     df.repartition(files).write.mode(mode).parquet(path)

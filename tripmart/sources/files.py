@@ -62,6 +62,20 @@ def read_parquet(spark: SparkSession, path: str | Sequence[str], columns: Sequen
     return df.select(*columns) if columns else df
 
 
+def read_glob(spark: SparkSession, pattern: str, merge_schema: bool = True) -> DataFrame:
+    """All files matching a glob (``yellow_tripdata_2024-*.parquet``) as one
+    table; schemas that differ between months are merged by name."""
+    return read_parquet(spark, pattern, merge_schema=merge_schema)
+
+
+def dev_limit(df: DataFrame, ts: str, window: tuple | None) -> DataFrame:
+    """Development limiter: keep an inclusive ``[start, end]`` range of
+    ``ts`` when ``window`` is given (production passes ``None``)."""
+    if window is None:
+        return df
+    return df.where(F.col(ts).between(F.lit(window[0]), F.lit(window[1])))
+
+
 def read_partition(spark: SparkSession, root: str, **equals) -> DataFrame:
     """Directory-partitioned table ``root/<col>=<value>/...``: filters on the
     partition columns prune directories before any file is opened."""
