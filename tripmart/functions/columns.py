@@ -118,6 +118,25 @@ def month_start(c: ColumnOrName) -> Column:
     return F.trunc(_c(c).cast("date"), "MM")
 
 
+def year_in(c: ColumnOrName, years) -> Column:
+    """``year(c) IN (years)`` written as half-open timestamp ranges (adjacent
+    years merged) so the predicate reaches the Parquet scan."""
+    import datetime as _dt
+    ys = sorted(set(int(y) for y in years))
+    runs: list[list[int]] = []
+    for y in ys:
+        if runs and y == runs[-1][1] + 1:
+            runs[-1][1] = y
+        else:
+            runs.append([y, y])
+    col = _c(c)
+    cond = None
+    for lo, hi in runs:
+        r = (col >= F.lit(_dt.datetime(lo, 1, 1))) & (col < F.lit(_dt.datetime(hi + 1, 1, 1)))
+        cond = r if cond is None else cond | r
+    return cond if cond is not None else F.lit(False)
+
+
 def to_epoch_millis(c: ColumnOrName) -> Column:
     """Timestamp (NTZ read as UTC) -> epoch milliseconds, flooring sub-ms."""
     return F.unix_millis(_c(c).cast("timestamp"))

@@ -86,15 +86,22 @@ def high_water_filter(df: DataFrame, target: DataFrame, ts: str,
 
 
 def in_window(ts: Column, start, end) -> Column:
-    """Half-open ``start <= ts < end`` (NULL-safe: NULL ts is outside)."""
-    return F.coalesce((ts >= F.lit(start)) & (ts < F.lit(end)), F.lit(False))
+    """Half-open ``start <= ts < end``.  A plain conjunction so that it is
+    pushed into the Parquet scan; a NULL ``ts`` evaluates to NULL, which a
+    filter drops, i.e. NULL is outside the window."""
+    return (ts >= F.lit(start)) & (ts < F.lit(end))
+
+
+def outside_window(ts: Column, start, end) -> Column:
+    """Exact complement of :func:`in_window` (NULL ``ts`` is outside)."""
+    return ts.isNull() | (ts < F.lit(start)) | (ts >= F.lit(end))
 
 
 def replace_interval(target: DataFrame, source: DataFrame, ts: Column | str, start, end) -> DataFrame:
     """``time_interval``: delete target rows in ``[start, end)`` then insert
     the source rows in the same interval."""
     tcol = F.col(ts) if isinstance(ts, str) else ts
-    return (target.where(~in_window(tcol, start, end))
+    return (target.where(outside_window(tcol, start, end))
                   .unionByName(source.where(in_window(tcol, start, end)), allowMissingColumns=True))
 
 

@@ -115,7 +115,7 @@ def q_filter_day_of_month(spark, d):
 SELECT service_type, COUNT(*) AS trips FROM trips WHERE year(pickup_datetime) IN (1996, 1997)
 GROUP BY service_type""", TRIPS))
 def q_filter_years_in(spark, d):
-    t = trips(spark, d, locations=False).where(F.year("pickup_datetime").isin(1996, 1997))
+    t = trips(spark, d, locations=False).where(C.year_in("pickup_datetime", [1996, 1997]))
     return t.groupBy("service_type").agg(F.count(F.lit(1)).alias("trips"))
 
 
