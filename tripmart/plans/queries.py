@@ -660,7 +660,7 @@ dt AS (
 
 
 @register("merge_upsert", W(f"""
-SELECT year(pickup_datetime) AS yr, COUNT(*) AS n, CAST(SUM(total_amount) AS DECIMAL(38,2)) AS total,
+SELECT CAST(year(pickup_datetime) AS INTEGER) AS yr, COUNT(*) AS n, CAST(SUM(total_amount) AS DECIMAL(38,2)) AS total,
        COUNT(tag) AS n_tagged FROM (
   SELECT t.orderkey, t.linenumber, t.pickup_datetime, t.total_amount, CAST(NULL AS VARCHAR) AS tag FROM dt t
   WHERE t.{_T96} AND NOT EXISTS (SELECT 1 FROM dt s WHERE s.pickup_datetime >= TIMESTAMP '1996-01-01 00:00:00'
@@ -692,7 +692,7 @@ def q_incremental_high_water(spark, d):
 
 
 @register("replace_interval", W("""
-SELECT year(pickup_datetime) AS yr, COUNT(*) AS n, CAST(SUM(total_amount) AS DECIMAL(38,2)) AS total FROM (
+SELECT CAST(year(pickup_datetime) AS INTEGER) AS yr, COUNT(*) AS n, CAST(SUM(total_amount) AS DECIMAL(38,2)) AS total FROM (
   SELECT pickup_datetime, total_amount FROM trips
   WHERE NOT (pickup_datetime >= TIMESTAMP '1997-01-01 00:00:00' AND pickup_datetime < TIMESTAMP '1998-01-01 00:00:00')
   UNION ALL
@@ -896,7 +896,7 @@ def q_dq_positive(spark, d):
 
 @register("dq_primary_key", W("""
 SELECT 'primary_key' AS "check", 'orderkey,linenumber' AS "column",
-       COUNT(*) FILTER (WHERE NOT nul AND n > 1) + coalesce(SUM(CASE WHEN nul THEN n END), 0) AS violations FROM (
+       CAST(COUNT(*) FILTER (WHERE NOT nul AND n > 1) + coalesce(SUM(CASE WHEN nul THEN n END), 0) AS BIGINT) AS violations FROM (
   SELECT orderkey, linenumber, COUNT(*) AS n, (orderkey IS NULL OR linenumber IS NULL) AS nul FROM trips GROUP BY 1, 2)""",
                               TRIPS))
 def q_dq_primary_key(spark, d):
