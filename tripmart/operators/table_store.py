@@ -128,6 +128,10 @@ class TableStore:
 
     def _stage(self, df: DataFrame, txn: str) -> str:
         rel = f"_staging/{txn}"
+        if self.partition_by:
+            # a few well-sized files per partition: AQE splits a hot
+            # partition value across tasks and merges small ones
+            df = df.hint("rebalance", *self.partition_by)
         w = df.write.mode("errorifexists")
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
@@ -284,8 +288,12 @@ def write_table(df: DataFrame, path: str, files: int = 4, mode: str = "overwrite
 def write_partitioned(df: DataFrame, path: str, date_col: str, ts_col: str, cluster_by: Sequence[str] = (),
                       mode: str = "overwrite") -> None:
     """Partition by a date derived from ``ts_col`` and cluster (sort) each
-    file by ``cluster_by`` so row-group min/max statistics skip data."""
-    out = df.withColumn(date_col, F.to_date(ts_col)).repartition(date_col)
-    if cluster_by:
-        out = out.sortWithinPartitions(*cluster_by)
+    file by ``cluster_by`` so row-group min/max statistics skip data.
+
+    ``rebalance`` (not ``repartition(date)``) lets AQE split a date holding a
+    large share of the rows over several tasks and merge small dates, so no
+    task writes a hot day alone and small days do not become many tiny files.
+    """
+    out = df.withColumn(date_col, F.to_date(ts_col)).hint("rebalance", date_col)
+    out = out.sortWithinPartitions(date_col, *cluster_by)
     out.write.mode(mode).partitionBy(date_col).parquet(path)

@@ -34,12 +34,17 @@ def tumbling(df: DataFrame, ts: str, size: str, keys: Sequence[str], aggs: Seque
 
 
 def islands(df: DataFrame, ts: str, gap_seconds: int, keys: Sequence[str] = (),
-            bucket_seconds: int = 3600, session_col: str = "session_id") -> DataFrame:
+            bucket_seconds: int = 60, session_col: str = "session_id") -> DataFrame:
     """Tag every row with a session number per ``keys``.
 
     A row starts a new session when the previous row of the same key is more
     than ``gap_seconds`` earlier (exactly ``gap`` apart stays together).
     Session numbers are dense per key in time order, starting at 1.
+
+    ``bucket_seconds`` bounds both levels of work: a window sort sees one
+    key's events of one bucket; the per-key summary scan sees at most one row
+    per bucket of the key's time span (a year of minutes is 525,600 rows),
+    however many events the key has.  Any bucket width gives the same result.
     """
     keys = list(keys)
     gap = gap_seconds * 1_000_000
@@ -75,7 +80,7 @@ def islands(df: DataFrame, ts: str, gap_seconds: int, keys: Sequence[str] = (),
 
 
 def sessions(df: DataFrame, ts: str, gap_seconds: int, keys: Sequence[str], aggs: Sequence[Column],
-             bucket_seconds: int = 3600) -> DataFrame:
+             bucket_seconds: int = 60) -> DataFrame:
     """Session aggregate per key: ``session_start``, ``session_end`` (last event +
     gap, as ``session_window`` reports it), keys and ``aggs``."""
     tagged = islands(df, ts, gap_seconds, keys, bucket_seconds, "__sid")

@@ -62,8 +62,6 @@ def q_scan_projection(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_extendedprice")
 
 
-_CLEAN_COLS = ", ".join(f.name for f in marts.CLEAN_SCHEMA.fields)
-
 
 @register("conform_rename_cast", W(f"""
 SELECT vendor_id, pickup_datetime, dropoff_datetime, pickup_location_id, dropoff_location_id, passenger_count,
