@@ -107,8 +107,9 @@ def test_paged_source_page_and_offset(spark, tmp_dir):
     _write(f"{d}/page_4.json", "[]")
     _write(f"{d}/page_5.json", json.dumps([{"id": 999, "v": "after-empty"}]))
     df = paged_scan(spark, d + "/page_{page}.json", "id long, v string", kind="page", max_pages=6,
-                    pages_per_partition=6)
+                    pages_per_partition=2)
     assert sorted(r.id for r in df.collect()) == [10, 11, 12, 20, 21, 22, 30, 31, 32]
+    assert df.rdd.getNumPartitions() == 2   # pages 1-2 and 3; nothing after the empty page 4
     for off in range(0, 250, 100):
         recs = [{"id": i} for i in range(off, min(off + 100, 250))]
         _write(f"{d}/off_{off}.json", json.dumps({"total": 250, "data": recs}))

@@ -3,8 +3,10 @@
 Two paging styles:
 
 * ``kind="page"``: ``?page=N`` from 1 upwards, the first empty page ends the
-  data.  Page numbers are split into ranges, one input partition per range;
-  a range stops at its first empty page.
+  data.  The driver finds that page with O(log n) probes (doubling, then
+  bisection; pages are assumed contiguous), the pages before it are split
+  into ranges, one input partition per range, and a range also stops at an
+  empty page.
 * ``kind="offset"``: ``?offset=O&limit=L``; the first response carries the
   total count, partitions are ``range(0, min(total, max), L)`` offsets.
 
@@ -54,11 +56,31 @@ class PagedReader(DataSourceReader):
         self.kind = options.get("kind", "page")
         self.field = options.get("records_field")
 
+    def _page_url(self, page: int) -> str:
+        return self.o["url"].format(page=page, size=self.o.get("page_size", 1000))
+
+    def _empty(self, page: int) -> bool:
+        return not _records(_fetch(self._page_url(page)), self.field)
+
+    def _first_empty_page(self, max_pages: int) -> int:
+        """Smallest page number that is empty (max_pages + 1 if none)."""
+        lo, hi = 0, 1          # invariant: page lo non-empty (or 0), page hi unknown
+        while hi <= max_pages and not self._empty(hi):
+            lo, hi = hi, hi * 2
+        hi = min(hi, max_pages + 1)
+        while hi - lo > 1:      # page lo non-empty, page hi empty (or past the cap)
+            mid = (lo + hi) // 2
+            if self._empty(mid):
+                hi = mid
+            else:
+                lo = mid
+        return hi
+
     def partitions(self):
         if self.kind == "page":
             per = int(self.o.get("pages_per_partition", 10))
-            max_pages = int(self.o.get("max_pages", 1000))
-            return [_Range(p, min(p + per - 1, max_pages)) for p in range(1, max_pages + 1, per)]
+            end = self._first_empty_page(int(self.o.get("max_pages", 100_000))) - 1
+            return [_Range(p, min(p + per - 1, end)) for p in range(1, end + 1, per)]
         limit = int(self.o.get("limit", 100))
         cap = int(self.o.get("max", 1000))
         first = _fetch(self.o["url"].format(offset=0, limit=limit))
@@ -69,7 +91,7 @@ class PagedReader(DataSourceReader):
         names = [f.name for f in self.schema.fields]
         if self.kind == "page":
             for page in range(partition.first, partition.last + 1):
-                recs = _records(_fetch(self.o["url"].format(page=page)), self.field)
+                recs = _records(_fetch(self._page_url(page)), self.field)
                 if not recs:
                     return
                 for r in recs:
