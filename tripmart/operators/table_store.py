@@ -155,7 +155,9 @@ class TableStore:
                 cond = cond | F.col(c).isNull()
             return df.where(cond)
         keys = self.spark.createDataFrame(touched, df.select(*self.partition_by).schema)
-        return df.join(F.broadcast(keys), [df[c].eqNullSafe(keys[c]) for c in self.partition_by], "left_semi")
+        if len(touched) <= 100_000:  # the list is on the driver already: its size is known
+            keys = F.broadcast(keys)
+        return df.join(keys, [df[c].eqNullSafe(keys[c]) for c in self.partition_by], "left_semi")
 
     # -------------------------------------------------------------- writes
     def overwrite(self, df: DataFrame, marker: str | None = None) -> None:
