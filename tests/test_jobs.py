@@ -1,6 +1,5 @@
 import datetime as dt
 import json
-import os
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T

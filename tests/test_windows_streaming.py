@@ -214,3 +214,22 @@ def test_stream_restarts_from_checkpoint(spark, tmp_dir):
             available_now=True, checkpoint=ck).awaitTermination()
     got = spark.read.parquet(out)
     assert got.count() == e.count() and got.select("event_id").distinct().count() == e.count()
+
+
+def test_hot_key_third_of_rows_sessions_and_dedupe(spark):
+    """One user holds a third of all events: bucketed sessions and the
+    combining dedupe still equal the straightforward per-key forms."""
+    from pyspark.sql import Window
+    from tripmart.operators.dedupe import dedupe_first
+    e = spark.read.parquet(f"{SF_MID}/events.parquet")
+    hot = e.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
+    aggs = [F.count(F.lit(1)).alias("n")]
+    a = sessions(hot, "ts", 300, ["user_id"], aggs)
+    b = session_window_agg(hot, "ts", "5 minutes", ["user_id"], aggs)
+    cols = ["user_id", "session_start", "session_end", "n"]
+    assert _norm(a, cols) == _norm(b, cols)
+    assert hot.where("user_id = 0").count() * 3 >= e.count() - 3
+    d = dedupe_first(hot, ["user_id"], ["ts"])
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    ref = hot.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
+    assert _norm(d, hot.columns) == _norm(ref, hot.columns)
