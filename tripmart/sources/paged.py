@@ -87,21 +87,28 @@ class PagedReader(DataSourceReader):
         total = int(first.get(self.o.get("total_field", "total"), cap)) if isinstance(first, dict) else cap
         return [_Range(off, off) for off in range(0, min(total, cap), limit)]
 
-    def read(self, partition: _Range) -> Iterator[tuple]:
-        names = [f.name for f in self.schema.fields]
+    def _batch(self, recs: list):
+        """One Arrow record batch per page (fields picked by name, absent -> null)."""
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+        schema = to_arrow_schema(self.schema)
+        cols = {f.name: [r.get(f.name) for r in recs] for f in self.schema.fields}
+        return pa.RecordBatch.from_pydict(cols, schema=schema)
+
+    def read(self, partition: _Range) -> Iterator:
         if self.kind == "page":
             for page in range(partition.first, partition.last + 1):
                 recs = _records(_fetch(self._page_url(page)), self.field)
                 if not recs:
                     return
-                for r in recs:
-                    yield tuple(r.get(n) for n in names)
+                yield self._batch(recs)
         else:
             limit = int(self.o.get("limit", 100))
             cap = int(self.o.get("max", 1000))
             recs = _records(_fetch(self.o["url"].format(offset=partition.first, limit=limit)), self.field)
-            for r in recs[: max(0, cap - partition.first)]:
-                yield tuple(r.get(n) for n in names)
+            recs = recs[: max(0, cap - partition.first)]
+            if recs:
+                yield self._batch(recs)
 
 
 class PagedSource(DataSource):
