@@ -8,6 +8,9 @@ index ignores:
 * ``_trash/<txn>/``    partitions replaced by ``<txn>``
 * ``_txn/<txn>.json``  journal of the directory moves of one commit
 * ``_commits/<id>``    marker of an externally numbered batch (streaming sinks)
+* ``_schema.json``     the table schema (columns merged by name as they are
+                       added); reads declare it, so no footer is read to infer
+                       or merge schemas and older files read new columns as NULL
 
 A change writes the new content of the *touched* partitions to staging, then
 journals and performs directory renames (old partition -> trash, staged ->
@@ -28,6 +31,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmart.operators import materialize as M
 
@@ -61,11 +65,17 @@ class TableStore:
                 raise OSError(f"rename failed: {src} -> {dst}")
 
     def _write_text(self, rel: str, text: str) -> None:
-        tmp = self._p(rel + ".tmp")
+        """Write-then-rename.  Hadoop renames do not replace a file, so an
+        existing one is deleted first; callers only rewrite files whose
+        content is also in a journal (a crash in between is replayed)."""
+        tmp, dst = self._p(rel + ".tmp"), self._p(rel)
         out = self._fs.create(tmp, True)
         out.write(bytearray(text.encode()))
         out.close()
-        self._fs.rename(tmp, self._p(rel))
+        if self._fs.exists(dst):
+            self._fs.delete(dst, False)
+        if not self._fs.rename(tmp, dst):
+            raise OSError(f"rename failed: {rel}")
 
     def _read_text(self, rel: str) -> str:
         jin = self._fs.open(self._p(rel))
@@ -93,6 +103,8 @@ class TableStore:
                 self._apply(json.loads(self._read_text(f"_txn/{name}")))
 
     def _apply(self, journal: dict) -> None:
+        if journal.get("schema"):
+            self._write_text("_schema.json", journal["schema"])
         for src, dst in journal["moves"]:
             self._move(src, dst)
         if journal.get("marker"):
@@ -102,8 +114,11 @@ class TableStore:
             if self._exists(rel):
                 self._fs.delete(self._p(rel), True)
 
-    def _commit(self, txn: str, moves: list[tuple[str, str]], marker: str | None) -> None:
-        journal = {"txn": txn, "moves": moves, "marker": marker}
+    def _commit(self, txn: str, moves: list[tuple[str, str]], marker: str | None,
+                 schema: T.StructType | None = None, replace_schema: bool = False) -> None:
+        if schema is not None and not replace_schema:
+            schema = self._merged(schema)
+        journal = {"txn": txn, "moves": moves, "marker": marker, "schema": schema.json() if schema else None}
         self._write_text(f"_txn/{txn}.json", json.dumps(journal))
         self._apply(journal)
 
@@ -115,8 +130,24 @@ class TableStore:
     def exists(self) -> bool:
         return bool(self._visible())
 
+    def schema(self) -> T.StructType | None:
+        if not self._exists("_schema.json"):
+            return None
+        return T.StructType.fromJson(json.loads(self._read_text("_schema.json")))
+
+    def _merged(self, new: T.StructType) -> T.StructType:
+        """Stored schema plus the columns only ``new`` has (appended at the end)."""
+        old = self.schema()
+        if old is None:
+            return new
+        have = {f.name.lower() for f in old.fields}
+        return T.StructType(old.fields + [f for f in new.fields if f.name.lower() not in have])
+
     def read(self) -> DataFrame:
-        return self.spark.read.option("mergeSchema", True).parquet(self.path)
+        schema = self.schema()
+        if schema is None:  # a folder written by something else
+            return self.spark.read.option("mergeSchema", True).parquet(self.path)
+        return self.spark.read.schema(schema).parquet(self.path)
 
     def read_or_empty(self, like: DataFrame) -> DataFrame:
         return self.read() if self.exists() else self.spark.createDataFrame([], like.schema)
@@ -126,6 +157,13 @@ class TableStore:
         return "/".join(f"{c}={HIVE_NULL if values[c] is None else self._escape(str(values[c]))}"
                         for c in self.partition_by)
 
+    def _table_schema(self, df: DataFrame) -> T.StructType:
+        """Data columns first, partition columns last (as a partitioned read
+        returns them)."""
+        data = [f for f in df.schema.fields if f.name not in self.partition_by]
+        parts = [df.schema[c] for c in self.partition_by]
+        return T.StructType(data + parts)
+
     def _stage(self, df: DataFrame, txn: str) -> str:
         rel = f"_staging/{txn}"
         if self.partition_by:
@@ -166,7 +204,7 @@ class TableStore:
         staged = self._stage(df, txn)
         moves = [(n, f"_trash/{txn}/{n}") for n in self._visible()]
         moves += [(f"{staged}/{n}", n) for n in self._list(staged) if not n.startswith(("_", "."))]
-        self._commit(txn, moves, marker)
+        self._commit(txn, moves, marker, self._table_schema(df), replace_schema=True)
 
     def replace_partitions(self, content: DataFrame, touched: list[dict], marker: str | None = None) -> None:
         """Replace exactly the ``touched`` partitions by ``content`` (which
@@ -181,7 +219,7 @@ class TableStore:
             d = self._partition_dir(t)
             moves.append((d, f"_trash/{txn}/{d}"))
             moves.append((f"{staged}/{d}", d))
-        self._commit(txn, moves, marker)
+        self._commit(txn, moves, marker, self._table_schema(content))
 
     def append(self, df: DataFrame, marker: str | None = None) -> None:
         """``append``: new files are staged, then moved into their partitions."""
@@ -194,7 +232,7 @@ class TableStore:
             rel = it.next().getPath().toUri().getPath()[base:]
             if not rel.split("/")[-1].startswith(("_", ".")):
                 moves.append((f"{staged}/{rel}", rel))
-        self._commit(txn, moves, marker)
+        self._commit(txn, moves, marker, self._table_schema(df))
 
     # -------------------------------------------------------- strategies
     def merge_insert(self, source: DataFrame, key: Sequence[str], dedupe: bool = False,
