@@ -2,7 +2,7 @@
 import pytest
 
 import __spark_entry__ as E
-from tripmart.plans.oracle import compare, duckdb_connection
+from tools.oracle import compare, duckdb_connection
 
 from conftest import SF_SMALL
 

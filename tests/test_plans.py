@@ -2,7 +2,7 @@
 import re
 
 import __spark_entry__ as E
-from tripmart.plans.scan_stats import scan_bytes
+from tools.scan_stats import scan_bytes
 
 from conftest import SF_SMALL
 

@@ -2,7 +2,10 @@
 "bytes processed": the compressed size of the column chunks of the columns
 each scan reads (its pruned ``requiredSchema``), over the files left after
 partition pruning.  Read from the executed plan and the Parquet footers; a
-``COUNT(*)`` that needs no column reads 0 bytes."""
+``COUNT(*)`` that needs no column reads 0 bytes.
+
+Benchmark/diagnostic tooling: it reads file footers on the driver, so use
+it on test-sized inputs, not as part of a production job."""
 
 from __future__ import annotations
 
