@@ -77,3 +77,18 @@ def test_quality_checks_one_violation_each(spark):
     with pytest.raises(Q.CheckFailed):
         Q.assert_passing(rep)
     assert Q.scalar_equals(df.agg(F.count("*")), 4)
+
+
+def test_descending_dedupe_stays_an_aggregate_and_matches_window(spark):
+    import datetime as dt
+    from pyspark.sql import Window
+    rows = [(1, 5, dt.datetime(2024, 1, 1), "a"), (1, 7, dt.datetime(2024, 1, 1), "b"), (1, None, None, "c"),
+            (2, 3, dt.datetime(2024, 1, 3), "d"), (2, 3, dt.datetime(2024, 1, 2), "e")]
+    df = spark.createDataFrame(rows, "k int, o int, t timestamp_ntz, v string")
+    for order, desc in ((["o"], ["o"]), (["t"], ["t"]), (["o", "t"], ["t"])):
+        got = dedupe_first(df, ["k"], order, descending=desc)
+        assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+        ob = [F.col(c).desc_nulls_last() if c in desc else F.col(c).asc_nulls_first() for c in order] + \
+             [F.col(c).asc_nulls_first() for c in df.columns if c not in order and c != "k"]
+        ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*ob))).where("rn = 1").drop("rn")
+        assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in ref.collect())

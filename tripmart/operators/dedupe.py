@@ -15,6 +15,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+_NEGATABLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType,
+              T.TimestampType, T.TimestampNTZType, T.DateType)
+
+
+def _desc_key(c: str, dtype: T.DataType) -> list:
+    """Sort fields that make an ascending struct comparison order ``c``
+    descending with NULLs last: (is_null, -value)."""
+    col = F.col(f"`{c}`")
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        neg = -F.unix_micros(col.cast("timestamp"))
+    elif isinstance(dtype, T.DateType):
+        neg = -F.unix_date(col)
+    else:
+        neg = -col
+    return [col.isNull(), neg]
 
 
 def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (),
@@ -22,20 +40,27 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (),
     """One row per ``keys``: the first by ``order`` (ascending, NULLs first),
     ties broken by all remaining columns.
 
-    Columns listed in ``descending`` sort descending; that form needs a
-    window (``row_number``) because ``min(struct)`` has one direction only.
+    Columns listed in ``descending`` sort descending, NULLs last.  Numeric and
+    temporal ones are encoded into the struct as ``(is_null, -value)`` so the
+    combining aggregate still applies; any other type falls back to a
+    ``row_number`` window (which sorts each key in one task).
     """
     keys = list(keys)
     order = [c for c in order if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
-    if descending:
+    types = {f.name: f.dataType for f in df.schema.fields}
+    if any(not isinstance(types[c], _NEGATABLE) for c in descending):
         ob = [F.col(c).desc_nulls_last() if c in descending else F.col(c).asc_nulls_first()
               for c in order] + [F.col(c).asc_nulls_first() for c in rest]
         w = Window.partitionBy(*keys).orderBy(*ob)
         return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    sort_fields = []
+    for c in order:
+        sort_fields += _desc_key(c, types[c]) if c in descending else [F.col(f"`{c}`")]
     names = order + rest
-    first = F.min(F.struct(*[F.col(f"`{c}`").alias(f"f{i}") for i, c in enumerate(names)]))
-    agg = df.groupBy(*keys).agg(first.alias("__first"))
+    fields = [f.alias(f"s{i}") for i, f in enumerate(sort_fields)] + \
+             [F.col(f"`{c}`").alias(f"f{i}") for i, c in enumerate(names)]
+    agg = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("__first"))
     return (agg.select(*keys, *[F.col(f"__first.f{i}").alias(n) for i, n in enumerate(names)])
                .select(*df.columns))
 

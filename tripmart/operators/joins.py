@@ -57,11 +57,11 @@ def not_in(df: DataFrame, key: str, sub: DataFrame, sub_key: str) -> DataFrame:
     the subquery, makes the predicate unknown (row dropped).
 
     Plan: a distributed left-anti join on the key (never a nested loop) plus
-    two scalar subqueries over the subquery side.
+    one scalar subquery (row count, NULL count) over the subquery side.
     """
     s = sub.select(F.col(sub_key).alias("__k")).distinct()
-    n_sub = s.select(F.count(F.lit(1))).scalar()
-    n_null = s.select(F.count_if(F.col("__k").isNull())).scalar()
+    stats = s.select(F.struct(F.count(F.lit(1)).alias("n"), F.count_if(F.col("__k").isNull()).alias("nulls"))).scalar()
+    n_sub, n_null = stats.getField("n"), stats.getField("nulls")
     anti = df.join(s.where(F.col("__k").isNotNull()), df[key] == F.col("__k"), "left_anti")
     keep = (n_sub == 0) | (F.col(key).isNotNull() & (n_null == 0))
     return anti.where(keep)

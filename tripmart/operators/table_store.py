@@ -243,8 +243,11 @@ class TableStore:
         self.append(M.new_rows(self.read(), src, key), marker)
 
     def merge_upsert(self, source: DataFrame, key: Sequence[str], add_columns: bool = True,
-                     marker: str | None = None) -> None:
-        M.assert_unique(source, key)
+                     marker: str | None = None, check_unique: bool = True) -> None:
+        """Upsert; ``check_unique=False`` skips the duplicate-key job when the
+        source is unique by construction (e.g. an aggregation's output)."""
+        if check_unique:
+            M.assert_unique(source, key)
         if not self.exists():
             return self.append(source, marker)
         target = self.read()

@@ -120,14 +120,17 @@ def running_count(df: DataFrame, predicate: Column, name: str = "n") -> DataFram
 
 # ------------------------------------------------------------------- sinks
 
-def upsert_sink(store: TableStore, key: Sequence[str], name: str) -> Callable[[DataFrame, int], None]:
+def upsert_sink(store: TableStore, key: Sequence[str], name: str,
+                unique_source: bool = True) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` handler: keyed upsert, idempotent per batch id (a
-    replayed batch after a failure is skipped once its commit is recorded)."""
+    replayed batch after a failure is skipped once its commit is recorded).
+    ``unique_source``: the batch is unique on ``key`` (true for the output of
+    a streaming aggregation grouped by ``key``), so no duplicate check runs."""
     def handle(batch: DataFrame, batch_id: int) -> None:
         marker = f"{name}-{batch_id}"
         if store.committed(marker):
             return
-        store.merge_upsert(batch, key, marker=marker)
+        store.merge_upsert(batch, key, marker=marker, check_unique=not unique_source)
     return handle
 
 
