@@ -966,3 +966,96 @@ def q_stream_tumble_1h_by_key(spark, d):
     r = store.read()
     return r.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                     F.col("window_end").cast("timestamp_ntz").alias("window_end"), "user_id", "num_events", "total_value")
+
+
+# ======================= file formats (derived data) =========================
+# Whole driver tables are written out in a source format into the shared
+# scratch folder, read back through the library's readers and aggregated;
+# the SQL twins compute the same aggregate on the original table.
+
+def _scratch(spark, name: str) -> str:
+    import uuid
+    from tripmart.session import scratch_path
+    return scratch_path(spark, f"{name}/{uuid.uuid4().hex}")
+
+
+@register("csv_typed_roundtrip", """
+SELECT l_returnflag, COUNT(*) AS n, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS revenue,
+       SUM(l_quantity) AS qty, MIN(l_shipdate) AS first_ship, MAX(l_shipdate) AS last_ship
+FROM lineitem GROUP BY l_returnflag""")
+def q_csv_typed_roundtrip(spark, d):
+    """S01/K19: gzip CSV with header written from lineitem, read back with the
+    declared schema and timestamp format (no inference pass)."""
+    from tripmart.sources.files import read_csv
+    li = table(spark, d, "lineitem")
+    path = _scratch(spark, "csv")
+    fmt = "yyyy-MM-dd HH:mm:ss"
+    li.write.option("header", True).option("compression", "gzip").option("timestampNTZFormat", fmt).csv(path)
+    back = read_csv(spark, path, li.schema, ts_format=fmt)
+    return back.groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("decimal(38,2)").alias("revenue"),
+        F.sum("l_quantity").alias("qty"), F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))
+
+
+@register("json_nested_explode", """
+SELECT kind, COUNT(*) AS n, CAST(SUM(amount) AS DECIMAL(38,2)) AS total FROM (
+  SELECT 'price' AS kind, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount FROM lineitem
+  UNION ALL
+  SELECT 'tax', CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(18,2)) AS DECIMAL(18,2)) FROM lineitem)
+GROUP BY kind""")
+def q_json_nested_explode(spark, d):
+    """S09: JSON documents with an array of objects (one document per line
+    item: its price and tax items), read back and exploded."""
+    from tripmart.sources.files import read_json_array
+    li = table(spark, d, "lineitem")
+    price = F.col("l_extendedprice").cast("decimal(18,2)")
+    tax = (price * F.col("l_tax").cast("decimal(18,2)")).cast("decimal(18,2)")
+    docs = li.select("l_orderkey", "l_linenumber",
+                     F.array(F.struct(F.lit("price").alias("kind"), price.alias("amount")),
+                             F.struct(F.lit("tax").alias("kind"), tax.alias("amount"))).alias("items"))
+    path = _scratch(spark, "json")
+    docs.write.json(path)
+    schema = "l_orderkey long, l_linenumber int, items array<struct<kind: string, amount: decimal(18,2)>>"
+    items = read_json_array(spark, path, "items", schema=schema, multi_line=False, parents=["l_orderkey"])
+    return items.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").cast("decimal(38,2)").alias("total"))
+
+
+@register("paged_scan_events", """
+SELECT event_type, COUNT(*) AS n, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total
+FROM events GROUP BY event_type""")
+def q_paged_scan_events(spark, d):
+    """S10a: the events table saved as numbered JSON pages of 1000 records
+    (page N = event ids (N-1)*1000 ..), read through the paged source that
+    stops at the first empty page."""
+    from tripmart.sources.paged import paged_scan
+    e = events(spark, d)
+    path = _scratch(spark, "pages")
+    pages = e.withColumn("page", (F.floor(F.col("event_id") / 1000) + 1).cast("long"))
+    (pages.groupBy("page").agg(F.to_json(F.collect_list(F.struct("event_id", "event_type", "value"))).alias("value"))
+          .write.partitionBy("page").text(path))
+    got = paged_scan(spark, path + "/page={page}/part-*", "event_id long, event_type string, value double",
+                     kind="page", pages_per_partition=4)
+    return got.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"),
+                                         F.sum(F.col("value").cast("decimal(18,2)")).cast("decimal(38,2)").alias("total"))
+
+
+@register("ingest_months", W("""
+SELECT lower(service_type) AS taxi_type, CAST(date_trunc('month', pickup_datetime) AS DATE) AS month, COUNT(*) AS n,
+       CAST(SUM(total_amount) AS DECIMAL(38,2)) AS total
+FROM trips WHERE pickup_datetime >= TIMESTAMP '1997-11-01 00:00:00' AND pickup_datetime < TIMESTAMP '1998-03-01 00:00:00'
+GROUP BY 1, 2""", TRIPS))
+def q_ingest_months(spark, d):
+    """S14: per (type, month) files; the months Nov 1997 .. Feb 1998 of both
+    types (across New Year) are ingested in one read per type with
+    ``taxi_type`` and ``extracted_at`` added."""
+    from tripmart.sources.files import ingest, period_paths
+    root = _scratch(spark, "monthly")
+    t = trips(spark, d, locations=False).select("pickup_datetime", "total_amount", "service_type")
+    (t.withColumn("kind", F.lower("service_type")).withColumn("month", F.date_format("pickup_datetime", "yyyy-MM"))
+      .drop("service_type").hint("rebalance", "kind", "month").write.partitionBy("kind", "month").parquet(root))
+    kinds = ["green", "yellow"]
+    paths = period_paths(root, kinds, dt.date(1997, 11, 1), dt.date(1998, 2, 1),
+                         pattern="{root}/kind={kind}/month={year:04d}-{month:02d}")
+    df = ingest(spark, {k: [p for p in paths if f"/kind={k}/" in p] for k in kinds})
+    return df.groupBy("taxi_type", C.month_start("pickup_datetime").alias("month")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("total_amount").cast("decimal(38,2)").alias("total"))

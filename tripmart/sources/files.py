@@ -86,14 +86,17 @@ def read_partition(spark: SparkSession, root: str, **equals) -> DataFrame:
 
 
 def read_json_array(spark: SparkSession, path: str | Sequence[str], field: str,
-                    schema: T.StructType | None = None, keep: Sequence[str] | None = None) -> DataFrame:
+                    schema: T.StructType | None = None, keep: Sequence[str] | None = None,
+                    multi_line: bool = True, parents: Sequence[str] = ()) -> DataFrame:
     """JSON documents holding an array of objects under ``field``: one row
-    per element (``explode``), optionally keeping only ``keep`` fields."""
-    r = spark.read.option("multiLine", True)
+    per element (``explode``), optionally keeping only ``keep`` fields and
+    the document-level ``parents`` fields.  ``multi_line=False`` reads JSON
+    Lines (one document per line, splittable)."""
+    r = spark.read.option("multiLine", multi_line)
     if schema is not None:
         r = r.schema(schema)
-    df = r.json(path).select(F.explode(F.col(field)).alias("__e")).select("__e.*")
-    return df.select(*keep) if keep else df
+    df = r.json(path).select(*parents, F.explode(F.col(field)).alias("__e")).select(*parents, "__e.*")
+    return df.select(*parents, *keep) if keep else df
 
 
 def seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

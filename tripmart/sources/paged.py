@@ -31,10 +31,13 @@ def _fetch(url: str):
     if url.startswith(("http://", "https://")):
         with urllib.request.urlopen(url, timeout=60) as r:  # noqa: S310 - user-supplied endpoint
             return json.loads(r.read().decode())
+    import glob
+    path = url.removeprefix("file://")
+    matches = sorted(glob.glob(path)) if any(ch in path for ch in "*?[") else [path]
     try:
-        with open(url.removeprefix("file://"), encoding="utf-8") as f:
+        with open(matches[0], encoding="utf-8") as f:
             return json.load(f)
-    except FileNotFoundError:
+    except (FileNotFoundError, IndexError):
         return []
 
 
