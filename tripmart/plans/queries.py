@@ -1059,3 +1059,54 @@ def q_ingest_months(spark, d):
     df = ingest(spark, {k: [p for p in paths if f"/kind={k}/" in p] for k in kinds})
     return df.groupBy("taxi_type", C.month_start("pickup_datetime").alias("month")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("total_amount").cast("decimal(38,2)").alias("total"))
+
+
+# ====================== streaming sessions (append mode) =====================
+# A session is emitted once the watermark (max event time, in ms, minus 5 s)
+# passes its end (last event + gap); the twins select exactly those sessions.
+
+_WM = "(SELECT date_trunc('millisecond', MAX(ts)) - INTERVAL 5 SECOND FROM events)"
+
+
+def _run_to_table(spark, df, sink_kind: str, mode: str = "append"):
+    import uuid
+    from tripmart.operators.table_store import TableStore
+    from tripmart.streaming.jobs import append_sink, start
+    store = TableStore(spark, _scratch(spark, "stream_tables"))
+    start(df, sink=append_sink(store, sink_kind), mode=mode, available_now=True,
+          name=f"{sink_kind}_{uuid.uuid4().hex[:8]}").awaitTermination()
+    return store
+
+
+@register("stream_session_by_key", W(f"""
+SELECT user_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL 5 MINUTE AS session_end, COUNT(*) AS num_events,
+       CAST(SUM({_E_MONEY}) AS DECIMAL(38,2)) AS total_value
+FROM isl GROUP BY user_id, sid HAVING MAX(ts) + INTERVAL 5 MINUTE <= {_WM}""", _ISLANDS.format(p="user_id")))
+def q_stream_session_by_key(spark, d):
+    from tripmart.streaming.jobs import session_counts, with_event_time
+    s = with_event_time(_event_stream(spark, d), "ts", "5 seconds").withColumn(
+        "amount", F.col("value").cast("decimal(18,2)"))
+    agg = session_counts(s, "ts", "5 minutes", ["user_id"],
+                         [F.count(F.lit(1)).alias("num_events"), F.sum("amount").cast("decimal(38,2)").alias("total_value")])
+    r = _run_to_table(spark, agg, "sessions").read()
+    return r.select("user_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
+                    F.col("session_end").cast("timestamp_ntz").alias("session_end"), "num_events", "total_value")
+
+
+@register("stream_session_global_by_key", W(f"""
+SELECT s.session_start, s.session_end, CAST(i.user_id AS BIGINT) AS location, COUNT(*) AS num_events,
+       CAST(SUM(CAST(i.value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_amount
+FROM isl i JOIN (SELECT sid, MIN(ts) AS session_start, MAX(ts) + INTERVAL 5 MINUTE AS session_end
+                 FROM isl GROUP BY sid) s ON i.sid = s.sid
+WHERE s.session_end <= {_WM}
+GROUP BY 1, 2, 3""", _ISLANDS.replace("PARTITION BY {p} ", "").format()))
+def q_stream_session_global_by_key(spark, d):
+    from tripmart.streaming.global_sessions import global_sessions_by_location
+    from tripmart.streaming.jobs import with_event_time
+    s = with_event_time(_event_stream(spark, d), "ts", "5 seconds")
+    r = _run_to_table(spark, global_sessions_by_location(s, "ts", "user_id", "value", 300), "global_sessions").read()
+    # the operator sums doubles; every amount has two decimals, so rounding to
+    # cents recovers the exact decimal sum
+    return r.select(F.col("session_start").cast("timestamp_ntz").alias("session_start"),
+                    F.col("session_end").cast("timestamp_ntz").alias("session_end"), "location", "num_events",
+                    F.round("total_amount", 2).cast("decimal(38,2)").alias("total_amount"))
