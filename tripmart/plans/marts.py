@@ -113,10 +113,22 @@ def revenue_by_vendor_zone(base: DataFrame) -> DataFrame:
 
 # ---- E03 --------------------------------------------------------------------
 
-def int_trips(spark: SparkSession, sf_dir: str, dedupe_keys=("orderkey", "linenumber")) -> DataFrame:
-    """Enriched, de-duplicated trips: surrogate key, payment label, duration,
-    validity flag; first row per key by dropoff time."""
+CENTS_COLUMNS = ["fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge",
+                 "total_amount"]
+
+
+def int_trips(spark: SparkSession, sf_dir: str, dedupe_keys=("orderkey", "linenumber"),
+              money_in_cents: bool = True) -> DataFrame:
+    """Enriched, de-duplicated trips: surrogate key, payment label, duration;
+    first row per key by dropoff time.
+
+    ``money_in_cents`` keeps the reference's conversion of the money columns
+    by ``/100`` to ``decimal(16,2)`` (it treats the amounts as cents);
+    ``ehail_fee`` passes through unchanged, as there.
+    """
     t = trips(spark, sf_dir)
+    if money_in_cents:
+        t = t.withColumns({c: C.cents_to_dollars(c) for c in CENTS_COLUMNS})
     t = t.withColumns({
         "trip_id": C.surrogate_key("orderkey", "linenumber"),
         "payment_description": C.payment_description("payment_type"),

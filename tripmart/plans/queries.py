@@ -430,14 +430,16 @@ def q_daily_max(spark, d):
 
 
 _INT_TRIPS_SQL = """
+trips_c AS (SELECT * REPLACE ({cents}) FROM trips),
 int_trips AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, md5(concat_ws('-', coalesce(CAST(orderkey AS VARCHAR), '{tok}'), coalesce(CAST(linenumber AS VARCHAR), '{tok}'))) AS trip_id,
       CASE payment_type {pay} ELSE 'Unknown' END AS payment_description,
       CAST(date_diff('second', pickup_datetime, dropoff_datetime) / 60.0 AS DECIMAL(18,4)) AS trip_duration_minutes,
       row_number() OVER (PARTITION BY orderkey, linenumber ORDER BY dropoff_datetime NULLS FIRST, {rest}) AS rn
-    FROM trips) WHERE rn = 1
+    FROM trips_c) WHERE rn = 1
 )""".format(tok=C.SURROGATE_NULL_TOKEN,
+            cents=", ".join(f"CAST({c} * 0.01 AS DECIMAL(16,2)) AS {c}" for c in marts.CENTS_COLUMNS),
             pay=" ".join(f"WHEN {k} THEN '{v}'" for k, v in sorted(C.PAYMENT_LABELS.items())),
             rest=", ".join(f"{c} NULLS FIRST" for c in (
                 "vendor_id", "service_type", "payment_type", "trip_type", "passenger_count", "pickup_datetime",
