@@ -77,6 +77,10 @@ def test_quality_checks_one_violation_each(spark):
     with pytest.raises(Q.CheckFailed):
         Q.assert_passing(rep)
     assert Q.scalar_equals(df.agg(F.count("*")), 4)
+    ok = {r["check"]: r["violations"] for r in Q.run_checks(df, [Q.not_empty()]).collect()}
+    assert ok == {"not_empty": 0}
+    empty = {r["check"]: r["violations"] for r in Q.run_checks(df.limit(0), [Q.not_empty()]).collect()}
+    assert empty == {"not_empty": 1}
 
 
 def test_descending_dedupe_stays_an_aggregate_and_matches_window(spark):

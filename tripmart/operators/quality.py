@@ -38,10 +38,11 @@ def non_negative(c: str) -> Check: return Check("non_negative", (c,))
 def positive(c: str) -> Check: return Check("positive", (c,))
 def primary_key(*cols: str) -> Check: return Check("primary_key", tuple(cols))
 def expression(name: str, predicate: str) -> Check: return Check("expression", (name,), expr=predicate)
+def not_empty() -> Check: return Check("not_empty", ("*",))  # at least one row (> 0, not > 1)
 
 
 def _row_violation(ch: Check) -> Column:
-    c = F.col(ch.columns[0]) if ch.kind != "expression" else None
+    c = F.col(ch.columns[0]) if ch.kind not in ("expression", "not_empty") else None
     if ch.kind == "not_null":
         return F.count_if(c.isNull())
     if ch.kind == "accepted_values":
@@ -52,6 +53,8 @@ def _row_violation(ch: Check) -> Column:
         return F.count_if(c <= 0)
     if ch.kind == "expression":
         return F.count_if(~F.coalesce(F.expr(ch.expr), F.lit(False)))
+    if ch.kind == "not_empty":
+        return F.when(F.count(F.lit(1)) == 0, F.lit(1)).otherwise(F.lit(0))
     raise ValueError(ch.kind)
 
 
