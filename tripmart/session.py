@@ -21,17 +21,48 @@ DEFAULT_CONF = {
 }
 
 
+MB = 1024 * 1024
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 256) -> dict[str, str]:
+    """Sizing for a job reading ``input_bytes`` on ``total_cores`` cores.
+
+    * scan splits of ``target_partition_mb`` (100 TB -> ~400k scan tasks);
+    * initial shuffle partitions so that a shuffle of the whole input lands at
+      about ``target_partition_mb`` per partition (at least 2 per core); AQE
+      coalesces them down for smaller shuffles and splits skewed ones;
+    * a partition is "skewed" at 4x the target (and 256 MB minimum);
+    * broadcast threshold equal to the library's checked bound (64 MB).
+    """
+    target = target_partition_mb * MB
+    shuffle = max(2 * total_cores, -(-input_bytes // target))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(max(4 * target, 256 * MB)),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * MB),
+    }
+
+
 def get_session(master: str | None = None, app: str = "tripmart",
-                shuffle_partitions: int | None = None, **extra: str) -> SparkSession:
+                shuffle_partitions: int | None = None, input_bytes: int | None = None,
+                total_cores: int | None = None, **extra: str) -> SparkSession:
     """Return (or create) a session with the library defaults.
 
     ``master`` is only set when given: on a cluster the launcher provides it.
+    With ``input_bytes`` and ``total_cores`` the sizing of :func:`scale_conf`
+    is applied (an explicit ``shuffle_partitions`` still wins).
     """
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
+    if input_bytes is not None and total_cores:
+        for k, v in scale_conf(input_bytes, total_cores).items():
+            b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in extra.items():
