@@ -102,3 +102,26 @@ def test_ride_jobs(spark, tmp_dir):
     R.session_streaks(ev, ss, available_now=True, checkpoint=f"{tmp_dir}/ck4").awaitTermination()
     # append mode: the last open session is not emitted yet, every earlier one is
     assert 0 < ss.read().count() < e.count()
+
+
+def test_stream_append_into_rdbms(spark, tmp_dir):
+    url = "jdbc:derby:memory:tripmart_stream;create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    e = spark.read.parquet(f"{SF_SMALL}/events.parquet").select("event_id", "user_id", "value")
+    e.coalesce(2).write.parquet(f"{tmp_dir}/in/a")
+    stream = S.read_events(spark, e.schema, path=f"{tmp_dir}/in/*", fmt="parquet", max_per_trigger=1)
+    S.start(stream, sink=S.jdbc_append_sink(url, "EVENTS_SINK", props), available_now=True,
+            checkpoint=f"{tmp_dir}/ck").awaitTermination()
+    back = spark.read.jdbc(url, "EVENTS_SINK", properties=props)
+    assert back.count() == e.count()
+
+
+def test_consumer_to_table(spark, tmp_dir):
+    e = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    e.repartition(3).write.parquet(f"{tmp_dir}/in/a")
+    target = TableStore(spark, f"{tmp_dir}/t")
+    q = R.consume_to_table(spark, e.schema, target, path=f"{tmp_dir}/in/*", fmt="parquet", max_rows=1,
+                           available_now=True, checkpoint=f"{tmp_dir}/ck")
+    q.awaitTermination()
+    assert target.read().count() == e.count()
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3   # one file per micro-batch

@@ -46,3 +46,18 @@ def session_streaks(events: DataFrame, target: TableStore, ts: str = "event_time
 
 def pass_through(events: DataFrame, target: TableStore, columns: list[str], **start_kw) -> StreamingQuery:
     return start(events.select(*columns), sink=append_sink(target, "pass_through"), mode="append", **start_kw)
+
+
+def consume_to_table(spark, schema, target: TableStore, *, kafka_servers: str | None = None,
+                     topic: str | None = None, path: str | None = None, fmt: str = "json",
+                     max_rows: int = 1000, every: str = "5 seconds", name: str = "consumer",
+                     **start_kw) -> StreamingQuery:
+    """Consumer that writes events to a table in micro-batches of at most
+    ``max_rows`` offsets (files for a file source) every ``every``; offsets
+    are committed to the checkpoint only after the batch's table commit, and
+    the commit marker makes a replayed batch a no-op (exactly once)."""
+    from tripmart.streaming.jobs import read_events
+    events = read_events(spark, schema, kafka_servers=kafka_servers, topic=topic, path=path, fmt=fmt,
+                         max_per_trigger=max_rows)
+    return start(events, sink=append_sink(target, name), mode="append", processing_time=every, name=name,
+                 **start_kw)
