@@ -110,7 +110,7 @@ class TableStore:
         if journal.get("marker"):
             self._write_text(f"_commits/{journal['marker']}", journal["txn"])
         txn = journal["txn"]
-        for rel in (f"_staging/{txn}", f"_trash/{txn}", f"_txn/{txn}.json"):
+        for rel in (f"_staging/{txn}", f"_staging/src-{txn}", f"_trash/{txn}", f"_txn/{txn}.json"):
             if self._exists(rel):
                 self._fs.delete(self._p(rel), True)
 
@@ -176,6 +176,15 @@ class TableStore:
         w.parquet(f"{self.path}/{rel}")
         return rel
 
+    def _materialize(self, source: DataFrame, txn: str) -> DataFrame:
+        """Write the change's source rows once to the staging folder and
+        return a reader over them: later steps (duplicate check, touched
+        partitions, new content) read files instead of recomputing the
+        source's plan, and its lineage ends here."""
+        path = f"{self.path}/_staging/src-{txn}"
+        source.write.mode("errorifexists").parquet(path)
+        return self.spark.read.schema(source.schema).parquet(path)
+
     def _touched(self, *frames: DataFrame) -> list[dict]:
         """Distinct partition values of the given rows (metadata-sized)."""
         keys = reduce(lambda a, b: a.union(b), [f.select(*self.partition_by) for f in frames]).distinct()
@@ -198,21 +207,22 @@ class TableStore:
         return df.join(keys, [df[c].eqNullSafe(keys[c]) for c in self.partition_by], "left_semi")
 
     # -------------------------------------------------------------- writes
-    def overwrite(self, df: DataFrame, marker: str | None = None) -> None:
+    def overwrite(self, df: DataFrame, marker: str | None = None, txn: str | None = None) -> None:
         """Full refresh (``table`` / ``truncate+insert``)."""
-        txn = uuid.uuid4().hex
+        txn = txn or uuid.uuid4().hex
         staged = self._stage(df, txn)
         moves = [(n, f"_trash/{txn}/{n}") for n in self._visible()]
         moves += [(f"{staged}/{n}", n) for n in self._list(staged) if not n.startswith(("_", "."))]
         self._commit(txn, moves, marker, self._table_schema(df), replace_schema=True)
 
-    def replace_partitions(self, content: DataFrame, touched: list[dict], marker: str | None = None) -> None:
+    def replace_partitions(self, content: DataFrame, touched: list[dict], marker: str | None = None,
+                           txn: str | None = None) -> None:
         """Replace exactly the ``touched`` partitions by ``content`` (which
         must only hold rows of those partitions); a touched partition with no
         rows disappears."""
         if not self.partition_by:
-            return self.overwrite(content, marker)
-        txn = uuid.uuid4().hex
+            return self.overwrite(content, marker, txn)
+        txn = txn or uuid.uuid4().hex
         staged = self._stage(content, txn)
         moves = []
         for t in touched:
@@ -221,9 +231,9 @@ class TableStore:
             moves.append((f"{staged}/{d}", d))
         self._commit(txn, moves, marker, self._table_schema(content))
 
-    def append(self, df: DataFrame, marker: str | None = None) -> None:
+    def append(self, df: DataFrame, marker: str | None = None, txn: str | None = None) -> None:
         """``append``: new files are staged, then moved into their partitions."""
-        txn = uuid.uuid4().hex
+        txn = txn or uuid.uuid4().hex
         staged = self._stage(df, txn)
         moves = []
         it = self._fs.listFiles(self._p(staged), True)
@@ -246,46 +256,50 @@ class TableStore:
                      marker: str | None = None, check_unique: bool = True) -> None:
         """Upsert; ``check_unique=False`` skips the duplicate-key job when the
         source is unique by construction (e.g. an aggregation's output)."""
+        txn = uuid.uuid4().hex
+        src = self._materialize(source, txn)
         if check_unique:
-            M.assert_unique(source, key)
+            M.assert_unique(src, key)
         if not self.exists():
-            return self.append(source, marker)
+            return self.append(src, marker, txn)
         target = self.read()
         if not self.partition_by:
-            return self.overwrite(M.merge_upsert(target, source, key, add_columns), marker)
-        hits = target.join(M.key_set(source, key), list(key), "left_semi")
-        touched = self._touched(source, hits)
-        new = M.merge_upsert(self._only(target, touched), source, key, add_columns)
-        self.replace_partitions(new, touched, marker)
+            return self.overwrite(M.merge_upsert(target, src, key, add_columns), marker, txn)
+        hits = target.join(M.key_set(src, key), list(key), "left_semi")
+        touched = self._touched(src, hits)
+        new = M.merge_upsert(self._only(target, touched), src, key, add_columns)
+        self.replace_partitions(new, touched, marker, txn)
 
     def replace_interval(self, source: DataFrame, ts: str, start, end, marker: str | None = None) -> None:
-        src = source.where(M.in_window(F.col(ts), start, end))
+        txn = uuid.uuid4().hex
+        src = self._materialize(source.where(M.in_window(F.col(ts), start, end)), txn)
         if not self.exists():
-            return self.append(src, marker)
+            return self.append(src, marker, txn)
         target = self.read()
         if not self.partition_by:
-            return self.overwrite(M.replace_interval(target, source, ts, start, end), marker)
+            return self.overwrite(M.replace_interval(target, src, ts, start, end), marker, txn)
         touched = self._touched(src, target.where(M.in_window(F.col(ts), start, end)))
         new = M.replace_interval(self._only(target, touched), src, ts, start, end)
-        self.replace_partitions(new, touched, marker)
+        self.replace_partitions(new, touched, marker, txn)
 
     def delete_insert(self, source: DataFrame, key: Sequence[str], marker: str | None = None) -> None:
+        txn = uuid.uuid4().hex
+        src = self._materialize(source, txn)
         if not self.exists():
-            return self.append(source, marker)
+            return self.append(src, marker, txn)
         target = self.read()
         if not self.partition_by:
-            return self.overwrite(M.delete_insert(target, source, key), marker)
-        hits = target.join(M.key_set(source, key), list(key), "left_semi")
-        touched = self._touched(source, hits)
-        new = M.delete_insert(self._only(target, touched), source, key)
-        self.replace_partitions(new, touched, marker)
+            return self.overwrite(M.delete_insert(target, src, key), marker, txn)
+        hits = target.join(M.key_set(src, key), list(key), "left_semi")
+        touched = self._touched(src, hits)
+        new = M.delete_insert(self._only(target, touched), src, key)
+        self.replace_partitions(new, touched, marker, txn)
 
     def truncate_insert(self, source: DataFrame, marker: str | None = None) -> None:
         if self.exists():
             source = M.truncate_insert(self.read(), source)
         self.overwrite(source, marker)
 
-
     def backfill(self, source: DataFrame, ts: str, months, marker: str | None = None) -> None:
         """Re-load a list of months in ONE job: the whole range is replaced
         (``time_interval`` over first..last month), not one job per month."""
