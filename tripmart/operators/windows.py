@@ -52,12 +52,13 @@ def islands(df: DataFrame, ts: str, gap_seconds: int, keys: Sequence[str] = (),
     b = "__bucket"
     x = df.withColumn(us, _micros(ts)).withColumn(b, F.floor(F.col(us) / F.lit(bucket_seconds * 1_000_000)))
 
-    # 1. inside a (key, bucket): break when the gap to the previous row is > gap
+    # 1. inside a (key, bucket): break when the gap to the previous row is
+    #    > gap, and the running count of such breaks (same window spec, so
+    #    both window functions share one sort)
     w_in = Window.partitionBy(*keys, b).orderBy(us)
     prev = F.lag(us).over(w_in)
-    x = x.withColumn("__inner_break", F.when(prev.isNull(), F.lit(0))
-                     .when(F.col(us) - prev > gap, F.lit(1)).otherwise(F.lit(0)))
-    x = x.withColumn("__first", prev.isNull())
+    x = x.withColumn("__inner_break", F.when(prev.isNotNull() & (F.col(us) - prev > gap), F.lit(1)).otherwise(F.lit(0)))
+    x = x.withColumn("__run", F.sum("__inner_break").over(w_in.rowsBetween(Window.unboundedPreceding, 0)))
 
     # 2. one summary row per (key, bucket)
     s = x.groupBy(*keys, b).agg(F.min(us).alias("__bmin"), F.max(us).alias("__bmax"),
@@ -70,13 +71,12 @@ def islands(df: DataFrame, ts: str, gap_seconds: int, keys: Sequence[str] = (),
     s = s.withColumn("__offset",
                      F.sum(F.col("__bucket_break") + F.col("__nbreaks")).over(
                          w_b.rowsBetween(Window.unboundedPreceding, -1)))
-    s = s.select(*keys, b, F.coalesce("__offset", F.lit(0)).alias("__offset"), "__bucket_break")
+    s = s.select(*keys, b, (F.coalesce("__offset", F.lit(0)) + F.col("__bucket_break")).alias("__base"))
 
-    # 3. session number = offset + bucket-start break + running inner breaks
+    # 3. session number = bucket base + running inner breaks (no second sort)
     x = x.join(s, [*keys, b], "inner")
-    run = F.sum("__inner_break").over(w_in.rowsBetween(Window.unboundedPreceding, 0))
-    x = x.withColumn(session_col, (F.col("__offset") + F.col("__bucket_break") + run).cast("long"))
-    return x.drop(us, b, "__inner_break", "__first", "__offset", "__bucket_break")
+    x = x.withColumn(session_col, (F.col("__base") + F.col("__run")).cast("long"))
+    return x.drop(us, b, "__inner_break", "__run", "__base")
 
 
 def sessions(df: DataFrame, ts: str, gap_seconds: int, keys: Sequence[str], aggs: Sequence[Column],
