@@ -58,17 +58,19 @@ CONSTANTS = {
 }
 
 
-def raw_trips(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
+def raw_trips(spark: SparkSession, sf_dir: str, service: str, dropoff: bool = True) -> DataFrame:
     """A raw monthly-file-shaped frame for one service (taxi column names,
-    long ids, double amounts) derived from the trip view."""
-    t = trips(spark, sf_dir, services=(service,))
+    long ids, double amounts) derived from the trip view.  ``dropoff=False``
+    leaves out the dropoff location (and its lookup join) for consumers that
+    never read it."""
+    t = trips(spark, sf_dir, locations=("pickup", "dropoff") if dropoff else ("pickup",), services=(service,))
     p = "lpep" if service == "Green" else "tpep"
     cols = [
         F.col("vendor_id").cast("long").alias("VendorID"),
         F.col("pickup_datetime").alias(f"{p}_pickup_datetime"),
         F.col("dropoff_datetime").alias(f"{p}_dropoff_datetime"),
         F.col("pickup_location_id").cast("long").alias("PULocationID"),
-        F.col("dropoff_location_id").cast("long").alias("DOLocationID"),
+        *([F.col("dropoff_location_id").cast("long").alias("DOLocationID")] if dropoff else []),
         F.col("passenger_count").cast("long"),
         F.col("trip_distance").cast("double"),
         F.col("fare_amount").cast("double"),
@@ -94,7 +96,7 @@ def clean_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def revenue_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E02 input: both services' (vendor, location, total) joined to zone names."""
-    parts = [clean(raw_trips(spark, sf_dir, s), s)
+    parts = [clean(raw_trips(spark, sf_dir, s, dropoff=False), s)
              .select("vendor_id", F.col("pickup_location_id").alias("location_id"), "total_amount")
              for s in ("Green", "Yellow")]
     z = broadcast_if_small(zones(spark, sf_dir).select("location_id", "zone"))

@@ -352,7 +352,7 @@ def q_orphan_keys(spark, d):
 
 
 def _pickup_zone_trips(spark, d):
-    t = trips(spark, d)
+    t = trips(spark, d, locations=("pickup",))
     z = broadcast_if_small(zones(spark, d).select("location_id", "zone"))
     return t.join(z, t.pickup_location_id == z.location_id, "inner")
 
@@ -718,7 +718,7 @@ SELECT pickup_location_id, COUNT(*) AS n, CAST(SUM(total_amount) AS DECIMAL(38,2
   WHERE pickup_datetime >= TIMESTAMP '1997-01-01 00:00:00' AND pickup_datetime < TIMESTAMP '1998-01-01 00:00:00')
 GROUP BY 1""", TRIPS))
 def q_delete_insert(spark, d):
-    t = trips(spark, d).select("pickup_location_id", "pickup_datetime", "total_amount")
+    t = trips(spark, d, locations=("pickup",)).select("pickup_location_id", "pickup_datetime", "total_amount")
     src = (t.where(M.in_window(F.col("pickup_datetime"), ts("1997-01-01"), ts("1998-01-01")))
             .withColumn("total_amount", (F.col("total_amount") * 2).cast("decimal(18,2)")))
     r = M.delete_insert(t, src, ["pickup_location_id"])

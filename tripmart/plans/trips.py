@@ -37,25 +37,28 @@ def _money(c) -> F.Column:
 SERVICE_CODES = {"Green": "O", "Yellow": "F"}
 
 
-def trips(spark: SparkSession, sf_dir: str, locations: bool = True,
+def trips(spark: SparkSession, sf_dir: str, locations: bool | tuple[str, ...] = True,
           services: tuple[str, ...] | None = None) -> DataFrame:
-    """Trip rows.  ``locations=False`` skips the two location lookups for
-    queries that do not use them (the joins cannot be pruned by the planner
-    since it does not know the lookup keys are unique).  ``services`` keeps
-    only those services, filtered on the raw status column so the predicate
-    reaches the Parquet scan."""
+    """Trip rows.  ``locations`` selects the location lookups to resolve:
+    ``True`` (both), ``False`` (none) or a subset of ``("pickup", "dropoff")``
+    - the planner cannot drop an unused lookup join by itself since it does
+    not know the lookup keys are unique.  ``services`` keeps only those
+    services, filtered on the raw status column so the predicate reaches the
+    Parquet scan."""
+    roles = {"pickup", "dropoff"} if locations is True else set(locations or ())
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
         "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
     if services is not None:
         li = li.where(F.col("l_linestatus").isin([SERVICE_CODES[s] for s in services]))
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    if locations:
+    # resolve each side's lookup before the big orderkey join: the lookups
+    # are broadcast only while their estimated size is small
+    if "pickup" in roles:
         sup = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("pickup_location_id"))
-        cus = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("dropoff_location_id"))
-        # resolve each side's lookup before the big orderkey join: the
-        # lookups are broadcast only while their estimated size is small
         li = li.join(broadcast_if_small(sup), li.l_suppkey == sup.s_suppkey, "left")
+    if "dropoff" in roles:
+        cus = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("dropoff_location_id"))
         od = od.join(broadcast_if_small(cus), od.o_custkey == cus.c_custkey, "left")
     j = li.join(od, li.l_orderkey == od.o_orderkey, "inner")
     price = _money(F.col("l_extendedprice"))
@@ -70,8 +73,7 @@ def trips(spark: SparkSession, sf_dir: str, locations: bool = True,
         F.col("o_orderdate").alias("pickup_datetime"),
         F.col("l_shipdate").alias("dropoff_datetime"),
     ]
-    if locations:
-        cols += [F.col("pickup_location_id"), F.col("dropoff_location_id")]
+    cols += [F.col(f"{r}_location_id") for r in ("pickup", "dropoff") if r in roles]
     cols += [
         _money(F.col("l_quantity")).alias("trip_distance"),
         price.alias("fare_amount"),
