@@ -235,7 +235,7 @@ _SK = ["vendor_id", "pickup_datetime", "pickup_location_id", "service_type", "pa
 @register("surrogate_key", W("SELECT orderkey, linenumber, md5(concat_ws('-', " + ", ".join(
     f"coalesce(CAST({c} AS VARCHAR), '{C.SURROGATE_NULL_TOKEN}')" for c in _SK) + ")) AS trip_id FROM trips", TRIPS))
 def q_surrogate_key(spark, d):
-    return trips(spark, d).select("orderkey", "linenumber", C.surrogate_key(*_SK).alias("trip_id"))
+    return trips(spark, d, locations=("pickup",)).select("orderkey", "linenumber", C.surrogate_key(*_SK).alias("trip_id"))
 
 
 @register("cents_to_dollars", W("""
