@@ -29,3 +29,15 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["zone", "revenue"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("key", ["trip_duration", "epoch_millis_roundtrip", "longest_trip", "session_by_key",
+                                 "stream_tumble_1h_by_key", "stream_session_global_by_key"])
+def test_time_queries_do_not_depend_on_session_time_zone(spark, con, key):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = compare(spark, SF_SMALL, key, E.queries()[key], SQL[key], con)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    assert r["ok"], r

@@ -88,10 +88,30 @@ def cents_to_dollars(c: ColumnOrName, precision: int = 16, scale: int = 2) -> Co
     return (_c(c) / F.lit(100)).cast(T.DecimalType(precision, scale))
 
 
+# Time arithmetic never goes through the session time zone: differences of
+# two timestamps of the same type are taken with timestampdiff (exact for
+# naive and zoned values alike), and a naive timestamp's epoch is its wall
+# clock read as UTC.
+def epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def micros_between(start: ColumnOrName, end: ColumnOrName) -> Column:
+    """Elapsed microseconds (both sides of the same timestamp type)."""
+    return F.timestamp_diff("MICROSECOND", _c(start), _c(end))
+
+
+def _micro_of_second(c: ColumnOrName) -> Column:
+    """Microseconds within the second (zone offsets are whole seconds)."""
+    sec = F.extract(F.lit("SECOND"), _c(c))
+    return ((sec - F.floor(sec)) * 1_000_000).cast("long")
+
+
 def seconds_between(start: ColumnOrName, end: ColumnOrName) -> Column:
     """Whole-second boundaries crossed from start to end (``date_diff('second')``):
     00:00:00.9 -> 00:00:02.1 is 2, not the truncated elapsed 1."""
-    return F.unix_seconds(_c(end).cast("timestamp")) - F.unix_seconds(_c(start).cast("timestamp"))
+    us = micros_between(start, end) + _micro_of_second(start) - _micro_of_second(end)
+    return (us / F.lit(1_000_000)).cast("long")
 
 
 def minutes_between(start: ColumnOrName, end: ColumnOrName) -> Column:
@@ -100,8 +120,23 @@ def minutes_between(start: ColumnOrName, end: ColumnOrName) -> Column:
 
 def hours_between(start: ColumnOrName, end: ColumnOrName) -> Column:
     """Elapsed hours (fractional) between two timestamps."""
-    micros = F.unix_micros(_c(end).cast("timestamp")) - F.unix_micros(_c(start).cast("timestamp"))
-    return (micros.cast("decimal(20,0)") / F.lit(3_600_000_000)).cast("decimal(18,4)")
+    return (micros_between(start, end).cast("decimal(20,0)") / F.lit(3_600_000_000)).cast("decimal(18,4)")
+
+
+def naive_epoch_micros(c: ColumnOrName) -> Column:
+    """Epoch microseconds of a TIMESTAMP_NTZ value, its wall clock read as UTC."""
+    return F.timestamp_diff("MICROSECOND", epoch_ntz(), _c(c))
+
+
+def naive_to_instant(c: ColumnOrName) -> Column:
+    """TIMESTAMP_NTZ -> TIMESTAMP at the same UTC wall clock (zone-free)."""
+    return F.timestamp_micros(naive_epoch_micros(c))
+
+
+def instant_to_naive(c: ColumnOrName) -> Column:
+    """TIMESTAMP -> TIMESTAMP_NTZ holding its UTC wall clock (zone-free)."""
+    return epoch_ntz() + F.make_dt_interval(secs=(F.unix_micros(_c(c)).cast("decimal(20,0)") / 1_000_000)
+                                          .cast("decimal(18,6)"))
 
 
 def is_valid_trip(pickup: ColumnOrName, dropoff: ColumnOrName, distance: ColumnOrName) -> Column:
@@ -137,18 +172,24 @@ def year_in(c: ColumnOrName, years) -> Column:
     return cond if cond is not None else F.lit(False)
 
 
-def to_epoch_millis(c: ColumnOrName) -> Column:
-    """Timestamp (NTZ read as UTC) -> epoch milliseconds, flooring sub-ms."""
-    return F.unix_millis(_c(c).cast("timestamp"))
+def to_epoch_millis(c: ColumnOrName, naive: bool = True) -> Column:
+    """Timestamp -> epoch milliseconds, flooring sub-ms.  A naive timestamp's
+    wall clock is read as UTC; ``naive=False`` for TIMESTAMP columns."""
+    if naive:
+        return F.floor(naive_epoch_micros(c) / 1000).cast("long")
+    return F.unix_millis(_c(c))
 
 
-def from_epoch_millis(c: ColumnOrName) -> Column:
-    """Epoch milliseconds -> TIMESTAMP (session zone; the library runs in UTC)."""
-    return F.timestamp_millis(_c(c))
+def from_epoch_millis(c: ColumnOrName, naive: bool = True) -> Column:
+    """Epoch milliseconds -> TIMESTAMP_NTZ at the UTC wall clock (or a
+    TIMESTAMP instant with ``naive=False``)."""
+    inst = F.timestamp_millis(_c(c))
+    return instant_to_naive(inst) if naive else inst
 
 
 def parse_timestamp(c: ColumnOrName, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
-    return F.to_timestamp(_c(c), fmt)
+    """Text -> TIMESTAMP_NTZ by pattern (no time zone involved)."""
+    return F.to_timestamp_ntz(_c(c), F.lit(fmt))
 
 
 def concat_skip_null(*cols: ColumnOrName, sep: str = "") -> Column:

@@ -26,8 +26,10 @@ def _desc_key(c: str, dtype: T.DataType) -> list:
     """Sort fields that make an ascending struct comparison order ``c``
     descending with NULLs last: (is_null, -value)."""
     col = F.col(f"`{c}`")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        neg = -F.unix_micros(col.cast("timestamp"))
+    if isinstance(dtype, T.TimestampNTZType):
+        neg = -F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), col)
+    elif isinstance(dtype, T.TimestampType):
+        neg = -F.unix_micros(col)
     elif isinstance(dtype, T.DateType):
         neg = -F.unix_date(col)
     else:

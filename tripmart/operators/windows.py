@@ -20,10 +20,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tripmart.functions.columns import naive_epoch_micros
 
-def _micros(ts: str) -> Column:
-    return F.unix_micros(F.col(ts).cast("timestamp"))
+
+def _micros(df: DataFrame, ts: str) -> Column:
+    """Epoch micros without the session zone (naive = UTC wall clock)."""
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        return naive_epoch_micros(ts)
+    return F.unix_micros(F.col(ts))
 
 
 def tumbling(df: DataFrame, ts: str, size: str, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
@@ -50,7 +56,7 @@ def islands(df: DataFrame, ts: str, gap_seconds: int, keys: Sequence[str] = (),
     gap = gap_seconds * 1_000_000
     us = "__us"
     b = "__bucket"
-    x = df.withColumn(us, _micros(ts)).withColumn(b, F.floor(F.col(us) / F.lit(bucket_seconds * 1_000_000)))
+    x = df.withColumn(us, _micros(df, ts)).withColumn(b, F.floor(F.col(us) / F.lit(bucket_seconds * 1_000_000)))
 
     # 1. inside a (key, bucket): break when the gap to the previous row is
     #    > gap, and the running count of such breaks (same window spec, so

@@ -200,7 +200,7 @@ SELECT event_id, CAST(floor(epoch_us(ts) / 1000) AS BIGINT) AS ms,
        make_timestamp(CAST(floor(epoch_us(ts) / 1000) AS BIGINT) * 1000) AS ts_ms FROM events""")
 def q_epoch_millis_roundtrip(spark, d):
     e = events(spark, d).select("event_id", C.to_epoch_millis("ts").alias("ms"))
-    return e.select("event_id", "ms", C.from_epoch_millis("ms").cast("timestamp_ntz").alias("ts_ms"))
+    return e.select("event_id", "ms", C.from_epoch_millis("ms").alias("ts_ms"))
 
 
 @register("parse_ts_string", """
@@ -208,7 +208,7 @@ SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_text,
        strptime(strftime(ts, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS parsed FROM events""")
 def q_parse_ts_string(spark, d):
     e = events(spark, d).select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts_text"))
-    return e.select("event_id", "ts_text", C.parse_timestamp("ts_text").cast("timestamp_ntz").alias("parsed"))
+    return e.select("event_id", "ts_text", C.parse_timestamp("ts_text").alias("parsed"))
 
 
 # ============================ keys and macros ================================
@@ -967,8 +967,8 @@ def q_stream_tumble_1h_by_key(spark, d):
     q = start(agg, sink=upsert_sink(store, ["window_start", "user_id"], "hourly"), mode="update", available_now=True)
     q.awaitTermination()
     r = store.read()
-    return r.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("window_end").cast("timestamp_ntz").alias("window_end"), "user_id", "num_events", "total_value")
+    return r.select(C.instant_to_naive("window_start").alias("window_start"),
+                    C.instant_to_naive("window_end").alias("window_end"), "user_id", "num_events", "total_value")
 
 
 # ======================= file formats (derived data) =========================
@@ -1092,8 +1092,8 @@ def q_stream_session_by_key(spark, d):
     agg = session_counts(s, "ts", "5 minutes", ["user_id"],
                          [F.count(F.lit(1)).alias("num_events"), F.sum("amount").cast("decimal(38,2)").alias("total_value")])
     r = _run_to_table(spark, agg, "sessions").read()
-    return r.select("user_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
-                    F.col("session_end").cast("timestamp_ntz").alias("session_end"), "num_events", "total_value")
+    return r.select("user_id", C.instant_to_naive("session_start").alias("session_start"),
+                    C.instant_to_naive("session_end").alias("session_end"), "num_events", "total_value")
 
 
 @register("stream_session_global_by_key", W(f"""
@@ -1110,6 +1110,6 @@ def q_stream_session_global_by_key(spark, d):
     r = _run_to_table(spark, global_sessions_by_location(s, "ts", "user_id", "value", 300), "global_sessions").read()
     # the operator sums doubles; every amount has two decimals, so rounding to
     # cents recovers the exact decimal sum
-    return r.select(F.col("session_start").cast("timestamp_ntz").alias("session_start"),
-                    F.col("session_end").cast("timestamp_ntz").alias("session_end"), "location", "num_events",
+    return r.select(C.instant_to_naive("session_start").alias("session_start"),
+                    C.instant_to_naive("session_end").alias("session_end"), "location", "num_events",
                     F.round("total_amount", 2).cast("decimal(38,2)").alias("total_amount"))

@@ -29,14 +29,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-OUTPUT = ("session_start timestamp, session_end timestamp, location long, num_events long, "
-          "total_amount double")
+# The operator works on epoch microseconds (long), never on pandas
+# timestamps, so neither the session time zone nor DST enters the gap or
+# watermark arithmetic; timestamps are rebuilt in Spark afterwards.
+OUTPUT = "start_us long, end_us long, location long, num_events long, total_amount double"
 STATE = "sessions string"
 
 
 def _islands(pdf: pd.DataFrame, gap_us: int) -> list[dict]:
     """Cut one batch's rows (any order) into gap-separated islands."""
-    us = pdf["ts"].astype("datetime64[us]").astype("int64").to_numpy()
+    us = pdf["us"].to_numpy(dtype="int64")
     order = np.argsort(us, kind="stable")
     us = us[order]
     loc = pdf["location"].to_numpy()[order]
@@ -71,9 +73,9 @@ def _merge(sessions: list[dict], gap_us: int) -> list[dict]:
 
 
 def _rows(closed: list[dict], gap_us: int) -> pd.DataFrame:
-    recs = [(pd.Timestamp(s["start"], unit="us"), pd.Timestamp(s["last"] + gap_us, unit="us"), int(k), n, v)
+    recs = [(s["start"], s["last"] + gap_us, int(k), n, v)
             for s in closed for k, (n, v) in sorted(s["locs"].items(), key=lambda kv: int(kv[0]))]
-    return pd.DataFrame(recs, columns=["session_start", "session_end", "location", "num_events", "total_amount"])
+    return pd.DataFrame(recs, columns=["start_us", "end_us", "location", "num_events", "total_amount"])
 
 
 def _make(gap_us: int):
@@ -101,7 +103,9 @@ def _make(gap_us: int):
 def global_sessions_by_location(events: DataFrame, ts: str, location: str, amount: str,
                                 gap_seconds: int = 300) -> DataFrame:
     """Apply to a watermarked stream (``with_event_time``); run in append mode."""
-    x = events.select(F.lit(0).alias("__g"), F.col(ts).alias("ts"), F.col(location).cast("long").alias("location"),
-                      F.col(amount).cast("double").alias("amount"))
-    return x.groupBy("__g").applyInPandasWithState(_make(gap_seconds * 1_000_000), OUTPUT, STATE, "append",
-                                                    GroupStateTimeout.EventTimeTimeout)
+    x = events.select(F.lit(0).alias("__g"), F.col(ts), F.unix_micros(F.col(ts)).alias("us"),
+                      F.col(location).cast("long").alias("location"), F.col(amount).cast("double").alias("amount"))
+    out = x.groupBy("__g").applyInPandasWithState(_make(gap_seconds * 1_000_000), OUTPUT, STATE, "append",
+                                                   GroupStateTimeout.EventTimeTimeout)
+    return out.select(F.timestamp_micros("start_us").alias("session_start"),
+                      F.timestamp_micros("end_us").alias("session_end"), "location", "num_events", "total_amount")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tripmart.functions.columns import JSON_TS_OPTIONS, from_json_text, to_json_text
+from tripmart.functions.columns import JSON_TS_OPTIONS, from_json_text, naive_to_instant, to_json_text
 from tripmart.operators.table_store import TableStore
 from tripmart.session import scratch_path
 
@@ -80,14 +80,15 @@ def with_event_time(df: DataFrame, ts: str = "ts", delay: str = "5 seconds", *,
                     epoch_millis: str | None = None, text: str | None = None,
                     text_format: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
     """Event-time column + watermark.  The source may be epoch milliseconds,
-    text in ``text_format``, or a timestamp; a TIMESTAMP_NTZ column is cast to
-    TIMESTAMP (watermarks need it; sessions run in UTC)."""
+    text in ``text_format`` (a UTC wall clock), or a timestamp; watermarks
+    need TIMESTAMP, so a TIMESTAMP_NTZ column becomes the instant at its UTC
+    wall clock (independent of the session time zone)."""
     if epoch_millis:
         df = df.withColumn(ts, F.timestamp_millis(F.col(epoch_millis)))
     elif text:
-        df = df.withColumn(ts, F.to_timestamp(F.col(text), text_format))
+        df = df.withColumn(ts, naive_to_instant(F.to_timestamp_ntz(F.col(text), F.lit(text_format))))
     elif isinstance(df.schema[ts].dataType, T.TimestampNTZType):
-        df = df.withColumn(ts, F.col(ts).cast("timestamp"))
+        df = df.withColumn(ts, naive_to_instant(ts))
     return df.withWatermark(ts, delay)
 
 
