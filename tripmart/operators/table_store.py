@@ -232,18 +232,34 @@ class TableStore:
         self._commit(txn, moves, marker, self._table_schema(content))
 
     def append(self, df: DataFrame, marker: str | None = None, txn: str | None = None) -> None:
-        """``append``: new files are staged, then moved into their partitions."""
+        """``append``: new files are staged, then moved in.  A partition the
+        table does not have yet moves as one directory; into an existing
+        partition the staged files move one by one."""
         txn = txn or uuid.uuid4().hex
         staged = self._stage(df, txn)
         moves = []
-        it = self._fs.listFiles(self._p(staged), True)
-        base = len(self._p(staged).toUri().getPath()) + 1
-        while it.hasNext():
-            rel = it.next().getPath().toUri().getPath()[base:]
-            if not rel.split("/")[-1].startswith(("_", ".")):
+        for rel in self._leaf_dirs(staged, len(self.partition_by)):
+            if rel and not self._exists(rel):
                 moves.append((f"{staged}/{rel}", rel))
+                continue
+            src = f"{staged}/{rel}" if rel else staged
+            for name in self._list(src):
+                if not name.startswith(("_", ".")):
+                    moves.append((f"{src}/{name}", f"{rel}/{name}" if rel else name))
         self._commit(txn, moves, marker, self._table_schema(df))
 
+    def _leaf_dirs(self, root: str, depth: int) -> list[str]:
+        """Relative partition directories ``depth`` levels below ``root``."""
+        level = [""]
+        for _ in range(depth):
+            nxt = []
+            for rel in level:
+                base = f"{root}/{rel}" if rel else root
+                nxt += [f"{rel}/{n}" if rel else n for n in self._list(base)
+                        if "=" in n and not n.startswith(("_", "."))]
+            level = nxt
+        return level
+
     # -------------------------------------------------------- strategies
     def merge_insert(self, source: DataFrame, key: Sequence[str], dedupe: bool = False,
                      marker: str | None = None) -> None:
