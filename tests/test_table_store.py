@@ -125,3 +125,21 @@ def test_reports_table_and_view(spark, tmp_dir):
     assert spark.table("tm_test_table").count() == 2
     create_view(base, "tm_test_view")
     assert spark.sql("SELECT SUM(v) FROM tm_test_view").first()[0] == 6
+
+
+def test_rerunning_a_change_is_idempotent(spark, tmp_dir):
+    base = [(1, "a", T1, 1), (2, "b", T2, 2), (3, "c", T3, 3)]
+    src = [(2, "b", T2, 20), (4, "c", T3, 4)]
+    ops = {
+        "merge_insert": lambda st, s: st.merge_insert(s, ["k"]),
+        "merge_upsert": lambda st, s: st.merge_upsert(s, ["k"]),
+        "replace_interval": lambda st, s: st.replace_interval(s, "ts", T2, T3 + dt.timedelta(days=1)),
+        "delete_insert": lambda st, s: st.delete_insert(s, ["k"]),
+    }
+    for name, op in ops.items():
+        st = TableStore(spark, f"{tmp_dir}/{name}", ["part"])
+        st.append(df(spark, base))
+        op(st, df(spark, src))
+        once = rows(st)
+        op(st, df(spark, src))
+        assert rows(st) == once, name
