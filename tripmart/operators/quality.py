@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Check:
-    kind: str                       # not_null | unique | accepted_values | non_negative | positive | primary_key | expression
+    kind: str  # not_null | unique | accepted_values | non_negative | positive | primary_key | expression | not_empty
     columns: tuple[str, ...]
     values: tuple[Any, ...] = field(default_factory=tuple)
     expr: str | None = None         # for kind="expression": SQL predicate a row must satisfy
