@@ -75,3 +75,22 @@ def test_year_list_becomes_pushed_ranges(spark):
     p = Q["filter_years_in"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in p
     assert re.search(r"o_orderdate#\d+ >= 1996-01-01 00:00:00\)\) AND \(o_orderdate#\d+ < 1998-01-01", p)
+
+
+def test_bucketed_tables_join_without_exchange(spark, tmp_dir):
+    from tripmart.operators.table_store import write_bucketed
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    od = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    write_bucketed(li, "tm_li_b", ["l_orderkey"], 8, path=f"{tmp_dir}/li")
+    write_bucketed(od, "tm_od_b", ["o_orderkey"], 8, path=f"{tmp_dir}/od")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        a, b = spark.table("tm_li_b"), spark.table("tm_od_b")
+        j = a.join(b, a.l_orderkey == b.o_orderkey)
+        n = j.count()
+        p = j._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    assert n == li.join(od, li.l_orderkey == od.o_orderkey).count()
+    assert "SortMergeJoin" in p and "Exchange hashpartitioning" not in p, p

@@ -370,3 +370,20 @@ def write_partitioned(df: DataFrame, path: str, date_col: str, ts_col: str, clus
     out = df.withColumn(date_col, F.to_date(ts_col)).hint("rebalance", date_col)
     out = out.sortWithinPartitions(date_col, *cluster_by)
     out.write.mode(mode).partitionBy(date_col).parquet(path)
+
+
+def write_bucketed(df: DataFrame, table: str, key: Sequence[str], buckets: int, path: str | None = None,
+                   sort: bool = True) -> None:
+    """Store ``df`` as a catalog table bucketed (and sorted) by ``key``.
+
+    Two tables bucketed by their join key into the same number of buckets
+    join without an exchange on either side (a sort-merge join reading
+    matching buckets), so a layout written once saves a full shuffle of both
+    tables on every later join - the large-scale form of a co-located join.
+    """
+    w = df.write.mode("overwrite").format("parquet").bucketBy(buckets, *key)
+    if sort:
+        w = w.sortBy(*key)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table)
