@@ -86,7 +86,7 @@ def _rides(spark, tmp_dir):
 
 def test_ride_jobs(spark, tmp_dir):
     e, ev = _rides(spark, tmp_dir)
-    hourly = TableStore(spark, f"{tmp_dir}/hourly")
+    hourly = TableStore(spark, f"{tmp_dir}/hourly", ["window_date"])
     R.hourly_by_location(ev, hourly, available_now=True, checkpoint=f"{tmp_dir}/ck1").awaitTermination()
     batch = e.groupBy(F.window("pickup_datetime", "1 hour").start.alias("w"), "pickup_location_id").count()
     got = sorted((r.window_start.replace(tzinfo=None), r.pickup_location_id, r.num_trips) for r in hourly.read().collect())

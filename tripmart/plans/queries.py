@@ -963,8 +963,11 @@ def q_stream_tumble_1h_by_key(spark, d):
         "amount", F.col("value").cast("decimal(18,2)"))
     agg = tumbling_counts(s, "ts", "1 hour", ["user_id"],
                           [F.count(F.lit(1)).alias("num_events"), F.sum("amount").cast("decimal(38,2)").alias("total_value")])
-    store = TableStore(spark, scratch_path(spark, f"stream_tables/{uuid.uuid4().hex}"))
-    q = start(agg, sink=upsert_sink(store, ["window_start", "user_id"], "hourly"), mode="update", available_now=True)
+    from tripmart.streaming.ride_jobs import with_window_date
+    # partitioned by window day: each micro-batch rewrites only the days it touches
+    store = TableStore(spark, scratch_path(spark, f"stream_tables/{uuid.uuid4().hex}"), ["window_date"])
+    q = start(with_window_date(agg), sink=upsert_sink(store, ["window_start", "user_id"], "hourly"), mode="update",
+              available_now=True)
     q.awaitTermination()
     r = store.read()
     return r.select(C.instant_to_naive("window_start").alias("window_start"),

@@ -18,23 +18,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tripmart.functions.columns import instant_to_naive
 from tripmart.operators.table_store import TableStore
 from tripmart.streaming.global_sessions import global_sessions_by_location
 from tripmart.streaming.jobs import append_sink, start, tumbling_counts, upsert_sink
 
 
+def with_window_date(agg: DataFrame) -> DataFrame:
+    """Add ``window_date`` (UTC day of the window start): partition window
+    tables by it so each micro-batch's upsert rewrites only the days it
+    touches instead of the whole, ever-growing table."""
+    return agg.withColumn("window_date", F.to_date(instant_to_naive("window_start")))
+
+
 def hourly_by_location(events: DataFrame, target: TableStore, ts: str = "event_timestamp",
                        location: str = "pickup_location_id", amount: str = "total_amount", **start_kw) -> StreamingQuery:
     agg = tumbling_counts(events, ts, "1 hour", [location],
                           [F.count(F.lit(1)).alias("num_trips"), F.sum(amount).alias("total_revenue")])
-    return start(agg, sink=upsert_sink(target, ["window_start", location], "hourly_by_location"),
+    return start(with_window_date(agg), sink=upsert_sink(target, ["window_start", location], "hourly_by_location"),
                  mode="update", **start_kw)
 
 
 def hourly_tips(events: DataFrame, target: TableStore, ts: str = "event_timestamp", tip: str = "tip_amount",
                 **start_kw) -> StreamingQuery:
     agg = tumbling_counts(events, ts, "1 hour", [], [F.sum(tip).alias("total_tip")])
-    return start(agg, sink=upsert_sink(target, ["window_start"], "hourly_tips"), mode="update", **start_kw)
+    return start(with_window_date(agg), sink=upsert_sink(target, ["window_start"], "hourly_tips"), mode="update",
+                 **start_kw)
 
 
 def session_streaks(events: DataFrame, target: TableStore, ts: str = "event_timestamp",
