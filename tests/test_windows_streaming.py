@@ -233,3 +233,21 @@ def test_hot_key_third_of_rows_sessions_and_dedupe(spark):
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     ref = hot.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
     assert _norm(d, hot.columns) == _norm(ref, hot.columns)
+
+
+def test_session_totals_equal_row_level_sessions(spark):
+    from tripmart.operators.windows import session_totals
+    e = spark.read.parquet(f"{SF_MID}/events.parquet").withColumn("amount", F.col("value").cast("decimal(18,2)"))
+    hot = e.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
+    for df in (e, hot):
+        a = session_totals(df, "ts", 300, ["user_id"], ["amount"], sum_names=["total"])
+        b = sessions(df, "ts", 300, ["user_id"], [F.count(F.lit(1)).alias("num_events"), F.sum("amount").alias("total")])
+        cols = ["user_id", "session_start", "session_end", "num_events", "total"]
+        assert _norm(a, cols) == _norm(b, cols)
+    # global sessions reported per user
+    g = session_totals(e, "ts", 300, [], ["amount"], by=["user_id"], sum_names=["total"])
+    t = islands(e, "ts", 300, [], session_col="sid")
+    bounds = t.groupBy("sid").agg(F.min("ts").alias("s"), F.max("ts").alias("l"))
+    ref = t.groupBy("sid", "user_id").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("v")).join(bounds, "sid")
+    got = sorted((r.session_start, r.user_id, r.num_events, r.total) for r in g.collect())
+    assert got == sorted((r.s, r.user_id, r.n, r.v) for r in ref.collect())

@@ -104,3 +104,59 @@ def session_window_agg(df: DataFrame, ts: str, gap: str, keys: Sequence[str], ag
     g = df.groupBy(*keys, F.session_window(F.col(ts), gap).alias("sw")).agg(*aggs)
     return g.select(*keys, F.col("sw.start").alias("session_start"), F.col("sw.end").alias("session_end"),
                     *[c for c in g.columns if c not in (*keys, "sw")])
+
+
+def _from_micros(us: Column, naive: bool) -> Column:
+    if naive:
+        return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+            secs=(us.cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)"))
+    return F.timestamp_micros(us)
+
+
+def session_totals(df: DataFrame, ts: str, gap_seconds: int, keys: Sequence[str], sums: Sequence[str] = (),
+                   by: Sequence[str] = (), bucket_seconds: int = 60, count_name: str = "num_events",
+                   sum_names: Sequence[str] | None = None) -> DataFrame:
+    """Session counts and sums without sorting rows.
+
+    With ``bucket_seconds <= gap_seconds`` two events of one bucket are never
+    more than a gap apart, so sessions are decided by per-bucket (first,
+    last) summaries alone: rows are pre-aggregated per (key, bucket[, by])
+    by a map-side-combining hash aggregate, sessions are numbered over the
+    bucket summaries (one row per bucket), and totals are re-aggregated per
+    session.  ``by`` splits each session's totals further (global sessions
+    reported per location: ``keys=()``, ``by=("location",)``).
+
+    Output: keys, ``session_start``, ``session_end`` (last event + gap), by,
+    ``count_name`` and one sum per column in ``sums`` (named ``sum_names``).
+    """
+    if bucket_seconds > gap_seconds:
+        raise ValueError("bucket_seconds must not exceed gap_seconds")
+    keys, by, sums = list(keys), list(by), list(sums)
+    sum_names = list(sum_names or [f"sum_{c}" for c in sums])
+    naive = isinstance(df.schema[ts].dataType, T.TimestampNTZType)
+    gap = gap_seconds * 1_000_000
+    us, b = "__us", "__bucket"
+    x = df.select(*keys, *by, *sums, _micros(df, ts).alias(us))
+    x = x.withColumn(b, F.floor(F.col(us) / F.lit(bucket_seconds * 1_000_000)))
+    fine = x.groupBy(*keys, b, *by).agg(F.min(us).alias("__min"), F.max(us).alias("__max"),
+                                        F.count(F.lit(1)).alias("__n"),
+                                        *[F.sum(c).alias(f"__s{i}") for i, c in enumerate(sums)])
+    buckets = fine.groupBy(*keys, b).agg(F.min("__min").alias("__bmin"), F.max("__max").alias("__bmax")) \
+        if by else fine.select(*keys, b, F.col("__min").alias("__bmin"), F.col("__max").alias("__bmax"))
+    w_b = Window.partitionBy(*keys).orderBy(b)
+    prev_max = F.lag("__bmax").over(w_b)
+    brk = F.when(prev_max.isNull() | (F.col("__bmin") - prev_max > gap), F.lit(1)).otherwise(F.lit(0))
+    sid = buckets.withColumn("__brk", brk).withColumn(
+        "__sid", F.sum("__brk").over(w_b.rowsBetween(Window.unboundedPreceding, 0))).select(*keys, b, "__sid")
+    tagged = fine.join(sid, [*keys, b], "inner")
+    per = tagged.groupBy(*keys, "__sid", *by).agg(
+        F.min("__min").alias("__start"), F.max("__max").alias("__last"), F.sum("__n").alias(count_name),
+        *[F.sum(f"__s{i}").alias(n) for i, n in enumerate(sum_names)])
+    if by:
+        # a session's start and end span all its ``by`` groups
+        bounds = tagged.groupBy(*keys, "__sid").agg(F.min("__min").alias("__gmin"), F.max("__max").alias("__gmax"))
+        per = (per.join(bounds, [*keys, "__sid"], "inner")
+                  .withColumn("__start", F.col("__gmin")).withColumn("__last", F.col("__gmax")))
+    return per.select(*keys, _from_micros(F.col("__start"), naive).alias("session_start"),
+                      _from_micros(F.col("__last") + F.lit(gap), naive).alias("session_end"),
+                      *by, count_name, *sum_names)

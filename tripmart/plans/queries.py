@@ -20,7 +20,7 @@ from tripmart.operators.dedupe import dedupe_any, dedupe_first
 from tripmart.operators.joins import broadcast_if_small, not_in, role_playing
 from tripmart.operators.project import fields_with_default, null_counts
 from tripmart.operators.union import union_all
-from tripmart.operators.windows import islands, sessions, tumbling
+from tripmart.operators.windows import session_totals, tumbling
 from tripmart.plans import marts
 from tripmart.plans.trips import PAYMENTS_SQL, TRIPS_SQL, ZONES_SQL, events, payment_lookup, trips, zones
 from tripmart.sources.tables import table
@@ -824,16 +824,17 @@ SELECT user_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL 5 MINUTE AS session
        CAST(SUM({_E_MONEY}) AS DECIMAL(38,2)) AS total_value
 FROM isl GROUP BY user_id, sid""", _ISLANDS.format(p="user_id")))
 def q_session_by_key(spark, d):
+    # counts and sums: sessions from per-minute summaries, no per-row sort
     e = events(spark, d).withColumn("amount", F.col("value").cast("decimal(18,2)"))
-    return sessions(e, "ts", 300, ["user_id"],
-                    [F.count(F.lit(1)).alias("num_events"), F.sum("amount").cast("decimal(38,2)").alias("total_value")])
+    s = session_totals(e, "ts", 300, ["user_id"], ["amount"], sum_names=["total_value"])
+    return s.withColumn("total_value", F.col("total_value").cast("decimal(38,2)"))
 
 
 @register("longest_session", W("""
 SELECT MAX(n) AS max_events FROM (SELECT user_id, sid, COUNT(*) AS n FROM isl GROUP BY 1, 2)""",
                                _ISLANDS.format(p="user_id")))
 def q_longest_session(spark, d):
-    s = sessions(events(spark, d), "ts", 300, ["user_id"], [F.count(F.lit(1)).alias("num_events")])
+    s = session_totals(events(spark, d), "ts", 300, ["user_id"])
     return s.agg(F.max("num_events").alias("max_events"))
 
 
@@ -842,12 +843,10 @@ SELECT MIN(MIN(ts)) OVER (PARTITION BY sid) AS session_start, user_id, COUNT(*)
        CAST(SUM({_E_MONEY}) AS DECIMAL(38,2)) AS total_value
 FROM isl GROUP BY sid, user_id""", _ISLANDS.replace("PARTITION BY {p} ", "").format()))
 def q_session_global_by_key(spark, d):
+    # sessions over all events (no key), totals per user inside each session
     e = events(spark, d).withColumn("amount", F.col("value").cast("decimal(18,2)"))
-    tagged = islands(e, "ts", 300, [], session_col="sid")
-    start = tagged.groupBy("sid").agg(F.min("ts").alias("session_start"))
-    per = tagged.groupBy("sid", "user_id").agg(F.count(F.lit(1)).alias("num_events"),
-                                               F.sum("amount").cast("decimal(38,2)").alias("total_value"))
-    return per.join(start, "sid").select("session_start", "user_id", "num_events", "total_value")
+    s = session_totals(e, "ts", 300, [], ["amount"], by=["user_id"], sum_names=["total_value"])
+    return s.select("session_start", "user_id", "num_events", F.col("total_value").cast("decimal(38,2)").alias("total_value"))
 
 
 # ============================== data quality =================================
