@@ -251,3 +251,14 @@ def test_session_totals_equal_row_level_sessions(spark):
     ref = t.groupBy("sid", "user_id").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("v")).join(bounds, "sid")
     got = sorted((r.session_start, r.user_id, r.num_events, r.total) for r in g.collect())
     assert got == sorted((r.s, r.user_id, r.n, r.v) for r in ref.collect())
+
+
+def test_session_totals_ignore_rows_without_event_time(spark):
+    from tripmart.operators.windows import session_totals
+    rows = [(1, B, 1.0), (1, B + dt.timedelta(minutes=2), 2.0), (1, None, 5.0)]
+    df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, v double")
+    got = [tuple(r) for r in session_totals(df, "ts", 300, ["k"], ["v"]).collect()]
+    assert got == [(1, B, B + dt.timedelta(minutes=7), 2, 3.0)]
+    w = session_window_agg(df.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "5 minutes", ["k"],
+                           [F.count(F.lit(1)).alias("n")])
+    assert [r.n for r in w.collect()] == [2]

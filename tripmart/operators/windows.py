@@ -136,7 +136,8 @@ def session_totals(df: DataFrame, ts: str, gap_seconds: int, keys: Sequence[str]
     naive = isinstance(df.schema[ts].dataType, T.TimestampNTZType)
     gap = gap_seconds * 1_000_000
     us, b = "__us", "__bucket"
-    x = df.select(*keys, *by, *sums, _micros(df, ts).alias(us))
+    # rows without an event time belong to no session (as with session_window)
+    x = df.where(F.col(ts).isNotNull()).select(*keys, *by, *sums, _micros(df, ts).alias(us))
     x = x.withColumn(b, F.floor(F.col(us) / F.lit(bucket_seconds * 1_000_000)))
     fine = x.groupBy(*keys, b, *by).agg(F.min(us).alias("__min"), F.max(us).alias("__max"),
                                         F.count(F.lit(1)).alias("__n"),
