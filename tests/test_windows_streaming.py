@@ -262,3 +262,10 @@ def test_session_totals_ignore_rows_without_event_time(spark):
     w = session_window_agg(df.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "5 minutes", ["k"],
                            [F.count(F.lit(1)).alias("n")])
     assert [r.n for r in w.collect()] == [2]
+
+
+def test_islands_leave_rows_without_event_time_untagged(spark):
+    rows = [(1, 1, B), (2, 1, B + dt.timedelta(minutes=10)), (3, 1, None)]
+    df = spark.createDataFrame(rows, "id int, k int, ts timestamp_ntz")
+    got = sorted((r.id, r.sid) for r in islands(df, "ts", 300, ["k"], session_col="sid").collect())
+    assert got == [(1, 1), (2, 2), (3, None)]

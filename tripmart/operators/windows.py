@@ -66,8 +66,9 @@ def islands(df: DataFrame, ts: str, gap_seconds: int, keys: Sequence[str] = (),
     x = x.withColumn("__inner_break", F.when(prev.isNotNull() & (F.col(us) - prev > gap), F.lit(1)).otherwise(F.lit(0)))
     x = x.withColumn("__run", F.sum("__inner_break").over(w_in.rowsBetween(Window.unboundedPreceding, 0)))
 
-    # 2. one summary row per (key, bucket)
-    s = x.groupBy(*keys, b).agg(F.min(us).alias("__bmin"), F.max(us).alias("__bmax"),
+    # 2. one summary row per (key, bucket); rows without an event time take
+    #    no part (their session stays NULL)
+    s = x.where(F.col(b).isNotNull()).groupBy(*keys, b).agg(F.min(us).alias("__bmin"), F.max(us).alias("__bmax"),
                                F.sum("__inner_break").alias("__nbreaks"))
     w_b = Window.partitionBy(*keys).orderBy(b)
     prev_max = F.lag("__bmax").over(w_b)
@@ -80,7 +81,7 @@ def islands(df: DataFrame, ts: str, gap_seconds: int, keys: Sequence[str] = (),
     s = s.select(*keys, b, (F.coalesce("__offset", F.lit(0)) + F.col("__bucket_break")).alias("__base"))
 
     # 3. session number = bucket base + running inner breaks (no second sort)
-    x = x.join(s, [*keys, b], "inner")
+    x = x.join(s, [*keys, b], "left")
     x = x.withColumn(session_col, (F.col("__base") + F.col("__run")).cast("long"))
     return x.drop(us, b, "__inner_break", "__run", "__base")
 
