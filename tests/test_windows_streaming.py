@@ -269,3 +269,9 @@ def test_islands_leave_rows_without_event_time_untagged(spark):
     df = spark.createDataFrame(rows, "id int, k int, ts timestamp_ntz")
     got = sorted((r.id, r.sid) for r in islands(df, "ts", 300, ["k"], session_col="sid").collect())
     assert got == [(1, 1), (2, 2), (3, None)]
+
+
+def test_tumbling_ignores_rows_without_event_time(spark):
+    df = spark.createDataFrame([(1, B), (1, B + dt.timedelta(minutes=30)), (1, None)], "k int, ts timestamp_ntz")
+    got = [(r.window_start, r.n) for r in tumbling(df, "ts", "1 hour", ["k"], [F.count(F.lit(1)).alias("n")]).collect()]
+    assert got == [(B, 2)]

@@ -33,8 +33,9 @@ def _micros(df: DataFrame, ts: str) -> Column:
 
 
 def tumbling(df: DataFrame, ts: str, size: str, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
-    """Tumbling-window aggregate; output ``window_start``, ``window_end``, keys, aggs."""
-    g = df.groupBy(F.window(F.col(ts), size).alias("w"), *keys).agg(*aggs)
+    """Tumbling-window aggregate; output ``window_start``, ``window_end``, keys,
+    aggs.  Rows without an event time belong to no window (as in a stream)."""
+    g = df.where(F.col(ts).isNotNull()).groupBy(F.window(F.col(ts), size).alias("w"), *keys).agg(*aggs)
     return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                     *keys, *[c for c in g.columns if c not in ("w", *keys)])
 
