@@ -143,3 +143,12 @@ def test_rerunning_a_change_is_idempotent(spark, tmp_dir):
         once = rows(st)
         op(st, df(spark, src))
         assert rows(st) == once, name
+
+
+def test_upsert_null_keys_never_match_and_are_not_duplicates(spark, tmp_dir):
+    st = TableStore(spark, f"{tmp_dir}/t", ["part"])
+    st.append(df(spark, [(None, "a", T1, 1), (1, "a", T1, 1)]))
+    st.merge_upsert(df(spark, [(None, "a", T1, 2), (None, "a", T1, 3), (1, "a", T1, 9)]), ["k"])
+    got = sorted(tuple(r) for r in st.read().select("k", "v").collect() if r["k"] is not None)
+    assert got == [(1, 9)]
+    assert st.read().where("k IS NULL").count() == 3

@@ -67,9 +67,13 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: Sequence[str], add_c
 
 
 def assert_unique(source: DataFrame, key: Sequence[str]) -> None:
-    """Fail like a MERGE would when a key occurs twice in the source.
+    """Fail like a MERGE would when a key occurs twice in the source.  A key
+    with a NULL part never matches in a MERGE, so such rows are exempt.
     Runs one aggregate job; only a flag comes back to the driver."""
-    dup = source.groupBy(*key).count().where("count > 1").limit(1).count()
+    nn = source
+    for k in key:
+        nn = nn.where(F.col(k).isNotNull())
+    dup = nn.groupBy(*key).count().where("count > 1").limit(1).count()
     if dup:
         raise ValueError(f"source has duplicate keys on {list(key)}")
 
