@@ -96,3 +96,11 @@ def test_descending_dedupe_stays_an_aggregate_and_matches_window(spark):
              [F.col(c).asc_nulls_first() for c in df.columns if c not in order and c != "k"]
         ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*ob))).where("rn = 1").drop("rn")
         assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in ref.collect())
+
+
+def test_relationships_check_counts_orphans(spark):
+    child = spark.createDataFrame([(1,), (2,), (9,), (None,)], "pid int")
+    parent = spark.createDataFrame([(1,), (2,), (2,)], "id int")
+    rep = [tuple(r) for r in Q.relationships(child, "pid", parent, "id").collect()]
+    assert rep == [("relationships", "pid", 1)]
+    assert Q.relationships(child.where("pid < 3"), "pid", parent, "id").first()["violations"] == 0

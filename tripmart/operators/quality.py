@@ -106,3 +106,14 @@ def scalar_equals(df: DataFrame, expected: Any) -> bool:
     if len(rows) != 1 or len(rows[0]) != 1:
         raise ValueError("custom check query must return exactly one cell")
     return rows[0][0] == expected
+
+
+def relationships(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """Referential check as a report row: non-NULL ``child.column`` values
+    with no matching ``parent.parent_column`` (an anti join against the
+    parent's distinct keys, broadcast when small)."""
+    from tripmart.operators.materialize import key_set
+    keys = key_set(parent.select(F.col(parent_column).alias("__p")), ["__p"])
+    orphans = child.where(F.col(column).isNotNull()).join(keys, F.col(column) == F.col("__p"), "left_anti")
+    row = _report_row(Check("relationships", (column,)), F.count(F.lit(1)))
+    return orphans.agg(F.array(row).alias("r")).select(F.inline("r"))

@@ -917,6 +917,15 @@ def q_dq_report(spark, d):
                           Q.positive("trip_distance"), Q.unique("orderkey")])
 
 
+@register("dq_relationships", """
+SELECT 'relationships' AS "check", 'l_suppkey' AS "column", COUNT(*) AS violations FROM lineitem
+WHERE l_suppkey IS NOT NULL
+  AND l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 20 AND s_suppkey IS NOT NULL)""")
+def q_dq_relationships(spark, d):
+    parent = table(spark, d, "supplier").where(F.col("s_nationkey") < 20)
+    return Q.relationships(table(spark, d, "lineitem"), "l_suppkey", parent, "s_suppkey")
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
