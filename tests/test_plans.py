@@ -94,3 +94,11 @@ def test_bucketed_tables_join_without_exchange(spark, tmp_dir):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
     assert n == li.join(od, li.l_orderkey == od.o_orderkey).count()
     assert "SortMergeJoin" in p and "Exchange hashpartitioning" not in p, p
+
+
+def test_unused_location_lookup_is_not_joined(spark):
+    from tripmart.plans.trips import trips
+    p = trips(spark, SF_SMALL, locations=("pickup",))._jdf.queryExecution().executedPlan().toString()
+    assert "supplier.parquet" in p and "customer.parquet" not in p
+    rev = Q["revenue_by_zone"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "customer.parquet" not in rev
