@@ -1,4 +1,6 @@
 """Every registered query equals its SQL twin (DuckDB) on the small tables."""
+import re
+
 import pytest
 
 import __spark_entry__ as E
@@ -15,8 +17,13 @@ def con():
     return duckdb_connection(SF_SMALL)
 
 
+# queries that SQL cannot express are tested in tests/llm
+LLM = {k for k in KEYS if k == "pipeline" or re.match(r"op\d+_", k)}
+KEYS = [k for k in KEYS if k not in LLM]
+
+
 def test_every_query_has_sql_twin():
-    assert set(SQL) == set(KEYS)
+    assert set(SQL) - LLM == set(KEYS)
 
 
 @pytest.mark.parametrize("key", KEYS)
