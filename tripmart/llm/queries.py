@@ -2,13 +2,29 @@
 
 from __future__ import annotations
 
-from tripmart.llm import decontaminate, language, line_spread, packing, simhash
+from tripmart.llm import (
+    ctw,
+    decontaminate,
+    hnsw,
+    language,
+    licenses,
+    line_spread,
+    packing,
+    simhash,
+    token_counts,
+    token_files,
+)
 
 QUERIES = {
     "op1_best_fit_packing": packing.query,
+    "op2_context_tree": ctw.query,
     "op3_line_spread": line_spread.query,
     "op4_language_spans": language.query,
+    "op5_token_counts": token_counts.query,
+    "op6_token_files": token_files.query,
+    "op7_hnsw_near_dedup": hnsw.query,
     "op8_decontaminate": decontaminate.query,
+    "op9_license_scan": licenses.query,
     "op10_simhash": simhash.query,
 }
 SQL = {
