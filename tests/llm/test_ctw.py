@@ -2,13 +2,12 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tripmart.llm import ctw as T
 
-from conftest import SF_SMALL
+from conftest import SF_MID, SF_SMALL
 
 
 def log_kt(n0, n1):
@@ -120,7 +119,7 @@ def test_log_gamma(spark):
     assert all(r.g == pytest.approx(math.lgamma(r.x), rel=1e-11, abs=1e-9) for r in got)
 
 
-def test_query_beats_the_baseline_on_held_out_rows(spark):
+def test_query_on_held_out_rows(spark):
     rows = T.query(spark, SF_SMALL).collect()
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
     assert len(rows) == len(docs)
@@ -129,5 +128,7 @@ def test_query_beats_the_baseline_on_held_out_rows(spark):
         n, known, total, base = baseline(train, docs[r.doc_id])
         assert (r.n_tokens, r.n_known, r.train_tokens) == (n, known, total) and r.base_score == pytest.approx(base, rel=1e-9)
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 7 == 2)
-    held = [r for r in rows if r.held_out]
-    assert np.sum([r.score for r in held]) > np.sum([r.base_score for r in held])
+    held = [r for r in T.query(spark, SF_MID).collect() if r.held_out]
+    # 2 MB to learn from: near the word baseline, which the model passes on larger tables (README)
+    assert sum(r.score for r in held) > 1.03 * sum(r.base_score for r in held)
+    assert -sum(r.score for r in held) * math.log2(10) / sum(r.n_bytes for r in held) < 2.25

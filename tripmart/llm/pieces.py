@@ -17,6 +17,8 @@ from tokenizers import Tokenizer
 #: Split pattern of a ByteLevel pre-tokenizer that brings none of its own (fixed value).
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+_LATE = re.compile("[\U00020000-\U0010FFFF]").search
+
 
 def byte_letters() -> dict[int, str]:
     """The character that byte-level BPE writes for each byte: itself where
@@ -37,13 +39,21 @@ class Pieces:
         split = [s["pattern"]["Regex"] for s in steps if s["type"] == "Split"]
         if steps[-1]["type"] != "ByteLevel" or steps[-1]["add_prefix_space"] or len(split) > 1:
             raise ValueError("not a byte-level tokenizer file of a known form")
-        self.find: Callable[[str], list[str]] = regex.compile(split[0] if split else BYTE_LEVEL).findall
+        self.pattern: Callable[[str], list[str]] = regex.compile(split[0] if split else BYTE_LEVEL).findall
         self.normalize = self.tok.normalizer.normalize_str if self.tok.normalizer else str
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         names = sorted(self.special, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, names)) + ")").split if names else None
         self.letters = byte_letters()
 
+    def find(self, text: str) -> list[str]:
+        """Pre-tokens of normalized text.  From U+20000 on, letters are still
+        being assigned and libraries disagree: there the tokenizer's own
+        splitter decides."""
+        if text.isascii() or not _LATE(text):
+            return self.pattern(text)
+        return [text[a:b] for _, (a, b) in self.tok.pre_tokenizer.pre_tokenize_str(text)]
+
     def parts(self, text: str) -> Iterator[tuple[list[str], str | None]]:
         """(pre-tokens, the special string that follows or None) along the text."""
         if not any(name in text for name in self.special):
