@@ -83,7 +83,7 @@ def test_quality_checks_one_violation_each(spark):
     assert empty == {"not_empty": 1}
 
 
-def test_descending_dedupe_stays_an_aggregate_and_matches_window(spark):
+def test_dedupe_limits_each_key_before_the_exchange_and_matches_window(spark):
     import datetime as dt
     from pyspark.sql import Window
     rows = [(1, 5, dt.datetime(2024, 1, 1), "a"), (1, 7, dt.datetime(2024, 1, 1), "b"), (1, None, None, "c"),
@@ -91,7 +91,8 @@ def test_descending_dedupe_stays_an_aggregate_and_matches_window(spark):
     df = spark.createDataFrame(rows, "k int, o int, t timestamp_ntz, v string")
     for order, desc in ((["o"], ["o"]), (["t"], ["t"]), (["o", "t"], ["t"])):
         got = dedupe_first(df, ["k"], order, descending=desc)
-        assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Partial" in plan[plan.rindex("Exchange"):] and "WindowGroupLimit" in plan[plan.rindex("Exchange"):]
         ob = [F.col(c).desc_nulls_last() if c in desc else F.col(c).asc_nulls_first() for c in order] + \
              [F.col(c).asc_nulls_first() for c in df.columns if c not in order and c != "k"]
         ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*ob))).where("rn = 1").drop("rn")

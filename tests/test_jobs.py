@@ -6,9 +6,10 @@ from pyspark.sql import types as T
 
 from tripmart.operators.table_store import TableStore
 from tripmart.plans import jobs, marts
-from tripmart.plans.trips import payment_lookup, trips
+from tripmart.plans.trips import payment_lookup, trips, zones
 from tripmart.streaming import jobs as S
 from tripmart.streaming import ride_jobs as R
+from tripmart.streaming.global_sessions import PARTITIONS, global_sessions
 
 from conftest import SF_SMALL
 
@@ -39,10 +40,15 @@ def test_monthly_elt_is_idempotent(spark, tmp_dir):
 def test_incremental_fact_and_checks(spark, tmp_dir):
     from tripmart.operators import quality as Q
     target = TableStore(spark, f"{tmp_dir}/fct")
-    jobs.fct_trips_incremental(spark, SF_SMALL, target)
+    t, z = trips(spark, SF_SMALL), zones(spark, SF_SMALL)
+    first = t.where("pickup_datetime < TIMESTAMP_NTZ '1996-01-01'")
+    jobs.fct_trips_incremental(first, z, target)
     n = target.read().count()
-    assert n == marts.fct_trips(spark, SF_SMALL).count()
-    jobs.fct_trips_incremental(spark, SF_SMALL, target)                    # nothing newer: unchanged
+    assert 0 < n == marts.fct_trips(first, z).count()
+    jobs.fct_trips_incremental(t, z, target)                    # the rest
+    n = target.read().count()
+    assert n == marts.fct_trips(t, z).count()
+    jobs.fct_trips_incremental(t, z, target)                    # nothing newer: unchanged
     assert target.read().count() == n
     Q.assert_passing(Q.run_checks(target.read(), jobs.FCT_CHECKS))
 
@@ -98,10 +104,10 @@ def test_ride_jobs(spark, tmp_dir):
     R.pass_through(ev, pt, ["event_timestamp", "pickup_location_id"], available_now=True,
                    checkpoint=f"{tmp_dir}/ck3").awaitTermination()
     assert pt.read().count() == e.count()
-    ss = TableStore(spark, f"{tmp_dir}/ss")
+    ss = TableStore(spark, f"{tmp_dir}/ss", PARTITIONS)
     R.session_streaks(ev, ss, available_now=True, checkpoint=f"{tmp_dir}/ck4").awaitTermination()
-    # append mode: the last open session is not emitted yet, every earlier one is
-    assert 0 < ss.read().count() < e.count()
+    # all sessions, the one still open included: every event is in one
+    assert global_sessions(ss.read()).agg(F.sum("num_events")).first()[0] == e.count()
 
 
 def test_stream_append_into_rdbms(spark, tmp_dir):
@@ -109,7 +115,7 @@ def test_stream_append_into_rdbms(spark, tmp_dir):
     props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
     e = spark.read.parquet(f"{SF_SMALL}/events.parquet").select("event_id", "user_id", "value")
     e.coalesce(2).write.parquet(f"{tmp_dir}/in/a")
-    stream = S.read_events(spark, e.schema, path=f"{tmp_dir}/in/*", fmt="parquet", max_per_trigger=1)
+    stream = S.read_events(spark, e.schema, path=f"{tmp_dir}/in/*", fmt="parquet", max_files=1)
     S.start(stream, sink=S.jdbc_append_sink(url, "EVENTS_SINK", props), available_now=True,
             checkpoint=f"{tmp_dir}/ck").awaitTermination()
     back = spark.read.jdbc(url, "EVENTS_SINK", properties=props)
@@ -120,8 +126,38 @@ def test_consumer_to_table(spark, tmp_dir):
     e = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     e.repartition(3).write.parquet(f"{tmp_dir}/in/a")
     target = TableStore(spark, f"{tmp_dir}/t")
-    q = R.consume_to_table(spark, e.schema, target, path=f"{tmp_dir}/in/*", fmt="parquet", max_rows=1,
+    q = R.consume_to_table(spark, e.schema, target, path=f"{tmp_dir}/in/*", fmt="parquet", max_files=1,
                            available_now=True, checkpoint=f"{tmp_dir}/ck")
     q.awaitTermination()
     assert target.read().count() == e.count()
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3   # one file per micro-batch
+
+
+def test_half_day_window_rebuilds_the_whole_day(spark, tmp_dir):
+    t = trips(spark, SF_SMALL)
+    pay = payment_lookup(spark)
+    day = t.join(pay, t.payment_type == pay.payment_type_id).groupBy(F.to_date("pickup_datetime").alias("d")).count() \
+        .orderBy(F.desc("count"), "d").first()["d"]
+    at = dt.datetime(day.year, day.month, day.day)
+    t = t.where(F.to_date("pickup_datetime") == day).withColumn(
+        "pickup_datetime", F.expr("pickup_datetime + make_dt_interval(0, linenumber * 3)"))
+    staging, report = TableStore(spark, f"{tmp_dir}/stg", ["pickup_date"]), TableStore(spark, f"{tmp_dir}/rep", ["pickup_date"])
+    jobs.staged_daily_report(t, pay, staging, report, at, at + dt.timedelta(days=1))
+    whole = sorted(tuple(r) for r in report.read().collect())
+    jobs.staged_daily_report(t, pay, staging, report, at + dt.timedelta(hours=12), at + dt.timedelta(days=1))
+    jobs.staged_daily_report(t, pay, staging, report, at + dt.timedelta(hours=3), at + dt.timedelta(hours=6))
+    assert sorted(tuple(r) for r in report.read().collect()) == whole
+    assert sum(r.trips_count for r in report.read().collect()) == staging.read().count()
+
+
+def test_restart_with_defaults_goes_on_after_the_last_commit(spark, tmp_dir):
+    target = TableStore(spark, f"{tmp_dir}/pt")
+    for i in (1, 2):
+        spark.createDataFrame([(i,)], "id int").coalesce(1).write.mode("append").parquet(f"{tmp_dir}/in")
+        stream = S.read_events(spark, T.StructType([T.StructField("id", T.IntegerType())]), path=f"{tmp_dir}/in", fmt="parquet")
+        R.pass_through(stream, target, ["id"], available_now=True).awaitTermination()
+        assert sorted(r.id for r in target.read().collect()) == list(range(1, i + 1))
+    # a second query with a checkpoint of its own is not taken for a replay of the first
+    stream = S.read_events(spark, T.StructType([T.StructField("id", T.IntegerType())]), path=f"{tmp_dir}/in", fmt="parquet")
+    R.pass_through(stream, target, ["id"], available_now=True, checkpoint=f"{tmp_dir}/other").awaitTermination()
+    assert sorted(r.id for r in target.read().collect()) == [1, 1, 2, 2]

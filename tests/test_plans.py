@@ -61,7 +61,7 @@ def test_partition_pruning_and_scan_bytes(spark):
 
 
 def test_dedupe_reuses_join_partitioning(spark):
-    # grouping on (orderkey, linenumber) after the orderkey join adds no exchange
+    # (orderkey, linenumber) rows meet where the orderkey join left them: no exchange more
     p = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
@@ -71,6 +71,21 @@ def test_dedupe_reuses_join_partitioning(spark):
     assert len(re.findall(r"Exchange hashpartitioning", s)) <= 2
 
 
+def test_pickup_filter_on_the_fact_reaches_the_orders_scan(spark):
+    from tripmart.plans import marts
+    from tripmart.plans.trips import trips, zones
+    fct = marts.fct_trips(trips(spark, SF_SMALL), zones(spark, SF_SMALL)).where("pickup_datetime >= TIMESTAMP_NTZ '1998-01-01'")
+    p = fct._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in p
+    r = Q["rollup_of_report"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(o_orderdate" in r and "l_linestatus" in r.split("PushedFilters")[1]
+
+
+def test_high_water_mark_is_a_pushed_range(spark):
+    p = Q["incremental_high_water"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(o_orderdate" in p
+
+
 def test_year_list_becomes_pushed_ranges(spark):
     p = Q["filter_years_in"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in p

@@ -2,6 +2,8 @@ import datetime as dt
 import json
 import os
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,9 +29,13 @@ def _write(path, text):
 def test_typed_csv_and_external_table(spark, tmp_dir):
     p = f"{tmp_dir}/y.csv"
     _write(p, "VendorID,tpep_pickup_datetime,fare_amount\n1,2024-01-01 00:00:07,12.5\nx,2024-01-02 10:00:00,3,EXTRA\n2,,\n")
-    df = FS.read_csv(spark, p, TRIP_SCHEMA)
-    rows = [tuple(r) for r in df.collect()]
-    assert rows[0] == (1, dt.datetime(2024, 1, 1, 0, 0, 7), 12.5)
+    with pytest.raises(Exception, match="(?i)malformed"):    # a typed scan stops on a bad value
+        FS.read_csv(spark, p, TRIP_SCHEMA).collect()
+    _write(f"{tmp_dir}/swapped.csv", "fare_amount,note,VendorID,tpep_pickup_datetime\n12.5,n,1,2024-01-01 00:00:07\n")
+    df = FS.read_csv(spark, f"{tmp_dir}/swapped.csv", TRIP_SCHEMA)      # columns are bound by header name
+    assert [tuple(r) for r in df.collect()] == [(1, dt.datetime(2024, 1, 1, 0, 0, 7), 12.5)]
+    with pytest.raises(ValueError, match="other"):
+        FS.read_csv(spark, f"{tmp_dir}/swapped.csv", "other int")
     ext = FS.external_csv(spark, p, TRIP_SCHEMA).collect()
     assert ext[1]["VendorID"] is None and ext[1]["fare_amount"] == 3.0   # bad value -> NULL, surplus dropped
     assert ext[2]["fare_amount"] is None                                 # missing -> NULL
@@ -106,30 +112,60 @@ def test_paged_source_page_and_offset(spark, tmp_dir):
         _write(f"{d}/page_{page}.json", json.dumps([{"id": page * 10 + i, "v": f"p{page}"} for i in range(3)]))
     _write(f"{d}/page_4.json", "[]")
     _write(f"{d}/page_5.json", json.dumps([{"id": 999, "v": "after-empty"}]))
-    df = paged_scan(spark, d + "/page_{page}.json", "id long, v string", kind="page", max_pages=6,
-                    pages_per_partition=2)
-    assert sorted(r.id for r in df.collect()) == [10, 11, 12, 20, 21, 22, 30, 31, 32]
-    assert df.rdd.getNumPartitions() == 2   # pages 1-2 and 3; nothing after the empty page 4
+    df = paged_scan(spark, d + "/page_{page}.json", "id long, v string", kind="page")
+    assert sorted(r.id for r in df.collect()) == [10, 11, 12, 20, 21, 22, 30, 31, 32]   # nothing after the empty page 4
+    with pytest.raises(AnalysisException):
+        paged_scan(spark, f"{tmp_dir}/nowhere/page_{{page}}.json", "id long").count()
+    _write(f"{d}/bad/page_1.json", '[{"id": ')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        paged_scan(spark, d + "/bad/page_{page}.json", "id long").collect()
     for off in range(0, 250, 100):
         recs = [{"id": i} for i in range(off, min(off + 100, 250))]
         _write(f"{d}/off_{off}.json", json.dumps({"total": 250, "data": recs}))
-    below = paged_scan(spark, d + "/off_{offset}.json", "id long", kind="offset", limit=100, max=1000)
+    below = paged_scan(spark, d + "/off_{offset}.json", "id long", kind="offset", limit=100)
     assert below.count() == 250
     capped = paged_scan(spark, d + "/off_{offset}.json", "id long", kind="offset", limit=100, max=150)
     assert capped.count() == 150
 
 
+def test_paged_offset_without_total_and_large(spark, tmp_dir):
+    d = f"{tmp_dir}/off"
+    for off in range(0, 2000, 100):   # more than a thousand rows, no total in the body
+        _write(f"{d}/o_{off}.json", json.dumps([{"id": off + i} for i in range(100)]))
+    assert paged_scan(spark, d + "/o_{offset}.json", "id long", kind="offset", limit=100).count() == 2000
+
+
+def test_paged_endpoint_has_no_cap(monkeypatch):
+    from tripmart.sources import paged
+    pages = 250_000
+    monkeypatch.setattr(paged, "_fetch", lambda url: [{"id": 1}] if int(url.rsplit("=", 1)[1]) <= pages else [])
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    r = paged.PagedReader(schema, {"url": "http://x?page={page}", "pages_per_partition": 1000})
+    parts = r.partitions()
+    assert parts[-1].last == pages and len(parts) == 250
+    monkeypatch.setattr(paged, "_fetch", lambda url: {"total": 50_000, "data": [{"id": 1}] * 100})
+    r = paged.PagedReader(schema, {"url": "http://x?offset={offset}&limit={limit}", "kind": "offset"})
+    assert len(r.partitions()) == 500
+    monkeypatch.setattr(paged, "_fetch", lambda url: [] if url.endswith("=2") else [{"id": 1}])
+    r = paged.PagedReader(schema, {"url": "http://x?page={page}", "pages": 3})
+    with pytest.raises(ValueError, match="page 2"):
+        list(r.read(r.partitions()[0]))
+
+
 def test_ledger_changed_files(spark, tmp_dir):
     d = f"{tmp_dir}/files"
     for name, body in (("a.csv", "x"), ("b.csv", "yy"), ("c.csv", "zzz")):
         _write(f"{d}/{name}", body)
-    led = spark.createDataFrame([("a.csv", 1), ("b.csv", 5)], "file_name string, file_size long")
-    ch = ledger.changed_files(ledger.listing(spark, f"{d}/*.csv"), led)
-    assert sorted(r.file_name for r in ch.collect()) == ["b.csv", "c.csv"]  # changed size, unknown
+    _write(f"{tmp_dir}/other/a.csv", "xxxx")   # the same name in another folder is another file
+    pre = "file:" + d
+    led = spark.createDataFrame([(f"{pre}/a.csv", 1), (f"{pre}/b.csv", 5)], "file_path string, file_size long")
+    ch = ledger.changed_files(ledger.listing(spark, f"{tmp_dir}/*/*.csv"), led)
+    assert sorted(r.file_path.split(tmp_dir)[1] for r in ch.collect()) == ["/files/b.csv", "/files/c.csv", "/other/a.csv"]
     st = TableStore(spark, f"{tmp_dir}/ledger")
     ledger.record(st, led)
     ledger.record(st, ch)
-    assert sorted(tuple(r) for r in st.read().collect()) == [("a.csv", 1), ("b.csv", 2), ("c.csv", 3)]
+    assert sorted((r.file_path.split(tmp_dir)[1], r.file_size) for r in st.read().collect()) == [
+        ("/files/a.csv", 1), ("/files/b.csv", 2), ("/files/c.csv", 3), ("/other/a.csv", 4)]
 
 
 def test_jdbc_replace_then_append_embedded_derby(spark):
@@ -153,6 +189,6 @@ def test_format_conversion_csv_to_parquet_with_constant(spark, tmp_dir):
     from tripmart.operators.table_store import write_table
     p = f"{tmp_dir}/people.csv"
     _write(p, "name,age\nann,30\nbob, 41\n")
-    df = FS.read_csv(spark, p, "name string, age int").withColumn("processed", F.lit(True))
+    df = FS.read_csv(spark, p, "name string, age int", trim=True).withColumn("processed", F.lit(True))
     write_table(df, f"{tmp_dir}/out", files=1)
-    assert spark.read.parquet(f"{tmp_dir}/out").count() == 2
+    assert sorted(tuple(r) for r in spark.read.parquet(f"{tmp_dir}/out").collect()) == [("ann", 30, True), ("bob", 41, True)]

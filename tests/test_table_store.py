@@ -1,4 +1,5 @@
 import datetime as dt
+import decimal
 import json
 import os
 
@@ -86,6 +87,8 @@ def test_journal_replay_completes_a_crashed_commit(spark, tmp_dir):
     with open(f"{path}/_txn/{txn}.json", "w") as f:
         json.dump({"txn": txn, "moves": moves, "marker": "m-7"}, f)
     reopened = TableStore(spark, path, ["part"])
+    assert rows(reopened) == [(1, "a", T1, 1)]   # opening moves nothing
+    reopened.recover()
     assert rows(reopened) == [(2, "a", T1, 2)]
     assert reopened.committed("m-7")
     assert not os.path.exists(f"{path}/_txn/{txn}.json")
@@ -152,3 +155,25 @@ def test_upsert_null_keys_never_match_and_are_not_duplicates(spark, tmp_dir):
     got = sorted(tuple(r) for r in st.read().select("k", "v").collect() if r["k"] is not None)
     assert got == [(1, 9)]
     assert st.read().where("k IS NULL").count() == 3
+
+
+@pytest.mark.parametrize("kind,values", [
+    ("boolean", [True, False, None]), ("double", [1e10, 0.1, None]),
+    ("timestamp_ntz", [dt.datetime(2024, 1, 1, 0, 0, 0, 500000), dt.datetime(2024, 1, 2), None]),
+    ("decimal(10,2)", [decimal.Decimal("1.50"), decimal.Decimal("2.00"), None]),
+    ("date", [dt.date(2024, 1, 1), dt.date(2024, 1, 2), None]), ("string", ["a/b=c", "x y", None])])
+def test_upsert_into_typed_partitions(spark, tmp_dir, kind, values):
+    st = TableStore(spark, f"{tmp_dir}/t", ["p"])
+    a, b, c = values
+    schema = f"k int, v int, p {kind}"
+    st.append(spark.createDataFrame([(1, 1, a), (2, 1, b), (4, 1, c)], schema))
+    st.merge_upsert(spark.createDataFrame([(1, 9, a), (3, 9, b), (4, 9, c)], schema), ["k"])
+    got = sorted((r.k, r.v, r.p) for r in st.read().collect())
+    assert got == [(1, 9, a), (2, 1, b), (3, 9, b), (4, 9, c)]
+
+
+def test_missing_move_source_is_an_error(spark, tmp_dir):
+    st = TableStore(spark, f"{tmp_dir}/t", ["part"])
+    st.append(df(spark, [(1, "a", T1, 1)]))
+    with pytest.raises(FileNotFoundError):
+        st._commit("x", [("_staging/x/part=b", "part=b")], None)

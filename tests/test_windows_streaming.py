@@ -80,7 +80,7 @@ def _split_events(spark, src, out_dir, parts=4):
 def test_stream_tumbling_update_mode_equals_batch(spark, tmp_dir):
     src = f"{tmp_dir}/in"
     schema = _split_events(spark, f"{SF_SMALL}/events.parquet", src)
-    stream = S.read_events(spark, schema, path=f"{src}/part*", fmt="parquet", max_per_trigger=1)
+    stream = S.read_events(spark, schema, path=f"{src}/part*", fmt="parquet", max_files=1)
     ev = S.with_event_time(stream, "ts", "5 seconds")
     agg = S.tumbling_counts(ev, "ts", "1 hour", ["user_id"], [F.count(F.lit(1)).alias("n")])
     store = TableStore(spark, f"{tmp_dir}/out")
@@ -122,7 +122,7 @@ def test_late_row_behind_watermark_is_dropped(spark, tmp_dir):
         spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_dir}/in/f{i}")
         time.sleep(1.1)  # file order = modification time
     sch = spark.read.parquet(f"{tmp_dir}/in/f0").schema
-    stream = S.with_event_time(S.read_events(spark, sch, path=f"{tmp_dir}/in/f*", fmt="parquet", max_per_trigger=1),
+    stream = S.with_event_time(S.read_events(spark, sch, path=f"{tmp_dir}/in/f*", fmt="parquet", max_files=1),
                                "ts", "5 seconds")
     agg = S.tumbling_counts(stream, "ts", "1 hour", [], [F.count(F.lit(1)).alias("n")])
     store = TableStore(spark, f"{tmp_dir}/out")
@@ -181,26 +181,38 @@ def test_publish_json_then_read_back(spark, tmp_dir):
 
 
 def test_stream_global_sessions_per_location_equal_batch(spark, tmp_dir):
-    from tripmart.streaming.global_sessions import global_sessions_by_location
+    from tripmart.streaming.global_sessions import PARTITIONS, global_sessions, start_summaries
     e = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     src = f"{tmp_dir}/in"
     schema = _split_events(spark, f"{SF_SMALL}/events.parquet", src)
-    # a far-future sentinel closes every real session (append mode emits closed ones only)
-    spark.createDataFrame([(10 ** 9, dt.datetime(2030, 1, 1), -1, "x", 0.0, "{}")], schema) \
-        .coalesce(1).write.parquet(f"{src}/part9")
-    stream = S.with_event_time(S.read_events(spark, schema, path=f"{src}/part*", fmt="parquet", max_per_trigger=1),
+    # rows without a location count in their session, rows without a time in none
+    last = e.agg(F.max("ts")).first()[0]
+    odd = [(10 ** 9, last, None, "x", 1.25, "{}"), (10 ** 9 + 1, None, 3, "x", 9.0, "{}")]
+    spark.createDataFrame(odd, schema).coalesce(1).write.parquet(f"{src}/part9")
+    stream = S.with_event_time(S.read_events(spark, schema, path=f"{src}/part*", fmt="parquet", max_files=1),
                                "ts", "5 seconds")
-    out = global_sessions_by_location(stream, "ts", "user_id", "value", 300)
-    store = TableStore(spark, f"{tmp_dir}/out")
-    q = S.start(out, sink=S.append_sink(store, "gs"), mode="append", available_now=True, checkpoint=f"{tmp_dir}/ck")
-    q.awaitTermination()
-    got = sorted((r.session_start.replace(tzinfo=None), r.location, r.num_events, round(r.total_amount, 6))
-                 for r in store.read().collect())
-    t = islands(e, "ts", 300, [], session_col="sid")
+    store = TableStore(spark, f"{tmp_dir}/out", PARTITIONS)
+    start_summaries(stream, store, "ts", "user_id", "value", available_now=True, checkpoint=f"{tmp_dir}/ck").awaitTermination()
+    got = {(r.session_start.replace(tzinfo=None), r.location): (r.num_events, round(float(r.total_amount), 2))
+           for r in global_sessions(store.read(), 300).collect()}
+    all_rows = e.unionByName(spark.createDataFrame(odd, schema))
+    t = islands(all_rows.where("ts IS NOT NULL"), "ts", 300, [], session_col="sid")
     start = t.groupBy("sid").agg(F.min("ts").alias("s"))
-    per = t.groupBy("sid", "user_id").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("v")).join(start, "sid")
-    exp = sorted((r.s, r.user_id, r.n, round(r.v, 6)) for r in per.collect())
-    assert got == exp
+    per = t.groupBy("sid", "user_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).alias("v")) \
+        .join(start, "sid")
+    assert got == {(r.s, r.user_id): (r.n, round(float(r.v), 2)) for r in per.collect()}
+
+
+def test_sessions_without_keys_sort_no_bucket_rows_in_one_task(spark):
+    from tripmart.operators import windows as Wn
+    e = spark.read.parquet(f"{SF_MID}/events.parquet").select("ts", "user_id", "event_id")
+    df = Wn.session_totals(e, "ts", 300, [], by=["user_id"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    single = [x for x in plan.split("Exchange ") if x.startswith("SinglePartition")]
+    assert all("__chunk" in x.split("+-", 2)[1] for x in single), plan    # one row per chunk of buckets only
+    null_keys = e.withColumn("user_id", F.when(F.col("user_id") % 3 == 0, None).otherwise(F.col("user_id")))
+    s = Wn.session_totals(null_keys, "ts", 300, ["user_id"])
+    assert s.agg(F.sum("num_events")).first()[0] == e.count()
 
 
 def test_stream_restarts_from_checkpoint(spark, tmp_dir):

@@ -1,12 +1,10 @@
 """De-duplication: keep one row per key.
 
-Implemented as a hash aggregate of ``min(struct(order..., rest...))`` per key
-rather than ``row_number()`` over a window: the aggregate combines map-side
-(one partial row per key per task), so a key holding a third of the table
-does not land whole in one sort task.  The struct puts the ordering columns
-first and every remaining column after them, which is the full tie-break: two
-rows tie only when they are identical, and then either is the same output.
-Struct comparison orders NULL fields first, as an ascending NULLS FIRST sort.
+``row_number() = 1`` over a window.  The planner puts a partial group limit
+below the exchange, so every task forwards one row per key at most: a key that
+holds a third of the table does not land whole in one sort task.  The order is
+completed by every remaining column, so two rows tie only when they are
+identical, and then either is the same output.
 """
 
 from __future__ import annotations
@@ -15,56 +13,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-
-_NEGATABLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType,
-              T.TimestampType, T.TimestampNTZType, T.DateType)
-
-
-def _desc_key(c: str, dtype: T.DataType) -> list:
-    """Sort fields that make an ascending struct comparison order ``c``
-    descending with NULLs last: (is_null, -value)."""
-    col = F.col(f"`{c}`")
-    if isinstance(dtype, T.TimestampNTZType):
-        neg = -F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), col)
-    elif isinstance(dtype, T.TimestampType):
-        neg = -F.unix_micros(col)
-    elif isinstance(dtype, T.DateType):
-        neg = -F.unix_date(col)
-    else:
-        neg = -col
-    return [col.isNull(), neg]
 
 
 def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (),
                  descending: Sequence[str] = ()) -> DataFrame:
-    """One row per ``keys``: the first by ``order`` (ascending, NULLs first),
-    ties broken by all remaining columns.
-
-    Columns listed in ``descending`` sort descending, NULLs last.  Numeric and
-    temporal ones are encoded into the struct as ``(is_null, -value)`` so the
-    combining aggregate still applies; any other type falls back to a
-    ``row_number`` window (which sorts each key in one task).
-    """
+    """One row per ``keys``: the first by ``order`` (ascending, NULLs first;
+    those in ``descending`` descending, NULLs last), ties broken by all
+    remaining columns.  Columns that cannot be ordered (maps) break no tie."""
     keys = list(keys)
-    order = [c for c in order if c not in keys]
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    types = {f.name: f.dataType for f in df.schema.fields}
-    if any(not isinstance(types[c], _NEGATABLE) for c in descending):
-        ob = [F.col(c).desc_nulls_last() if c in descending else F.col(c).asc_nulls_first()
-              for c in order] + [F.col(c).asc_nulls_first() for c in rest]
-        w = Window.partitionBy(*keys).orderBy(*ob)
-        return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
-    sort_fields = []
-    for c in order:
-        sort_fields += _desc_key(c, types[c]) if c in descending else [F.col(f"`{c}`")]
-    names = order + rest
-    fields = [f.alias(f"s{i}") for i, f in enumerate(sort_fields)] + \
-             [F.col(f"`{c}`").alias(f"f{i}") for i, c in enumerate(names)]
-    agg = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("__first"))
-    return (agg.select(*keys, *[F.col(f"__first.f{i}").alias(n) for i, n in enumerate(names)])
-               .select(*df.columns))
+    plain = [c for c, t in df.dtypes if c not in keys and c not in order and not t.startswith(("map", "variant"))]
+    by = [F.col(c).desc_nulls_last() if c in descending else F.col(c).asc_nulls_first() for c in order if c not in keys]
+    by += [F.col(c).asc_nulls_first() for c in plain]
+    w = Window.partitionBy(*keys).orderBy(*(by or [F.lit(0)]))
+    return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
 def dedupe_any(df: DataFrame, keys: Sequence[str], deterministic: bool = True) -> DataFrame:
@@ -73,11 +34,3 @@ def dedupe_any(df: DataFrame, keys: Sequence[str], deterministic: bool = True) -
     if not deterministic:
         return df.dropDuplicates(list(keys))
     return dedupe_first(df, keys)
-
-
-def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Key values occurring more than once (NULL keys ignored), with counts."""
-    nn = df
-    for k in keys:
-        nn = nn.where(F.col(k).isNotNull())
-    return nn.groupBy(*keys).count().where("count > 1")

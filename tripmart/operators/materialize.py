@@ -18,8 +18,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.operators.joins import broadcast_if_small
-
 
 def append(target: DataFrame, source: DataFrame) -> DataFrame:
     """``append``: every source row is added."""
@@ -41,8 +39,9 @@ def merge_insert(target: DataFrame, source: DataFrame, key: Sequence[str], dedup
 def key_set(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Distinct key values of ``df``.  The distinct runs map-side first, so a
     key repeated in a third of the rows is shuffled once per task instead of
-    once per row, and a small key set becomes broadcastable."""
-    return broadcast_if_small(df.select(*key).distinct())
+    once per row; whether the set is small enough to broadcast is left to the
+    planner, which knows its real size at run time."""
+    return df.select(*key).distinct()
 
 
 def new_rows(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -81,12 +80,16 @@ def assert_unique(source: DataFrame, key: Sequence[str]) -> None:
 def high_water_filter(df: DataFrame, target: DataFrame, ts: str,
                       lookback: _dt.timedelta | None = None) -> DataFrame:
     """Incremental filter: rows newer than the target's maximum ``ts``
-    (a scalar subquery).  An empty target passes everything.  ``lookback``
-    widens the window so that late rows are re-read (pair with an upsert)."""
-    hw = target.select(F.max(ts)).scalar()
-    if lookback is not None:
-        hw = hw - F.make_dt_interval(secs=F.lit(lookback.total_seconds()))
-    return df.where(hw.isNull() | (F.col(ts) > hw))
+    (a scalar subquery).  An empty target passes every row with a time, and
+    rows without one too.  ``lookback`` widens the window so that late rows are
+    re-read (pair with an upsert).
+
+    The mark is fetched first (one aggregate row), so that the filter is a
+    plain range, which reaches the scan."""
+    hw = target.agg(F.max(ts)).first()[0]
+    if hw is None:
+        return df
+    return df.where(F.col(ts) > F.lit(hw - lookback if lookback is not None else hw))
 
 
 def in_window(ts: Column, start, end) -> Column:

@@ -16,8 +16,9 @@ A change writes the new content of the *touched* partitions to staging, then
 journals and performs directory renames (old partition -> trash, staged ->
 table).  Only metadata moves through the driver; the cost of a change follows
 the partitions it touches, not the table.  A journal left by a crash is
-replayed when the table is next opened, so a commit either happens whole or
-(before the journal exists) not at all.  Plain Parquet has no MERGE/DELETE;
+replayed before the table's next write (or by :meth:`TableStore.recover`), so a
+commit either happens whole or (before the journal exists) not at all; opening
+or reading a table never moves anything, and a table has one writer at a time.  Plain Parquet has no MERGE/DELETE;
 the content of touched partitions comes from the pure cores in
 :mod:`tripmart.operators.materialize`.
 """
@@ -29,13 +30,15 @@ import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.operators import materialize as M
 
 HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
+# prefix of the columns that hold a partition value as Spark prints it
+_NAME = "__name_"
 
 
 class TableStore:
@@ -47,7 +50,6 @@ class TableStore:
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._Path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
         self._escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-        self._recover()
 
     # ------------------------------------------------------------------ fs
     def _p(self, rel: str = ""):
@@ -57,12 +59,16 @@ class TableStore:
         return self._fs.exists(self._p(rel))
 
     def _move(self, src: str, dst: str) -> None:
-        """Idempotent rename (replay-safe): only when src exists and dst does not."""
+        """Rename that a replay may repeat: done when dst exists; a source that
+        is missing before its move is an error, never skipped."""
         s, d = self._p(src), self._p(dst)
-        if self._fs.exists(s) and not self._fs.exists(d):
-            self._fs.mkdirs(d.getParent())
-            if not self._fs.rename(s, d):
-                raise OSError(f"rename failed: {src} -> {dst}")
+        if self._fs.exists(d):
+            return
+        if not self._fs.exists(s):
+            raise FileNotFoundError(f"{self.path}: {src} is missing, cannot move it to {dst}")
+        self._fs.mkdirs(d.getParent())
+        if not self._fs.rename(s, d):
+            raise OSError(f"rename failed: {src} -> {dst}")
 
     def _write_text(self, rel: str, text: str) -> None:
         """Write-then-rename.  Hadoop renames do not replace a file, so an
@@ -97,20 +103,29 @@ class TableStore:
         return [n for n in self._list() if not n.startswith(("_", "."))]
 
     # ------------------------------------------------------------- journal
-    def _recover(self) -> None:
+    def recover(self) -> None:
+        """Finish the commits that a crash left journalled."""
         for name in sorted(self._list("_txn")):
             if name.endswith(".json"):
                 self._apply(json.loads(self._read_text(f"_txn/{name}")))
 
+    def _begin(self, txn: str | None = None) -> str:
+        """Id of a write; commits left open are finished first."""
+        if txn is None:
+            self.recover()
+        return txn or uuid.uuid4().hex
+
     def _apply(self, journal: dict) -> None:
-        if journal.get("schema"):
+        # readers declare the stored schema: it is rewritten only when it changes
+        if journal.get("schema") and not (self._exists("_schema.json") and self._read_text("_schema.json") == journal["schema"]):
             self._write_text("_schema.json", journal["schema"])
         for src, dst in journal["moves"]:
             self._move(src, dst)
         if journal.get("marker"):
             self._write_text(f"_commits/{journal['marker']}", journal["txn"])
         txn = journal["txn"]
-        for rel in (f"_staging/{txn}", f"_staging/src-{txn}", f"_trash/{txn}", f"_txn/{txn}.json"):
+        # the journal goes first: what is left then is garbage, never replayed
+        for rel in (f"_txn/{txn}.json", f"_staging/{txn}", f"_staging/src-{txn}", f"_trash/{txn}"):
             if self._exists(rel):
                 self._fs.delete(self._p(rel), True)
 
@@ -153,8 +168,9 @@ class TableStore:
         return self.read() if self.exists() else self.spark.createDataFrame([], like.schema)
 
     # ------------------------------------------------------------- helpers
-    def _partition_dir(self, values: dict) -> str:
-        return "/".join(f"{c}={HIVE_NULL if values[c] is None else self._escape(str(values[c]))}"
+    def _partition_dir(self, touched: Row) -> str:
+        """Folder of a touched partition, from its values as Spark prints them."""
+        return "/".join(f"{c}={self._escape(touched[_NAME + c]) if touched[_NAME + c] else HIVE_NULL}"
                         for c in self.partition_by)
 
     def _table_schema(self, df: DataFrame) -> T.StructType:
@@ -185,12 +201,13 @@ class TableStore:
         source.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(source.schema).parquet(path)
 
-    def _touched(self, *frames: DataFrame) -> list[dict]:
-        """Distinct partition values of the given rows (metadata-sized)."""
+    def _touched(self, *frames: DataFrame) -> list[Row]:
+        """Distinct partition values of the given rows (metadata-sized), each
+        also as the text Spark names its folder with."""
         keys = reduce(lambda a, b: a.union(b), [f.select(*self.partition_by) for f in frames]).distinct()
-        return [r.asDict() for r in keys.collect()]
+        return keys.select("*", *[F.col(c).cast("string").alias(_NAME + c) for c in self.partition_by]).collect()
 
-    def _only(self, df: DataFrame, touched: list[dict]) -> DataFrame:
+    def _only(self, df: DataFrame, touched: list[Row]) -> DataFrame:
         """Rows of ``df`` in the touched partitions (prunes partition dirs)."""
         if not touched:
             return df.limit(0)
@@ -201,7 +218,8 @@ class TableStore:
             if any(t[c] is None for t in touched):
                 cond = cond | F.col(c).isNull()
             return df.where(cond)
-        keys = self.spark.createDataFrame(touched, df.select(*self.partition_by).schema)
+        keys = self.spark.createDataFrame([tuple(t[c] for c in self.partition_by) for t in touched],
+                                          df.select(*self.partition_by).schema)
         if len(touched) <= 100_000:  # the list is on the driver already: its size is known
             keys = F.broadcast(keys)
         return df.join(keys, [df[c].eqNullSafe(keys[c]) for c in self.partition_by], "left_semi")
@@ -209,33 +227,37 @@ class TableStore:
     # -------------------------------------------------------------- writes
     def overwrite(self, df: DataFrame, marker: str | None = None, txn: str | None = None) -> None:
         """Full refresh (``table`` / ``truncate+insert``)."""
-        txn = txn or uuid.uuid4().hex
+        txn = self._begin(txn)
         staged = self._stage(df, txn)
         moves = [(n, f"_trash/{txn}/{n}") for n in self._visible()]
         moves += [(f"{staged}/{n}", n) for n in self._list(staged) if not n.startswith(("_", "."))]
         self._commit(txn, moves, marker, self._table_schema(df), replace_schema=True)
 
-    def replace_partitions(self, content: DataFrame, touched: list[dict], marker: str | None = None,
+    def replace_partitions(self, content: DataFrame, touched: list[Row], marker: str | None = None,
                            txn: str | None = None) -> None:
-        """Replace exactly the ``touched`` partitions by ``content`` (which
-        must only hold rows of those partitions); a touched partition with no
-        rows disappears."""
+        """Replace exactly the ``touched`` partitions (rows of :meth:`_touched`)
+        by ``content``, which must only hold rows of those partitions; a
+        touched partition with no rows disappears.
+
+        What is new is listed from the staged folders, and what is old from
+        the table's, so folder names are only ever Spark's own."""
         if not self.partition_by:
             return self.overwrite(content, marker, txn)
-        txn = txn or uuid.uuid4().hex
+        txn = self._begin(txn)
         staged = self._stage(content, txn)
-        moves = []
-        for t in touched:
-            d = self._partition_dir(t)
-            moves.append((d, f"_trash/{txn}/{d}"))
-            moves.append((f"{staged}/{d}", d))
+        old = {self._partition_dir(t) for t in touched}
+        new = self._leaf_dirs(staged, len(self.partition_by))
+        if stray := set(new) - old:
+            raise ValueError(f"{self.path}: content outside the touched partitions: {sorted(stray)[:3]}")
+        moves = [(d, f"_trash/{txn}/{d}") for d in sorted(old) if self._exists(d)]
+        moves += [(f"{staged}/{d}", d) for d in new]
         self._commit(txn, moves, marker, self._table_schema(content))
 
     def append(self, df: DataFrame, marker: str | None = None, txn: str | None = None) -> None:
         """``append``: new files are staged, then moved in.  A partition the
         table does not have yet moves as one directory; into an existing
         partition the staged files move one by one."""
-        txn = txn or uuid.uuid4().hex
+        txn = self._begin(txn)
         staged = self._stage(df, txn)
         moves = []
         for rel in self._leaf_dirs(staged, len(self.partition_by)):
@@ -263,6 +285,7 @@ class TableStore:
     # -------------------------------------------------------- strategies
     def merge_insert(self, source: DataFrame, key: Sequence[str], dedupe: bool = False,
                      marker: str | None = None) -> None:
+        self.recover()
         src = source.dropDuplicates(list(key)) if dedupe else source
         if not self.exists():
             return self.append(src, marker)
@@ -272,7 +295,7 @@ class TableStore:
                      marker: str | None = None, check_unique: bool = True) -> None:
         """Upsert; ``check_unique=False`` skips the duplicate-key job when the
         source is unique by construction (e.g. an aggregation's output)."""
-        txn = uuid.uuid4().hex
+        txn = self._begin()
         src = self._materialize(source, txn)
         if check_unique:
             M.assert_unique(src, key)
@@ -287,7 +310,7 @@ class TableStore:
         self.replace_partitions(new, touched, marker, txn)
 
     def replace_interval(self, source: DataFrame, ts: str, start, end, marker: str | None = None) -> None:
-        txn = uuid.uuid4().hex
+        txn = self._begin()
         src = self._materialize(source.where(M.in_window(F.col(ts), start, end)), txn)
         if not self.exists():
             return self.append(src, marker, txn)
@@ -299,7 +322,7 @@ class TableStore:
         self.replace_partitions(new, touched, marker, txn)
 
     def delete_insert(self, source: DataFrame, key: Sequence[str], marker: str | None = None) -> None:
-        txn = uuid.uuid4().hex
+        txn = self._begin()
         src = self._materialize(source, txn)
         if not self.exists():
             return self.append(src, marker, txn)
@@ -312,6 +335,7 @@ class TableStore:
         self.replace_partitions(new, touched, marker, txn)
 
     def truncate_insert(self, source: DataFrame, marker: str | None = None) -> None:
+        self.recover()
         if self.exists():
             source = M.truncate_insert(self.read(), source)
         self.overwrite(source, marker)

@@ -40,6 +40,46 @@ def tumbling(df: DataFrame, ts: str, size: str, keys: Sequence[str], aggs: Seque
                     *keys, *[c for c in g.columns if c not in ("w", *keys)])
 
 
+#: Buckets numbered together: one window task sees at most this many rows of a key.
+CHUNK = 1440
+
+
+def _same(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on ``keys``, NULL keys matching each other; ``b`` brings only its other columns."""
+    names = {k: f"__r_{k}" for k in keys}
+    right = b.withColumnsRenamed(names)
+    cond = [a[k].eqNullSafe(right[names[k]]) for k in keys]
+    return a.join(right, cond, how).drop(*names.values())
+
+
+def _number(s: DataFrame, keys: Sequence[str], b: str, lo: str, hi: str, gap: int, inner: str | None = None) -> DataFrame:
+    """``(*keys, b, __base)``: the session number in which each bucket begins.
+
+    ``s`` has one row per (key, bucket) with its first and last time and,
+    where rows of a bucket may lie a gap apart, the breaks inside it.  Buckets
+    are numbered inside chunks of :data:`CHUNK`; one summary row per chunk
+    then carries numbers and the last time across chunks, so that no task
+    sorts all buckets of a key, not even without keys.
+    """
+    c = "__chunk"
+    keys = list(keys)
+    inside = F.col(inner) if inner else F.lit(0)
+    w = Window.partitionBy(*keys, c).orderBy(b)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    prev = F.lag(hi).over(w)
+    s = s.withColumn(c, F.floor(F.col(b) / F.lit(CHUNK)))
+    # the first bucket of a chunk is decided by the chunk before
+    s = s.withColumn("__brk", F.when(F.col(lo) - prev > gap, F.lit(1)).otherwise(F.lit(0)))
+    s = s.withColumn("__run", F.coalesce(F.sum(F.col("__brk") + inside).over(before), F.lit(0)) + F.col("__brk"))
+    chunks = s.groupBy(*keys, c).agg(F.min(lo).alias("__lo"), F.max(hi).alias("__hi"), F.sum(F.col("__brk") + inside).alias("__n"))
+    wc = Window.partitionBy(*keys).orderBy(c)
+    last = F.lag("__hi").over(wc)
+    chunks = chunks.withColumn("__new", F.when(last.isNull() | (F.col("__lo") - last > gap), F.lit(1)).otherwise(F.lit(0)))
+    start = F.coalesce(F.sum(F.col("__new") + F.col("__n")).over(wc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    chunks = chunks.select(*keys, c, (start + F.col("__new")).alias("__start"))
+    return _same(s, chunks, [*keys, c], "inner").select(*keys, b, (F.col("__start") + F.col("__run")).alias("__base"))
+
+
 def islands(df: DataFrame, ts: str, gap_seconds: int, keys: Sequence[str] = (),
             bucket_seconds: int = 60, session_col: str = "session_id") -> DataFrame:
     """Tag every row with a session number per ``keys``.
@@ -71,18 +111,10 @@ def islands(df: DataFrame, ts: str, gap_seconds: int, keys: Sequence[str] = (),
     #    no part (their session stays NULL)
     s = x.where(F.col(b).isNotNull()).groupBy(*keys, b).agg(F.min(us).alias("__bmin"), F.max(us).alias("__bmax"),
                                F.sum("__inner_break").alias("__nbreaks"))
-    w_b = Window.partitionBy(*keys).orderBy(b)
-    prev_max = F.lag("__bmax").over(w_b)
-    s = s.withColumn("__bucket_break",
-                     F.when(prev_max.isNull() | (F.col("__bmin") - prev_max > gap), F.lit(1)).otherwise(F.lit(0)))
-    # sessions started before this bucket = all breaks of earlier buckets
-    s = s.withColumn("__offset",
-                     F.sum(F.col("__bucket_break") + F.col("__nbreaks")).over(
-                         w_b.rowsBetween(Window.unboundedPreceding, -1)))
-    s = s.select(*keys, b, (F.coalesce("__offset", F.lit(0)) + F.col("__bucket_break")).alias("__base"))
+    s = _number(s, keys, b, "__bmin", "__bmax", gap, "__nbreaks")
 
     # 3. session number = bucket base + running inner breaks (no second sort)
-    x = x.join(s, [*keys, b], "left")
+    x = _same(x, s, [*keys, b], "left")
     x = x.withColumn(session_col, (F.col("__base") + F.col("__run")).cast("long"))
     return x.drop(us, b, "__inner_break", "__run", "__base")
 
@@ -144,21 +176,25 @@ def session_totals(df: DataFrame, ts: str, gap_seconds: int, keys: Sequence[str]
     fine = x.groupBy(*keys, b, *by).agg(F.min(us).alias("__min"), F.max(us).alias("__max"),
                                         F.count(F.lit(1)).alias("__n"),
                                         *[F.sum(c).alias(f"__s{i}") for i, c in enumerate(sums)])
+    return totals_of_buckets(fine, b, gap, keys, by, count_name, sum_names, naive)
+
+
+def totals_of_buckets(fine: DataFrame, b: str, gap: int, keys: Sequence[str], by: Sequence[str], count_name: str,
+                      sum_names: Sequence[str], naive: bool) -> DataFrame:
+    """Session totals from summaries ``(*keys, bucket, *by, __min, __max, __n,
+    __s0 ..)``, one row per (key, bucket, by); times and ``gap`` in micros."""
+    keys, by = list(keys), list(by)
     buckets = fine.groupBy(*keys, b).agg(F.min("__min").alias("__bmin"), F.max("__max").alias("__bmax")) \
         if by else fine.select(*keys, b, F.col("__min").alias("__bmin"), F.col("__max").alias("__bmax"))
-    w_b = Window.partitionBy(*keys).orderBy(b)
-    prev_max = F.lag("__bmax").over(w_b)
-    brk = F.when(prev_max.isNull() | (F.col("__bmin") - prev_max > gap), F.lit(1)).otherwise(F.lit(0))
-    sid = buckets.withColumn("__brk", brk).withColumn(
-        "__sid", F.sum("__brk").over(w_b.rowsBetween(Window.unboundedPreceding, 0))).select(*keys, b, "__sid")
-    tagged = fine.join(sid, [*keys, b], "inner")
+    sid = _number(buckets, keys, b, "__bmin", "__bmax", gap).withColumnRenamed("__base", "__sid")
+    tagged = _same(fine, sid, [*keys, b], "inner")
     per = tagged.groupBy(*keys, "__sid", *by).agg(
         F.min("__min").alias("__start"), F.max("__max").alias("__last"), F.sum("__n").alias(count_name),
         *[F.sum(f"__s{i}").alias(n) for i, n in enumerate(sum_names)])
     if by:
         # a session's start and end span all its ``by`` groups
         bounds = tagged.groupBy(*keys, "__sid").agg(F.min("__min").alias("__gmin"), F.max("__max").alias("__gmax"))
-        per = (per.join(bounds, [*keys, "__sid"], "inner")
+        per = (_same(per, bounds, [*keys, "__sid"], "inner")
                   .withColumn("__start", F.col("__gmin")).withColumn("__last", F.col("__gmax")))
     return per.select(*keys, _from_micros(F.col("__start"), naive).alias("session_start"),
                       _from_micros(F.col("__last") + F.lit(gap), naive).alias("session_end"),

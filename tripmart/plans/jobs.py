@@ -18,6 +18,7 @@ from tripmart.functions import columns as C
 from tripmart.operators import materialize as M
 from tripmart.operators import quality as Q
 from tripmart.operators.dedupe import dedupe_any
+from tripmart.operators.joins import broadcast_if_small
 from tripmart.operators.project import fields_with_default
 from tripmart.operators.table_store import TableStore
 from tripmart.plans import marts
@@ -45,15 +46,16 @@ def monthly_elt(spark: SparkSession, csv_paths: str | Sequence[str], file_column
 
 # -------------------------------------------------------------------- E03
 
-def fct_trips_incremental(spark: SparkSession, sf_dir: str, target: TableStore,
+def fct_trips_incremental(trips: DataFrame, zone: DataFrame, target: TableStore,
                           lookback: dt.timedelta | None = None) -> None:
     """Incremental fact: only trips newer than the fact's latest pickup (plus
-    an optional ``lookback`` for late rows) are merged on ``trip_id``; new
-    columns are appended to the table schema."""
-    fct = marts.fct_trips(spark, sf_dir)
+    an optional ``lookback`` for late rows) are read, built and merged on
+    ``trip_id``; new columns are appended to the table schema.  Pickup time is
+    part of the trip key, so filtering the source first drops no duplicate's
+    better row."""
     if target.exists():
-        fct = M.high_water_filter(fct, target.read(), "pickup_datetime", lookback)
-    target.merge_upsert(fct, ["trip_id"], add_columns=True)
+        trips = M.high_water_filter(trips, target.read(), "pickup_datetime", lookback)
+    target.merge_upsert(marts.fct_trips(trips, zone), ["trip_id"], add_columns=True)
 
 
 FCT_CHECKS = [Q.unique("trip_id"), Q.not_null("trip_id"), Q.accepted_values("service_type", ["Green", "Yellow"])]
@@ -61,8 +63,9 @@ FCT_CHECKS = [Q.unique("trip_id"), Q.not_null("trip_id"), Q.accepted_values("ser
 
 # -------------------------------------------------------------------- E06
 
-REPORT_CHECKS = [Q.primary_key("pickup_date", "pickup_location_id"), Q.non_negative("trips_count"),
-                 Q.non_negative("total_fare"), Q.not_null("pickup_date")]
+REPORT_CHECKS = [Q.not_null("pickup_date"), Q.primary_key("pickup_date", "pickup_location_id"),
+                 Q.non_negative("trips_count"), Q.non_negative("total_fare"), Q.non_negative("total_tip"),
+                 Q.non_negative("avg_trip_distance")]
 
 
 def staged_daily_report(trips: DataFrame, payments: DataFrame, staging: TableStore, report: TableStore,
@@ -70,19 +73,25 @@ def staged_daily_report(trips: DataFrame, payments: DataFrame, staging: TableSto
     """Append -> interval staging -> daily report, with checks.
 
     Staging keeps, for ``[start, end)``, the trips that have a known payment
-    type, one per (vendor, times, locations); the report is rebuilt for the
-    same days from staging.  Both replacements are ``time_interval``
+    type, one per (vendor, times, locations); the report is rebuilt, for every
+    day the window touches, from all of that day's staged rows, so a window may
+    begin or end inside a day.  Both replacements are ``time_interval``
     rewrites of only the touched partitions.  The report's checks run in one
-    pass and stop the job on a violation.  Returns the check report.
+    pass over the replaced days and stop the job on a violation.  Returns the
+    check report.
     """
+    if end <= start:
+        raise ValueError("an empty window")
+    first, after = start.date(), (end - dt.timedelta(microseconds=1)).date() + dt.timedelta(days=1)
     window = trips.where(M.in_window(F.col("pickup_datetime"), start, end))
-    stg = window.join(F.broadcast(payments), window.payment_type == payments.payment_type_id, "inner") \
+    stg = window.join(broadcast_if_small(payments), window.payment_type == payments.payment_type_id, "inner") \
                 .drop("payment_type_id")
     stg = dedupe_any(stg, marts.STG_KEYS).withColumn("pickup_date", F.to_date("pickup_datetime"))
     staging.replace_interval(stg, "pickup_datetime", start, end)
-    staged = staging.read().where(M.in_window(F.col("pickup_datetime"), start, end))
-    report.replace_interval(marts.daily_location_report(staged), "pickup_date", start.date(), end.date())
-    checks = Q.run_checks(report.read(), REPORT_CHECKS)
+    days = M.in_window(F.col("pickup_date"), first, after)
+    staged = staging.read().where(days)
+    report.replace_interval(marts.daily_location_report(staged), "pickup_date", first, after)
+    checks = Q.run_checks(report.read().where(days), REPORT_CHECKS)
     return Q.assert_passing(checks)
 
 

@@ -19,7 +19,6 @@ from tripmart.operators.joins import broadcast_if_small, role_playing
 from tripmart.operators.project import conform, rename, with_constants
 from tripmart.operators.union import union_all
 from tripmart.plans.trips import payment_lookup, trips, zones
-from tripmart.sources.tables import table
 
 MONEY = T.DecimalType(18, 2)
 
@@ -119,24 +118,28 @@ CENTS_COLUMNS = ["fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount"
                  "total_amount"]
 
 
-def int_trips(spark: SparkSession, sf_dir: str, dedupe_keys=("orderkey", "linenumber"),
-              money_in_cents: bool = True) -> DataFrame:
-    """Enriched, de-duplicated trips: surrogate key, payment label, duration;
-    first row per key by dropoff time.
+# A trip is one vendor's pickup at a time and place, per service (fixed value).
+TRIP_KEYS = ("vendor_id", "pickup_datetime", "pickup_location_id", "service_type")
 
-    ``money_in_cents`` keeps the reference's conversion of the money columns
-    by ``/100`` to ``decimal(16,2)`` (it treats the amounts as cents);
-    ``ehail_fee`` passes through unchanged, as there.
+
+def int_trips(t: DataFrame, dedupe_keys=TRIP_KEYS, money_in_cents: bool = True) -> DataFrame:
+    """Enriched, de-duplicated trips of both services: surrogate key over
+    ``dedupe_keys``, payment label, duration; first row per key by dropoff time.
+
+    ``money_in_cents`` keeps the conversion of the money columns by ``/100`` to
+    ``decimal(16,2)`` (the amounts are taken as cents); ``ehail_fee`` passes
+    through unchanged.  A filter on a key column commutes with the
+    de-duplication, so callers may put it on ``t`` (or on the result: the
+    planner pushes it down).
     """
-    t = trips(spark, sf_dir)
     if money_in_cents:
         t = t.withColumns({c: C.cents_to_dollars(c) for c in CENTS_COLUMNS})
-    t = t.withColumns({
-        "trip_id": C.surrogate_key("orderkey", "linenumber"),
+    t = dedupe_first(t, list(dedupe_keys), ["dropoff_datetime"])
+    return t.withColumns({
+        "trip_id": C.surrogate_key(*dedupe_keys),
         "payment_description": C.payment_description("payment_type"),
         "trip_minutes": C.minutes_between("pickup_datetime", "dropoff_datetime"),
     })
-    return dedupe_first(t, list(dedupe_keys), ["dropoff_datetime"])
 
 
 FCT_COLUMNS = ["trip_id", "vendor_id", "service_type", "pickup_location_id", "pickup_borough", "pickup_zone",
@@ -146,10 +149,10 @@ FCT_COLUMNS = ["trip_id", "vendor_id", "service_type", "pickup_location_id", "pi
                "payment_type", "payment_description"]
 
 
-def fct_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fct_trips(trips: DataFrame, zone: DataFrame, dedupe_keys=TRIP_KEYS) -> DataFrame:
     """Fact: deduped trips left-joined to the zone dimension twice."""
-    t = int_trips(spark, sf_dir).withColumnRenamed("trip_minutes", "trip_duration_minutes")
-    f = role_playing(t, zones(spark, sf_dir), "location_id",
+    t = int_trips(trips, dedupe_keys).withColumnRenamed("trip_minutes", "trip_duration_minutes")
+    f = role_playing(t, zone, "location_id",
                      {"pickup": "pickup_location_id", "dropoff": "dropoff_location_id"}, ["zone", "borough"])
     return f.select(*FCT_COLUMNS)
 
@@ -197,6 +200,3 @@ def daily_location_report(stg: DataFrame) -> DataFrame:
                     F.round(F.avg(F.coalesce(F.col("passenger_count").cast("double"), F.lit(0.0))), 4)
                      .alias("avg_passengers")))
 
-
-def lineitem_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem")

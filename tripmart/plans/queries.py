@@ -344,11 +344,9 @@ def q_stg_trips_lookup(spark, d):
 
 
 @register("orphan_keys", """
-SELECT COUNT(*) AS n FROM lineitem
-WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 20)""")
+SELECT COUNT(*) AS n FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer)""")
 def q_orphan_keys(spark, d):
-    s = table(spark, d, "supplier").where(F.col("s_nationkey") < 20)
-    return _count(not_in(table(spark, d, "lineitem").select("l_suppkey"), "l_suppkey", s, "s_suppkey"))
+    return _count(not_in(table(spark, d, "events").select("user_id"), "user_id", table(spark, d, "customer"), "c_custkey"))
 
 
 def _pickup_zone_trips(spark, d):
@@ -433,17 +431,18 @@ _INT_TRIPS_SQL = """
 trips_c AS (SELECT * REPLACE ({cents}) FROM trips),
 int_trips AS (
   SELECT * EXCLUDE (rn) FROM (
-    SELECT *, md5(concat_ws('-', coalesce(CAST(orderkey AS VARCHAR), '{tok}'), coalesce(CAST(linenumber AS VARCHAR), '{tok}'))) AS trip_id,
+    SELECT *, md5(concat_ws('-', {key})) AS trip_id,
       CASE payment_type {pay} ELSE 'Unknown' END AS payment_description,
       CAST(date_diff('second', pickup_datetime, dropoff_datetime) / 60.0 AS DECIMAL(18,4)) AS trip_duration_minutes,
-      row_number() OVER (PARTITION BY orderkey, linenumber ORDER BY dropoff_datetime NULLS FIRST, {rest}) AS rn
+      row_number() OVER (PARTITION BY {keys} ORDER BY dropoff_datetime NULLS FIRST, {rest}) AS rn
     FROM trips_c) WHERE rn = 1
-)""".format(tok=C.SURROGATE_NULL_TOKEN,
+)""".format(key=", ".join(f"coalesce(CAST({c} AS VARCHAR), '{C.SURROGATE_NULL_TOKEN}')" for c in marts.TRIP_KEYS),
+            keys=", ".join(marts.TRIP_KEYS),
             cents=", ".join(f"CAST({c} * 0.01 AS DECIMAL(16,2)) AS {c}" for c in marts.CENTS_COLUMNS),
             pay=" ".join(f"WHEN {k} THEN '{v}'" for k, v in sorted(C.PAYMENT_LABELS.items())),
             rest=", ".join(f"{c} NULLS FIRST" for c in (
-                "vendor_id", "service_type", "payment_type", "trip_type", "passenger_count", "pickup_datetime",
-                "pickup_location_id", "dropoff_location_id", "trip_distance", "fare_amount", "extra", "mta_tax",
+                "orderkey", "linenumber", "payment_type", "trip_type", "passenger_count",
+                "dropoff_location_id", "trip_distance", "fare_amount", "extra", "mta_tax",
                 "tip_amount", "tolls_amount", "improvement_surcharge", "ehail_fee", "total_amount")))
 
 _FCT_SQL = """
@@ -471,12 +470,12 @@ monthly AS (
 
 @register("fct_trips", W("SELECT * FROM fct", TRIPS, ZONES, _INT_TRIPS_SQL, _FCT_SQL))
 def q_fct_trips(spark, d):
-    return marts.fct_trips(spark, d)
+    return marts.fct_trips(trips(spark, d), zones(spark, d))
 
 
 @register("monthly_zone_revenue", W("SELECT * FROM monthly", TRIPS, ZONES, _INT_TRIPS_SQL, _FCT_SQL, _MONTHLY_SQL))
 def q_monthly_zone_revenue(spark, d):
-    return marts.monthly_zone_revenue(marts.fct_trips(spark, d))
+    return marts.monthly_zone_revenue(marts.fct_trips(trips(spark, d), zones(spark, d)))
 
 
 @register("rollup_of_report", W("""
@@ -484,8 +483,10 @@ SELECT pickup_zone, CAST(SUM(coalesce(revenue_monthly_total_amount, 0)) AS DECIM
 WHERE service_type = 'Green' AND year(revenue_month) = 1997
 GROUP BY pickup_zone ORDER BY revenue DESC, pickup_zone LIMIT 1""", TRIPS, ZONES, _INT_TRIPS_SQL, _FCT_SQL, _MONTHLY_SQL))
 def q_rollup_of_report(spark, d):
-    m = marts.monthly_zone_revenue(marts.fct_trips(spark, d))
-    m = m.where((F.col("service_type") == "Green") & (F.year("revenue_month") == 1997))
+    # pickup time and service are part of the trip key: the filter goes below the
+    # de-duplication, to the scans, without changing the report
+    t = trips(spark, d, services=("Green",)).where(M.in_window(F.col("pickup_datetime"), ts("1997-01-01"), ts("1998-01-01")))
+    m = marts.monthly_zone_revenue(marts.fct_trips(t, zones(spark, d)))
     return (m.groupBy("pickup_zone")
              .agg(F.sum(F.coalesce("revenue_monthly_total_amount", F.lit(0))).cast("decimal(38,2)").alias("revenue"))
              .orderBy(F.desc("revenue"), "pickup_zone").limit(1))
@@ -627,12 +628,12 @@ _T96 = "pickup_datetime < TIMESTAMP '1997-01-01 00:00:00'"
 
 
 @register("mat_append", W("""
-SELECT COUNT(*) AS n, CAST(SUM(total_amount) AS DECIMAL(38,2)) AS total FROM (
-  SELECT * FROM trips WHERE year(pickup_datetime) = 1996 UNION ALL
-  SELECT * FROM trips WHERE year(pickup_datetime) = 1997)""", TRIPS))
+SELECT COUNT(*) AS n, CAST(SUM(total_amount) AS DECIMAL(38,2)) AS total FROM trips""", TRIPS))
 def q_mat_append(spark, d):
+    # everything before 1996, then everything else (rows without a time too) appended
     t = trips(spark, d, locations=False)
-    return _agg_cs(M.append(t.where(F.year("pickup_datetime") == 1996), t.where(F.year("pickup_datetime") == 1997)))
+    old = F.col("pickup_datetime") < ts("1996-01-01")
+    return _agg_cs(M.append(t.where(old), t.where((F.col("pickup_datetime") >= ts("1996-01-01")) | F.col("pickup_datetime").isNull())))
 
 
 @register("merge_insert_only", W(f"""
@@ -742,18 +743,16 @@ def q_backfill_months(spark, d):
 
 @register("partition_prune_distinct", W("""
 SELECT DISTINCT vendor_id FROM trips
-WHERE CAST(dropoff_datetime AS DATE) BETWEEN DATE '1998-03-01' AND DATE '1998-03-15'""", TRIPS))
+WHERE dropoff_datetime >= TIMESTAMP '1998-03-01 00:00:00' AND dropoff_datetime < TIMESTAMP '1998-03-16 00:00:00'""", TRIPS))
 def q_partition_prune_distinct(spark, d):
     """Write a copy partitioned by dropoff date and clustered by vendor, then
-    read a date range: only the matching partition folders are opened."""
-    import uuid
+    read a time range: the reader derives the dates, so only their folders are opened."""
     from tripmart.operators.table_store import write_partitioned
-    from tripmart.session import scratch_path
-    path = scratch_path(spark, f"partitioned/{uuid.uuid4().hex}")
+    from tripmart.sources.files import read_time_range
+    path = _scratch(spark, "partitioned")
     write_partitioned(trips(spark, d, locations=False), path, "dropoff_date", "dropoff_datetime", ["vendor_id"])
-    p = spark.read.parquet(path)
-    return (p.where(F.col("dropoff_date").between(dt.date(1998, 3, 1), dt.date(1998, 3, 15)))
-             .select("vendor_id").distinct())
+    p = read_time_range(spark, path, "dropoff_datetime", ts("1998-03-01"), ts("1998-03-16"), "dropoff_date")
+    return p.select("vendor_id").distinct()
 
 
 # =========================== event-time windows ==============================
@@ -918,12 +917,10 @@ def q_dq_report(spark, d):
 
 
 @register("dq_relationships", """
-SELECT 'relationships' AS "check", 'l_suppkey' AS "column", COUNT(*) AS violations FROM lineitem
-WHERE l_suppkey IS NOT NULL
-  AND l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 20 AND s_suppkey IS NOT NULL)""")
+SELECT 'relationships' AS "check", 'user_id' AS "column", COUNT(*) AS violations FROM events
+WHERE user_id IS NOT NULL AND user_id NOT IN (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL)""")
 def q_dq_relationships(spark, d):
-    parent = table(spark, d, "supplier").where(F.col("s_nationkey") < 20)
-    return Q.relationships(table(spark, d, "lineitem"), "l_suppkey", parent, "s_suppkey")
+    return Q.relationships(table(spark, d, "events"), "user_id", table(spark, d, "customer"), "c_custkey")
 
 
 def queries() -> dict[str, Query]:
@@ -943,7 +940,7 @@ def _event_stream(spark, d, max_files=None):
     from tripmart.streaming.jobs import read_events
     schema = events(spark, d).schema
     return read_events(spark, schema, path=f"{d.rstrip('/')}/event[s].parquet", fmt="parquet",
-                       max_per_trigger=max_files)
+                       max_files=max_files)
 
 
 @register("stream_pass_through", "SELECT event_id, ts, user_id, value FROM events")
@@ -1112,15 +1109,18 @@ SELECT s.session_start, s.session_end, CAST(i.user_id AS BIGINT) AS location, CO
        CAST(SUM(CAST(i.value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_amount
 FROM isl i JOIN (SELECT sid, MIN(ts) AS session_start, MAX(ts) + INTERVAL 5 MINUTE AS session_end
                  FROM isl GROUP BY sid) s ON i.sid = s.sid
-WHERE s.session_end <= {_WM}
 GROUP BY 1, 2, 3""", _ISLANDS.replace("PARTITION BY {p} ", "").format()))
 def q_stream_session_global_by_key(spark, d):
-    from tripmart.streaming.global_sessions import global_sessions_by_location
+    from tripmart.operators.table_store import TableStore
+    from tripmart.streaming.global_sessions import PARTITIONS, global_sessions, start_summaries
     from tripmart.streaming.jobs import with_event_time
     s = with_event_time(_event_stream(spark, d), "ts", "5 seconds")
-    r = _run_to_table(spark, global_sessions_by_location(s, "ts", "user_id", "value", 300), "global_sessions").read()
-    # the operator sums doubles; every amount has two decimals, so rounding to
-    # cents recovers the exact decimal sum
+    store = TableStore(spark, _scratch(spark, "stream_tables"), PARTITIONS)
+    start_summaries(s, store, "ts", "user_id", "value", available_now=True).awaitTermination()
+    r = global_sessions(store.read(), 300)
     return r.select(C.instant_to_naive("session_start").alias("session_start"),
-                    C.instant_to_naive("session_end").alias("session_end"), "location", "num_events",
-                    F.round("total_amount", 2).cast("decimal(38,2)").alias("total_amount"))
+                    C.instant_to_naive("session_end").alias("session_end"), "location", "num_events", "total_amount")
+
+
+# the strategies on stored tables, registered by their own module
+from tripmart.plans import storage_queries  # noqa: E402,F401

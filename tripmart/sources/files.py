@@ -14,17 +14,40 @@ from pyspark.sql import types as T
 from tripmart.operators.project import conform
 
 
+def _csv_reader(spark: SparkSession, ts_format: str, null_value: str | None):
+    """Typed CSV that stops on a value its column's type cannot hold."""
+    r = (spark.read.option("timestampFormat", ts_format).option("timestampNTZFormat", ts_format).option("mode", "FAILFAST"))
+    return r if null_value is None else r.option("nullValue", null_value)
+
+
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str,
              ts_format: str = "yyyy-MM-dd HH:mm:ss", header: bool = True, null_value: str | None = None,
-             min_partitions: int | None = None) -> DataFrame:
-    """Typed CSV (optionally gzip) scan; no inference pass.  A gzip file is
-    not splittable and arrives as one partition, so ``min_partitions``
-    redistributes it after the read."""
-    r = (spark.read.schema(schema).option("header", header).option("timestampFormat", ts_format)
-         .option("timestampNTZFormat", ts_format).option("mode", "PERMISSIVE"))
-    if null_value is not None:
-        r = r.option("nullValue", null_value)
-    df = r.csv(path)
+             min_partitions: int | None = None, trim: bool = False) -> DataFrame:
+    """Typed CSV (optionally gzip) scan; no inference pass.
+
+    With a header the schema's columns are found by name, in whatever order
+    the files have them; columns the schema lacks are skipped, a schema column
+    that the header lacks is an error, and so are files whose headers differ.
+    Without one they are taken by position.  A value that does not parse is an
+    error (see :func:`external_csv` for the lenient form); ``trim`` takes blanks
+    off around unquoted values first.  A gzip file is not
+    splittable and arrives as one partition, so ``min_partitions``
+    redistributes it after the read.
+    """
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    r = _csv_reader(spark, ts_format, null_value)
+    r = r.option("ignoreLeadingWhiteSpace", trim).option("ignoreTrailingWhiteSpace", trim)
+    if header:
+        names = spark.read.option("header", True).csv(path).columns
+        if missing := [f.name for f in schema.fields if f.name not in names]:
+            raise ValueError(f"columns not in the header: {missing}")
+        types = {f.name: f.dataType for f in schema.fields}
+        in_file = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
+        # each file's own header is held against the schema it is read with
+        df = r.schema(in_file).option("header", True).option("enforceSchema", False).csv(path)
+        df = df.select(*[F.col(f"`{f.name}`") for f in schema.fields])
+    else:
+        df = r.schema(schema).csv(path)
     if min_partitions:
         df = df.repartition(min_partitions)
     return df
@@ -45,11 +68,12 @@ def external_csv(spark: SparkSession, path: str | Sequence[str], schema: T.Struc
 def copy_in(spark: SparkSession, path: str, file_columns: Sequence[str], table_schema: T.StructType,
             ts_format: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
     """COPY a CSV into an explicit column list of a wider table: the file's
-    columns are read by position under the given names, the table's other
-    columns are NULL."""
+    columns are read by position under the given names (its header line is
+    skipped unread), the table's other columns are NULL, and a value that does
+    not parse stops the load."""
     file_schema = T.StructType([T.StructField(c, table_schema[c].dataType) if c in table_schema.names
                                 else T.StructField(c, T.StringType()) for c in file_columns])
-    df = read_csv(spark, path, file_schema, ts_format)
+    df = _csv_reader(spark, ts_format, None).schema(file_schema).option("header", True).csv(path)
     return conform(df, table_schema)
 
 
@@ -85,6 +109,16 @@ def read_partition(spark: SparkSession, root: str, **equals) -> DataFrame:
     return df
 
 
+def read_time_range(spark: SparkSession, root: str, ts: str, start: dt.datetime, end: dt.datetime,
+                    date_col: str) -> DataFrame:
+    """Rows with ``start <= ts < end`` of a table partitioned by the date of
+    ``ts`` in ``date_col``: the dates follow from the range, so a filter on the
+    timestamp alone opens only the folders it can match."""
+    last = (end - dt.timedelta(microseconds=1)).date()
+    return spark.read.parquet(root).where(
+        F.col(date_col).between(F.lit(start.date()), F.lit(last)) & (F.col(ts) >= F.lit(start)) & (F.col(ts) < F.lit(end)))
+
+
 def read_json_array(spark: SparkSession, path: str | Sequence[str], field: str,
                     schema: T.StructType | None = None, keep: Sequence[str] | None = None,
                     multi_line: bool = True, parents: Sequence[str] = ()) -> DataFrame:

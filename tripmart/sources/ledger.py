@@ -9,19 +9,20 @@ from tripmart.operators.table_store import TableStore
 
 
 def listing(spark: SparkSession, pattern: str) -> DataFrame:
-    """``file_name, file_size`` of the files matching ``pattern`` (only the
-    file metadata is read, never the content)."""
+    """``file_path, file_size`` of the files matching ``pattern`` (only the
+    file metadata is read, never the content).  Files are known by their whole
+    path: two folders may hold files of one name."""
     return (spark.read.format("binaryFile").load(pattern)
-            .select(F.element_at(F.split("path", "/"), -1).alias("file_name"), F.col("length").alias("file_size")))
+            .select(F.col("path").alias("file_path"), F.col("length").alias("file_size")))
 
 
 def changed_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
     """Files with no ledger entry or a different recorded size."""
-    led = ledger.select(F.col("file_name").alias("__f"), F.col("file_size").alias("__s"))
-    j = files.join(led, files.file_name == led.__f, "left")
-    return j.where(F.col("__s").isNull() | (F.col("__s") != F.col("file_size"))).select("file_name", "file_size")
+    led = ledger.select(F.col("file_path").alias("__f"), F.col("file_size").alias("__s"))
+    j = files.join(led, files.file_path == led.__f, "left")
+    return j.where(F.col("__s").isNull() | (F.col("__s") != F.col("file_size"))).select("file_path", "file_size")
 
 
 def record(store: TableStore, loaded: DataFrame) -> None:
     """Upsert the loaded files' sizes into the ledger table."""
-    store.merge_upsert(loaded.select("file_name", "file_size"), ["file_name"])
+    store.merge_upsert(loaded.select("file_path", "file_size"), ["file_path"])

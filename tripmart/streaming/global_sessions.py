@@ -1,111 +1,61 @@
-"""Streaming session windows over ALL events (no partition key), reported per
-location: one global session is open while any event arrives within ``gap``
-of the previous one; when it closes, one row per location is emitted with
-the location's event count and amount sum inside that session.
+"""Session windows over ALL events (no partition key), reported per location.
 
 Spark's ``session_window`` needs a grouping key and would give per-location
-sessions instead, so this is a custom stateful operator
-(``applyInPandasWithState``).  Per micro-batch the rows are sorted and cut
-into islands with numpy (vectorised); only the island summaries are merged
-with the open sessions kept in state.  State holds the open sessions with
-per-location partial sums - bounded by the number of locations, never by the
-number of events.  A session is emitted (append mode) once the watermark
-passes its last event + gap; rows older than the watermark are dropped by
-Spark before they reach the operator.
-
-All events share one group, so the operator runs on one task: suitable for
-low event rates; per-location sessions (``session_counts`` with a key) are
-the scalable form.
+sessions.  Here the stream keeps one summary per (minute, location): first and
+last event, count, exact DECIMAL sum.  It is an ordinary keyed aggregation, so
+state and work spread over all tasks, and it upserts into a table partitioned
+by day in update mode, so that the table always holds every event that came in
+time.  Sessions are assembled from that table by the batch operators
+(:func:`global_sessions`): two events of one minute are never a gap apart, so
+summaries lose nothing, open sessions are there as soon as their first event,
+and a bounded run has all of them at its end.
+
+Events without a time belong to no session; events without a location form a
+group of their own (NULL).
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-# The operator works on epoch microseconds (long), never on pandas
-# timestamps, so neither the session time zone nor DST enters the gap or
-# watermark arithmetic; timestamps are rebuilt in Spark afterwards.
-OUTPUT = "start_us long, end_us long, location long, num_events long, total_amount double"
-STATE = "sessions string"
-
-
-def _islands(pdf: pd.DataFrame, gap_us: int) -> list[dict]:
-    """Cut one batch's rows (any order) into gap-separated islands."""
-    us = pdf["us"].to_numpy(dtype="int64")
-    order = np.argsort(us, kind="stable")
-    us = us[order]
-    loc = pdf["location"].to_numpy()[order]
-    amt = pdf["amount"].to_numpy(dtype="float64")[order]
-    brk = np.concatenate([[1], (np.diff(us) > gap_us).astype(np.int64)])
-    iid = np.cumsum(brk)
-    agg = pd.DataFrame({"i": iid, "loc": loc, "amt": amt}).groupby(["i", "loc"], sort=True).agg(
-        n=("amt", "size"), s=("amt", "sum"))
-    bounds = pd.DataFrame({"i": iid, "us": us}).groupby("i")["us"].agg(["min", "max"])
-    out = []
-    for i, row in bounds.iterrows():
-        part = agg.loc[i]
-        out.append({"start": int(row["min"]), "last": int(row["max"]),
-                    "locs": {str(k): [int(v.n), float(v.s)] for k, v in part.iterrows()}})
-    return out
-
-
-def _merge(sessions: list[dict], gap_us: int) -> list[dict]:
-    """Merge sessions (sorted by start) whose gap is at most ``gap_us``."""
-    sessions = sorted(sessions, key=lambda s: s["start"])
-    out: list[dict] = []
-    for s in sessions:
-        if out and s["start"] - out[-1]["last"] <= gap_us:
-            o = out[-1]
-            o["last"] = max(o["last"], s["last"])
-            for k, (n, v) in s["locs"].items():
-                pn, pv = o["locs"].get(k, [0, 0.0])
-                o["locs"][k] = [pn + n, pv + v]
-        else:
-            out.append({"start": s["start"], "last": s["last"], "locs": dict(s["locs"])})
-    return out
-
-
-def _rows(closed: list[dict], gap_us: int) -> pd.DataFrame:
-    recs = [(s["start"], s["last"] + gap_us, int(k), n, v)
-            for s in closed for k, (n, v) in sorted(s["locs"].items(), key=lambda kv: int(kv[0]))]
-    return pd.DataFrame(recs, columns=["start_us", "end_us", "location", "num_events", "total_amount"])
-
-
-def _make(gap_us: int):
-    def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        sessions = json.loads(state.get[0]) if state.exists else []
-        if not state.hasTimedOut:
-            for pdf in batches:
-                if len(pdf):
-                    sessions.extend(_islands(pdf, gap_us))
-            sessions = _merge(sessions, gap_us)
-        wm_us = state.getCurrentWatermarkMs() * 1000
-        closed = [s for s in sessions if s["last"] + gap_us <= wm_us]
-        still = [s for s in sessions if s["last"] + gap_us > wm_us]
-        if still:
-            state.update((json.dumps(still),))
-            state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs() + 1,
-                                          (min(s["last"] for s in still) + gap_us) // 1000 + 1))
-        elif state.exists:
-            state.remove()
-        if closed:
-            yield _rows(closed, gap_us)
-    return step
-
-
-def global_sessions_by_location(events: DataFrame, ts: str, location: str, amount: str,
-                                gap_seconds: int = 300) -> DataFrame:
-    """Apply to a watermarked stream (``with_event_time``); run in append mode."""
-    x = events.select(F.lit(0).alias("__g"), F.col(ts), F.unix_micros(F.col(ts)).alias("us"),
-                      F.col(location).cast("long").alias("location"), F.col(amount).cast("double").alias("amount"))
-    out = x.groupBy("__g").applyInPandasWithState(_make(gap_seconds * 1_000_000), OUTPUT, STATE, "append",
-                                                   GroupStateTimeout.EventTimeTimeout)
-    return out.select(F.timestamp_micros("start_us").alias("session_start"),
-                      F.timestamp_micros("end_us").alias("session_end"), "location", "num_events", "total_amount")
+from pyspark.sql.streaming import StreamingQuery
+
+from tripmart.operators.table_store import TableStore
+from tripmart.operators.windows import totals_of_buckets
+from tripmart.streaming.jobs import start, upsert_sink
+
+MINUTE = 60_000_000
+#: A NULL key would never match in an upsert, so the table holds the location as text with this for NULL.
+NO_LOCATION = ""
+PARTITIONS = ["day"]
+
+
+def minute_summaries(events: DataFrame, ts: str, location: str, amount: str) -> DataFrame:
+    """``(day, bucket, location, __min, __max, __n, __s0)`` per minute and location of a watermarked stream."""
+    x = events.where(F.col(ts).isNotNull()).select(
+        ts, F.coalesce(F.col(location).cast("string"), F.lit(NO_LOCATION)).alias("location"),
+        F.col(amount).cast("decimal(18,2)").alias("amount"))
+    us = F.unix_micros(F.col(ts))
+    g = x.groupBy(F.window(F.col(ts), "1 minute").alias("w"), "location").agg(
+        F.min(us).alias("__min"), F.max(us).alias("__max"), F.count(F.lit(1)).alias("__n"),
+        F.sum("amount").cast("decimal(38,2)").alias("__s0"))
+    bucket = F.floor(F.unix_micros("w.start") / F.lit(MINUTE)).alias("bucket")
+    return g.select(F.date_from_unix_date(F.floor(F.unix_micros("w.start") / F.lit(86_400_000_000)).cast("int")).alias("day"),
+                    bucket, "location", "__min", "__max", "__n", "__s0")
+
+
+def start_summaries(events: DataFrame, target: TableStore, ts: str, location: str, amount: str,
+                    name: str = "minute_summaries", **start_kw) -> StreamingQuery:
+    """Keep ``target`` (partitioned by :data:`PARTITIONS`) up to date with the stream's summaries."""
+    return start(minute_summaries(events, ts, location, amount), mode="update",
+                 sink=upsert_sink(target, ["bucket", "location"], name), **start_kw)
+
+
+def global_sessions(summaries: DataFrame, gap_seconds: int = 300) -> DataFrame:
+    """``(session_start, session_end, location, num_events, total_amount)`` of all sessions, the open one included."""
+    if gap_seconds < 60:
+        raise ValueError("summaries are per minute: the gap must be a minute at least")
+    out = totals_of_buckets(summaries.drop("day"), "bucket", gap_seconds * 1_000_000, [], ["location"], "num_events",
+                            ["total_amount"], naive=False)
+    return out.withColumns({"location": F.nullif(F.col("location"), F.lit(NO_LOCATION)).cast("long"),
+                            "total_amount": F.col("total_amount").cast("decimal(38,2)")})

@@ -28,27 +28,28 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 def read_events(spark: SparkSession, schema: T.StructType, *, kafka_servers: str | None = None,
                 topic: str | None = None, path: str | None = None, fmt: str = "json",
-                starting: str = "earliest", max_per_trigger: int | None = None) -> DataFrame:
+                starting: str = "earliest", max_offsets: int | None = None, max_files: int | None = None) -> DataFrame:
     """Typed event stream.
 
     Kafka: the message ``value`` is JSON parsed with ``schema`` (declared, no
     inference); ``starting`` is ``earliest`` or ``latest``; Kafka metadata
     columns (topic, partition, offset, timestamp) are kept.  Files: a
     directory (or glob) of ``fmt`` files with the same schema.
-    ``max_per_trigger`` caps a micro-batch (offsets or files).
+    ``max_offsets`` (Kafka rows) or ``max_files`` bounds a micro-batch; the
+    rest is read by the next ones.
     """
     if kafka_servers:
         r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", kafka_servers)
              .option("subscribe", topic).option("startingOffsets", starting))
-        if max_per_trigger:
-            r = r.option("maxOffsetsPerTrigger", max_per_trigger)
+        if max_offsets:
+            r = r.option("maxOffsetsPerTrigger", max_offsets)
         raw = r.load()
         return raw.select("topic", "partition", "offset", F.col("timestamp").alias("kafka_ts"),
                           from_json_text(F.col("value").cast("string"), schema).alias("e")).select(
             "topic", "partition", "offset", "kafka_ts", "e.*")
     r = spark.readStream.schema(schema)
-    if max_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_per_trigger)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
     if fmt == "json":
         r = r.options(**JSON_TS_OPTIONS)
     return r.format(fmt).load(path)
@@ -103,15 +104,13 @@ def tumbling_counts(df: DataFrame, ts: str, size: str, keys: Sequence[str], aggs
 
 
 def session_counts(df: DataFrame, ts: str, gap: str, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
-    """Session windows per key.  With no key a constant key is used (global
-    sessions): all state then lives on one task, so keep that for low rates."""
+    """Session windows per key.  Sessions over all events have no key to
+    spread by: see :mod:`tripmart.streaming.global_sessions`."""
     if not keys:
-        df = df.withColumn("__all", F.lit(0))
-        keys = ["__all"]
+        raise ValueError("session windows need a key; use tripmart.streaming.global_sessions for all events")
     g = df.groupBy(*keys, F.session_window(F.col(ts), gap).alias("sw")).agg(*aggs)
-    out = g.select(*keys, F.col("sw.start").alias("session_start"), F.col("sw.end").alias("session_end"),
-                   *[c for c in g.columns if c not in (*keys, "sw")])
-    return out.drop("__all")
+    return g.select(*keys, F.col("sw.start").alias("session_start"), F.col("sw.end").alias("session_end"),
+                    *[c for c in g.columns if c not in (*keys, "sw")])
 
 
 def running_count(df: DataFrame, predicate: Column, name: str = "n") -> DataFrame:
@@ -121,26 +120,43 @@ def running_count(df: DataFrame, predicate: Column, name: str = "n") -> DataFram
 
 # ------------------------------------------------------------------- sinks
 
+def _marker(name: str, batch: DataFrame, batch_id: int) -> str:
+    """Commit marker of a micro-batch.  Batch ids restart with every new
+    checkpoint, so the query's id, which lives in the checkpoint, is part of
+    it: only a replay of the same batch of the same query is ever skipped."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{name}-{query or 'batch'}-{batch_id}"
+
+
+def _default_checkpoint(store: TableStore, name: str) -> str:
+    """Next to the table's data, so that a job started again without naming a
+    checkpoint goes on after its last commit."""
+    return f"{store.path}/_checkpoints/{name}"
+
+
 def upsert_sink(store: TableStore, key: Sequence[str], name: str,
                 unique_source: bool = True) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` handler: keyed upsert, idempotent per batch id (a
-    replayed batch after a failure is skipped once its commit is recorded).
-    ``unique_source``: the batch is unique on ``key`` (true for the output of
-    a streaming aggregation grouped by ``key``), so no duplicate check runs."""
+    """``foreachBatch`` handler: keyed upsert, idempotent per query and batch
+    id (a replayed batch after a failure is skipped once its commit is
+    recorded).  ``unique_source``: the batch is unique on ``key`` (true for the
+    output of a streaming aggregation grouped by ``key``), so no duplicate
+    check runs."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        marker = f"{name}-{batch_id}"
+        marker = _marker(name, batch, batch_id)
         if store.committed(marker):
             return
         store.merge_upsert(batch, key, marker=marker, check_unique=not unique_source)
+    handle.checkpoint = _default_checkpoint(store, name)
     return handle
 
 
 def append_sink(store: TableStore, name: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` append, exactly once per batch id."""
+    """``foreachBatch`` append, exactly once per query and batch id."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        marker = f"{name}-{batch_id}"
+        marker = _marker(name, batch, batch_id)
         if not store.committed(marker):
             store.append(batch, marker=marker)
+    handle.checkpoint = _default_checkpoint(store, name)
     return handle
 
 
@@ -157,8 +173,12 @@ def start(df: DataFrame, *, sink: Callable[[DataFrame, int], None] | None = None
           path: str | None = None, mode: str = "append", name: str | None = None,
           checkpoint: str | None = None, processing_time: str | None = "10 seconds",
           available_now: bool = False, rocksdb: bool = True) -> StreamingQuery:
-    """Start a streaming query with a checkpoint in the shared folder.
+    """Start a streaming query.
 
+    Without ``checkpoint`` a table sink keeps it beside its table and a file
+    sink below its path, so a restart with defaults continues where the last
+    run committed; the console, which keeps nothing, starts anew each time;
+    any other sink must name one.
     ``available_now`` processes what is there and stops (tests, backfills);
     otherwise micro-batches run every ``processing_time``.
     """
@@ -166,8 +186,16 @@ def start(df: DataFrame, *, sink: Callable[[DataFrame, int], None] | None = None
     if rocksdb and not spark.conf.get("spark.sql.streaming.stateStore.providerClass", None):
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     name = name or f"q_{uuid.uuid4().hex[:8]}"
-    w = df.writeStream.outputMode(mode).queryName(name).option(
-        "checkpointLocation", checkpoint or scratch_path(spark, f"streams/{name}"))
+    if checkpoint is None:
+        if sink is not None:
+            checkpoint = getattr(sink, "checkpoint", None)
+        elif fmt == "console":
+            checkpoint = scratch_path(spark, f"streams/{name}")
+        elif path:
+            checkpoint = f"{path.rstrip('/')}/_checkpoint"
+        if checkpoint is None:
+            raise ValueError("this sink needs a checkpoint: without one a restart would read everything again")
+    w = df.writeStream.outputMode(mode).queryName(name).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     if sink is not None:
         return w.foreachBatch(sink).start()

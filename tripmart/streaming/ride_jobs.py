@@ -3,13 +3,13 @@
 
 * ``hourly_by_location``  1-hour tumbling window per pickup location: trips, revenue
 * ``hourly_tips``         1-hour tumbling window over all locations: total tip
-* ``session_streaks``     5-minute-gap sessions over all events, per location
+* ``session_streaks``     per-minute summaries from which 5-minute-gap sessions over
+                          all events are read, per location
 * ``pass_through``        projected events appended as they come
 
 Each returns a started ``StreamingQuery``.  ``events`` is a stream with an
-event-time column already watermarked (``with_event_time``).  Tumbling
-windows run in update mode into a keyed upsert table; sessions in append
-mode; every sink is idempotent per micro-batch.
+event-time column already watermarked (``with_event_time``).  Windows and
+summaries run in update mode into a keyed upsert table; every sink is idempotent per micro-batch.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tripmart.functions.columns import instant_to_naive
 from tripmart.operators.table_store import TableStore
-from tripmart.streaming.global_sessions import global_sessions_by_location
+from tripmart.streaming.global_sessions import start_summaries
 from tripmart.streaming.jobs import append_sink, start, tumbling_counts, upsert_sink
 
 
@@ -31,26 +31,31 @@ def with_window_date(agg: DataFrame) -> DataFrame:
     return agg.withColumn("window_date", F.to_date(instant_to_naive("window_start")))
 
 
+def money_sum(column: str, name: str):
+    """Exact sum of an amount: DECIMAL before it is added, never float."""
+    return F.sum(F.col(column).cast("decimal(18,2)")).cast("decimal(38,2)").alias(name)
+
+
 def hourly_by_location(events: DataFrame, target: TableStore, ts: str = "event_timestamp",
                        location: str = "pickup_location_id", amount: str = "total_amount", **start_kw) -> StreamingQuery:
     agg = tumbling_counts(events, ts, "1 hour", [location],
-                          [F.count(F.lit(1)).alias("num_trips"), F.sum(amount).alias("total_revenue")])
+                          [F.count(F.lit(1)).alias("num_trips"), money_sum(amount, "total_revenue")])
     return start(with_window_date(agg), sink=upsert_sink(target, ["window_start", location], "hourly_by_location"),
                  mode="update", **start_kw)
 
 
 def hourly_tips(events: DataFrame, target: TableStore, ts: str = "event_timestamp", tip: str = "tip_amount",
                 **start_kw) -> StreamingQuery:
-    agg = tumbling_counts(events, ts, "1 hour", [], [F.sum(tip).alias("total_tip")])
+    agg = tumbling_counts(events, ts, "1 hour", [], [money_sum(tip, "total_tip")])
     return start(with_window_date(agg), sink=upsert_sink(target, ["window_start"], "hourly_tips"), mode="update",
                  **start_kw)
 
 
 def session_streaks(events: DataFrame, target: TableStore, ts: str = "event_timestamp",
-                    location: str = "pickup_location_id", amount: str = "total_amount", gap_seconds: int = 300,
-                    **start_kw) -> StreamingQuery:
-    out = global_sessions_by_location(events, ts, location, amount, gap_seconds)
-    return start(out, sink=append_sink(target, "session_streaks"), mode="append", **start_kw)
+                    location: str = "pickup_location_id", amount: str = "total_amount", **start_kw) -> StreamingQuery:
+    """Keeps per-minute summaries in ``target`` (partitioned by ``day``);
+    :func:`tripmart.streaming.global_sessions.global_sessions` reads the sessions from them."""
+    return start_summaries(events, target, ts, location, amount, "session_streaks", **start_kw)
 
 
 def pass_through(events: DataFrame, target: TableStore, columns: list[str], **start_kw) -> StreamingQuery:
@@ -59,14 +64,14 @@ def pass_through(events: DataFrame, target: TableStore, columns: list[str], **st
 
 def consume_to_table(spark, schema, target: TableStore, *, kafka_servers: str | None = None,
                      topic: str | None = None, path: str | None = None, fmt: str = "json",
-                     max_rows: int = 1000, every: str = "5 seconds", name: str = "consumer",
-                     **start_kw) -> StreamingQuery:
-    """Consumer that writes events to a table in micro-batches of at most
-    ``max_rows`` offsets (files for a file source) every ``every``; offsets
-    are committed to the checkpoint only after the batch's table commit, and
+                     max_offsets: int | None = None, max_files: int | None = None, every: str = "5 seconds",
+                     name: str = "consumer", **start_kw) -> StreamingQuery:
+    """Consumer that writes events to a table in micro-batches every ``every``,
+    of at most ``max_offsets`` Kafka rows or ``max_files`` files if given;
+    offsets are committed to the checkpoint only after the batch's table commit, and
     the commit marker makes a replayed batch a no-op (exactly once)."""
     from tripmart.streaming.jobs import read_events
     events = read_events(spark, schema, kafka_servers=kafka_servers, topic=topic, path=path, fmt=fmt,
-                         max_per_trigger=max_rows)
+                         max_offsets=max_offsets, max_files=max_files)
     return start(events, sink=append_sink(target, name), mode="append", processing_time=every, name=name,
                  **start_kw)
