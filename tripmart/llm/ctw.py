@@ -45,9 +45,9 @@ FREQUENT = 50_000
 #: Distinct words a training task holds before it hands them on.
 WORDS = 300_000
 #: Contexts with a byte that a training task holds.
-GRAMS = 1 << 22
+GRAMS = 1 << 21
 #: Bytes handled at a time.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 END = b"\n"
 START = END * DEPTH
 LOG2 = float(np.log(2.0))
@@ -62,16 +62,18 @@ def stream(words: list[bytes]) -> bytes:
     return START + b" ".join(words) + END
 
 
-def chunks(streams: list[bytes]) -> Iterator[list[bytes]]:
-    some, size = [], 0
-    for s in streams:
-        some.append(s)
-        size += len(s)
+def slices(column: pa.Array) -> Iterator[tuple[int, list[list[bytes]]]]:
+    """(first row, tokens of each text) of rows with about CHUNK characters."""
+    at, some, size = 0, [], 0
+    for i, t in enumerate(column):
+        text = t.as_py()
+        some.append(tokens(text))
+        size += len(text or "")
         if size >= CHUNK:
-            yield some
-            some, size = [], 0
+            yield at, some
+            at, some, size = i + 1, [], 0
     if some:
-        yield some
+        yield at, some
 
 
 def positions(streams: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -115,15 +117,14 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.nulls(len(key), pa.binary()), pa.array(key.astype(np.int64)), pa.array(n)], ["word", "gram", "n"])
 
     for batch in batches:
-        split = [tokens(t.as_py()) for t in batch.column(0)]
-        for s in split:
-            words.update(s)
-            words[END] += 1
+        for _, split in slices(batch.column(0)):
+            for s in split:
+                words.update(s)
+                words[END] += 1
             if len(words) > WORDS:
                 yield of_words()
                 words.clear()
-        for some in chunks([stream(s) for s in split]):
-            key, n = np.unique(grams(some), return_counts=True)
+            key, n = np.unique(grams([stream(s) for s in split]), return_counts=True)
             keys.append(key)
             counts.append(n)
             if sum(map(len, keys)) > GRAMS:
@@ -160,7 +161,7 @@ def branching(counts: DataFrame, branch: int = BRANCH) -> list[np.ndarray]:
     for depth in range(1, DEPTH + 1):
         context = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * depth) - 1))
         often = (counts.groupBy(context.alias("context")).agg(F.sum("n").alias("n")).where(F.col("n") * branch >= total))
-        out.append(np.sort(often.select("context").toPandas()["context"].to_numpy(np.int64)))
+        out.append(np.sort(often.select("context").toArrow()["context"].to_numpy()))
     return out
 
 
@@ -216,7 +217,9 @@ def tree(counts: DataFrame, known) -> DataFrame:
         mixed = F.greatest("pe", "below") + F.log1p(F.exp(-F.abs(gap))) - LOG2
         level = stored(up.select(*NODE, mixed.alias("pw"), (1 / (1 + F.exp(F.least(-gap, F.lit(700.0))))).alias("own")), f"ctw-{depth}")
         out = out.union(level.select(F.lit(depth), F.lit(False), *NODE, "own"))
-    return out.select("depth", "rest", "context", "node", ((F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1)).alias("one"), "own")
+    one = (F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1)
+    return out.select("depth", "rest", "context", F.col("node").cast("smallint").alias("node"), one.cast("float").alias("one"),
+                      F.col("own").cast("float").alias("own"))
 
 
 @lru_cache(1)
@@ -296,26 +299,25 @@ def _score(batches: Iterator[pa.RecordBatch], model, name: str, frequent) -> Ite
     logs = {w: float(np.log10(n + 1.0)) for w, n in frequent.value.items()}
     row = TaskContext.get().partitionId() << 40
     for batch in batches:
-        sums, known, total, rest, ends, streams = [], [], [], [], [0], []
-        for t in batch.column(1):
-            words = tokens(t.as_py())
-            found = list(map(logs.get, words))
-            few = [w for w, x in zip(words, found, strict=True) if x is None]
-            sums.append(sum(x for x in found if x is not None))
-            known.append(len(words) - len(few))
-            total.append(len(words) + 1)
-            rest += few
-            ends.append(len(rest))
-            streams.append(stream(words))
-        got = [tree_model.score(some) for some in chunks(streams)]
-        n = len(batch)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(row, row + n), pa.int64()), batch.column(0), pa.array(sums, pa.float64()), pa.array(known, pa.int64()),
-             pa.array(total, pa.int64()), pa.array([len(x) - DEPTH for x in streams], pa.int64()),
-             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rest, pa.binary())),
-             pa.array(np.concatenate(got) if got else [], pa.float64())],
-            ["row", "id", "sums", "known", "n_tokens", "n_bytes", "rest", "score"])
-        row += n
+        for at, split in slices(batch.column(1)):
+            sums, known, rest, ends = [], [], [], [0]
+            for words in split:
+                found = list(map(logs.get, words))
+                few = [w for w, x in zip(words, found, strict=True) if x is None]
+                sums.append(sum(x for x in found if x is not None))
+                known.append(len(words) - len(few))
+                rest += few
+                ends.append(len(rest))
+            streams = [stream(words) for words in split]
+            n = len(split)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(row, row + n), pa.int64()), batch.column(0).slice(at, n), pa.array(sums, pa.float64()),
+                 pa.array(known, pa.int64()), pa.array([len(words) + 1 for words in split], pa.int64()),
+                 pa.array([len(x) - DEPTH for x in streams], pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rest, pa.binary())),
+                 pa.array(tree_model.score(streams), pa.float64())],
+                ["row", "id", "sums", "known", "n_tokens", "n_bytes", "rest", "score"])
+            row += n
 
 
 def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -335,12 +337,17 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     vocabulary = counts.where("gram IS NULL").select("word", "n")
     followed = counts.where("word IS NULL").select("gram", "n")
     known = branching(followed)
-    nodes = tree(followed, spark.sparkContext.broadcast(known)).toPandas()
-    by_depth = {(int(d), bool(r)): tuple(g[c].to_numpy() for c in ("context", "node", "one", "own"))
-                for (d, r), g in nodes.groupby(["depth", "rest"])}
+    nodes = stored(tree(followed, spark.sparkContext.broadcast(known)), "ctw-nodes")
+    by_depth = {}  # a depth at a time, as compact arrays: the driver holds no rows
+    for depth in range(DEPTH + 1):
+        for rest in (False, True):
+            got = nodes.where((F.col("depth") == depth) & (F.col("rest") == rest)).select("context", "node", "one", "own").toArrow()
+            if len(got):
+                by_depth[depth, rest] = tuple(got[c].to_numpy() for c in got.column_names)
     total = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     frequent = vocabulary.where((F.col("n") * FREQUENT >= total[0]) & (F.col("word") != F.lit(bytearray(END))))
-    frequent = spark.sparkContext.broadcast({bytes(r[0]): r[1] for r in frequent.collect()})
+    words = frequent.select("word", "n").toArrow()
+    frequent = spark.sparkContext.broadcast(dict(zip(words["word"].to_pylist(), words["n"].to_pylist(), strict=True)))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
     run = partial(_score, model=spark.sparkContext.broadcast((known, by_depth)), name=uuid.uuid4().hex, frequent=frequent)
     fields = f"row long, id {dict(rows.dtypes)['id']}, sums double, known long, n_tokens long, n_bytes long, rest array<binary>, score double"
