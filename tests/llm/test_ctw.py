@@ -132,3 +132,15 @@ def test_query_on_held_out_rows(spark):
     # 2 MB to learn from: near the word baseline, which the model passes on larger tables (README)
     assert sum(r.score for r in held) > 1.03 * sum(r.base_score for r in held)
     assert -sum(r.score for r in held) * math.log2(10) / sum(r.n_bytes for r in held) < 2.25
+
+
+def test_a_context_stays_however_large_the_corpus(spark, monkeypatch):
+    monkeypatch.setattr(T, "SLICE", 100_000)                       # several slices
+    passage = "quixotic zephyr jackdaw vexing kumquat"
+    words = [f"{a}{b}{c}" for a in ("ba", "lo", "mi", "tu") for b in "nrst" for c in ("el", "ig", "or", "un")]
+    filler = [" ".join(words[(i * 7 + j * j) % len(words)] for j in range(1500)) for i in range(80)]
+    rows = [(i, passage) for i in range(4)] + [(10 + i, t) for i, t in enumerate(filler)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.id: r.bits_per_byte for r in T.score(df, F.col("doc_id") != 0).collect()}
+    assert len(got) == len(rows) and sum(map(len, filler)) > 4 * (1 << 17)
+    assert got[0] < 2.5                                            # three copies learnt from

@@ -7,16 +7,21 @@ before it.
 
 Learning counts, over all training texts, each context of ``DEPTH`` bytes with
 the byte that follows.  The tree branches at every context that stands before
-at least 1/``BRANCH`` of all bytes, so it has at most ``BRANCH`` contexts of a
-length however large the corpus; the rarer continuations of a context share
-one leaf, so every count is used.  A node keeps how often its decision was 0
-and 1; its Krichevsky-Trofimov block probability is weighed against the
-product of its children's, bottom up, by Spark aggregations.  The probability
-of a decision mixes the KT estimates of all depths with the resulting weights;
-the logarithms sum to the text's code length.
-
-The weighted tree is broadcast: at most ``DEPTH * BRANCH`` contexts, of which a
-worker makes a table of 1 KB each (some tens of thousands in practice).
+at least ``LEAST`` bytes, so it grows with the corpus; the rarer continuations
+of a context share one leaf, so every count is used.  A node keeps how often
+its decision was 0 and 1; its Krichevsky-Trofimov block probability is weighed
+against the product of its children's, bottom up.  The probability of a
+decision mixes the KT estimates of all depths with the resulting weights; the
+logarithms sum to the text's code length.
+
+Nothing that grows with the corpus is broadcast or collected.  The texts are
+dealt into slices of about ``SLICE`` characters; each gives its distinct
+(context, byte) pairs.  Their counts meet by the last ``TOP`` + 1 bytes of the
+context: below those a task builds the tree and mixes the estimates of the
+pairs.  The contexts of ``TOP`` bytes and less (their number is bounded by the
+alphabet, not by the corpus) are joined on the driver.  The pairs'
+probabilities go back to the slices by a shuffle join, and each slice is scored
+with its own.
 
 The unigram baseline splits the words: those that make up at least
 1/``FREQUENT`` of all training tokens are at most ``FREQUENT`` many and are
@@ -25,13 +30,13 @@ looked up in the task, the others meet their counts in a shuffle join.
 
 from __future__ import annotations
 
-import uuid
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,8 +44,12 @@ from pyspark.sql import functions as F
 from tripmart.llm.common import documents, held_out, stored
 
 DEPTH = 5
-#: A context branches if it stands before at least this part of all bytes.
-BRANCH = 1 << 17
+#: A context branches if it stands before at least so many bytes.
+LEAST = 2
+#: Contexts up to this length are joined on the driver, longer ones in tasks.
+TOP = 2
+#: Characters of a slice of the texts.
+SLICE = 1 << 24
 FREQUENT = 50_000
 #: Distinct words a training task holds before it hands them on.
 WORDS = 300_000
@@ -101,20 +110,29 @@ def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return key, np.bincount(back, np.concatenate(counts), len(key)).astype(np.int64)
 
 
-def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial counts: (word, null, n) and (null, context and byte, n)."""
+def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbers the rows and the slices they belong to."""
+    row = slice_ = TaskContext.get().partitionId() << 40
+    size = 0
+    for batch in batches:
+        numbers = []
+        for n in pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_pylist():
+            if size and size + n > SLICE:
+                slice_, size = slice_ + 1, 0
+            numbers.append(slice_)
+            size += n
+        n = batch.num_rows
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + n), pa.int64()), pa.array(numbers, pa.int64()), *batch.columns],
+                                         ["row", "slice", "id", "text", "train"])
+        row += n
+
+
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partial counts: (word, n)."""
     words: Counter = Counter()
-    keys: list[np.ndarray] = []
-    counts: list[np.ndarray] = []
 
-    def of_words() -> pa.RecordBatch:
-        n = len(words)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(words), pa.binary()), pa.nulls(n, pa.int64()), pa.array(list(words.values()), pa.int64())], ["word", "gram", "n"])
-
-    def of_grams() -> pa.RecordBatch:
-        key, n = _merge(keys, counts)
-        return pa.RecordBatch.from_arrays([pa.nulls(len(key), pa.binary()), pa.array(key.astype(np.int64)), pa.array(n)], ["word", "gram", "n"])
+    def counted() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())], ["word", "n"])
 
     for batch in batches:
         for _, split in slices(batch.column(0)):
@@ -122,184 +140,270 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 words.update(s)
                 words[END] += 1
             if len(words) > WORDS:
-                yield of_words()
+                yield counted()
                 words.clear()
-            key, n = np.unique(grams([stream(s) for s in split]), return_counts=True)
-            keys.append(key)
-            counts.append(n)
-            if sum(map(len, keys)) > GRAMS:
-                keys, counts = ([x] for x in _merge(keys, counts))
-                if len(keys[0]) > GRAMS // 2:
-                    yield of_grams()
-                    keys, counts = [], []
-    yield of_words()
+    yield counted()
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partial counts: (slice, gram, n), 0 for grams of texts that are not learnt from."""
+    keys: list[np.ndarray] = []
+    counts: list[np.ndarray] = []
+    now = None
+
+    def counted() -> pa.RecordBatch:
+        key, n = _merge(keys, counts)
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), now)), pa.array(key.astype(np.int64)), pa.array(n)], ["slice", "gram", "n"])
+
+    for batch in batches:
+        number = batch.column(0).to_numpy()
+        train = np.array(batch.column(2).to_pylist(), bool)
+        edges = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(number)]
+        for a, b in zip(edges, edges[1:], strict=False):
+            if a == b:
+                continue
+            if number[a] != now:
+                if keys:
+                    yield counted()
+                keys, counts, now = [], [], int(number[a])
+            for at, split in slices(batch.column(1).slice(a, b - a)):
+                for learnt in (False, True):
+                    streams = [stream(s) for s, t in zip(split, train[a + at:], strict=False) if t == learnt]
+                    if streams:
+                        key, n = np.unique(grams(streams), return_counts=True)
+                        keys.append(key)
+                        counts.append(n if learnt else np.zeros(len(n), np.int64))
+                if sum(map(len, keys)) > GRAMS:
+                    keys, counts = ([x] for x in _merge(keys, counts))
+                    if len(keys[0]) > GRAMS // 2:
+                        yield counted()
+                        keys, counts = [], []
     if keys:
-        yield of_grams()
+        yield counted()
 
 
-def _lgamma(x: Column) -> Column:
+def _lgamma(x, ln=F.ln):
     """ln Gamma for x > 0: Stirling's series eight places on, stepped back."""
     y = x + 8
-    series = ((y - 0.5) * F.ln(y) - y + float(0.5 * np.log(2 * np.pi)) + 1 / (12 * y) - 1 / (360 * y * y * y)
+    series = ((y - 0.5) * ln(y) - y + float(0.5 * np.log(2 * np.pi)) + 1 / (12 * y) - 1 / (360 * y * y * y)
               + 1 / (1260 * y * y * y * y * y))
     steps = x
     for i in range(1, 8):
         steps = steps * (x + i)
-    return series - F.ln(steps)
+    return series - ln(steps)
 
 
-def _kt(zeros: str, ones: str) -> Column:
+def _kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """ln of the KT block probability of the counts."""
-    a, b = F.col(zeros).cast("double"), F.col(ones).cast("double")
-    return _lgamma(a + 0.5) + _lgamma(b + 0.5) - _lgamma(a + b + 1.0) - float(np.log(np.pi))
+    def log_gamma(x):
+        return _lgamma(x, np.log)
 
+    return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1.0) - float(np.log(np.pi))
 
-def branching(counts: DataFrame, branch: int = BRANCH) -> list[np.ndarray]:
-    """By depth, the sorted contexts that the tree has (the root alone at 0)."""
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    out = [np.zeros(1, np.int64)]
-    for depth in range(1, DEPTH + 1):
-        context = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * depth) - 1))
-        often = (counts.groupBy(context.alias("context")).agg(F.sum("n").alias("n")).where(F.col("n") * branch >= total))
-        out.append(np.sort(often.select("context").toArrow()["context"].to_numpy()))
-    return out
-
-
-def _deepest(context: np.ndarray, known: list[np.ndarray]) -> np.ndarray:
-    """Depth of the longest context in the tree that each context ends with."""
-    depth = np.zeros(len(context), np.int64)
-    for d in range(1, DEPTH + 1):
-        some = context & ((1 << 8 * d) - 1)
-        i = np.minimum(np.searchsorted(known[d], some), max(len(known[d]) - 1, 0))
-        if len(known[d]):
-            depth[(known[d][i] == some) & (depth == d - 1)] = d
-    return depth
-
-
-def _leaves(batches: Iterator[pa.RecordBatch], known) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        gram = batch.column(0).to_numpy()
-        context = gram >> 8
-        depth = _deepest(context, known.value)
-        own = context & ((1 << 8 * depth) - 1)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(depth, pa.int32()), pa.array(own), pa.array(gram & 255, pa.int32()), batch.column(1)], ["depth", "context", "byte", "n"])
 
+def _one(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """KT probability of a 1."""
+    return (ones + 0.5) / (zeros + ones + 1)
 
-NODE = ["context", "node", "n0", "n1"]
 
+def _weigh(own: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ln of the weighted block probability, weight of the own estimate)."""
+    gap = own - below
+    return np.maximum(own, below) + np.log1p(np.exp(-np.abs(gap))) - LOG2, 1 / (1 + np.exp(np.minimum(-gap, 700.0)))
 
-def tree(counts: DataFrame, known) -> DataFrame:
-    """``(depth, rest, context, node, one, own)`` of every node with training counts.
 
-    ``one`` is the KT probability of a 1, ``own`` the weight of this depth
-    against the deeper ones.  ``rest`` marks the leaf that a context's rarer
-    continuations share; it and the deepest contexts have no deeper ones.
-    ``node`` numbers the decisions of a byte: 1 for the first, then the bits so
-    far with a leading 1.
-    """
-    leaves = (counts.mapInArrow(partial(_leaves, known=known), "depth int, context long, byte int, n long")
-              .groupBy("depth", "context", "byte").agg(F.sum("n").alias("n")))
-    bits = leaves.select("depth", "context", "byte", "n", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("k"))
-    bits = bits.select("depth", "context", F.expr("(1 << k) | (byte >> (8 - k))").alias("node"), F.expr("(byte >> (7 - k)) & 1").alias("bit"), "n")
-    leaves = (bits.groupBy("depth", "context", "node").agg(
-        F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0)).alias("n0"),
-        F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)).alias("n1")).withColumn("pw", _kt("n0", "n1")))
-    leaves = stored(leaves, "ctw-leaves")
-    level = leaves.where(F.col("depth") == DEPTH).select(*NODE, "pw")
-    out = leaves.select("depth", (F.col("depth") < DEPTH).alias("rest"), *NODE, F.lit(1.0).alias("own"))
-    for depth in range(DEPTH - 1, -1, -1):
-        children = (level.select(*NODE, "pw").withColumn("context", F.col("context").bitwiseAND(F.lit((1 << 8 * depth) - 1)))
-                    .unionByName(leaves.where(F.col("depth") == depth).select(*NODE, "pw")))
-        up = (children.groupBy("context", "node").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("pw").alias("below"))
-              .withColumn("pe", _kt("n0", "n1")))
-        gap = F.col("pe") - F.col("below")
-        mixed = F.greatest("pe", "below") + F.log1p(F.exp(-F.abs(gap))) - LOG2
-        level = stored(up.select(*NODE, mixed.alias("pw"), (1 / (1 + F.exp(F.least(-gap, F.lit(700.0))))).alias("own")), f"ctw-{depth}")
-        out = out.union(level.select(F.lit(depth), F.lit(False), *NODE, "own"))
-    one = (F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1)
-    return out.select("depth", "rest", "context", F.col("node").cast("smallint").alias("node"), one.cast("float").alias("one"),
-                      F.col("own").cast("float").alias("own"))
+def branching(counts: DataFrame, branch: int | None = None) -> int:
+    """Bytes a context must stand before to branch: ``LEAST``, or one in ``branch`` of all."""
+    if branch is None:
+        return LEAST
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return max(1, -(-total // branch))
 
 
 @lru_cache(1)
 def _paths() -> tuple[np.ndarray, np.ndarray]:
-    """For each byte and place: the node decided there, and the bit."""
+    """For each byte and place: the node decided there, and the bit.
+
+    Nodes number the decisions of a byte: 1 for the first, then the bits so
+    far with a leading 1.
+    """
     byte, k = np.arange(256)[:, None], np.arange(8)[None, :]
     return (1 << k) | (byte >> (8 - k)), (byte >> (7 - k)) & 1
 
 
-class Model:
-    """log10 probability of each byte after each context of the tree."""
+class Nodes:
+    """Counts of the nodes that some grams pass at one depth."""
+
+    def __init__(self, context: np.ndarray, byte: np.ndarray, n: np.ndarray):
+        node, bit = _paths()
+        # the context stands above the node; 8 * DEPTH + 8 bits are below 63
+        self.key, self.at = np.unique((context[:, None] << 8 | node[byte]).reshape(-1), return_inverse=True)
+        self.at = self.at.reshape(-1)
+        each, ones = np.repeat(n, 8), bit[byte].reshape(-1)
+        self.n1 = np.bincount(self.at, each * ones, len(self.key))
+        self.n0 = np.bincount(self.at, each * (1 - ones), len(self.key))
+        self.one = _one(self.n0, self.n1)
+        self.at = self.at.reshape(-1, 8)
+
+
+def _mask(depth: int) -> int:
+    return (1 << 8 * depth) - 1
+
 
-    def __init__(self, known: list[np.ndarray], nodes: dict[tuple[int, bool], tuple[np.ndarray, ...]]):
-        """``known`` as :func:`branching` has it; ``nodes``: by (depth, rest): context, node, one, own."""
-        def dense(depth: int, rest: bool, value: int) -> np.ndarray:
-            out = np.full((len(known[depth]), 256), 0.5, np.float32)
-            if (depth, rest) in nodes:
-                context, node = nodes[depth, rest][:2]
-                out[np.searchsorted(known[depth], context), node] = nodes[depth, rest][value]
+def _subtrees(gram: np.ndarray, n: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, pa.RecordBatch]:
+    """Of whole subtrees below contexts of TOP + 1 bytes.
+
+    (which grams have such a context in the tree, their estimates mixed down
+    from the deepest to that context, what the contexts above take from here).
+    """
+    context, byte = gram >> 8, gram & 255
+    deep = np.full(len(gram), TOP)
+    for d in range(TOP + 1, DEPTH + 1):
+        _, at = np.unique(context & _mask(d), return_inverse=True)
+        deep += np.bincount(at, n)[at] >= max(least, 1)  # a longer context is never more frequent
+    p = np.zeros((len(gram), 8))
+    below: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.int64), np.zeros(0))  # nodes one byte longer, their block probability
+    up = Nodes(context[:0], byte[:0], n[:0])
+    for d in range(DEPTH, TOP, -1):
+        some, last = np.flatnonzero(deep >= d), np.flatnonzero(deep == d)
+        up, rest = (Nodes(context[i] & _mask(d), byte[i], n[i]) for i in (some, last))
+        if d == DEPTH:
+            p[some], blocks = up.one[up.at], _kt(up.n0, up.n1)
+        else:
+            p[last] = rest.one[rest.at]
+            shorter = (below[0] >> 8 & _mask(d)) << 8 | below[0] & 255
+            deeper = np.bincount(np.searchsorted(up.key, shorter), below[1], len(up.key))
+            deeper += np.bincount(np.searchsorted(up.key, rest.key), _kt(rest.n0, rest.n1), len(up.key))
+            blocks, own = _weigh(_kt(up.n0, up.n1), deeper)
+            p[some] = own[up.at] * up.one[up.at] + (1 - own[up.at]) * p[some]
+        below = up.key, blocks
+    short = deep == TOP
+    leaf = Nodes(context[short] & _mask(TOP), byte[short], n[short])
+    to, at = np.unique((up.key >> 8 & _mask(TOP)) << 8 | up.key & 255, return_inverse=True)
+    sums = [np.bincount(at, x, len(to)) for x in (up.n0, up.n1, below[1])]
+    more = pa.RecordBatch.from_arrays(
+        [pa.nulls(len(to) + len(leaf.key), pa.int64()), pa.nulls(len(to) + len(leaf.key), pa.list_(pa.float64())),
+         pa.array(np.concatenate([to, leaf.key])), pa.array(np.repeat([False, True], [len(to), len(leaf.key)])),
+         *[pa.array(np.concatenate([x, y])) for x, y in zip(sums, (leaf.n0, leaf.n1, np.zeros(len(leaf.key))), strict=True)]],
+        ["gram", "p", "key", "leaf", "n0", "n1", "block"])
+    return deep > TOP, p, more
+
+
+def _mix(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Subtrees of the grams, which come sorted by the last TOP + 1 bytes of their contexts."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def done(gram: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        has, p, more = _subtrees(gram, n, least)
+        size = len(gram)
+        ends = np.concatenate([[0], np.cumsum(np.where(has, 8, 0))])
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(p[has].reshape(-1)))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(gram), lists, pa.nulls(size, pa.int64()), pa.nulls(size, pa.bool_()), *[pa.nulls(size, pa.float64())] * 3],
+            ["gram", "p", "key", "leaf", "n0", "n1", "block"])
+        yield more
+
+    for batch in batches:
+        held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+        if sum(len(g) for g, _ in held) < GRAMS // 16:
+            continue
+        gram, n = (np.concatenate(x) for x in zip(*held, strict=True))
+        top = gram >> 8 & _mask(TOP + 1)
+        cut = int((top == top[-1]).argmax())  # the last subtree may go on
+        if cut:
+            yield from done(gram[:cut], n[:cut])
+        held = [(gram[cut:], n[cut:])]
+    if held and sum(len(g) for g, _ in held):
+        yield from done(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+
+class Top:
+    """The contexts of TOP bytes and less, from what the subtrees hand up."""
+
+    def __init__(self, key: np.ndarray, leaf: np.ndarray, n0: np.ndarray, n1: np.ndarray, block: np.ndarray, least: int):
+        context = np.unique(key >> 8)
+        shape = len(context), 256
+
+        def dense(value, some):
+            out = np.zeros(shape)
+            out[np.searchsorted(context, key[some] >> 8), key[some] & 255] = value[some]
             return out
 
-        one = [dense(d, False, 2) for d in range(DEPTH + 1)]
-        own = [dense(d, False, 3) for d in range(DEPTH)]
-        tables = []
-        for depth in range(DEPTH + 1):
-            deepest = one[DEPTH] if depth == DEPTH else dense(depth, True, 2)
-            tables.append(self._table(known, one, own, depth, deepest))
-        self.table = np.concatenate(tables).reshape(-1)
-        self.first = np.cumsum([0] + [len(k) for k in known])
-        # by depth: number of the context one byte longer, -1 where the tree has none
-        self.longer = []
-        for d in range(1, DEPTH + 1):
-            child = np.full(len(known[d - 1]) * 256, -1, np.int32)
-            shorter = np.searchsorted(known[d - 1], known[d] & ((1 << 8 * (d - 1)) - 1))
-            child[shorter * 256 + (known[d] >> 8 * (d - 1))] = np.arange(len(known[d]))
-            self.longer.append(child)
-
-    @staticmethod
-    def _table(known, one, own, depth: int, deepest: np.ndarray) -> np.ndarray:
-        """Mixtures for the contexts of one depth, from the deepest estimates up."""
-        nodes_of, bits = _paths()
-        out = np.empty((len(known[depth]), 256), np.float32)
-        for a in range(0, len(out), 4096):
-            c, p = known[depth][a:a + 4096], deepest[a:a + 4096].astype(np.float64)
-            for d in range(min(depth, DEPTH - 1), -1, -1):
-                i = np.searchsorted(known[d], c & ((1 << 8 * d) - 1))
-                p = own[d][i] * one[d][i] + (1 - own[d][i]) * p
-            p = np.clip(p, 1e-12, 1 - 1e-12)  # float32 estimates of very frequent nodes may round to 0 or 1
-            yes, no = np.log10(p), np.log10(1 - p)
-            total = np.zeros((len(c), 256))
-            for k in range(8):
-                total += np.where(bits[:, k] == 1, yes[:, nodes_of[:, k]], no[:, nodes_of[:, k]])
-            out[a:a + 4096] = total
-        return out
-
-    def score(self, streams: list[bytes]) -> np.ndarray:
-        a, at, size = positions(streams)
-        row = np.zeros(len(at), np.int64)
-        live, number = np.arange(len(at)), np.zeros(len(at), np.int64)
-        for d in range(1, DEPTH + 1):
-            number = self.longer[d - 1][number * 256 + a[at[live] - d]]
-            going = number >= 0
-            live, number = live[going], number[going].astype(np.int64)
-            row[live] = self.first[d] + number
-        return np.add.reduceat(self.table[row * 256 + a[at]], np.cumsum(size) - size, dtype=np.float64)
-
-
-_KEPT: dict[str, Model] = {}
-
-
-def _score(batches: Iterator[pa.RecordBatch], model, name: str, frequent) -> Iterator[pa.RecordBatch]:
-    """Per row: the model's score, the baseline's sum over frequent words, the other words."""
-    if name not in _KEPT:
-        _KEPT.clear()
-        _KEPT[name] = Model(*model.value)
-    tree_model = _KEPT[name]
-    logs = {w: float(np.log10(n + 1.0)) for w, n in frequent.value.items()}
-    row = TaskContext.get().partitionId() << 40
+        rest, deeper = [dense(x, leaf) for x in (n0, n1)], dense(block, ~leaf)
+        full = [r + dense(x, ~leaf) for r, x in zip(rest, (n0, n1), strict=True)]
+        self.context, self.has, self.rest, self.one, self.own = {}, {}, {}, {}, {}
+        for d in range(TOP, -1, -1):
+            has = full[0][:, 1] + full[1][:, 1] >= max(least, 1) if d else np.ones(len(context), bool)
+            blocks, own = _weigh(_kt(*full), deeper + _kt(*rest))
+            self.context[d], self.has[d], self.rest[d], self.one[d], self.own[d] = context, has, _one(*rest), _one(*full), own
+            if not d:
+                break
+            shorter, at = np.unique(context & _mask(d - 1), return_inverse=True)
+
+            def up(x, some, at=at, size=len(shorter)):
+                out = np.zeros((size, 256))
+                np.add.at(out, at[some], x[some])
+                return out
+
+            everything = np.ones(len(context), bool)
+            rest, deeper, full = [up(x, ~has) for x in full], up(blocks, has), [up(x, everything) for x in full]
+            context = shorter
+
+    def log10(self, gram: np.ndarray, has: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """log10 probability of each gram's byte; ``p`` as :func:`_subtrees` mixed it where ``has``."""
+        context, byte = gram >> 8, gram & 255
+        node, bit = (x[byte] for x in _paths())
+        p, known = p.copy(), has.copy()
+        for d in range(TOP, -1, -1):
+            if not len(self.context[d]):
+                continue
+            some = context & _mask(d)
+            i = np.minimum(np.searchsorted(self.context[d], some), len(self.context[d]) - 1)
+            here = (self.context[d][i] == some) & self.has[d][i]
+            i = i[:, None]
+            p = np.where((here & ~known)[:, None], self.rest[d][i, node], p)
+            own = self.own[d][i, node]
+            p = np.where(here[:, None], own * self.one[d][i, node] + (1 - own) * p, p)
+            known |= here
+        p[~known] = 0.5
+        p = np.clip(p, 1e-12, 1 - 1e-12)
+        return np.log10(np.where(bit == 1, p, 1 - p)).sum(axis=1)
+
+
+def _finished(batches: Iterator[pa.RecordBatch], top) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at, split in slices(batch.column(1)):
+        gram, lists = batch.column(0).to_numpy(), batch.column(1)
+        has = pc.list_value_length(lists).to_numpy(zero_copy_only=False) == 8
+        p = np.zeros((len(gram), 8))
+        p[has] = lists.flatten().to_numpy().reshape(-1, 8)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(top.value.log10(gram, has, p))], ["gram", "log10"])
+
+
+def probabilities(counts: DataFrame) -> DataFrame:
+    """``(gram, log10)``: log10 probability of the byte of every gram after its context."""
+    spark = counts.sparkSession
+    least = branching(counts)
+    above = F.shiftright("gram", 8).bitwiseAND(F.lit(_mask(TOP + 1)))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = counts.select("gram", "n", above.alias("top")).repartition(parts, "top").sortWithinPartitions("top", "gram").select("gram", "n")
+    mixed = stored(dealt.mapInArrow(partial(_mix, least=least), "gram long, p array<double>, key long, leaf boolean, n0 double, n1 double, block double"),
+                   "ctw-mixed")
+    got = (mixed.where("gram IS NULL").groupBy("key", "leaf").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "block")])).toArrow()
+    columns = [got[c].to_numpy() for c in ("key", "leaf", "n0", "n1", "block")]
+    columns[1] = columns[1].astype(bool)
+    top = spark.sparkContext.broadcast(Top(*columns, least))
+    return mixed.where("gram IS NOT NULL").select("gram", "p").mapInArrow(partial(_finished, top=top), "gram long, log10 double")
+
+
+def _score(key, texts: pa.Table, pairs: pa.Table, frequent) -> pa.Table:
+    """Per row of a slice: the model's score, the baseline's sum over frequent words, the other words."""
+    logs = {w: float(np.log10(n + 1.0)) for w, n in frequent.value.items()}
+    gram = pairs["gram"].to_numpy()
+    order = np.argsort(gram)
+    gram, log10 = gram[order].astype(np.uint64), pairs["log10"].to_numpy()[order]
+    out = []
+    for batch in texts.combine_chunks().to_batches():
+        for at, split in slices(batch.column("text")):
             sums, known, rest, ends = [], [], [], [0]
             for words in split:
                 found = list(map(logs.get, words))
@@ -309,15 +413,16 @@ def _score(batches: Iterator[pa.RecordBatch], model, name: str, frequent) -> Ite
                 rest += few
                 ends.append(len(rest))
             streams = [stream(words) for words in split]
+            size = np.fromiter(map(len, streams), np.int64, len(streams)) - DEPTH
+            own, back = np.unique(grams(streams), return_inverse=True)
+            scores = np.add.reduceat(log10[np.searchsorted(gram, own)][back], np.cumsum(size) - size)
             n = len(split)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(row, row + n), pa.int64()), batch.column(0).slice(at, n), pa.array(sums, pa.float64()),
-                 pa.array(known, pa.int64()), pa.array([len(words) + 1 for words in split], pa.int64()),
-                 pa.array([len(x) - DEPTH for x in streams], pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rest, pa.binary())),
-                 pa.array(tree_model.score(streams), pa.float64())],
-                ["row", "id", "sums", "known", "n_tokens", "n_bytes", "rest", "score"])
-            row += n
+            out.append(pa.RecordBatch.from_arrays(
+                [batch.column("row").slice(at, n), batch.column("id").slice(at, n), pa.array(sums, pa.float64()),
+                 pa.array(known, pa.int64()), pa.array([len(words) + 1 for words in split], pa.int64()), pa.array(size),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rest, pa.binary())), pa.array(scores)],
+                ["row", "id", "sums", "known", "n_tokens", "n_bytes", "rest", "score"]))
+    return pa.Table.from_batches(out)
 
 
 def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -330,28 +435,25 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     an empty result; without training rows every estimate is one half.
     """
     spark = docs.sparkSession
-    text = F.col(text_col)
-    counts = (docs.where(train).select(text.alias("t")).mapInArrow(_train, "word binary, gram long, n long")
-              .groupBy("word", "gram").agg(F.sum("n").alias("n")))
-    counts = stored(counts, "ctw-counts")
-    vocabulary = counts.where("gram IS NULL").select("word", "n")
-    followed = counts.where("word IS NULL").select("gram", "n")
-    known = branching(followed)
-    nodes = stored(tree(followed, spark.sparkContext.broadcast(known)), "ctw-nodes")
-    by_depth = {}  # a depth at a time, as compact arrays: the driver holds no rows
-    for depth in range(DEPTH + 1):
-        for rest in (False, True):
-            got = nodes.where((F.col("depth") == depth) & (F.col("rest") == rest)).select("context", "node", "one", "own").toArrow()
-            if len(got):
-                by_depth[depth, rest] = tuple(got[c].to_numpy() for c in got.column_names)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
+    kind = dict(rows.dtypes)["id"]
+    rows = stored(rows.mapInArrow(_deal, f"row long, slice long, id {kind}, text string, train boolean"), "ctw-texts")
+    vocabulary = stored(rows.where("train").select("text").mapInArrow(_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")),
+                        "ctw-words")
+    pairs = stored(rows.select("slice", "text", "train").mapInArrow(_pairs, "slice long, gram long, n long"), "ctw-pairs")
+    log10 = probabilities(pairs.groupBy("gram").agg(F.sum("n").alias("n")))
     total = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     frequent = vocabulary.where((F.col("n") * FREQUENT >= total[0]) & (F.col("word") != F.lit(bytearray(END))))
     words = frequent.select("word", "n").toArrow()
     frequent = spark.sparkContext.broadcast(dict(zip(words["word"].to_pylist(), words["n"].to_pylist(), strict=True)))
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
-    run = partial(_score, model=spark.sparkContext.broadcast((known, by_depth)), name=uuid.uuid4().hex, frequent=frequent)
-    fields = f"row long, id {dict(rows.dtypes)['id']}, sums double, known long, n_tokens long, n_bytes long, rest array<binary>, score double"
-    return _finish(stored(rows.mapInArrow(run, fields), "ctw-scored"), vocabulary, total)
+    known = pairs.select("slice", "gram").join(log10, "gram").select("slice", "gram", "log10")
+    fields = f"row long, id {kind}, sums double, known long, n_tokens long, n_bytes long, rest array<binary>, score double"
+
+    def run(key, texts, some):
+        return _score(key, texts, some, frequent)
+
+    scored = rows.select("slice", "row", "id", "text").groupBy("slice").cogroup(known.groupBy("slice")).applyInArrow(run, fields)
+    return _finish(stored(scored, "ctw-scored"), vocabulary, total)
 
 
 def _finish(scored: DataFrame, vocabulary: DataFrame, total) -> DataFrame:
