@@ -143,4 +143,4 @@ def test_a_context_stays_however_large_the_corpus(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.id: r.bits_per_byte for r in T.score(df, F.col("doc_id") != 0).collect()}
     assert len(got) == len(rows) and sum(map(len, filler)) > 4 * (1 << 17)
-    assert got[0] < 2.5                                            # three copies learnt from
+    assert got[0] < 1.8                                            # three copies learnt from; 2.3 with a share of all bytes as bound
