@@ -21,8 +21,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that many sources share stay in one document only."""
-    return line_spread.clean(docs)
+    """Lines that many sources share, and long ones that two share, stay in one document only."""
+    return line_spread.clean(docs, long_words=line_spread.LONG_WORDS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

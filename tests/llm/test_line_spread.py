@@ -1,3 +1,4 @@
+import corpus_pipeline
 from tools.oracle import compare, duckdb_connection
 
 from tripmart.llm import line_spread as L
@@ -50,3 +51,20 @@ def test_counts_near_the_threshold_are_exact(spark):
 def test_query_equals_sql(spark):
     r = compare(spark, SF_SMALL, "op3", L.query, L.SQL, duckdb_connection(SF_SMALL))
     assert r["ok"], r
+
+
+def test_pipeline_keeps_a_long_passage_once(spark):
+    rows = []
+    for n in (1, 2, 3, 9):
+        passage = " ".join(f"word{i}of{n}" for i in range(50))
+        few = " ".join(f"word{i}of{n}" for i in range(49))
+        rows += [(100 * n + i, f"own line {n} {i}\n{passage}\n{few}", f"site{i}") for i in range(n)]
+    rows += [(950 + i, f"own line {i}\n" + " ".join(["null"] * 50), None) for i in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    before = {r.doc_id: r.text.split("\n") for r in df.collect()}
+    got = {r.doc_id: r.text.split("\n") for r in corpus_pipeline.drop_boilerplate(spark, df, "").collect()}
+    assert len(got) == len(rows)
+    for i, lines in before.items():
+        holder = i >= 900 and i > 949 or i % 100 == 0
+        assert got[i] == (lines if holder else [lines[0], lines[2]])
+    assert L.mark(df).where("n_removed > 0").count() == 0           # op3 alone: 10 sites

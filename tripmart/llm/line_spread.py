@@ -10,7 +10,9 @@ spaces trimmed; its site is the document's source.
    per task.
 3. Lines whose estimate is far from the threshold are decided by it; the band
    around it gets an exact distinct count.
-4. Boilerplate lines leave every document except the holder with the smallest
+4. If asked for, lines of many words count as boilerplate from two sites on:
+   that they were kept in step 1 says so already, and exactly.
+5. Boilerplate lines leave every document except the holder with the smallest
    id, so no content is lost altogether; a document with nothing left goes
    (:func:`clean`), all others keep the rest of their lines in order.
 """
@@ -26,6 +28,8 @@ from tripmart.llm.common import LAST_ID, documents, fresh, stored
 MIN_SITES = 10
 #: Characters a trimmed line needs; shorter ones recur by chance.
 MIN_CHARS = 16
+#: Words of a line that two sites do not share by chance.
+LONG_WORDS = 50
 #: log2 of the sketch's registers: standard error 1.6 %.
 LG_K = 12
 #: Estimates within this factor of the threshold are counted exactly; over 30
@@ -38,7 +42,7 @@ def _lines(text: Column) -> Column:
 
 
 def line_rows(docs: DataFrame, id_col: str, text_col: str, site_col: str, min_chars: int) -> DataFrame:
-    """``(row_key, id, pos, line, size, site)`` for each line long enough."""
+    """``(row_key, id, pos, line, size, words, site)`` for each line long enough."""
     keyed = docs.select(
         F.xxhash64(F.col(id_col), F.col(text_col)).alias("row_key"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"),
@@ -47,20 +51,22 @@ def line_rows(docs: DataFrame, id_col: str, text_col: str, site_col: str, min_ch
     trimmed = F.trim("text")
     return (keyed.where(F.char_length(trimmed) >= min_chars)
             .select("row_key", "id", "pos", F.xxhash64(trimmed).alias("line"),
-                    F.octet_length(trimmed).alias("size"), F.when(F.col("sited"), F.col("site")).alias("site")))
+                    F.octet_length(trimmed).alias("size"), F.regexp_count(trimmed, F.lit(r"\S+")).alias("words"), F.when(F.col("sited"), F.col("site")).alias("site")))
 
 
-def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, band: float = BAND) -> DataFrame:
+def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, band: float = BAND,
+                long_words: int | None = None) -> DataFrame:
     """``(line, size, holder)`` of the lines on at least ``min_sites`` sites.
 
-    ``holder`` is the smallest document id with the line.  A null site is no
+    Lines of ``long_words`` words or more need two sites.  ``holder`` is the smallest document id with the line.  A null site is no
     site.
     """
     key = ["line", "size"]
-    spread = (lines.groupBy(*key).agg(F.min("site").alias("low"), F.max("site").alias("high"), F.min("id").alias("holder"))
-              .where("low != high").select(*key, "holder"))
+    long = F.lit(False) if long_words is None else F.coalesce(F.max("words") >= long_words, F.lit(False))
+    spread = (lines.groupBy(*key).agg(F.min("site").alias("low"), F.max("site").alias("high"), F.min("id").alias("holder"), long.alias("long"))
+              .where("low != high").select(*key, "holder", "long"))
     spread = stored(spread, "lines-spread")
-    sited = lines.join(spread, key, "left_semi").select(*key, "site")
+    sited = lines.join(spread.where("NOT long"), key, "left_semi").select(*key, "site")
     est = (sited.groupBy(*key).agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", lg_k)).alias("sites")))
     est = stored(est, "lines-sites")
     near = est.where(F.col("sites").between(min_sites / band, min_sites * band))
@@ -68,11 +74,12 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K,
              .groupBy(*key).agg(F.count(F.lit(1)).alias("exact")))
     found = (est.where(F.col("sites") > min_sites * band).select(*key)
              .union(exact.where(F.col("exact") >= min_sites).select(*key)))
-    return spread.join(found, key)
+    short = spread.where("NOT long").join(found, key).select(*key, "holder")
+    return short if long_words is None else short.union(spread.where("long").select(*key, "holder"))
 
 
 def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source",
-         min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS) -> DataFrame:
+         min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS, long_words: int | None = None) -> DataFrame:
     """``docs`` with ``n_lines``, ``n_removed`` and ``clean_text`` appended.
 
     A null text has no lines and stays null; a text without boilerplate stays
@@ -84,7 +91,7 @@ def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_c
     """
     n_lines, n_removed, text, key, gone = fresh(docs, "n_lines", "n_removed", "clean_text", "row_key", "gone")
     lines = stored(line_rows(docs, id_col, text_col, site_col, min_chars), "lines")
-    drop = (lines.join(boilerplate(lines, min_sites), ["line", "size"]).where("id != holder")
+    drop = (lines.join(boilerplate(lines, min_sites, long_words=long_words), ["line", "size"]).where("id != holder")
             .groupBy("row_key").agg(F.collect_set("pos").alias(gone)).withColumnRenamed("row_key", key))
     out = docs.withColumn(key, F.xxhash64(F.col(id_col), F.col(text_col))).join(drop, key, "left")
     parts = _lines(F.col(text_col))
@@ -96,12 +103,12 @@ def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_c
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source",
-          min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS) -> DataFrame:
+          min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS, long_words: int | None = None) -> DataFrame:
     """``docs`` with boilerplate lines removed from the text, same columns.
 
     A document that loses lines and has only blank ones left goes.
     """
-    marked = mark(docs, id_col, text_col, site_col, min_sites, min_chars)
+    marked = mark(docs, id_col, text_col, site_col, min_sites, min_chars, long_words)
     _, n_removed, text = marked.columns[-3:]
     left = (F.col(n_removed) == 0) | (F.trim(F.translate(F.col(text), "\n\t\r", "   ")) != "")
     return marked.where(left).select(*[F.col(text).alias(c) if c == text_col else marked[c] for c in docs.columns])
