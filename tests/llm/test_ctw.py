@@ -134,8 +134,7 @@ def test_query_on_held_out_rows(spark):
     assert -sum(r.score for r in held) * math.log2(10) / sum(r.n_bytes for r in held) < 2.25
 
 
-def test_a_context_stays_however_large_the_corpus(spark, monkeypatch):
-    monkeypatch.setattr(T, "SLICE", 100_000)                       # several slices
+def test_a_context_stays_however_large_the_corpus(spark):
     passage = "quixotic zephyr jackdaw vexing kumquat"
     words = [f"{a}{b}{c}" for a in ("ba", "lo", "mi", "tu") for b in "nrst" for c in ("el", "ig", "or", "un")]
     filler = [" ".join(words[(i * 7 + j * j) % len(words)] for j in range(1500)) for i in range(80)]
