@@ -10,6 +10,7 @@ from tripmart.llm import (
     licenses,
     line_spread,
     packing,
+    runs,
     simhash,
     token_counts,
     token_files,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_decontaminate": decontaminate.query,
     "op9_license_scan": licenses.query,
     "op10_simhash": simhash.query,
+    "op11_word_runs": runs.query,
 }
 SQL = {
     "op3_line_spread": line_spread.SQL,
