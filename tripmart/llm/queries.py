@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tripmart.llm import (
     ctw,
+    cuckoo,
     decontaminate,
     hnsw,
     language,
@@ -28,8 +29,10 @@ QUERIES = {
     "op9_license_scan": licenses.query,
     "op10_simhash": simhash.query,
     "op11_word_runs": runs.query,
+    "op12_exact_dedup": cuckoo.query,
 }
 SQL = {
     "op3_line_spread": line_spread.SQL,
     "op8_decontaminate": decontaminate.SQL,
+    "op12_exact_dedup": cuckoo.SQL,
 }
