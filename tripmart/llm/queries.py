@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tripmart.llm import (
+    bond,
     ctw,
     cuckoo,
     decontaminate,
@@ -30,9 +31,11 @@ QUERIES = {
     "op10_simhash": simhash.query,
     "op11_word_runs": runs.query,
     "op12_exact_dedup": cuckoo.query,
+    "op13_hard_negatives": bond.query,
 }
 SQL = {
     "op3_line_spread": line_spread.SQL,
     "op8_decontaminate": decontaminate.SQL,
     "op12_exact_dedup": cuckoo.SQL,
+    "op13_hard_negatives": bond.SQL,
 }
