@@ -60,6 +60,12 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def row_key(*cols: Column) -> Column:
+    """128 bits that stand for a row's values, so that many rows can be told
+    apart: two hashes of the values, the second from another seed."""
+    return F.struct(F.xxhash64(*cols).alias("a"), F.xxhash64(F.lit(1), *cols).alias("b"))
+
+
 def held_out(id_col: Column, folds: int, fold: int = 2) -> Column:
     """crc32 of the id's text leaves the remainder ``fold``; a null id counts
     as the text '' (crc32 0), so it is learnt from."""

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import LAST_ID, documents, fresh, stored
+from tripmart.llm.common import LAST_ID, documents, fresh, row_key, stored
 
 #: Distinct sites from which a line is boilerplate.
 MIN_SITES = 10
@@ -30,52 +30,58 @@ MIN_SITES = 10
 MIN_CHARS = 16
 #: Words of a line that two sites do not share by chance.
 LONG_WORDS = 50
-#: log2 of the sketch's registers: standard error 1.6 %.
-LG_K = 12
-#: Estimates within this factor of the threshold are counted exactly; over 30
+#: log2 of the sketch's registers: standard error 3.3 %.
+LG_K = 10
+#: Estimates within this factor of the threshold are counted exactly; ten
 #: standard errors, so that estimates outside it are safe.
 BAND = 1.5
+#: A line is known by two independent 64-bit hashes.
+LINE = ["line", "line2"]
 
 
 def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def line_rows(docs: DataFrame, id_col: str, text_col: str, site_col: str, min_chars: int) -> DataFrame:
-    """``(row_key, id, pos, line, size, words, site)`` for each line long enough."""
+def line_rows(docs: DataFrame, id_col: str, text_col: str, site_col: str, min_chars: int, long_words: int | None = None) -> DataFrame:
+    """``(row_key, id, pos, line, line2, site)`` for each line long enough;
+    with ``long_words`` also ``long``, whether it has so many words."""
     keyed = docs.select(
-        F.xxhash64(F.col(id_col), F.col(text_col)).alias("row_key"),
+        row_key(F.col(id_col), F.col(text_col)).alias("row_key"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"),
         F.xxhash64(F.col(site_col)).alias("site"), F.col(site_col).isNotNull().alias("sited"),
         F.posexplode(_lines(F.col(text_col))).alias("pos", "text"))
     trimmed = F.trim("text")
+    # as many words take twice as many characters, less one: shorter lines are not searched
+    long = [] if long_words is None else [
+        F.when(F.char_length(trimmed) >= 2 * long_words - 1, F.regexp_count(trimmed, F.lit(r"\S+")) >= long_words).otherwise(F.lit(False)).alias("long")]
     return (keyed.where(F.char_length(trimmed) >= min_chars)
-            .select("row_key", "id", "pos", F.xxhash64(trimmed).alias("line"),
-                    F.octet_length(trimmed).alias("size"), F.regexp_count(trimmed, F.lit(r"\S+")).alias("words"), F.when(F.col("sited"), F.col("site")).alias("site")))
+            .select("row_key", "id", "pos", F.xxhash64(trimmed).alias("line"), F.xxhash64(F.lit(1), trimmed).alias("line2"),
+                    F.when(F.col("sited"), F.col("site")).alias("site"), *long))
 
 
-def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, band: float = BAND,
-                long_words: int | None = None) -> DataFrame:
-    """``(line, size, holder)`` of the lines on at least ``min_sites`` sites.
+def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, band: float = BAND) -> DataFrame:
+    """``(line, line2, holder)`` of the lines on at least ``min_sites`` sites.
 
-    Lines of ``long_words`` words or more need two sites.  ``holder`` is the smallest document id with the line.  A null site is no
+    Lines marked ``long`` (if :func:`line_rows` was asked to) need two sites.
+    ``holder`` is the smallest document id with the line.  A null site is no
     site.
     """
-    key = ["line", "size"]
-    long = F.lit(False) if long_words is None else F.coalesce(F.max("words") >= long_words, F.lit(False))
-    spread = (lines.groupBy(*key).agg(F.min("site").alias("low"), F.max("site").alias("high"), F.min("id").alias("holder"), long.alias("long"))
-              .where("low != high").select(*key, "holder", "long"))
+    marked = "long" in lines.columns
+    long = F.max("long") if marked else F.lit(False)
+    spread = (lines.groupBy(*LINE).agg(F.min("site").alias("low"), F.max("site").alias("high"), F.min("id").alias("holder"), long.alias("long"))
+              .where("low != high").select(*LINE, "holder", "long"))
     spread = stored(spread, "lines-spread")
-    sited = lines.join(spread.where("NOT long"), key, "left_semi").select(*key, "site")
-    est = (sited.groupBy(*key).agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", lg_k)).alias("sites")))
+    sited = lines.join(spread.where("NOT long"), LINE, "left_semi").select(*LINE, "site")
+    est = (sited.groupBy(*LINE).agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", lg_k)).alias("sites")))
     est = stored(est, "lines-sites")
     near = est.where(F.col("sites").between(min_sites / band, min_sites * band))
-    exact = (sited.join(near.select(*key), key, "left_semi").distinct().where("site IS NOT NULL")
-             .groupBy(*key).agg(F.count(F.lit(1)).alias("exact")))
-    found = (est.where(F.col("sites") > min_sites * band).select(*key)
-             .union(exact.where(F.col("exact") >= min_sites).select(*key)))
-    short = spread.where("NOT long").join(found, key).select(*key, "holder")
-    return short if long_words is None else short.union(spread.where("long").select(*key, "holder"))
+    exact = (sited.join(near.select(*LINE), LINE, "left_semi").distinct().where("site IS NOT NULL")
+             .groupBy(*LINE).agg(F.count(F.lit(1)).alias("exact")))
+    found = (est.where(F.col("sites") > min_sites * band).select(*LINE)
+             .union(exact.where(F.col("exact") >= min_sites).select(*LINE)))
+    short = spread.where("NOT long").join(found, LINE).select(*LINE, "holder")
+    return short.union(spread.where("long").select(*LINE, "holder")) if marked else short
 
 
 def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source",
@@ -90,10 +96,10 @@ def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_c
     has such names already (see :func:`clean`, which hides them).
     """
     n_lines, n_removed, text, key, gone = fresh(docs, "n_lines", "n_removed", "clean_text", "row_key", "gone")
-    lines = stored(line_rows(docs, id_col, text_col, site_col, min_chars), "lines")
-    drop = (lines.join(boilerplate(lines, min_sites, long_words=long_words), ["line", "size"]).where("id != holder")
+    lines = stored(line_rows(docs, id_col, text_col, site_col, min_chars, long_words), "lines", "zstd")
+    drop = (lines.join(boilerplate(lines, min_sites), LINE).where("id != holder")
             .groupBy("row_key").agg(F.collect_set("pos").alias(gone)).withColumnRenamed("row_key", key))
-    out = docs.withColumn(key, F.xxhash64(F.col(id_col), F.col(text_col))).join(drop, key, "left")
+    out = docs.withColumn(key, row_key(F.col(id_col), F.col(text_col))).join(stored(drop, "lines-gone"), key, "left")
     parts = _lines(F.col(text_col))
     kept = F.filter(parts, lambda _, i: ~F.array_contains(F.col(gone), i))
     return out.select(
