@@ -122,3 +122,19 @@ def test_small_blocks_and_memory_change_nothing(spark, tmp_dir):
 def test_query_equals_library(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted((tuple(r) for r in T.query(spark, SF_SMALL).collect()), key=lambda r: r[1]) == expected(rows)
+
+
+def test_quick_split_equals_the_pattern():
+    import random
+
+    import regex
+
+    from tripmart.llm import pieces
+    whole = regex.compile(pieces.BYTE_LEVEL).findall
+    letters = [c for c in map(chr, range(0x250)) if not pieces._OTHER(c)]
+    rng = random.Random(2)
+    texts = ["".join(letters), *letters, *(a + b for a in letters for b in " \n'9,sé" if a in " \n\t\r'09._aß")]
+    texts += ["".join(rng.choice([rng.choice(letters), *" \n''19,.st"]) for _ in range(rng.randrange(40))) for _ in range(4000)]
+    for t in texts:
+        assert pieces._QUICK(t) == whole(t), repr(t)
+    assert all(pieces._OTHER(c) for c in "\x0b\x0c\x1c\x85\xa0×÷ªµ²½日̀")

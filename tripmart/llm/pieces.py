@@ -18,6 +18,11 @@ from tokenizers import Tokenizer
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 _LATE = re.compile("[\U00020000-\U0010FFFF]").search
+#: Letters that every version of Unicode and every library knows; texts of
+#: these, ASCII and its white space are split by a pattern without look-ups.
+_LATIN = "A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F"
+_OTHER = re.compile(f"[^\\t\\n\\r\\x20-\\x7E{_LATIN[6:]}]").search
+_QUICK = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LATIN}]+| ?[0-9]+| ?[^\\s{_LATIN}0-9]+|\\s+(?!\\S)|\\s+").findall
 
 
 def byte_letters() -> dict[int, str]:
@@ -45,11 +50,15 @@ class Pieces:
         names = sorted(self.special, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, names)) + ")").split if names else None
         self.letters = byte_letters()
+        self.blank = self.letters[0x20]
+        self.quick = not split or split[0] == BYTE_LEVEL
 
     def find(self, text: str) -> list[str]:
         """Pre-tokens of normalized text.  From U+20000 on, letters are still
         being assigned and libraries disagree: there the tokenizer's own
         splitter decides."""
+        if self.quick and not _OTHER(text):
+            return _QUICK(text)
         if text.isascii() or not _LATE(text):
             return self.pattern(text)
         return [text[a:b] for _, (a, b) in self.tok.pre_tokenizer.pre_tokenize_str(text)]
@@ -65,6 +74,8 @@ class Pieces:
 
     def merged(self, piece: str) -> list[int]:
         """Token ids of one pre-token, merged by the library."""
-        if not (piece.isascii() and piece.isprintable()) or " " in piece:
+        if piece.isascii() and piece.isprintable():  # of those bytes only the blank has another letter
+            piece = piece.replace(" ", self.blank)
+        else:
             piece = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
         return [t.id for t in self.tok.model.tokenize(piece)]

@@ -24,7 +24,6 @@ Block, little endian::
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from array import array
@@ -48,7 +47,7 @@ HEAD = struct.Struct("<8sIIIIQQ")
 BLOCK = 1 << 19
 #: Blocks in one file, which a reader takes as one value.
 BLOCKS_PER_FILE = 16
-#: Distinct words that a worker remembers (some 200 MB).
+#: Distinct pre-tokens that a worker remembers (some 200 MB).
 REMEMBERED = 1_000_000
 #: Characters tokenized at a time.
 CHUNK = 1 << 20
@@ -57,18 +56,10 @@ CHUNK = 1 << 20
 LENGTHS = np.stack([(np.arange(256) >> (2 * i) & 3) + 1 for i in range(4)], axis=1).astype(np.uint8)
 
 
-# a blank before more white space or at the end: pre-tokens then span blanks
-_AWKWARD = re.compile(r" (?:\s|\Z)").search
-
-
 class Encoder(dict):
-    """Number of each word met after a blank, with all their ids in one array.
+    """Number of each pre-token met, with the ids of all in one array.
 
-    A pre-token has a blank at its start at most, unless it is a run of white
-    space.  So where single blanks stand between words, a text's pre-tokens are
-    those of its first word and of each later word with its blank, and a word
-    is split and merged once while it is remembered.  Other texts take the
-    pattern as a whole.
+    A pre-token is merged once while it is remembered.
     """
 
     def __init__(self, path: str):
@@ -78,7 +69,6 @@ class Encoder(dict):
 
     def begin(self) -> None:
         self.clear()
-        self.bare: dict[object, int] = {}
         self.flat, self.ends = array("I"), array("I", [0])
 
     def add(self, ids: list[int]) -> int:
@@ -86,50 +76,27 @@ class Encoder(dict):
         self.ends.append(len(self.flat))
         return len(self.ends) - 2
 
-    def number(self, piece: str) -> int:
-        """Of one pre-token."""
-        if len(piece) > 1 and piece[0] == " ":
-            n = self.get(piece[1:])
-            if n is None:
-                n = self[piece[1:]] = self.add(self.pieces.merged(piece))
-            return n
-        n = self.bare.get(piece)
-        if n is None:
-            n = self.bare[piece] = self.add(self.pieces.merged(piece))
-        return n
-
-    def __missing__(self, word: str) -> int:
-        found = self.pieces.find(" " + word)
-        if len(found) == 1:
-            return self.number(found[0])
-        ids: list[int] = []
-        for n in map(self.number, found):
-            ids += self.flat[self.ends[n]:self.ends[n + 1]]
-        n = self[word] = self.add(ids)
+    def __missing__(self, piece: str) -> int:
+        n = self[piece] = self.add(self.pieces.merged(piece))
         return n
 
-    def fixed(self, key: object, ids: list[int]) -> int:
+    def fixed(self, key: tuple, ids: list[int]) -> int:
         """Of an id sequence that is no text."""
-        if key not in self.bare:
-            self.bare[key] = self.add(ids)
-        return self.bare[key]
+        if key not in self:
+            self[key] = self.add(ids)
+        return self[key]
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, ids of each text): whole texts, each followed by ``end_id``."""
-        if len(self) + len(self.bare) > REMEMBERED:
+        if len(self) > REMEMBERED:
             self.begin()
         end, got, size = self.fixed(("end", end_id), [end_id]), array("I"), []
         for text in texts:
             before = len(got)
-            if _AWKWARD(text) or any(name in text for name in self.pieces.special):
-                for found, special in self.pieces.parts(text):
-                    got.extend(map(self.number, found))
-                    if special is not None:
-                        got.append(self.fixed(("special", special), [self.pieces.special[special]]))
-            else:
-                words = text.split(" ")
-                got.extend(map(self.number, self.pieces.find(words[0])))
-                got.extend(map(self.__getitem__, words[1:]))
+            for found, special in self.pieces.parts(text):
+                got.extend(map(self.__getitem__, found))
+                if special is not None:
+                    got.append(self.fixed(("special", special), [self.pieces.special[special]]))
             got.append(end)
             size.append(len(got) - before)
         piece = np.array(got, np.int64)
