@@ -1,15 +1,17 @@
 """License notices by conditional compression.
 
-A candidate is the words around a cue, placed so that the cue lies on one of
-the template's own: as many words as the template has and, on both sides, as
+A candidate block is the words around a cue, placed so that the cue lies on one
+of a template's own: as many words as the template has and, on both sides, as
 many more as may be added.  Words are counted as they are compared, so comment
-marks are none.  A block that has too few of the template's words, in whatever
-order, cannot be confirmed and is left.  The others are compressed alone and
-with the template as zstandard raw dictionary, and confirmed by the exact
-wording differences: words of the template that are missing, words of the
-block that the template lacks.  What stands before the first and after the
-last common word is no part of the notice.  Of notices that overlap the one
-nearest its template stays, then the one with the larger size reduction.
+marks are none.  Every block is compressed alone and with the template as
+zstandard raw dictionary; a template that saves nothing is no candidate.
+
+A candidate is confirmed by the exact wording differences: words of the
+template that are missing, words of the block that the template lacks.  What
+stands before the first and after the last common word is no part of the
+notice.  Licenses share much of their wording, so several templates may be
+confirmed for the same words: all of them then compress the block that they
+cover together, and the one with the largest size reduction is the license.
 
 Only texts with a cue word leave the scan (a JVM filter); a third of all rows
 in one source or one group of copies changes nothing, as rows are independent.
@@ -138,6 +140,7 @@ class Templates:
         self.names = list(wordings)
         self.words = {n: words_of(t) for n, t in wordings.items()}
         self.bag = {n: Counter(w) for n, w in self.words.items()}
+        self.more = {n: max(MORE_WORDS, int((1 - MIN_WORDING) * len(w)) + 1) for n, w in self.words.items()}
         # by kind of cue: the templates that have it and where
         self.cued: dict[int, dict[str, list[int]]] = defaultdict(lambda: defaultdict(list))
         for n, t in wordings.items():
@@ -156,12 +159,13 @@ class Templates:
         data = block.encode("utf-8", "surrogatepass")
         return len(self.plain.compress(data)), len(self.given[name].compress(data))
 
-    def _differences(self, name: str, have: tuple[str, ...]) -> tuple[tuple[str, ...], tuple[str, ...], int, int, int]:
-        """(missing, extra, words in common, first and end of the words that count)."""
+    def _differences(self, name: str, have: tuple[str, ...]) -> tuple[tuple[str, ...], tuple[str, ...], int, int, int, int]:
+        """(missing, extra, words in common, first and end of the words that
+        count, where the template's first word would lie)."""
         want = self.words[name]
         same = [m for m in SequenceMatcher(None, want, have, autojunk=False).get_matching_blocks() if m.size]
         if not same:
-            return tuple(want), (), 0, 0, 0
+            return tuple(want), (), 0, 0, 0, 0
         # a stray word far before the notice, or after it, is none of its words
         while len(same) > 1 and same[1].b - same[0].b - same[0].size > 2 * same[0].size:
             same.pop(0)
@@ -171,34 +175,74 @@ class Templates:
         kept_a = {i for m in same for i in range(m.a, m.a + m.size)}
         kept_b = {i for m in same for i in range(m.b, m.b + m.size)}
         return (tuple(w for i, w in enumerate(want) if i not in kept_a),
-                tuple(have[i] for i in range(first, upto) if i not in kept_b), len(kept_a), first, upto)
+                tuple(have[i] for i in range(first, upto) if i not in kept_b), len(kept_a), first, upto, first - same[0].a)
 
-    def scan(self, text: str) -> list[dict]:
-        """Confirmed notices of a text, in order, none overlapping another."""
-        found = []
-        words, cues = places(text)
+    def candidates(self, text: str, words: list[tuple[int, int, str]], cues: list[tuple[int, int]]) -> list[tuple[str, int, int]]:
+        """(template, first word, end) of the blocks that their template makes smaller."""
         spots = {(n, max(0, at - i)) for at, kind in cues for n, own in self.cued[kind].items() for i in own}
+        out = []
         for n, place in sorted(spots):
-            want = len(self.words[n])
-            more = max(MORE_WORDS, int((1 - MIN_WORDING) * want) + 1)
-            block = words[max(0, place - more):place + want + more]
-            have = tuple(w for _, _, w in block)
-            if (Counter(have) & self.bag[n]).total() < MIN_WORDING * want:
-                continue
-            missing, extra, common, first, upto = self.differences(n, have)
-            if common < MIN_WORDING * want or len(extra) > (1 - MIN_WORDING) * want + 1:
-                continue
-            start, end = block[first][0], block[upto - 1][1]
-            plain, given = self.sizes(n, text[start:end])
+            first, end = max(0, place - self.more[n]), min(len(words), place + len(self.words[n]) + self.more[n])
+            plain, given = self.sizes(n, text[words[first][0]:words[end - 1][1]])
             if given < plain:
-                found.append(((common - len(missing) - len(extra), (plain - given) / plain, n),
-                              {"start": start, "end": end, "license": n, "plain_bytes": plain, "template_bytes": given,
-                               "missing": list(missing), "extra": list(extra)}))
+                out.append((n, first, end))
+        return out
+
+    def confirmed(self, name: str, words: list[tuple[int, int, str]], first: int, end: int) -> tuple | None:
+        """(missing, extra, first and end word) of a block whose differences are few enough.
+
+        A block that a cue put beside the notice is moved onto it: to where its
+        first common word has its place in the template.
+        """
+        want, more = len(self.words[name]), self.more[name]
+        found = None
+        while True:
+            have = tuple(w for _, _, w in words[first:end])
+            # words in common, in order, are never more than in any order
+            if (Counter(have) & self.bag[name]).total() < MIN_WORDING * want:
+                return found
+            missing, extra, common, a, b, start = self.differences(name, have)
+            if found and len(missing) + len(extra) >= len(found[0]) + len(found[1]):
+                return found
+            if common >= MIN_WORDING * want and len(extra) <= (1 - MIN_WORDING) * want + 1:
+                found = missing, extra, first + a, first + b
+            elif found is None:
+                return None
+            place = first + start
+            first, end = max(0, place - more), min(len(words), max(0, place) + want + more)
+
+    def scan(self, text: str) -> list[dict]:
+        """Confirmed notices of a text, in order, none overlapping another."""
+        words, cues = places(text)
+        found: dict[tuple[int, int, str], tuple] = {}
+        for name, first, end in self.candidates(text, words, cues):
+            notice = self.confirmed(name, words, first, end)
+            if notice:
+                missing, extra, begin, upto = notice
+                found[begin, upto, name] = missing, extra
         kept: list[dict] = []
-        found.sort(key=lambda x: x[1]["start"])
-        for _, f in sorted(found, key=lambda x: x[0], reverse=True):
-            if all(f["end"] <= k["start"] or f["start"] >= k["end"] for k in kept):
-                kept.append(f)
+        todo = [sorted(found)]
+        while todo:
+            some = todo.pop()
+            # notices that overlap, one or several steps apart
+            groups: list[list[tuple[int, int, str]]] = []
+            reach = -1
+            for notice in some:
+                if notice[0] >= reach:
+                    groups.append([])
+                groups[-1].append(notice)
+                reach = max(reach, notice[1])
+            for group in groups:
+                block = text[words[group[0][0]][0]:words[max(n[1] for n in group) - 1][1]]
+                saved = {n: self.sizes(n[2], block) for n in group}
+                # the largest reduction; where one template lies twice, its nearest wording
+                best = max(group, key=lambda n: (saved[n][0] - saved[n][1], n[2], -sum(map(len, found[n])), -n[0]))
+                missing, extra = found[best]
+                kept.append({"start": words[best[0]][0], "end": words[best[1] - 1][1], "license": best[2], "plain_bytes": saved[best][0],
+                             "template_bytes": saved[best][1], "missing": list(missing), "extra": list(extra)})
+                rest = [n for n in group if n[1] <= best[0] or n[0] >= best[1]]
+                if rest:
+                    todo.append(rest)
         return sorted(kept, key=lambda f: f["start"])
 
 
@@ -214,7 +258,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wordin
 
     A null or empty text has none and gives no row; a cue without a confirmed
     notice gives an empty list.  Repeated rows and null ids give their rows.
-    Ties between templates go to the larger reduction, then to the last name.
+    Templates that save the same are told apart by name only.  ``plain_bytes``
+    and ``template_bytes`` are the sizes of the block that the notice was
+    ranked on.
     An empty table gives an empty result.
     """
     rows = docs.where(F.col(text_col).rlike(CUES)).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
