@@ -24,6 +24,7 @@ Block, little endian::
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from array import array
@@ -32,6 +33,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -50,10 +52,16 @@ BLOCKS_PER_FILE = 16
 #: Distinct pre-tokens that a worker remembers (some 200 MB).
 REMEMBERED = 1_000_000
 #: Characters tokenized at a time.
-CHUNK = 1 << 20
+CHUNK = 1 << 23
 
 # for a control byte: the four lengths it holds
 LENGTHS = np.stack([(np.arange(256) >> (2 * i) & 3) + 1 for i in range(4)], axis=1).astype(np.uint8)
+# the bits that belong to a value of so many bytes
+OF_SIZE = np.array([(1 << 8 * i) - 1 for i in range(5)], np.uint32)
+
+
+# a blank before more white space or at the end: pre-tokens then span blanks
+_AWKWARD = re.compile(r" (?:\s|\Z)").search
 
 
 class Encoder(dict):
@@ -86,49 +94,89 @@ class Encoder(dict):
             self[key] = self.add(ids)
         return self[key]
 
+    def numbers(self, text: str) -> list[int]:
+        """Numbers of a text's pre-tokens and special strings."""
+        out: list[int] = []
+        for found, special in self.pieces.parts(text):
+            out.extend(map(self.__getitem__, found))
+            if special is not None:
+                out.append(self.fixed(("special", special), [self.pieces.special[special]]))
+        return out
+
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """(all ids, ids of each text): whole texts, each followed by ``end_id``."""
+        """(all ids, ids of each text): whole texts, each followed by ``end_id``.
+
+        Where single blanks stand between words, no pre-token spans one: the
+        words after blanks are split together, each distinct one once, and the
+        texts are put together from them by number.  A text's first word, and
+        a text with other white space after a blank or with a special string,
+        is an entry of its own.
+        """
         if len(self) > REMEMBERED:
             self.begin()
-        end, got, size = self.fixed(("end", end_id), [end_id]), array("I"), []
-        for text in texts:
-            before = len(got)
-            for found, special in self.pieces.parts(text):
-                got.extend(map(self.__getitem__, found))
-                if special is not None:
-                    got.append(self.fixed(("special", special), [self.pieces.special[special]]))
-            got.append(end)
-            size.append(len(got) - before)
-        piece = np.array(got, np.int64)
-        ends = np.array(self.ends, np.int64)
-        begin, n = ends[piece], ends[piece + 1] - ends[piece]
-        out = np.cumsum(n)
-        at = np.arange(out[-1] if len(out) else 0) + np.repeat(begin - (out - n), n)
-        total = np.r_[0, out][np.r_[0, np.cumsum(size)]] if texts else np.zeros(1, np.int64)
-        return np.array(self.flat, np.uint32)[at], np.diff(total)
+        own: list[str] = []   # first words and odd texts
+        rest: list[str | None] = []
+        for t in texts:
+            odd = _AWKWARD(t) or any(name in t for name in self.pieces.special)
+            first, _, more = (t, "", "") if odd else t.partition(" ")
+            own.append(first)
+            rest.append(more or None)
+        split = pc.split_pattern(pa.array(rest, pa.string()), " ")
+        offsets = split.offsets.to_numpy().astype(np.int64)
+        words = split.values.dictionary_encode()
+        distinct = len(words.dictionary)
+        # distinct words in one text: the pre-tokens that begin with a blank begin a word
+        joined = pc.binary_join(pa.ListArray.from_arrays([0, distinct], words.dictionary), " ")[0].as_py()
+        found = self.pieces.find(" " + joined) if distinct else []
+        number = list(map(self.__getitem__, found))
+        pieces = np.diff(np.flatnonzero([*(p[0] == " " for p in found), True]))
+        if len(pieces) != distinct:
+            raise ValueError("a blank did not begin a pre-token")
+        wholes = list(map(self.numbers, own))
+        number += [n for whole in wholes for n in whole] + [self.fixed(("end", end_id), [end_id])]
+        n, end = len(texts), len(pieces) + len(texts)
+        around = np.stack([np.arange(len(pieces), end), np.full(n, end)], axis=1).reshape(-1)
+        entry = np.insert(words.indices.to_numpy().astype(np.int64), np.stack([offsets[:-1], offsets[1:]], axis=1).reshape(-1), around)
+        # ids of each entry, then of all entries, one after the other
+        edge = np.r_[0, np.cumsum(np.r_[pieces, np.fromiter(map(len, wholes), np.int64, n), 1])]
+        ids, ends = gather(np.array(self.flat, np.uint32), np.array(self.ends, np.int64), np.array(number, np.int64))
+        ids, ends = gather(ids, ends[edge], entry)
+        return ids, np.diff(ends[offsets + 2 * np.arange(n + 1)])
+
+
+def gather(values: np.ndarray, ends: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches ``which`` of ``values``, one after the other, and their ends; stretch i goes from ends[i] to ends[i + 1]."""
+    begin = ends[which]
+    size = ends[which + 1] - begin
+    out = np.r_[0, np.cumsum(size)]
+    return values[np.arange(out[-1]) + np.repeat(begin - out[:-1], size)], out
 
 
 _KEPT: dict[str, Encoder] = {}
 
 
-def _tokenize(batches: Iterator[pa.RecordBatch], path: str, end_id: int, width: int) -> Iterator[pa.RecordBatch]:
+def _tokenize(batches: Iterator[pa.RecordBatch], path: str, end_id: int, size: int, width: int) -> Iterator[pa.RecordBatch]:
+    """A row per text with its ids, and one at the end with the task's count of every id."""
     if path not in _KEPT:
         _KEPT[path] = Encoder(path)
+    names, tally = ["id", "ids", "tally"], np.zeros(size, np.int64)
     for batch in batches:
         column, at = batch.column(1), 0
         while at < len(column):
-            to, size = at, 0
+            to, held = at, 0
             texts = []
-            while to < len(column) and (size < CHUNK or to == at):
+            while to < len(column) and (held < CHUNK or to == at):
                 texts.append(column[to].as_py() or "")
-                size += len(texts[-1])
+                held += len(texts[-1])
                 to += 1
             ids, n = _KEPT[path].encode(texts, end_id)
+            tally += np.bincount(ids, minlength=size)
             offsets = np.r_[0, np.cumsum(n * width)].astype(np.int32)
             data = pa.Array.from_buffers(pa.binary(), len(n), [
                 None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(ids.astype(f"<u{width}").tobytes())])
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), data], ["id", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), data, pa.nulls(to - at, pa.binary())], names)
             at = to
+    yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([tally.tobytes()])], names)
 
 
 def _ids(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -137,12 +185,12 @@ def _ids(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(rows), f"<u{width}"), np.fromiter(map(len, rows), np.int64, len(rows)) // width
 
 
-def _frequencies(batches: Iterator[pa.RecordBatch], size: int, width: int) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(size, np.int64)
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        counts += np.bincount(_ids(batch.column(0), width)[0], minlength=size)
-    token = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(token, pa.int32()), pa.array(counts[token], pa.int64())], ["token", "n"])
+        for tally in batch.column(0):
+            counts = np.frombuffer(tally.as_py(), np.int64)
+            token = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(token, pa.int32()), pa.array(counts[token])], ["token", "n"])
 
 
 def pack(values: np.ndarray) -> tuple[bytes, bytes]:
@@ -158,17 +206,12 @@ def pack(values: np.ndarray) -> tuple[bytes, bytes]:
 
 
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
-    """The ``n`` values of :func:`pack`, by table look-up and gathers."""
-    size = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n].astype(np.int64)
-    raw = np.frombuffer(data, np.uint8)
-    start = np.cumsum(size) - size
-    out = raw[start].astype(np.uint32)
-    for i in range(1, 4):
-        longer = np.flatnonzero(size > i)
-        if not len(longer):
-            break
-        out[longer] |= raw[start[longer] + i].astype(np.uint32) << np.uint32(8 * i)
-    return out
+    """The ``n`` values of :func:`pack`: lengths by table look-up, starts by a
+    running sum, then one gather of four bytes at every start."""
+    size = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
+    start = np.cumsum(size, dtype=np.int64) - size
+    raw = np.ndarray(len(data), "<u4", data + bytes(3), strides=(1,))
+    return raw[start] & OF_SIZE[size]
 
 
 def block(part: int, number: int, keys: list[int | None], sizes: np.ndarray, values: np.ndarray) -> bytes:
@@ -243,8 +286,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     vocabulary = Pieces(tokenizer).tok.get_vocab_size(with_added_tokens=True)
     width = 2 if vocabulary <= 1 << 16 else 4
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = stored(rows.mapInArrow(partial(_tokenize, path=tokenizer, end_id=end_id, width=width), "id long, ids binary"), "token-ids", "zstd")
-    counts = (rows.select("ids").mapInArrow(partial(_frequencies, size=vocabulary, width=width), "token int, n long")
+    encoded = rows.mapInArrow(partial(_tokenize, path=tokenizer, end_id=end_id, size=vocabulary, width=width), "id long, ids binary, tally binary")
+    encoded = stored(encoded, "token-ids", "zstd")
+    rows = encoded.where("ids IS NOT NULL").select("id", "ids")
+    counts = (encoded.where("tally IS NOT NULL").select("tally").mapInArrow(_frequencies, "token int, n long")
               .groupBy("token").agg(F.sum("n").alias("n")))
     order = np.array([r[0] for r in counts.orderBy(F.desc("n"), "token").select("token").collect()], np.int64)
     _save(spark.createDataFrame([(bytearray(block(0, 0, [None], np.array([len(order)]), order)),)], "block binary"), f"{path}/ranks")
