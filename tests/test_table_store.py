@@ -1,6 +1,5 @@
 import datetime as dt
 import decimal
-import json
 import os
 
 import pytest
@@ -42,7 +41,7 @@ def test_merge_upsert_changes_adds_and_rejects_duplicates(spark, tmp_dir):
     r = sorted(tuple(x) for x in st.read().select("k", "part", "v", "extra").collect())
     # changed row moved partition a -> b; new row; new column NULL for old rows
     assert r == [(1, "b", 10, "x"), (2, "b", 2, None), (3, "c", 3, "x")]
-    assert not os.path.exists(f"{tmp_dir}/t/part=a")
+    assert not os.path.exists(f"{tmp_dir}/t/data/part=a/_batch=all")
     with pytest.raises(ValueError):
         st.merge_upsert(df(spark, [(5, "a", T1, 1), (5, "a", T1, 2)]), ["k"])
 
@@ -67,31 +66,65 @@ def test_delete_insert_and_truncate(spark, tmp_dir):
     assert rows(st) == [(4, "d", T1, 4)]
 
 
-def test_unpartitioned_overwrite_and_markers(spark, tmp_dir):
+def files(path):
+    return {os.path.join(d, n) for d, _, names in os.walk(path) for n in names if n.endswith(".parquet")}
+
+
+def test_unpartitioned_table(spark, tmp_dir):
     st = TableStore(spark, f"{tmp_dir}/t")
-    st.append(df(spark, [(1, "a", T1, 1)]), marker="b-0")
-    assert st.committed("b-0") and not st.committed("b-1")
+    assert not st.exists()
+    st.append(df(spark, [(1, "a", T1, 1)]), batch="b-0")
+    st.append(df(spark, [(1, "a", T1, 1)]), batch="b-0")          # the same batch again
+    assert st.exists() and st.read().columns == ["k", "part", "ts", "v"] and rows(st) == [(1, "a", T1, 1)]
     st.merge_upsert(df(spark, [(1, "a", T1, 5)]), ["k"])
     assert rows(st) == [(1, "a", T1, 5)]
+    st.append(df(spark, [(1, "a", T1, 7)]))
+    st.append(df(spark, [(1, "a", T1, 7)]))
+    assert len(rows(st)) == 3
+    st.overwrite(st.read().where("v = 5").withColumn("more", F.lit(1)))   # from its own rows
+    assert [tuple(r) for r in st.read().collect()] == [(1, "a", T1, 5, 1)]
+    st.overwrite(df(spark, []))
+    assert st.read().columns == ["k", "part", "ts", "v"] and rows(st) == []
+
+
+def test_untouched_partitions_keep_their_files(spark, tmp_dir):
+    base = [(i, p, t, i) for i, (p, t) in enumerate([("a", T1), ("b", T2), ("c", T3), (None, T3), ("2024-01", T1)])]
+    changes = {
+        "merge_upsert": lambda st: st.merge_upsert(df(spark, [(1, "b", T2, 10)]), ["k"]),
+        "delete_insert": lambda st: st.delete_insert(df(spark, [(1, "b", T2, 10)]), ["k"]),
+        "replace_interval": lambda st: st.replace_interval(df(spark, [(1, "b", T2, 10)]), "ts", T2, T3)}
+    for name, change in changes.items():
+        st = TableStore(spark, f"{tmp_dir}/{name}", ["part"])
+        st.append(df(spark, base))
+        before = files(st.data)
+        change(st)
+        after = files(st.data)
+        assert {f for f in before - after} == {f for f in before if "part=b" in f} and len(after) == len(before), name
+        again = TableStore(spark, f"{tmp_dir}/{name}", ["part"])    # types come from the table, not from folder names
+        assert sorted(map(str, again.read().collect())) == sorted(map(str, [
+            again.read().collect()[0].__class__(k=k, ts=t, v=10 if k == 1 else v, part=p) for k, p, t, v in base])), name
+        assert dict(again.read().dtypes)["part"] == "string"
 
 
-def test_journal_replay_completes_a_crashed_commit(spark, tmp_dir):
-    path = f"{tmp_dir}/t"
-    st = TableStore(spark, path, ["part"])
-    st.append(df(spark, [(1, "a", T1, 1)]))
-    # simulate a crash right after the journal was written: stage content, write journal, stop
-    txn = "crashed"
-    st._stage(df(spark, [(2, "a", T1, 2)]), txn)
-    moves = [("part=a", f"_trash/{txn}/part=a"), (f"_staging/{txn}/part=a", "part=a")]
-    os.makedirs(f"{path}/_txn", exist_ok=True)
-    with open(f"{path}/_txn/{txn}.json", "w") as f:
-        json.dump({"txn": txn, "moves": moves, "marker": "m-7"}, f)
-    reopened = TableStore(spark, path, ["part"])
-    assert rows(reopened) == [(1, "a", T1, 1)]   # opening moves nothing
-    reopened.recover()
-    assert rows(reopened) == [(2, "a", T1, 2)]
-    assert reopened.committed("m-7")
-    assert not os.path.exists(f"{path}/_txn/{txn}.json")
+def test_a_failing_change_leaves_the_table(spark, tmp_dir):
+    st = TableStore(spark, f"{tmp_dir}/t", ["part"])
+    st.append(df(spark, [(1, "a", T1, 1), (2, "b", T2, 2)]))
+    bad = df(spark, [(1, "a", T1, 3), (2, "b", T2, 4)]).withColumn("v", F.when(F.col("k") == 2, F.raise_error(F.lit("stop"))).otherwise(F.col("v")))
+    before = files(st.data)
+    for change in (lambda: st.merge_upsert(bad, ["k"]), lambda: st.append(bad), lambda: st.overwrite(bad),
+                   lambda: st._replace(bad.withColumn("_batch", F.lit("all")), [])):
+        with pytest.raises(Exception, match="stop"):
+            change()
+        assert files(st.data) == before and rows(st) == [(1, "a", T1, 1), (2, "b", T2, 2)]
+
+
+def test_named_batches_live_beside_changes(spark, tmp_dir):
+    st = TableStore(spark, f"{tmp_dir}/t", ["part"])
+    for i in range(3):
+        st.append(df(spark, [(i, "a", T1, i), (10 + i, "b", T2, i)]), batch=f"q-{i}")
+    st.merge_upsert(df(spark, [(1, "a", T1, 99)]), ["k"])
+    st.append(df(spark, [(2, "a", T1, 2), (12, "b", T2, 2)]), batch="q-2")
+    assert sorted((r[0], r[3]) for r in rows(st)) == [(0, 0), (1, 99), (2, 2), (10, 0), (11, 1), (12, 2)]
 
 
 def test_pure_cores(spark):
@@ -170,10 +203,3 @@ def test_upsert_into_typed_partitions(spark, tmp_dir, kind, values):
     st.merge_upsert(spark.createDataFrame([(1, 9, a), (3, 9, b), (4, 9, c)], schema), ["k"])
     got = sorted((r.k, r.v, r.p) for r in st.read().collect())
     assert got == [(1, 9, a), (2, 1, b), (3, 9, b), (4, 9, c)]
-
-
-def test_missing_move_source_is_an_error(spark, tmp_dir):
-    st = TableStore(spark, f"{tmp_dir}/t", ["part"])
-    st.append(df(spark, [(1, "a", T1, 1)]))
-    with pytest.raises(FileNotFoundError):
-        st._commit("x", [("_staging/x/part=b", "part=b")], None)

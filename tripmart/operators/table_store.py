@@ -1,44 +1,39 @@
-"""Partitioned Parquet tables with crash-safe, partition-scoped rewrites.
-
-Layout: an ordinary hive-partitioned Parquet directory (any reader can scan
-it).  Book-keeping lives in ``_``-prefixed sub-folders that Spark's file
-index ignores:
-
-* ``_staging/<txn>/``  new content written by a Spark job (never the table path)
-* ``_trash/<txn>/``    partitions replaced by ``<txn>``
-* ``_txn/<txn>.json``  journal of the directory moves of one commit
-* ``_commits/<id>``    marker of an externally numbered batch (streaming sinks)
-* ``_schema.json``     the table schema (columns merged by name as they are
-                       added); reads declare it, so no footer is read to infer
-                       or merge schemas and older files read new columns as NULL
-
-A change writes the new content of the *touched* partitions to staging, then
-journals and performs directory renames (old partition -> trash, staged ->
-table).  Only metadata moves through the driver; the cost of a change follows
-the partitions it touches, not the table.  A journal left by a crash is
-replayed before the table's next write (or by :meth:`TableStore.recover`), so a
-commit either happens whole or (before the journal exists) not at all; opening
-or reading a table never moves anything, and a table has one writer at a time.  Plain Parquet has no MERGE/DELETE;
-the content of touched partitions comes from the pure cores in
-:mod:`tripmart.operators.materialize`.
+"""Partitioned Parquet tables whose changes rewrite only the partitions they touch.
+
+A table is a folder ``data`` of Parquet files partitioned as Spark writes them
+and an empty Parquet table ``schema`` that holds its columns and their types
+(readers declare it, so neither footers nor folder names are asked for types).
+Plain Parquet has no MERGE or DELETE, so every strategy joins old and new rows
+by the pure cores of :mod:`tripmart.operators.materialize` and writes the result
+with Spark's dynamic partition overwrite: the job writes aside, and its commit
+replaces exactly the partitions that got rows.  All other partitions keep their
+files.  A job that fails leaves the table as it was; one that is lost while it
+commits is run again, which every strategy but a plain append allows without
+harm, and an append does so too under a batch name (see
+:meth:`TableStore.append`).  A table has one writer at a time.
+
+Beside the caller's partition columns each table has ``_batch``: the name of the
+append that brought the rows, ``all`` for everything else.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.operators import materialize as M
+from tripmart.session import scratch_path
 
-HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
-# prefix of the columns that hold a partition value as Spark prints it
-_NAME = "__name_"
+BATCH = "_batch"
+#: Partition of rows that no named append brought.
+ALL = "all"
+_FILE = "__file"
 
 
 class TableStore:
@@ -46,305 +41,146 @@ class TableStore:
         self.spark = spark
         self.path = path.rstrip("/")
         self.partition_by = list(partition_by)
-        jvm = spark._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._Path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
-        self._escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-
-    # ------------------------------------------------------------------ fs
-    def _p(self, rel: str = ""):
-        return self._Path(f"{self.path}/{rel}" if rel else self.path)
-
-    def _exists(self, rel: str) -> bool:
-        return self._fs.exists(self._p(rel))
-
-    def _move(self, src: str, dst: str) -> None:
-        """Rename that a replay may repeat: done when dst exists; a source that
-        is missing before its move is an error, never skipped."""
-        s, d = self._p(src), self._p(dst)
-        if self._fs.exists(d):
-            return
-        if not self._fs.exists(s):
-            raise FileNotFoundError(f"{self.path}: {src} is missing, cannot move it to {dst}")
-        self._fs.mkdirs(d.getParent())
-        if not self._fs.rename(s, d):
-            raise OSError(f"rename failed: {src} -> {dst}")
-
-    def _write_text(self, rel: str, text: str) -> None:
-        """Write-then-rename.  Hadoop renames do not replace a file, so an
-        existing one is deleted first; callers only rewrite files whose
-        content is also in a journal (a crash in between is replayed)."""
-        tmp, dst = self._p(rel + ".tmp"), self._p(rel)
-        out = self._fs.create(tmp, True)
-        out.write(bytearray(text.encode()))
-        out.close()
-        if self._fs.exists(dst):
-            self._fs.delete(dst, False)
-        if not self._fs.rename(tmp, dst):
-            raise OSError(f"rename failed: {rel}")
-
-    def _read_text(self, rel: str) -> str:
-        jin = self._fs.open(self._p(rel))
-        reader = self.spark._jvm.java.io.BufferedReader(self.spark._jvm.java.io.InputStreamReader(jin))
-        lines = []
-        line = reader.readLine()
-        while line is not None:
-            lines.append(line)
-            line = reader.readLine()
-        reader.close()
-        return "\n".join(lines)
-
-    def _list(self, rel: str = "") -> list[str]:
-        if not self._exists(rel):
-            return []
-        return [st.getPath().getName() for st in self._fs.listStatus(self._p(rel))]
-
-    def _visible(self) -> list[str]:
-        return [n for n in self._list() if not n.startswith(("_", "."))]
-
-    # ------------------------------------------------------------- journal
-    def recover(self) -> None:
-        """Finish the commits that a crash left journalled."""
-        for name in sorted(self._list("_txn")):
-            if name.endswith(".json"):
-                self._apply(json.loads(self._read_text(f"_txn/{name}")))
-
-    def _begin(self, txn: str | None = None) -> str:
-        """Id of a write; commits left open are finished first."""
-        if txn is None:
-            self.recover()
-        return txn or uuid.uuid4().hex
-
-    def _apply(self, journal: dict) -> None:
-        # readers declare the stored schema: it is rewritten only when it changes
-        if journal.get("schema") and not (self._exists("_schema.json") and self._read_text("_schema.json") == journal["schema"]):
-            self._write_text("_schema.json", journal["schema"])
-        for src, dst in journal["moves"]:
-            self._move(src, dst)
-        if journal.get("marker"):
-            self._write_text(f"_commits/{journal['marker']}", journal["txn"])
-        txn = journal["txn"]
-        # the journal goes first: what is left then is garbage, never replayed
-        for rel in (f"_txn/{txn}.json", f"_staging/{txn}", f"_staging/src-{txn}", f"_trash/{txn}"):
-            if self._exists(rel):
-                self._fs.delete(self._p(rel), True)
-
-    def _commit(self, txn: str, moves: list[tuple[str, str]], marker: str | None,
-                 schema: T.StructType | None = None, replace_schema: bool = False) -> None:
-        if schema is not None and not replace_schema:
-            schema = self._merged(schema)
-        journal = {"txn": txn, "moves": moves, "marker": marker, "schema": schema.json() if schema else None}
-        self._write_text(f"_txn/{txn}.json", json.dumps(journal))
-        self._apply(journal)
-
-    def committed(self, marker: str) -> bool:
-        """Whether a batch with this marker was already committed."""
-        return self._exists(f"_commits/{marker}")
+        self.data = f"{self.path}/data"
+        self.parts = [*self.partition_by, BATCH]
 
     # ------------------------------------------------------------- reading
-    def exists(self) -> bool:
-        return bool(self._visible())
-
     def schema(self) -> T.StructType | None:
-        if not self._exists("_schema.json"):
+        """The table's columns, ``_batch`` last; None before the first write."""
+        try:
+            return self.spark.read.parquet(f"{self.path}/schema").schema
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
-        return T.StructType.fromJson(json.loads(self._read_text("_schema.json")))
 
-    def _merged(self, new: T.StructType) -> T.StructType:
-        """Stored schema plus the columns only ``new`` has (appended at the end)."""
-        old = self.schema()
-        if old is None:
-            return new
-        have = {f.name.lower() for f in old.fields}
-        return T.StructType(old.fields + [f for f in new.fields if f.name.lower() not in have])
+    def exists(self) -> bool:
+        return self.schema() is not None
+
+    def _rows(self) -> DataFrame:
+        return self.spark.read.schema(self.schema()).parquet(self.data)
 
     def read(self) -> DataFrame:
-        schema = self.schema()
-        if schema is None:  # a folder written by something else
-            return self.spark.read.option("mergeSchema", True).parquet(self.path)
-        return self.spark.read.schema(schema).parquet(self.path)
+        return self._rows().drop(BATCH)
 
     def read_or_empty(self, like: DataFrame) -> DataFrame:
         return self.read() if self.exists() else self.spark.createDataFrame([], like.schema)
 
-    # ------------------------------------------------------------- helpers
-    def _partition_dir(self, touched: Row) -> str:
-        """Folder of a touched partition, from its values as Spark prints them."""
-        return "/".join(f"{c}={self._escape(touched[_NAME + c]) if touched[_NAME + c] else HIVE_NULL}"
-                        for c in self.partition_by)
-
-    def _table_schema(self, df: DataFrame) -> T.StructType:
-        """Data columns first, partition columns last (as a partitioned read
-        returns them)."""
-        data = [f for f in df.schema.fields if f.name not in self.partition_by]
-        parts = [df.schema[c] for c in self.partition_by]
-        return T.StructType(data + parts)
-
-    def _stage(self, df: DataFrame, txn: str) -> str:
-        rel = f"_staging/{txn}"
-        if self.partition_by:
-            # a few well-sized files per partition: AQE splits a hot
-            # partition value across tasks and merges small ones
-            df = df.hint("rebalance", *self.partition_by)
-        w = df.write.mode("errorifexists")
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        w.parquet(f"{self.path}/{rel}")
-        return rel
-
-    def _materialize(self, source: DataFrame, txn: str) -> DataFrame:
-        """Write the change's source rows once to the staging folder and
-        return a reader over them: later steps (duplicate check, touched
-        partitions, new content) read files instead of recomputing the
-        source's plan, and its lineage ends here."""
-        path = f"{self.path}/_staging/src-{txn}"
-        source.write.mode("errorifexists").parquet(path)
+    # ------------------------------------------------------------- writing
+    def _declare(self, df: DataFrame, replace: bool = False) -> None:
+        """Record the columns of ``df``, after those the table has already."""
+        old = None if replace else self.schema()
+        have = {f.name.lower() for f in old.fields} if old else set()
+        fields = (old.fields if old else []) + [f for f in df.schema.fields if f.name.lower() not in have]
+        fields = sorted(fields, key=lambda f: self.parts.index(f.name) + 1 if f.name in self.parts else 0)
+        schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
+        if old is None or schema.names != old.names:
+            self.spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/schema")
+
+    def _write(self, df: DataFrame, mode: str) -> None:
+        # rebalance: AQE splits a hot partition value across tasks and merges small ones
+        (df.hint("rebalance", *self.parts).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*self.parts).parquet(self.data))
+
+    def _once(self, source: DataFrame) -> DataFrame:
+        """The change's rows, computed once and kept in the session's scratch
+        folder: what follows reads files, and the lineage ends here."""
+        path = scratch_path(self.spark, f"changes/{uuid.uuid4().hex}")
+        source.write.parquet(path)
         return self.spark.read.schema(source.schema).parquet(path)
 
-    def _touched(self, *frames: DataFrame) -> list[Row]:
-        """Distinct partition values of the given rows (metadata-sized), each
-        also as the text Spark names its folder with."""
-        keys = reduce(lambda a, b: a.union(b), [f.select(*self.partition_by) for f in frames]).distinct()
-        return keys.select("*", *[F.col(c).cast("string").alias(_NAME + c) for c in self.partition_by]).collect()
-
-    def _only(self, df: DataFrame, touched: list[Row]) -> DataFrame:
-        """Rows of ``df`` in the touched partitions (prunes partition dirs)."""
-        if not touched:
-            return df.limit(0)
-        if len(self.partition_by) == 1:
-            c = self.partition_by[0]
-            vals = [t[c] for t in touched if t[c] is not None]
-            cond = F.col(c).isin(vals) if vals else F.lit(False)
-            if any(t[c] is None for t in touched):
-                cond = cond | F.col(c).isNull()
-            return df.where(cond)
-        keys = self.spark.createDataFrame([tuple(t[c] for c in self.partition_by) for t in touched],
-                                          df.select(*self.partition_by).schema)
-        if len(touched) <= 100_000:  # the list is on the driver already: its size is known
-            keys = F.broadcast(keys)
-        return df.join(keys, [df[c].eqNullSafe(keys[c]) for c in self.partition_by], "left_semi")
-
-    # -------------------------------------------------------------- writes
-    def overwrite(self, df: DataFrame, marker: str | None = None, txn: str | None = None) -> None:
-        """Full refresh (``table`` / ``truncate+insert``)."""
-        txn = self._begin(txn)
-        staged = self._stage(df, txn)
-        moves = [(n, f"_trash/{txn}/{n}") for n in self._visible()]
-        moves += [(f"{staged}/{n}", n) for n in self._list(staged) if not n.startswith(("_", "."))]
-        self._commit(txn, moves, marker, self._table_schema(df), replace_schema=True)
-
-    def replace_partitions(self, content: DataFrame, touched: list[Row], marker: str | None = None,
-                           txn: str | None = None) -> None:
-        """Replace exactly the ``touched`` partitions (rows of :meth:`_touched`)
-        by ``content``, which must only hold rows of those partitions; a
-        touched partition with no rows disappears.
-
-        What is new is listed from the staged folders, and what is old from
-        the table's, so folder names are only ever Spark's own."""
-        if not self.partition_by:
-            return self.overwrite(content, marker, txn)
-        txn = self._begin(txn)
-        staged = self._stage(content, txn)
-        old = {self._partition_dir(t) for t in touched}
-        new = self._leaf_dirs(staged, len(self.partition_by))
-        if stray := set(new) - old:
-            raise ValueError(f"{self.path}: content outside the touched partitions: {sorted(stray)[:3]}")
-        moves = [(d, f"_trash/{txn}/{d}") for d in sorted(old) if self._exists(d)]
-        moves += [(f"{staged}/{d}", d) for d in new]
-        self._commit(txn, moves, marker, self._table_schema(content))
-
-    def append(self, df: DataFrame, marker: str | None = None, txn: str | None = None) -> None:
-        """``append``: new files are staged, then moved in.  A partition the
-        table does not have yet moves as one directory; into an existing
-        partition the staged files move one by one."""
-        txn = self._begin(txn)
-        staged = self._stage(df, txn)
-        moves = []
-        for rel in self._leaf_dirs(staged, len(self.partition_by)):
-            if rel and not self._exists(rel):
-                moves.append((f"{staged}/{rel}", rel))
-                continue
-            src = f"{staged}/{rel}" if rel else staged
-            for name in self._list(src):
-                if not name.startswith(("_", ".")):
-                    moves.append((f"{src}/{name}", f"{rel}/{name}" if rel else name))
-        self._commit(txn, moves, marker, self._table_schema(df))
-
-    def _leaf_dirs(self, root: str, depth: int) -> list[str]:
-        """Relative partition directories ``depth`` levels below ``root``."""
-        level = [""]
-        for _ in range(depth):
-            nxt = []
-            for rel in level:
-                base = f"{root}/{rel}" if rel else root
-                nxt += [f"{rel}/{n}" if rel else n for n in self._list(base)
-                        if "=" in n and not n.startswith(("_", "."))]
-            level = nxt
-        return level
+    def _placed(self) -> DataFrame:
+        """The table's rows with the file each lies in."""
+        return self._rows().withColumn(_FILE, F.col("_metadata.file_path"))
+
+    def _partitions(self, placed: DataFrame) -> list[Row]:
+        """Partitions that some rows lie in, with a file of each; one row per partition."""
+        return placed.groupBy(*self.parts).agg(F.min(_FILE).alias(_FILE)).collect()
+
+    def _key(self, row: Row) -> tuple:
+        return tuple(row[c] for c in self.parts)
+
+    def _in(self, rows: DataFrame, keys: set[tuple]) -> DataFrame:
+        """The table's rows in the given partitions; other folders are not opened."""
+        if not keys:
+            return rows.limit(0)
+        for i, c in enumerate(self.parts):  # literal lists prune folders, the join is exact
+            values = {k[i] for k in keys}
+            some = F.col(c).isin([v for v in values if v is not None])
+            rows = rows.where(some | F.col(c).isNull() if None in values else some)
+        named = self.spark.createDataFrame(list(keys), T.StructType([rows.schema[c] for c in self.parts]))
+        return rows.join(F.broadcast(named), [rows[c].eqNullSafe(named[c]) for c in self.parts], "left_semi")
+
+    def _replace(self, content: DataFrame, old: list[Row]) -> None:
+        """Replace the ``old`` partitions by ``content``.  Spark replaces those
+        that get rows; where an old file is still there, none came, and the
+        folder goes."""
+        self._declare(content)
+        self._write(content, "overwrite")
+        for row in old:
+            file = self.spark._jvm.org.apache.hadoop.fs.Path(self.spark._jvm.java.net.URI(row[_FILE]))
+            fs = file.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            if fs.exists(file):
+                fs.delete(file.getParent(), True)
+
+    def append(self, df: DataFrame, batch: str | None = None) -> None:
+        """``append``.  A named ``batch`` replaces what the same batch brought
+        before, so it may be written again."""
+        df = df.withColumn(BATCH, F.lit(batch or ALL))
+        self._declare(df)
+        self._write(df, "append" if batch is None else "overwrite")
+
+    def overwrite(self, df: DataFrame) -> None:
+        """Full refresh; the table gets the columns of ``df``."""
+        df = df.withColumn(BATCH, F.lit(ALL))
+        old = self._partitions(self._placed()) if self.exists() else []
+        if old:
+            df = self._once(df)
+        self._declare(df, replace=True)
+        self._replace(df, old)
+
+    def _change(self, source: DataFrame, hit, core) -> None:
+        """Rewrite the partitions that hold rows for which ``hit(table, source)``
+        is not empty, and those that new rows go to, by ``core(table, source)``."""
+        src = self._once(source.withColumn(BATCH, F.lit(ALL)))
+        if not self.exists():
+            self._declare(src)
+            return self._write(src, "append")
+        old = self._partitions(hit(self._placed(), src))
+        into = {self._key(r) for r in src.select(*self.parts).distinct().collect()}
+        self._replace(core(self._in(self._rows(), {self._key(r) for r in old} | into), src), old)
 
     # -------------------------------------------------------- strategies
-    def merge_insert(self, source: DataFrame, key: Sequence[str], dedupe: bool = False,
-                     marker: str | None = None) -> None:
-        self.recover()
+    def merge_insert(self, source: DataFrame, key: Sequence[str], dedupe: bool = False) -> None:
         src = source.dropDuplicates(list(key)) if dedupe else source
-        if not self.exists():
-            return self.append(src, marker)
-        self.append(M.new_rows(self.read(), src, key), marker)
+        self.append(M.new_rows(self.read(), src, key) if self.exists() else src)
 
-    def merge_upsert(self, source: DataFrame, key: Sequence[str], add_columns: bool = True,
-                     marker: str | None = None, check_unique: bool = True) -> None:
+    def merge_upsert(self, source: DataFrame, key: Sequence[str], add_columns: bool = True, check_unique: bool = True) -> None:
         """Upsert; ``check_unique=False`` skips the duplicate-key job when the
         source is unique by construction (e.g. an aggregation's output)."""
-        txn = self._begin()
-        src = self._materialize(source, txn)
+        key = list(key)
         if check_unique:
-            M.assert_unique(src, key)
-        if not self.exists():
-            return self.append(src, marker, txn)
-        target = self.read()
-        if not self.partition_by:
-            return self.overwrite(M.merge_upsert(target, src, key, add_columns), marker, txn)
-        hits = target.join(M.key_set(src, key), list(key), "left_semi")
-        touched = self._touched(src, hits)
-        new = M.merge_upsert(self._only(target, touched), src, key, add_columns)
-        self.replace_partitions(new, touched, marker, txn)
-
-    def replace_interval(self, source: DataFrame, ts: str, start, end, marker: str | None = None) -> None:
-        txn = self._begin()
-        src = self._materialize(source.where(M.in_window(F.col(ts), start, end)), txn)
-        if not self.exists():
-            return self.append(src, marker, txn)
-        target = self.read()
-        if not self.partition_by:
-            return self.overwrite(M.replace_interval(target, src, ts, start, end), marker, txn)
-        touched = self._touched(src, target.where(M.in_window(F.col(ts), start, end)))
-        new = M.replace_interval(self._only(target, touched), src, ts, start, end)
-        self.replace_partitions(new, touched, marker, txn)
-
-    def delete_insert(self, source: DataFrame, key: Sequence[str], marker: str | None = None) -> None:
-        txn = self._begin()
-        src = self._materialize(source, txn)
-        if not self.exists():
-            return self.append(src, marker, txn)
-        target = self.read()
-        if not self.partition_by:
-            return self.overwrite(M.delete_insert(target, src, key), marker, txn)
-        hits = target.join(M.key_set(src, key), list(key), "left_semi")
-        touched = self._touched(src, hits)
-        new = M.delete_insert(self._only(target, touched), src, key)
-        self.replace_partitions(new, touched, marker, txn)
-
-    def truncate_insert(self, source: DataFrame, marker: str | None = None) -> None:
-        self.recover()
-        if self.exists():
-            source = M.truncate_insert(self.read(), source)
-        self.overwrite(source, marker)
-
-    def backfill(self, source: DataFrame, ts: str, months, marker: str | None = None) -> None:
+            source = self._once(source)
+            M.assert_unique(source, key)
+        self._change(source, lambda t, s: t.join(M.key_set(s, key), key, "left_semi"),
+                     lambda t, s: M.merge_upsert(t, s, key, add_columns))
+
+    def replace_interval(self, source: DataFrame, ts: str, start, end) -> None:
+        inside = M.in_window(F.col(ts), start, end)
+        self._change(source.where(inside), lambda t, s: t.where(inside), lambda t, s: M.replace_interval(t, s, ts, start, end))
+
+    def delete_insert(self, source: DataFrame, key: Sequence[str]) -> None:
+        key = list(key)
+        self._change(source, lambda t, s: t.join(M.key_set(s, key), key, "left_semi"), lambda t, s: M.delete_insert(t, s, key))
+
+    def truncate_insert(self, source: DataFrame) -> None:
+        self.overwrite(M.truncate_insert(self.read(), source) if self.exists() else source)
+
+    def backfill(self, source: DataFrame, ts: str, months) -> None:
         """Re-load a list of months in ONE job: the whole range is replaced
         (``time_interval`` over first..last month), not one job per month."""
         start, end = M.backfill_window(months)
-        self.replace_interval(source, ts, start, end, marker)
+        self.replace_interval(source, ts, start, end)
 
 
 def write_reports(base: DataFrame, reports: dict, mode: str = "overwrite") -> None:

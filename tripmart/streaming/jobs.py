@@ -120,10 +120,9 @@ def running_count(df: DataFrame, predicate: Column, name: str = "n") -> DataFram
 
 # ------------------------------------------------------------------- sinks
 
-def _marker(name: str, batch: DataFrame, batch_id: int) -> str:
-    """Commit marker of a micro-batch.  Batch ids restart with every new
-    checkpoint, so the query's id, which lives in the checkpoint, is part of
-    it: only a replay of the same batch of the same query is ever skipped."""
+def _batch_name(name: str, batch: DataFrame, batch_id: int) -> str:
+    """Batch ids restart with every new checkpoint, so the query's id, which
+    lives in the checkpoint, is part of a micro-batch's name."""
     query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
     return f"{name}-{query or 'batch'}-{batch_id}"
 
@@ -136,26 +135,21 @@ def _default_checkpoint(store: TableStore, name: str) -> str:
 
 def upsert_sink(store: TableStore, key: Sequence[str], name: str,
                 unique_source: bool = True) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` handler: keyed upsert, idempotent per query and batch
-    id (a replayed batch after a failure is skipped once its commit is
-    recorded).  ``unique_source``: the batch is unique on ``key`` (true for the
-    output of a streaming aggregation grouped by ``key``), so no duplicate
-    check runs."""
+    """``foreachBatch`` handler: keyed upsert.  A batch that is replayed after a
+    failure upserts the same rows again, which changes nothing.
+    ``unique_source``: the batch is unique on ``key`` (true for the output of a
+    streaming aggregation grouped by ``key``), so no duplicate check runs."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        marker = _marker(name, batch, batch_id)
-        if store.committed(marker):
-            return
-        store.merge_upsert(batch, key, marker=marker, check_unique=not unique_source)
+        store.merge_upsert(batch, key, check_unique=not unique_source)
     handle.checkpoint = _default_checkpoint(store, name)
     return handle
 
 
 def append_sink(store: TableStore, name: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` append, exactly once per query and batch id."""
+    """``foreachBatch`` append, exactly once: a replayed batch replaces the
+    partition that it wrote before."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        marker = _marker(name, batch, batch_id)
-        if not store.committed(marker):
-            store.append(batch, marker=marker)
+        store.append(batch, batch=_batch_name(name, batch, batch_id))
     handle.checkpoint = _default_checkpoint(store, name)
     return handle
 

@@ -69,7 +69,7 @@ def consume_to_table(spark, schema, target: TableStore, *, kafka_servers: str |
     """Consumer that writes events to a table in micro-batches every ``every``,
     of at most ``max_offsets`` Kafka rows or ``max_files`` files if given;
     offsets are committed to the checkpoint only after the batch's table commit, and
-    the commit marker makes a replayed batch a no-op (exactly once)."""
+    a replayed batch replaces what it wrote before (exactly once)."""
     from tripmart.streaming.jobs import read_events
     events = read_events(spark, schema, kafka_servers=kafka_servers, topic=topic, path=path, fmt=fmt,
                          max_offsets=max_offsets, max_files=max_files)
