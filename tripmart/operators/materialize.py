@@ -44,10 +44,23 @@ def key_set(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.select(*key).distinct()
 
 
+def keys_in(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Distinct keys of ``target`` that ``source`` has.
+
+    A semi join, whose left side the planner may thin before it is shuffled: by
+    a broadcast of the batch's keys while they are few, beyond that by a Bloom
+    filter of them that is built first and pushed to the target's scan
+    (``spark.sql.optimizer.runtime.bloomFilter.*``), so that of the target only
+    rows that may match are shuffled."""
+    key = list(key)
+    return target.select(*key).join(key_set(source, key), key, "left_semi").distinct()
+
+
 def new_rows(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
     """Source rows whose key does not occur in the target (NULL-safe: a NULL
-    key part never matches, like an equality join)."""
-    t = key_set(target, key).select(*[F.col(k).alias(f"__t_{k}") for k in key])
+    key part never matches, like an equality join).  The target is first cut
+    down to the keys the batch has (:func:`keys_in`)."""
+    t = keys_in(target, source, key).select(*[F.col(k).alias(f"__t_{k}") for k in key])
     cond = [source[k] == t[f"__t_{k}"] for k in key]
     return source.join(t, cond, "left_anti")
 

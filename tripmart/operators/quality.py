@@ -41,21 +41,21 @@ def expression(name: str, predicate: str) -> Check: return Check("expression", (
 def not_empty() -> Check: return Check("not_empty", ("*",))  # at least one row (> 0, not > 1)
 
 
-def _row_violation(ch: Check) -> Column:
-    c = F.col(ch.columns[0]) if ch.kind not in ("expression", "not_empty") else None
-    if ch.kind == "not_null":
-        return F.count_if(c.isNull())
-    if ch.kind == "accepted_values":
-        return F.count_if(c.isNotNull() & ~c.isin(list(ch.values)))
-    if ch.kind == "non_negative":
-        return F.count_if(c < 0)
-    if ch.kind == "positive":
-        return F.count_if(c <= 0)
+def violates(ch: Check) -> Column:
+    """Whether a row breaks a check that looks at single rows."""
     if ch.kind == "expression":
-        return F.count_if(~F.coalesce(F.expr(ch.expr), F.lit(False)))
+        return ~F.coalesce(F.expr(ch.expr), F.lit(False))
+    c = F.col(ch.columns[0])
+    broken = {"not_null": c.isNull(), "accepted_values": ~c.isin(list(ch.values)), "non_negative": c < 0, "positive": c <= 0}
+    if ch.kind not in broken:
+        raise ValueError(ch.kind)
+    return F.coalesce(broken[ch.kind], F.lit(False))
+
+
+def _row_violation(ch: Check) -> Column:
     if ch.kind == "not_empty":
         return F.when(F.count(F.lit(1)) == 0, F.lit(1)).otherwise(F.lit(0))
-    raise ValueError(ch.kind)
+    return F.count_if(violates(ch))
 
 
 def _report_row(ch: Check, violations: Column) -> Column:

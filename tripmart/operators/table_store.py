@@ -77,9 +77,12 @@ class TableStore:
         if old is None or schema.names != old.names:
             self.spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/schema")
 
-    def _write(self, df: DataFrame, mode: str) -> None:
+    def _write(self, df: DataFrame, mode: str, observe: tuple | None = None) -> None:
         # rebalance: AQE splits a hot partition value across tasks and merges small ones
-        (df.hint("rebalance", *self.parts).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        df = df.hint("rebalance", *self.parts)
+        if observe:  # above the shuffle: what the writing tasks see
+            df = df.observe(observe[0], *observe[1])
+        (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.parts).parquet(self.data))
 
     def _once(self, source: DataFrame) -> DataFrame:
@@ -123,12 +126,13 @@ class TableStore:
             if fs.exists(file):
                 fs.delete(file.getParent(), True)
 
-    def append(self, df: DataFrame, batch: str | None = None) -> None:
+    def append(self, df: DataFrame, batch: str | None = None, observe: tuple | None = None) -> None:
         """``append``.  A named ``batch`` replaces what the same batch brought
-        before, so it may be written again."""
+        before, so it may be written again.  ``observe`` is an Observation and
+        the aggregates that the write gives it."""
         df = df.withColumn(BATCH, F.lit(batch or ALL))
         self._declare(df)
-        self._write(df, "append" if batch is None else "overwrite")
+        self._write(df, "append" if batch is None else "overwrite", observe)
 
     def overwrite(self, df: DataFrame) -> None:
         """Full refresh; the table gets the columns of ``df``."""

@@ -1122,5 +1122,5 @@ def q_stream_session_global_by_key(spark, d):
                     C.instant_to_naive("session_end").alias("session_end"), "location", "num_events", "total_amount")
 
 
-# the strategies on stored tables, registered by their own module
-from tripmart.plans import storage_queries  # noqa: E402,F401
+# registered by their own modules
+from tripmart.plans import incremental_queries, storage_queries, stream_queries  # noqa: E402,F401

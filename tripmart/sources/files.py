@@ -119,6 +119,16 @@ def read_time_range(spark: SparkSession, root: str, ts: str, start: dt.datetime,
         F.col(date_col).between(F.lit(start.date()), F.lit(last)) & (F.col(ts) >= F.lit(start)) & (F.col(ts) < F.lit(end)))
 
 
+def read_matching(spark: SparkSession, root: str, wanted: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows of a partitioned table whose partition columns ``on`` occur in
+    ``wanted`` (a filtered dimension).  The values are known only when the
+    dimension has run: its broadcast is used a second time, to open only the
+    folders it names (dynamic partition pruning).  The dimension's other
+    columns come along; a combination must occur in it once."""
+    from tripmart.operators.joins import broadcast_if_small
+    return spark.read.parquet(root).join(broadcast_if_small(wanted), list(on))
+
+
 def read_json_array(spark: SparkSession, path: str | Sequence[str], field: str,
                     schema: T.StructType | None = None, keep: Sequence[str] | None = None,
                     multi_line: bool = True, parents: Sequence[str] = ()) -> DataFrame:

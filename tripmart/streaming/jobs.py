@@ -118,9 +118,19 @@ def running_count(df: DataFrame, predicate: Column, name: str = "n") -> DataFram
     return df.where(predicate).agg(F.count(F.lit(1)).alias(name))
 
 
+def deduplicated(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Each ``key`` once, for a source that delivers at least once.
+
+    ``df`` has a watermark: a key is remembered until the watermark is its
+    row's event time plus the delay, so the state holds the keys of one delay,
+    and a copy that comes later than that is behind the watermark and dropped.
+    """
+    return df.dropDuplicatesWithinWatermark(list(key))
+
+
 # ------------------------------------------------------------------- sinks
 
-def _batch_name(name: str, batch: DataFrame, batch_id: int) -> str:
+def batch_name(name: str, batch: DataFrame, batch_id: int) -> str:
     """Batch ids restart with every new checkpoint, so the query's id, which
     lives in the checkpoint, is part of a micro-batch's name."""
     query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
@@ -149,7 +159,7 @@ def append_sink(store: TableStore, name: str) -> Callable[[DataFrame, int], None
     """``foreachBatch`` append, exactly once: a replayed batch replaces the
     partition that it wrote before."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        store.append(batch, batch=_batch_name(name, batch, batch_id))
+        store.append(batch, batch=batch_name(name, batch, batch_id))
     handle.checkpoint = _default_checkpoint(store, name)
     return handle
 

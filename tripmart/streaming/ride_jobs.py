@@ -65,13 +65,19 @@ def pass_through(events: DataFrame, target: TableStore, columns: list[str], **st
 def consume_to_table(spark, schema, target: TableStore, *, kafka_servers: str | None = None,
                      topic: str | None = None, path: str | None = None, fmt: str = "json",
                      max_offsets: int | None = None, max_files: int | None = None, every: str = "5 seconds",
-                     name: str = "consumer", **start_kw) -> StreamingQuery:
+                     name: str = "consumer", once_by: list[str] | None = None, ts: str = "ts", delay: str = "1 day",
+                     **start_kw) -> StreamingQuery:
     """Consumer that writes events to a table in micro-batches every ``every``,
     of at most ``max_offsets`` Kafka rows or ``max_files`` files if given;
     offsets are committed to the checkpoint only after the batch's table commit, and
-    a replayed batch replaces what it wrote before (exactly once)."""
-    from tripmart.streaming.jobs import read_events
+    a replayed batch replaces what it wrote before (exactly once).  A topic that
+    holds an event more than once (an at-least-once producer, a topic read from
+    the start again) is thinned by ``once_by``: copies that come within ``delay``
+    of event time ``ts`` are dropped."""
+    from tripmart.streaming.jobs import deduplicated, read_events, with_event_time
     events = read_events(spark, schema, kafka_servers=kafka_servers, topic=topic, path=path, fmt=fmt,
                          max_offsets=max_offsets, max_files=max_files)
+    if once_by:
+        events = deduplicated(with_event_time(events, ts, delay), once_by)
     return start(events, sink=append_sink(target, name), mode="append", processing_time=every, name=name,
                  **start_kw)
