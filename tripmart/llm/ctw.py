@@ -15,13 +15,14 @@ decision mixes the KT estimates of all depths with the resulting weights; the
 logarithms sum to the text's code length.
 
 Nothing that grows with the corpus is broadcast or collected.  The texts are
-dealt into slices of about ``SLICE`` characters; each gives its distinct
-(context, byte) pairs.  Their counts meet by the last ``TOP`` + 1 bytes of the
-context: below those a task builds the tree and mixes the estimates of the
-pairs.  The contexts of ``TOP`` bytes and less (their number is bounded by the
-alphabet, not by the corpus) are joined on the driver.  The pairs'
-probabilities go back to the slices by a shuffle join, and each slice is scored
-with its own.
+dealt into slices of about ``SLICE`` characters, kept as compressed chunks; each
+slice gives its distinct (context, byte) pairs, packed into one sorted,
+delta-coded list per hash bucket.  A bucket's lists add up to its counts, which
+meet by the last ``TOP`` + 1 bytes of the context: below those a task builds the
+tree and mixes the estimates of the pairs.  The contexts of ``TOP`` bytes and
+less (their number is bounded by the alphabet, not by the corpus) are joined on
+the driver.  The probabilities then meet the lists by bucket, and each slice is
+scored with those that come back to it.
 
 The unigram baseline splits the words: those that make up at least
 1/``FREQUENT`` of all training tokens are at most ``FREQUENT`` many and are
@@ -37,6 +38,7 @@ from functools import lru_cache, partial
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,7 +51,9 @@ LEAST = 2
 #: Contexts up to this length are joined on the driver, longer ones in tasks.
 TOP = 2
 #: Characters of a slice of the texts.
-SLICE = 1 << 24
+SLICE = 1 << 25
+#: Slices whose pairs fill a bucket.
+PER_BUCKET = 4
 FREQUENT = 50_000
 #: Distinct words a training task holds before it hands them on.
 WORDS = 300_000
@@ -60,6 +64,7 @@ CHUNK = 1 << 20
 END = b"\n"
 START = END * DEPTH
 LOG2 = float(np.log(2.0))
+_ZSTD = zstandard.ZstdCompressor(level=1)
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -110,21 +115,56 @@ def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return key, np.bincount(back, np.concatenate(counts), len(key)).astype(np.int64)
 
 
+def _closed(batch: pa.RecordBatch) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+        w.write_batch(batch)
+    return out.getvalue().to_pybytes()
+
+
+def _open(chunk: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(chunk).read_next_batch()
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Unsigned numbers, their bytes of equal rank side by side, compressed."""
+    planes = values.view(np.uint8).reshape(len(values), -1).T
+    return _ZSTD.compress(values.dtype.str.encode() + planes.tobytes())
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    raw = zstandard.decompress(packed)
+    kind = np.dtype(raw[:3].decode())
+    return np.frombuffer(raw, np.uint8, offset=3).reshape(kind.itemsize, -1).T.copy().view(kind)[:, 0]
+
+
+def _gaps(key: np.ndarray) -> bytes:
+    """Sorted numbers as the gaps between them."""
+    return _packed(np.diff(key.astype("<u8"), prepend=np.uint64(0)))
+
+
+def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
+    h = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+
+
 def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Numbers the rows and the slices they belong to."""
+    """(slice, chunk): rows numbered, in chunks of about CHUNK characters."""
     row = slice_ = TaskContext.get().partitionId() << 40
     size = 0
     for batch in batches:
-        numbers = []
-        for n in pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_pylist():
-            if size and size + n > SLICE:
+        length = pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_numpy()
+        part = np.cumsum(length) // CHUNK
+        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+        for a, b in zip(edges, edges[1:], strict=False):
+            if a == b:
+                continue
+            if size >= SLICE:
                 slice_, size = slice_ + 1, 0
-            numbers.append(slice_)
-            size += n
-        n = batch.num_rows
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + n), pa.int64()), pa.array(numbers, pa.int64()), *batch.columns],
-                                         ["row", "slice", "id", "text", "train"])
-        row += n
+            columns = [pa.array(np.arange(row, row + b - a), pa.int64()), *(c.slice(a, b - a) for c in batch.columns)]
+            chunk = _closed(pa.RecordBatch.from_arrays(columns, ["row", "id", "text", "train"]))
+            yield pa.RecordBatch.from_arrays([pa.array([slice_], pa.int64()), pa.array([chunk], pa.binary())], ["slice", "chunk"])
+            row, size = row + b - a, size + int(length[a:b].sum())
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,40 +175,47 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())], ["word", "n"])
 
     for batch in batches:
-        for _, split in slices(batch.column(0)):
-            for s in split:
-                words.update(s)
-                words[END] += 1
-            if len(words) > WORDS:
-                yield counted()
-                words.clear()
+        for chunk in batch.column(0):
+            rows = _open(chunk.as_py())
+            for _, split in slices(rows.column(2).filter(rows.column(3))):
+                for s in split:
+                    words.update(s)
+                    words[END] += 1
+                if len(words) > WORDS:
+                    yield counted()
+                    words.clear()
     yield counted()
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial counts: (slice, gram, n), 0 for grams of texts that are not learnt from."""
+def _pairs(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """(slice, bucket, grams, counts) of each slice, 0 for grams of texts that
+    are not learnt from.  A slice may come in several parts."""
     keys: list[np.ndarray] = []
     counts: list[np.ndarray] = []
     now = None
 
     def counted() -> pa.RecordBatch:
         key, n = _merge(keys, counts)
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), now)), pa.array(key.astype(np.int64)), pa.array(n)], ["slice", "gram", "n"])
+        of = _bucket(key, buckets)
+        order = np.argsort(of, kind="stable")  # grams stay sorted in a bucket
+        key, n, of = key[order], n[order].astype("<u4"), of[order]
+        cuts = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+        parts = [(int(of[a]), _gaps(key[a:b]), _packed(n[a:b])) for a, b in zip(cuts, cuts[1:], strict=False) if a < b]
+        bucket, grams_, ns = zip(*parts, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array([now] * len(parts), pa.int64()), pa.array(bucket, pa.int64()), pa.array(grams_, pa.binary()),
+                                           pa.array(ns, pa.binary())], ["slice", "bucket", "grams", "counts"])
 
     for batch in batches:
-        number = batch.column(0).to_numpy()
-        train = np.array(batch.column(2).to_pylist(), bool)
-        edges = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(number)]
-        for a, b in zip(edges, edges[1:], strict=False):
-            if a == b:
-                continue
-            if number[a] != now:
+        for number, chunk in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            if number != now:
                 if keys:
                     yield counted()
-                keys, counts, now = [], [], int(number[a])
-            for at, split in slices(batch.column(1).slice(a, b - a)):
+                keys, counts, now = [], [], number
+            rows = _open(chunk.as_py())
+            train = np.array(rows.column(3).to_pylist(), bool)
+            for at, split in slices(rows.column(2)):
                 for learnt in (False, True):
-                    streams = [stream(s) for s, t in zip(split, train[a + at:], strict=False) if t == learnt]
+                    streams = [stream(s) for s, t in zip(split, train[at:], strict=False) if t == learnt]
                     if streams:
                         key, n = np.unique(grams(streams), return_counts=True)
                         keys.append(key)
@@ -182,6 +229,29 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield counted()
 
 
+def _added(lists: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, n): the counts of one bucket."""
+    keys: list[np.ndarray] = []
+    counts: list[np.ndarray] = []
+    for batch in lists:
+        for g, c in zip(batch.column("grams"), batch.column("counts"), strict=True):
+            keys.append(np.cumsum(_unpacked(g.as_py())))
+            counts.append(_unpacked(c.as_py()))
+            if sum(map(len, keys)) > GRAMS:
+                keys, counts = ([x] for x in _merge(keys, counts))
+    gram, n = _merge(keys, counts)
+    yield pa.RecordBatch.from_arrays([pa.array(gram.astype(np.int64)), pa.array(n, pa.int64())], ["gram", "n"])
+
+
+def _answered(key, lists: pa.Table, known: pa.Table) -> pa.Table:
+    """(slice, grams, logs): each list of a bucket with its log10 probabilities."""
+    gram, log10 = known["gram"].to_numpy(), known["log10"].to_numpy()
+    order = np.argsort(gram)
+    gram, log10 = gram[order], log10[order]
+    logs = [_packed(log10[np.searchsorted(gram, np.cumsum(_unpacked(g.as_py())).astype(np.int64))].astype("<f4")) for g in lists["grams"]]
+    return pa.table({"slice": lists["slice"], "grams": lists["grams"], "logs": pa.array(logs, pa.binary())})
+
+
 def _lgamma(x, ln=F.ln):
     """ln Gamma for x > 0: Stirling's series eight places on, stepped back."""
     y = x + 8
@@ -282,7 +352,7 @@ def _subtrees(gram: np.ndarray, n: np.ndarray, least: int) -> tuple[np.ndarray,
     to, at = np.unique((up.key >> 8 & _mask(TOP)) << 8 | up.key & 255, return_inverse=True)
     sums = [np.bincount(at, x, len(to)) for x in (up.n0, up.n1, below[1])]
     more = pa.RecordBatch.from_arrays(
-        [pa.nulls(len(to) + len(leaf.key), pa.int64()), pa.nulls(len(to) + len(leaf.key), pa.list_(pa.float64())),
+        [pa.nulls(len(to) + len(leaf.key), pa.int64()), pa.nulls(len(to) + len(leaf.key), pa.list_(pa.float32())),
          pa.array(np.concatenate([to, leaf.key])), pa.array(np.repeat([False, True], [len(to), len(leaf.key)])),
          *[pa.array(np.concatenate([x, y])) for x, y in zip(sums, (leaf.n0, leaf.n1, np.zeros(len(leaf.key))), strict=True)]],
         ["gram", "p", "key", "leaf", "n0", "n1", "block"])
@@ -297,7 +367,7 @@ def _mix(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBat
         has, p, more = _subtrees(gram, n, least)
         size = len(gram)
         ends = np.concatenate([[0], np.cumsum(np.where(has, 8, 0))])
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(p[has].reshape(-1)))
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(p[has].reshape(-1).astype(np.float32)))
         yield pa.RecordBatch.from_arrays(
             [pa.array(gram), lists, pa.nulls(size, pa.int64()), pa.nulls(size, pa.bool_()), *[pa.nulls(size, pa.float64())] * 3],
             ["gram", "p", "key", "leaf", "n0", "n1", "block"])
@@ -370,39 +440,42 @@ class Top:
         return np.log10(np.where(bit == 1, p, 1 - p)).sum(axis=1)
 
 
-def _finished(batches: Iterator[pa.RecordBatch], top) -> Iterator[pa.RecordBatch]:
+def _finished(batches: Iterator[pa.RecordBatch], top, buckets: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         gram, lists = batch.column(0).to_numpy(), batch.column(1)
         has = pc.list_value_length(lists).to_numpy(zero_copy_only=False) == 8
         p = np.zeros((len(gram), 8))
         p[has] = lists.flatten().to_numpy().reshape(-1, 8)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(top.value.log10(gram, has, p))], ["gram", "log10"])
+        yield pa.RecordBatch.from_arrays([pa.array(_bucket(gram, buckets)), batch.column(0), pa.array(top.value.log10(gram, has, p))],
+                                         ["bucket", "gram", "log10"])
 
 
-def probabilities(counts: DataFrame) -> DataFrame:
-    """``(gram, log10)``: log10 probability of the byte of every gram after its context."""
+def probabilities(counts: DataFrame, buckets: int) -> DataFrame:
+    """``(bucket, gram, log10)``: log10 probability of the byte of every gram after its context."""
     spark = counts.sparkSession
+    counts = stored(counts, "ctw-counts", "zstd")
     least = branching(counts)
     above = F.shiftright("gram", 8).bitwiseAND(F.lit(_mask(TOP + 1)))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = counts.select("gram", "n", above.alias("top")).repartition(parts, "top").sortWithinPartitions("top", "gram").select("gram", "n")
-    mixed = stored(dealt.mapInArrow(partial(_mix, least=least), "gram long, p array<double>, key long, leaf boolean, n0 double, n1 double, block double"),
-                   "ctw-mixed")
+    mixed = stored(dealt.mapInArrow(partial(_mix, least=least), "gram long, p array<float>, key long, leaf boolean, n0 double, n1 double, block double"),
+                   "ctw-mixed", "zstd")
     got = (mixed.where("gram IS NULL").groupBy("key", "leaf").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "block")])).toArrow()
     columns = [got[c].to_numpy() for c in ("key", "leaf", "n0", "n1", "block")]
     columns[1] = columns[1].astype(bool)
     top = spark.sparkContext.broadcast(Top(*columns, least))
-    return mixed.where("gram IS NOT NULL").select("gram", "p").mapInArrow(partial(_finished, top=top), "gram long, log10 double")
+    return mixed.where("gram IS NOT NULL").select("gram", "p").mapInArrow(partial(_finished, top=top, buckets=buckets), "bucket long, gram long, log10 double")
 
 
 def _score(key, texts: pa.Table, pairs: pa.Table, frequent) -> pa.Table:
     """Per row of a slice: the model's score, the baseline's sum over frequent words, the other words."""
     logs = {w: float(np.log10(n + 1.0)) for w, n in frequent.value.items()}
-    gram = pairs["gram"].to_numpy()
-    order = np.argsort(gram)
-    gram, log10 = gram[order].astype(np.uint64), pairs["log10"].to_numpy()[order]
+    gram = np.concatenate([np.cumsum(_unpacked(g.as_py())) for g in pairs["grams"]])
+    gram, first = np.unique(gram, return_index=True)
+    log10 = np.concatenate([_unpacked(x.as_py()) for x in pairs["logs"]])[first].astype(np.float64)
     out = []
-    for batch in texts.combine_chunks().to_batches():
+    for chunk in texts["chunk"]:
+        batch = _open(chunk.as_py())
         for at, split in slices(batch.column("text")):
             sums, known, rest, ends = [], [], [], [0]
             for words in split:
@@ -437,22 +510,24 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     kind = dict(rows.dtypes)["id"]
-    rows = stored(rows.mapInArrow(_deal, f"row long, slice long, id {kind}, text string, train boolean"), "ctw-texts")
-    vocabulary = stored(rows.where("train").select("text").mapInArrow(_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")),
-                        "ctw-words")
-    pairs = stored(rows.select("slice", "text", "train").mapInArrow(_pairs, "slice long, gram long, n long"), "ctw-pairs")
-    log10 = probabilities(pairs.groupBy("gram").agg(F.sum("n").alias("n")))
+    rows = stored(rows.mapInArrow(_deal, "slice long, chunk binary"), "ctw-texts", "uncompressed")
+    vocabulary = stored(rows.select("chunk").mapInArrow(_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "ctw-words", "zstd")
+    made = rows.agg(F.count_distinct("slice")).first()[0]
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-made // PER_BUCKET))
+    pairs = stored(rows.mapInArrow(partial(_pairs, buckets=buckets), "slice long, bucket long, grams binary, counts binary"), "ctw-pairs", "uncompressed")
+    log10 = probabilities(pairs.select("bucket", "grams", "counts").groupBy("bucket").applyInArrow(_added, "gram long, n long"), buckets)
     total = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     frequent = vocabulary.where((F.col("n") * FREQUENT >= total[0]) & (F.col("word") != F.lit(bytearray(END))))
     words = frequent.select("word", "n").toArrow()
     frequent = spark.sparkContext.broadcast(dict(zip(words["word"].to_pylist(), words["n"].to_pylist(), strict=True)))
-    known = pairs.select("slice", "gram").join(log10, "gram").select("slice", "gram", "log10")
+    known = (pairs.select("bucket", "slice", "grams").groupBy("bucket").cogroup(log10.groupBy("bucket"))
+             .applyInArrow(_answered, "slice long, grams binary, logs binary"))
     fields = f"row long, id {kind}, sums double, known long, n_tokens long, n_bytes long, rest array<binary>, score double"
 
     def run(key, texts, some):
         return _score(key, texts, some, frequent)
 
-    scored = rows.select("slice", "row", "id", "text").groupBy("slice").cogroup(known.groupBy("slice")).applyInArrow(run, fields)
+    scored = rows.groupBy("slice").cogroup(known.groupBy("slice")).applyInArrow(run, fields)
     return _finish(stored(scored, "ctw-scored"), vocabulary, total)
 
 
