@@ -54,7 +54,7 @@ def test_spans_of_mixed_text_and_edges(spark):
     rows = [(1, f"{en}. {de}", 1), (2, None, 1), (3, "", 1), (4, "1234 -- !!", 1), (5, "дом короля", 1), (None, de, 1), (1, en, 1), (1, en, 1),
             (6, "中文字", 1), (7, f"{en} " * 3000, 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, spans int")
-    lang, share = L.main_language(m)
+    lang, share = L.main_language()
     got = L.spans(df, m).select("id", "spans", lang.alias("lang"), share.alias("share")).collect()
     assert len(got) == len(rows)
     by = {r.id: r for r in got}
@@ -66,7 +66,7 @@ def test_spans_of_mixed_text_and_edges(spark):
     assert by[6].lang in m.langs     # a script no language uses: no evidence, still letters
     assert L.spans(df.limit(0), m).count() == 0
     none = L.learn(df.select("text", F.lit(None).cast("string").alias("lang")))
-    assert {r.lang for r in L.spans(df, none).select(L.main_language(none)[0].alias("lang")).collect()} == {"und"}
+    assert {r.lang for r in L.spans(df, none).select(L.main_language()[0].alias("lang")).collect()} == {"und"}
 
 
 def test_held_out_accuracy_and_fold(spark):
@@ -84,3 +84,31 @@ def test_filter_keeps_columns_and_identified_rows(spark):
                                (None, "the house", "en", "k")], "doc_id long, text string, lang string, row_key string")
     kept = L.keep_identified(df)
     assert kept.columns == df.columns and kept.count() == len(TRAIN) + 1
+
+
+def test_more_languages_than_a_part_and_than_a_byte(spark, monkeypatch):
+    rows = []
+    for i in range(150):
+        letters = [chr(0x61 + (i + k) % 26) + chr(0x61 + (i // 26 * 5 + 3 * k) % 26) for k in range(6)]
+        rows += [(1000 * j + i, " ".join("".join(letters[(k + j + m) % 6] for m in range(3)) for k in range(8)), f"l{i:03}") for j in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    m = L.learn(df)
+    assert len(m.langs) == 150 and len(m.parts) == 3
+    lang, _ = L.main_language()
+    got = {r.id: r.lang for r in L.spans(df, m).select("id", lang.alias("lang")).collect()}
+    assert sum(got[i] == g for i, _, g in rows) >= 0.9 * len(rows)
+    assert L.keep_identified(df.withColumn("more", F.lit(1))).count() == len(rows)
+    # parts of another size give the same labels
+    monkeypatch.setattr(L, "PART", 7)
+    again = L.learn(df)
+    assert len(again.parts) == 22
+    for i in range(0, 150, 13):
+        assert np.array_equal(again.logp(i), m.parts and L.Model.logp(_whole(m), i))
+
+
+def _whole(m):
+    one = L.Model(m.langs)
+    one.candidates = m.candidates
+    flat = [x for p in m.parts for x in p]
+    one.parts = [flat[i:i + L.PART] for i in range(0, len(flat), L.PART)]
+    return one

@@ -66,6 +66,18 @@ def row_key(*cols: Column) -> Column:
     return F.struct(F.xxhash64(*cols).alias("a"), F.xxhash64(F.lit(1), *cols).alias("b"))
 
 
+#: Keys that may be broadcast: some 20 MB.
+FEW = 250_000
+
+
+def without(docs: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose ``key`` is in ``gone``, a stored table of
+    distinct keys.  While these are few they are broadcast and the texts stay
+    where they are; beyond ``FEW`` both sides are shuffled."""
+    small = gone.limit(FEW + 1).count() <= FEW
+    return docs.join(F.broadcast(gone) if small else gone, key, "left_anti")
+
+
 def held_out(id_col: Column, folds: int, fold: int = 2) -> Column:
     """crc32 of the id's text leaves the remainder ``fold``; a null id counts
     as the text '' (crc32 0), so it is learnt from."""

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import ascii_lower, documents, fresh, stored
+from tripmart.llm.common import ascii_lower, documents, fresh, row_key, stored, without
 from tripmart.sources.tables import table
 
 WINDOW = 10
@@ -89,13 +89,13 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                   item_col: str = "item_id", item_text: str = "text", size: int = WINDOW) -> DataFrame:
     """One row per document row: ``(row_key, id, n_words, n_hit, items)``.
 
-    ``row_key`` is xxhash64(id, text); rows equal in both get equal results.
+    ``row_key`` is 128 bits of hashes of id and text; rows equal in both get equal results.
     ``items`` lists the item ids, sorted as strings; null without a hit.  A
     null text has no words; an item without words (or null) matches nothing;
     repeated items all count, a null item id is listed nowhere.  Empty tables
     give no rows (documents) or no hits (benchmark).
     """
-    doc_words = stored(docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("row_key"),
+    doc_words = stored(docs.select(row_key(F.col(id_col), F.col(text_col)).alias("row_key"),
                                    F.col(id_col).alias("id"), words(text_col).alias("words"))
                        .withColumn("n_words", F.size("words")), "words")
     distinct, of_items = windows(items, item_col, item_text, size)
@@ -119,9 +119,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     """``docs`` without the rows that hold a window of the benchmark; same columns."""
     key, = fresh(docs, "row_key")
     bad = (contamination(docs, items, id_col, text_col, item_col, item_text, size).where("n_hit > 0")
-           .select(F.col("row_key").alias(key)))
-    keyed = docs.withColumn(key, F.xxhash64(F.col(id_col), F.col(text_col)))
-    return keyed.join(bad, key, "left_anti").select(*[keyed[c] for c in docs.columns])
+           .select(F.col("row_key").alias(key)).distinct())
+    keyed = docs.withColumn(key, row_key(F.col(id_col), F.col(text_col)))
+    return without(keyed, key, stored(bad, "contaminated")).drop(key)
 
 
 def query(spark, sf_dir):

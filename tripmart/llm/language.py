@@ -1,9 +1,11 @@
 """Language spans: script ranges, n-gram word scores, Viterbi with a switch cost.
 
 Learning counts, over all training documents, the letter trigrams of each
-language (hashed to ``BUCKETS``, so the model is at most ``max_langs`` x
-``BUCKETS`` floats, 16 MB, and may be broadcast) and how many letters of each
-script the language uses.
+language (hashed to ``BUCKETS``) and how many letters of each script the
+language uses.  There may be any number of languages: the model keeps of each
+only the trigrams that it has, counts come to the driver for ``PART`` languages
+at a time and are broadcast in parts of as many, 26 MB each at most, and the
+fewer words are scored at a time the more languages there are.
 
 Prediction per document: words are runs of letters; the script of a word's
 first letter leaves the languages that use that script as candidates; a
@@ -25,11 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import documents, fresh, held_out
+from tripmart.llm.common import documents, held_out, stored
 
 BUCKETS = 1 << 16
-#: Languages that a model may have; bounds what is collected and broadcast.
-MAX_LANGS = 64
+#: Languages whose counts are collected, held and broadcast together.
+PART = 64
 #: Natural-log cost of a change of language between two words.
 SWITCH = 20.0
 #: Part of a language's letters from which it counts as using a script.
@@ -84,11 +86,11 @@ def features(texts: list[str]) -> tuple[np.ndarray, ...]:
     return at, h >> np.uint32(16), script[cps[at]], a == 0, doc, begin
 
 
-def chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about CHUNK characters."""
+def chunks(texts: list[str], most: int = CHUNK) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``most`` characters."""
     at = size = 0
     for i, t in enumerate(texts):
-        if size and size + len(t) > CHUNK:
+        if size and size + len(t) > most:
             yield at, i
             at, size = i, 0
         size += len(t) + 1
@@ -96,53 +98,95 @@ def chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield at, len(texts)
 
 
-def _count(batches: Iterator[pa.RecordBatch], langs: list[str]) -> Iterator[pa.RecordBatch]:
-    grams = np.zeros((len(langs), BUCKETS), np.int64)
-    scripts = np.zeros((len(langs), len(SCRIPTS) + 1), np.int64)
-    index = {x: i for i, x in enumerate(langs)}
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partial counts (lang, kind, key, n): trigrams (kind 0) and scripts (kind 1)."""
+    grams: dict[str, np.ndarray] = {}
+    scripts: dict[str, np.ndarray] = {}
+
+    def counted() -> Iterator[pa.RecordBatch]:
+        for kind, counts in ((0, grams), (1, scripts)):
+            for lang, n in counts.items():
+                key = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(key), pa.string()), pa.array(np.full(len(key), kind), pa.int32()), pa.array(key, pa.int32()),
+                     pa.array(n[key], pa.int64())], ["lang", "kind", "key", "n"])
+            counts.clear()
+
     for batch in batches:
-        texts, of = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        texts, of = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist(), object)
         for a, b in chunks(texts):
             _, bucket, script, _, doc, _ = features(texts[a:b])
-            lang = np.array([index[x] for x in of[a:b]])[doc]
-            for i in np.unique(lang):
-                mine = lang == i
-                grams[i] += np.bincount(bucket[mine], minlength=BUCKETS)
-                scripts[i] += np.bincount(script[mine], minlength=scripts.shape[1])
-    for kind, counts in ((0, grams), (1, scripts)):
-        lang, key = np.nonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(lang, pa.int32()), pa.array(np.full(len(lang), kind), pa.int32()), pa.array(key, pa.int32()),
-             pa.array(counts[lang, key], pa.int64())], ["lang", "kind", "key", "n"])
+            for lang in dict.fromkeys(of[a:b]):
+                if lang not in grams:
+                    if len(grams) == PART:
+                        yield from counted()
+                    grams[lang], scripts[lang] = np.zeros(BUCKETS, np.int64), np.zeros(len(SCRIPTS) + 1, np.int64)
+                mine = (of[a:b] == lang)[doc]
+                grams[lang] += np.bincount(bucket[mine], minlength=BUCKETS)
+                scripts[lang] += np.bincount(script[mine], minlength=len(SCRIPTS) + 1)
+    yield from counted()
 
 
 class Model:
-    """``langs``; ``logp`` (languages x BUCKETS); ``candidates`` (scripts x languages)."""
+    """``langs``; of each language the trigrams it has and their log
+    probabilities (:meth:`logp`); ``candidates`` (scripts x languages)."""
 
-    def __init__(self, langs: list[str], grams: np.ndarray, scripts: np.ndarray):
+    def __init__(self, langs: list[str]):
         self.langs = langs
-        total = grams.sum(1, keepdims=True)
-        self.logp = np.log((grams + 0.5) / (total + 0.5 * BUCKETS)).astype(np.float32)
-        self.candidates = (scripts >= SCRIPT_SHARE * np.maximum(total, 1)).T & (scripts.T > 0)
-
-
-def learn(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", max_langs: int = MAX_LANGS) -> Model:
-    """Model of all rows with a text and a language.
-
-    At most ``max_langs`` different languages are accepted; more is an error,
-    as the model would have no bound.
-    """
+        self.candidates = np.zeros((len(SCRIPTS) + 1, len(langs)), bool)
+        self.parts: list[list[tuple]] = []
+        self.shared: list = []  # the parts as broadcasts
+        self._dense: dict[int, np.ndarray] = {}
+
+    def add(self, counts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> None:
+        """The next languages: (trigrams, their counts, letters by script) of each."""
+        part = []
+        for key, n, letters in counts:
+            total = n.sum()
+            self.candidates[:, PART * len(self.parts) + len(part)] = (letters >= SCRIPT_SHARE * max(total, 1)) & (letters > 0)
+            scale = total + 0.5 * BUCKETS
+            part.append((key.astype(np.int32), np.log((n + 0.5) / scale).astype(np.float32), np.float32(np.log(0.5 / scale))))
+        self.parts.append(part)
+
+    def logp(self, i: int) -> np.ndarray:
+        """Log probability of every trigram in language ``i``."""
+        row = self._dense.get(i)
+        if row is None:
+            part = self.shared[i // PART].value if self.shared else self.parts[i // PART]
+            key, logs, rest = part[i % PART]
+            row = np.full(BUCKETS, rest)
+            row[key] = logs
+            if len(self._dense) < PART:
+                self._dense[i] = row
+        return row
+
+    def sent(self, context) -> "Model":
+        """The model for tasks, its parts broadcast each for itself."""
+        out = Model(self.langs)
+        out.candidates, out.shared = self.candidates, [context.broadcast(p) for p in self.parts]
+        return out
+
+
+def learn(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
+    """Model of all rows with a text and a language, whatever their languages' number."""
     rows = rows.select(F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l")).where("t IS NOT NULL AND l IS NOT NULL")
-    langs = sorted(r[0] for r in rows.select("l").distinct().limit(max_langs + 1).collect())
-    if len(langs) > max_langs:
-        raise ValueError(f"more than {max_langs} languages")
-    counts = (rows.mapInArrow(partial(_count, langs=langs), "lang int, kind int, key int, n long")
-              .groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))).toPandas()
-    grams, scripts = np.zeros((len(langs), BUCKETS)), np.zeros((len(langs), len(SCRIPTS) + 1))
-    for kind, into in ((0, grams), (1, scripts)):
-        c = counts[counts["kind"] == kind]
-        into[c["lang"].to_numpy(int), c["key"].to_numpy(int)] = c["n"].to_numpy(float)
-    return Model(langs, grams, scripts)
+    langs = sorted(r[0] for r in rows.select("l").distinct().collect())
+    counts = stored(rows.mapInArrow(_count, "lang string, kind int, key int, n long").groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")),
+                    "language-counts")
+    model = Model(langs)
+    for at in range(0, len(langs), PART):
+        some = langs[at:at + PART]
+        got = counts.where(F.col("lang").between(some[0], some[-1])).toPandas()
+        by = {k: (g["key"].to_numpy(int), g["n"].to_numpy(float)) for k, g in got.groupby(["lang", "kind"])}
+        none = np.zeros(0, int), np.zeros(0)
+        part = []
+        for lang in some:
+            letters = np.zeros(len(SCRIPTS) + 1)
+            key, n = by.get((lang, 1), none)
+            letters[key] = n
+            part.append((*by.get((lang, 0), none), letters))
+        model.add(part)
+    return model
 
 
 def best_path(scores: np.ndarray, begin: np.ndarray, length: np.ndarray, switch: float = SWITCH) -> np.ndarray:
@@ -154,11 +198,12 @@ def best_path(scores: np.ndarray, begin: np.ndarray, length: np.ndarray, switch:
     order = np.argsort(-length, kind="stable")
     begin, length = begin[order], length[order]
     n, labels = len(scores), scores.shape[1]
-    back = np.empty((n, labels), np.int8)
+    small = np.int8 if labels < 128 else np.int32
+    back = np.empty((n, labels), small)
     out = np.empty(n, np.int64)
     steps = int(length[0]) if len(length) else 0
     active = np.searchsorted(-length, -np.arange(1, steps + 1), "right")  # sequences with more than t rows
-    own = np.arange(labels, dtype=np.int8)
+    own = np.arange(labels, dtype=small)
     last = np.zeros(len(begin), np.int64)
     value = np.zeros((len(begin), labels), np.float64)
     for t in range(steps):
@@ -168,7 +213,7 @@ def best_path(scores: np.ndarray, begin: np.ndarray, length: np.ndarray, switch:
             top = v.argmax(1)
             change = v[np.arange(a), top] - switch
             moved = v < change[:, None]
-            back[row] = np.where(moved, top[:, None].astype(np.int8), own)
+            back[row] = np.where(moved, top[:, None].astype(small), own)
             v = np.where(moved, change[:, None], v)
         v = v + scores[row]
         value[:a] = v
@@ -215,7 +260,7 @@ def word_scores(model: Model, texts: list[str]) -> tuple[np.ndarray, ...]:
     scores = np.empty((len(start), len(model.langs)), np.float32)
     if len(start):
         for i in range(len(model.langs)):
-            scores[:, i] = np.add.reduceat(model.logp[i][bucket], start)
+            scores[:, i] = np.add.reduceat(model.logp(i)[bucket], start)
         allowed = model.candidates[script[start]]
         none = ~allowed.any(1)
         scores[~allowed] = FAR
@@ -241,7 +286,8 @@ def _mixed(parts: list[tuple], switch: float) -> tuple[np.ndarray, ...]:
 def spans_of(model: Model, texts: list[str], switch: float = SWITCH) -> tuple[np.ndarray, ...]:
     """(document, start, end, letters, label) of each span of the texts, in their order."""
     found, rest, waiting = [tuple(np.zeros(0, np.int64) for _ in range(5))], [], 0
-    for a, b in chunks(texts) if model.langs else ():
+    fewer = max(1, -(-len(model.langs) // PART))
+    for a, b in chunks(texts, CHUNK // fewer) if model.langs else ():
         scores, doc, *words = word_scores(model, texts[a:b])
         if not len(doc):
             continue
@@ -254,7 +300,7 @@ def spans_of(model: Model, texts: list[str], switch: float = SWITCH) -> tuple[np
         if not sure.all():
             rest.append((scores[~done], doc[~done] + a, *(x[~done] for x in words)))
             waiting += len(rest[-1][0])
-        if waiting > PATH_WORDS:
+        if waiting > PATH_WORDS // fewer:
             found.append(_mixed(rest, switch))
             rest, waiting = [], 0
     if rest:
@@ -264,12 +310,11 @@ def spans_of(model: Model, texts: list[str], switch: float = SWITCH) -> tuple[np
     return tuple(x[order] for x in out)
 
 
-def _label(batches: Iterator[pa.RecordBatch], model, switch: float) -> Iterator[pa.RecordBatch]:
-    m = model.value
-    names = pa.array(m.langs, pa.string())
+def _label(batches: Iterator[pa.RecordBatch], model: Model, switch: float) -> Iterator[pa.RecordBatch]:
+    names = pa.array(model.langs, pa.string())
     for batch in batches:
         texts = [x or "" for x in batch.column(1).to_pylist()]
-        doc, start, end, letters, label = spans_of(m, texts, switch)
+        doc, start, end, letters, label = spans_of(model, texts, switch)
         offsets = np.searchsorted(doc, np.arange(len(texts) + 1))
         span = pa.StructArray.from_arrays(
             [pa.array(x, pa.int32()) for x in (start, end, letters)] + [names.take(pa.array(label, pa.int32()))],
@@ -285,25 +330,23 @@ def spans(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     text has none; a word in a script that no learned language uses takes its
     neighbours' language.  A model without languages labels nothing.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = model.sent(docs.sparkSession.sparkContext)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = dict(rows.dtypes)["id"]
     return rows.mapInArrow(partial(_label, model=shared, switch=switch), f"id {kind}, spans {SPANS}")
 
 
-def main_language(model: Model, spans_col: str = "spans") -> tuple:
+def main_language(spans_col: str = "spans") -> tuple:
     """(language with most letters, its part of all letters) from the spans; ties go to the first name."""
     def total(some):
         return F.aggregate(some, F.lit(0), lambda x, y: x + y["letters"])
 
-    def of(lang: str):
-        return F.struct(total(F.filter(spans_col, lambda x: x["lang"] == lang)).alias("n"), F.lit(lang).alias("lang"))
+    def better(x, y):
+        return F.when((y["n"] > x["n"]) | (y["n"] == x["n"]) & (y["lang"] < x["lang"]), y).otherwise(x)
 
-    per = [of(lang) for lang in model.langs]
-    if not per:
-        return F.lit(UNKNOWN), F.lit(0.0)
-    best = F.aggregate(F.array(*per), F.struct(F.lit(0).alias("n"), F.lit(UNKNOWN).alias("lang")),
-                       lambda x, y: F.when(y["n"] > x["n"], y).otherwise(x))
+    langs = F.array_distinct(F.transform(spans_col, lambda x: x["lang"]))
+    per = F.transform(langs, lambda lang: F.struct(total(F.filter(spans_col, lambda x: x["lang"] == lang)).alias("n"), lang.alias("lang")))
+    best = F.aggregate(per, F.struct(F.lit(0).alias("n"), F.lit(UNKNOWN).alias("lang")), better)
     return best["lang"], F.coalesce(best["n"] / F.nullif(total(F.col(spans_col)), F.lit(0)), F.lit(0.0)).cast("double")
 
 
@@ -312,20 +355,27 @@ def training(docs: DataFrame, id_col: str = "doc_id", folds: int = 4) -> DataFra
     return docs.where(~held_out(F.col(id_col), folds))
 
 
-def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``docs`` without the rows in which no language is found (null or letterless text); same columns."""
-    key, = fresh(docs, "row_key")
-    model = learn(training(docs, id_col), text_col, lang_col)
-    keyed = docs.withColumn(key, F.xxhash64(F.col(id_col), F.col(text_col)))
-    lang, _ = main_language(model)
-    rejected = spans(keyed, model, key, text_col).where(lang == UNKNOWN).select(F.col("id").alias(key))
-    return keyed.join(rejected, key, "left_anti").select(*[keyed[c] for c in docs.columns])
+def _identified(batches: Iterator[pa.RecordBatch], column: int, model: Model, switch: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [x or "" for x in batch.column(column).to_pylist()]
+        found = np.zeros(len(texts), bool)
+        found[spans_of(model, texts, switch)[0]] = True
+        yield batch.filter(pa.array(found))
+
+
+def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                    switch: float = SWITCH) -> DataFrame:
+    """``docs`` without the rows in which no language is found (null or letterless text); same columns.
+
+    Rows are labelled and dropped in one pass, without a shuffle."""
+    model = learn(training(docs, id_col), text_col, lang_col).sent(docs.sparkSession.sparkContext)
+    return docs.mapInArrow(partial(_identified, column=docs.columns.index(text_col), model=model, switch=switch), docs.schema)
 
 
 def query(spark, sf_dir):
     """op4: language of every document, learnt from the training fold."""
     docs = documents(spark, sf_dir)
     model = learn(training(docs))
-    lang, share = main_language(model)
+    lang, share = main_language()
     return spans(docs, model).select(F.col("id").alias("doc_id"), held_out(F.col("id"), 4).alias("held_out"),
                                      lang.alias("lang_pred"), share.alias("score"), "spans")

@@ -22,11 +22,12 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import LAST_ID, fresh, stored
+from tripmart.llm.common import LAST_ID, fresh, row_key, stored, without
 from tripmart.llm.components import components
 
 BITS = 64
@@ -58,16 +59,16 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(ones * 2 > len(grams), bitorder="little").view("<u8")[0])
 
 
-def _fingerprints(batches: Iterator[pd.DataFrame], shingle: int) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        fp = np.fromiter((fingerprint(t, shingle) for t in pdf["text"]), np.uint64, len(pdf))
-        yield pd.DataFrame({"id": pdf["id"], "fp": fp.view(np.int64)})
+def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        fp = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column(1)), np.uint64, len(batch))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], ["id", "fp"])
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3) -> DataFrame:
     """``(id, fp)`` per row; ``fp`` is the fingerprint as a signed long."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(partial(_fingerprints, shingle=shingle), "id long, fp long")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(partial(_fingerprints, shingle=shingle), f"id {dict(rows.dtypes)['id']}, fp long")
 
 
 def unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -232,13 +233,19 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     component (it is null if all its rows lack an id).  Repeated ids and rows
     each give a row.  An empty table gives an empty result.
     """
-    rows = stored(fingerprints(docs, id_col, text_col, shingle), "simhash")
+    ids = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = stored(fingerprints(ids, "id", "text", shingle), "simhash")
     classes = stored(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-classes")
+    united = rooted(classes, radius)
+    named = united.groupBy("root").agg(F.min("least").alias("component"))
+    return rows.join(united.join(named, "root").select("fp", "component"), "fp").select("id", "fp", "component")
+
+
+def rooted(classes: DataFrame, radius: int) -> DataFrame:
+    """``(fp, least, root)``: distinct fingerprints with the one that names their group."""
     roots = components(links(classes.select("fp"), radius))
-    rooted = (classes.join(roots, classes["fp"] == roots["node"], "left")
-              .select("fp", "least", F.coalesce("root", "fp").alias("root")))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    return rows.join(rooted.join(named, "root").select("fp", "component"), "fp").select("id", "fp", "component")
+    return (classes.join(roots, classes["fp"] == roots["node"], "left")
+            .select("fp", "least", F.coalesce("root", "fp").alias("root")))
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
@@ -246,20 +253,25 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with one row of each group, all columns kept.
 
     The row with the smallest id stays (rows without an id come last; ties go
-    to the smallest text hash, then to the smallest remaining columns).
+    to the smallest hash, then to the smallest remaining columns).
     """
     key, rank = fresh(docs, "row_key", "row_rank")
-    keyed = docs.withColumn(key, F.xxhash64(F.col(id_col), F.col(text_col)))
-    ids = keyed.select(F.col(key), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id")).distinct()
-    found = groups(keyed, key, text_col, shingle, radius).select("id", "component").distinct()
-    best = Window.partitionBy("component").orderBy("id", "key")
-    keep = (found.select(F.col("id").alias("key"), "component")
-            .join(ids.select(F.col(key).alias("key"), "id"), "key")
-            .withColumn("r", F.row_number().over(best)).where("r = 1").select(F.col("key").alias(key)))
+    keyed = docs.withColumn(key, row_key(F.col(id_col), F.col(text_col)))
+    named = keyed.select(F.struct(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), F.col(key)["a"].alias("a"),
+                                  F.col(key)["b"].alias("b")).alias("id"), F.col(text_col).alias("text"))
+    rows = stored(fingerprints(named, "id", "text", shingle), "simhash")
+    # copies are one class each before anything is joined: a hot group sends one row per task
+    classes = stored(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-classes")
+    stays = rooted(classes, radius).groupBy("root").agg(F.min("least").alias("id"))
+    of_id = F.struct(F.col("id.a").alias("a"), F.col("id.b").alias("b")).alias(key)
+    keys = rows.groupBy(of_id).agg(F.count(F.lit(1)).alias("n"))
+    keys = stored(keys.join(stays.select(of_id, F.lit(True).alias("stays")), key, "left"), "simhash-keys")
+    left = without(keyed, key, keys.where("stays IS NULL").select(key))
+    again = keys.where("stays AND n > 1").select(key)  # rows equal in id and text: one of them stays
     ordered = [F.col(c) for c, t in docs.dtypes if not t.startswith(("map", "variant"))]
     once = Window.partitionBy(key).orderBy(*ordered)
-    return (keyed.join(keep, key, "left_semi").withColumn(rank, F.row_number().over(once)).where(F.col(rank) == 1)
-            .select(*[keyed[c] for c in docs.columns]))
+    repeated = left.join(again, key, "left_semi").withColumn(rank, F.row_number().over(once)).where(F.col(rank) == 1).drop(rank)
+    return without(left, key, again).unionByName(repeated).drop(key)
 
 
 def query(spark, sf_dir):
