@@ -71,10 +71,71 @@ def test_small_shards_equal_brute_force(spark):
     assert {r.n_links for r in H.near_duplicates(df.where("vec_id >= 1002 and vec_id <= 1007")).collect()} == {0}
 
 
-def test_query_recall(spark):
-    rows = [(r.vec_id, list(r.embedding), r.label) for r in spark.read.parquet(f"{SF_MID}/embeddings.parquet").collect()]
+def planted(n, links, seed=0, dim=32):
+    """Unit vectors in loose topics, and partners of ``links`` of them at a cosine of 0.93 to 0.99."""
+    rng = np.random.default_rng(seed)
+    topics = rng.normal(size=(40, dim))
+    v = topics[rng.integers(0, 40, n - links)] * 0.6 + rng.normal(size=(n - links, dim))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    a = v[:links]
+    side = rng.normal(size=a.shape)
+    side -= (side * a).sum(1, keepdims=True) * a
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cos = rng.uniform(0.931, 0.99, (links, 1))
+    return np.concatenate([v, cos * a + np.sqrt(1 - cos**2) * side])[rng.permutation(n)]
+
+
+def test_recall_through_the_graphs_of_four_shards(monkeypatch):
+    v = planted(8192, 1400).astype(np.float32)
+    shards = [v[i::4] for i in range(4)]
+    graphs = [H.build(s, np.arange(len(s))) for s in shards]
+    asked = scanned = links = found = 0
+    exact = H.exact
+
+    def spy(q, vecs, floor):
+        nonlocal scanned
+        scanned += len(q)
+        return exact(q, vecs, floor)
+
+    monkeypatch.setattr(H, "exact", spy)
+    beams = set()
+    for i in range(4):
+        for j in range(4):
+            got = H.neighbours(graphs[j], shards[i], 0.93, i == j)
+            truth = exact(shards[i], shards[j], 0.93)
+            if i == j:
+                np.fill_diagonal(got, False)
+                np.fill_diagonal(truth, False)
+            asked, links, found = asked + len(got), links + truth.sum(), found + (got & truth).sum()
+            beams.add(H.audited_beam(graphs[j], shards[i], i == j))
+    assert links > 2 * 1000 and scanned == 0                        # every query went through a graph
+    assert found >= 0.95 * links
+
+
+def test_an_audit_can_fail():
+    """A graph that lost its links does not pass, though no query has a link."""
+    rng = np.random.default_rng(1)
+    v = rng.normal(size=(3000, 16)).astype(np.float32)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    good = H.build(v, np.arange(3000))
+    beam = H.audited_beam(good, v, True)
+    assert 4 * beam < 3000
+    poor = H.Graph(v, [np.where(np.arange(x.shape[1]) < 2, x, -1) for x in good.layers], good.level)
+    assert H.audited_beam(poor, v, True) > beam
+
+
+def test_query_recall(spark, tmp_dir):
+    """The given vectors have no link; with copies turned a little they have, in shards of a label."""
+    import math
+
+    from pyspark.sql import functions as F
+    e = spark.read.parquet(f"{SF_MID}/embeddings.parquet")
+    turned = F.transform("embedding", lambda x, i: (x + F.when(i % 7 == 0, 0.12 * (F.col("vec_id") % 10) / 10).otherwise(0.0)).cast("float"))
+    both = e.union(e.where("vec_id % 3 = 0").select((F.col("vec_id") + 100_000).alias("vec_id"), turned.alias("embedding"), "label"))
+    both.write.parquet(f"{tmp_dir}/embeddings.parquet")
+    rows = [(r.vec_id, list(r.embedding), r.label) for r in both.collect()]
     want = {i: (n, c) for i, n, c in brute(rows)}
-    got = {r.vec_id: (r.n_links, r.component_id) for r in H.query(spark, SF_MID).collect()}
-    assert sorted(got) == sorted(want)
-    assert sum(n for n, _ in got.values()) >= 0.99 * sum(n for n, _ in want.values())
+    got = {r.vec_id: (r.n_links, r.component_id) for r in H.query(spark, tmp_dir).collect()}
+    assert sorted(got) == sorted(want) and sum(n for n, _ in want.values()) > 100
+    assert math.isclose(sum(n for n, _ in got.values()), sum(n for n, _ in want.values()), rel_tol=0.01)
     assert sum(got[i] == want[i] for i in want) >= 0.99 * len(want)
