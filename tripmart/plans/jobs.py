@@ -26,6 +26,7 @@ from tripmart.sources import files as FS
 
 # ---------------------------------------------------------------- E05 / E02b
 
+# The fields of a row's id.
 ROW_ID_FIELDS_7 = ["VendorID", "lpep_pickup_datetime", "lpep_dropoff_datetime", "PULocationID", "DOLocationID",
                    "fare_amount", "trip_distance"]
 
@@ -58,6 +59,7 @@ def fct_trips_incremental(trips: DataFrame, zone: DataFrame, target: TableStore,
     target.merge_upsert(marts.fct_trips(trips, zone), ["trip_id"], add_columns=True)
 
 
+# What the fact and the report are checked for.
 FCT_CHECKS = [Q.unique("trip_id"), Q.not_null("trip_id"), Q.accepted_values("service_type", ["Green", "Yellow"])]
 
 

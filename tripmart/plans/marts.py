@@ -19,42 +19,54 @@ from tripmart.operators.joins import broadcast_if_small, role_playing
 from tripmart.operators.project import conform, rename, with_constants
 from tripmart.operators.union import union_all
 from tripmart.plans.trips import payment_lookup, trips, zones
+from tripmart.sources.files import dev_limit
 
 MONEY = T.DecimalType(18, 2)
 
-# Clean-layer target schema (both services).  Money/distance are decimals so
-# that later sums are exact (a float32 clean layer makes sums noisy).
-CLEAN_SCHEMA = T.StructType([
-    T.StructField("vendor_id", T.IntegerType()),
-    T.StructField("pickup_datetime", T.TimestampNTZType()),
-    T.StructField("dropoff_datetime", T.TimestampNTZType()),
-    T.StructField("pickup_location_id", T.IntegerType()),
-    T.StructField("dropoff_location_id", T.IntegerType()),
-    T.StructField("passenger_count", T.IntegerType()),
-    T.StructField("trip_distance", MONEY),
-    T.StructField("fare_amount", MONEY),
-    T.StructField("tip_amount", MONEY),
-    T.StructField("ehail_fee", MONEY),
-    T.StructField("total_amount", MONEY),
-    T.StructField("payment_type", T.IntegerType()),
-    T.StructField("trip_type", T.IntegerType()),
-    T.StructField("service_type", T.StringType()),
-])
-
-# Raw -> clean column names per service (the two services prefix times differently).
+# The columns of the clean layer, in their order.  Money and
+# distance are decimals so that later sums are exact.
+CLEAN_SCHEMA = T.StructType([T.StructField(name, kind) for name, kind in (
+    ("vendor_id", T.IntegerType()),
+    ("pickup_datetime", T.TimestampNTZType()),
+    ("dropoff_datetime", T.TimestampNTZType()),
+    ("store_and_fwd_flag", T.StringType()),
+    ("rate_code_id", T.IntegerType()),
+    ("pickup_location_id", T.IntegerType()),
+    ("dropoff_location_id", T.IntegerType()),
+    ("passenger_count", T.IntegerType()),
+    ("trip_distance", MONEY),
+    ("fare_amount", MONEY),
+    ("extra", MONEY),
+    ("mta_tax", MONEY),
+    ("tip_amount", MONEY),
+    ("tolls_amount", MONEY),
+    ("ehail_fee", MONEY),
+    ("improvement_surcharge", MONEY),
+    ("total_amount", MONEY),
+    ("payment_type", T.IntegerType()),
+    ("trip_type", T.IntegerType()),
+    ("congestion_surcharge", MONEY),
+    ("cbd_congestion_fee", MONEY),
+    ("service_type", T.StringType()),
+    ("airport_fee", MONEY),
+)])
+
+# Raw -> clean column names per service (the two services prefix times differently).
+_IDS = {"VendorID": "vendor_id", "RatecodeID": "rate_code_id", "PULocationID": "pickup_location_id", "DOLocationID": "dropoff_location_id"}
 RENAME = {
-    "Green": {"VendorID": "vendor_id", "lpep_pickup_datetime": "pickup_datetime",
-              "lpep_dropoff_datetime": "dropoff_datetime", "PULocationID": "pickup_location_id",
-              "DOLocationID": "dropoff_location_id"},
-    "Yellow": {"VendorID": "vendor_id", "tpep_pickup_datetime": "pickup_datetime",
-               "tpep_dropoff_datetime": "dropoff_datetime", "PULocationID": "pickup_location_id",
-               "DOLocationID": "dropoff_location_id"},
+    "Green": {**_IDS, "lpep_pickup_datetime": "pickup_datetime", "lpep_dropoff_datetime": "dropoff_datetime"},
+    "Yellow": {**_IDS, "tpep_pickup_datetime": "pickup_datetime", "tpep_dropoff_datetime": "dropoff_datetime", "Airport_fee": "airport_fee"},
 }
-# Per-service constants: yellow has no trip type (street hail = 1) and no e-hail fee.
+# Per-service constants: green cabs pick up at no airport; yellow has no trip
+# type (street hail = 1) and no e-hail fee.
 CONSTANTS = {
-    "Green": {"service_type": ("Green", "string")},
+    "Green": {"service_type": ("Green", "string"), "airport_fee": (0, MONEY)},
     "Yellow": {"service_type": ("Yellow", "string"), "trip_type": (1, "int"), "ehail_fee": (0, MONEY)},
 }
+# Raw columns whose names both services share, with their raw types.
+_RAW = {"store_and_fwd_flag": "string", "passenger_count": "long", "payment_type": "long"} | dict.fromkeys(
+    ("trip_distance", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "total_amount",
+     "congestion_surcharge", "cbd_congestion_fee"), "double")
 
 
 def raw_trips(spark: SparkSession, sf_dir: str, service: str, dropoff: bool = True) -> DataFrame:
@@ -63,23 +75,11 @@ def raw_trips(spark: SparkSession, sf_dir: str, service: str, dropoff: bool = Tr
     leaves out the dropoff location (and its lookup join) for consumers that
     never read it."""
     t = trips(spark, sf_dir, locations=("pickup", "dropoff") if dropoff else ("pickup",), services=(service,))
-    p = "lpep" if service == "Green" else "tpep"
-    cols = [
-        F.col("vendor_id").cast("long").alias("VendorID"),
-        F.col("pickup_datetime").alias(f"{p}_pickup_datetime"),
-        F.col("dropoff_datetime").alias(f"{p}_dropoff_datetime"),
-        F.col("pickup_location_id").cast("long").alias("PULocationID"),
-        *([F.col("dropoff_location_id").cast("long").alias("DOLocationID")] if dropoff else []),
-        F.col("passenger_count").cast("long"),
-        F.col("trip_distance").cast("double"),
-        F.col("fare_amount").cast("double"),
-        F.col("tip_amount").cast("double"),
-        F.col("total_amount").cast("double"),
-        F.col("payment_type").cast("long"),
-    ]
-    if service == "Green":
-        cols += [F.col("trip_type").cast("long"), F.col("ehail_fee").cast("double")]
-    return t.select(*cols)
+    own = {"Green": {"trip_type": "long", "ehail_fee": "double"}, "Yellow": {"airport_fee": "double"}}[service]
+    raw_name = {v: k for k, v in RENAME[service].items()}
+    renamed = [F.col(c).cast("timestamp_ntz" if c.endswith("datetime") else own.get(c, "long")).alias(raw)
+               for c, raw in raw_name.items() if dropoff or c != "dropoff_location_id"]
+    return t.select(*renamed, *[F.col(c).cast(kind).alias(c) for c, kind in (_RAW | own).items() if c not in raw_name])
 
 
 def clean(raw: DataFrame, service: str) -> DataFrame:
@@ -89,6 +89,52 @@ def clean(raw: DataFrame, service: str) -> DataFrame:
     return conform(df, CLEAN_SCHEMA)
 
 
+# The staging models' columns, in their order; NUMERIC has nine decimals.
+NUMERIC = "decimal(38,9)"
+STAGED = {"vendor_id": "int", "rate_code_id": "int", "pickup_location_id": "int", "dropoff_location_id": "int",
+          "pickup_datetime": "timestamp_ntz", "dropoff_datetime": "timestamp_ntz", "store_and_fwd_flag": "string", "passenger_count": "int",
+          "trip_distance": NUMERIC, "trip_type": "int", "fare_amount": NUMERIC, "extra": NUMERIC, "mta_tax": NUMERIC, "tip_amount": NUMERIC,
+          "tolls_amount": NUMERIC, "improvement_surcharge": NUMERIC, "total_amount": NUMERIC, "payment_type": "int", "ehail_fee": NUMERIC,
+          "service_type": "string"}
+STAGED_FHV = {"dispatching_base_num": "string", "pickup_datetime": "timestamp_ntz", "dropOff_datetime": "timestamp_ntz", "PUlocationID": "int",
+              "DOlocationID": "int", "SR_Flag": "int", "Affiliated_base_number": "string"}
+FHV_NAMES = {"dropOff_datetime": "dropoff_datetime", "PUlocationID": "pickup_location_id", "DOlocationID": "dropoff_location_id",
+             "SR_Flag": "sr_flag", "Affiliated_base_number": "affiliated_base_number"}
+
+
+def _staged(raw: DataFrame, service: str, dev: tuple | None) -> DataFrame:
+    known = raw.where(F.col("VendorID").isNotNull())
+    df = rename(known, RENAME[service])
+    df = with_constants(df, {k: v for k, v in CONSTANTS[service].items() if k in STAGED and k not in df.columns})
+    return dev_limit(df.select(*[F.col(c).cast(t).alias(c) for c, t in STAGED.items()]), "pickup_datetime", dev)
+
+
+def stg_green(raw: DataFrame, dev: tuple | None = None) -> DataFrame:
+    """Staged green trips: renamed, typed, without rows that lack a vendor.
+    ``dev`` is an inclusive range of pickup times for development runs."""
+    return _staged(raw, "Green", dev)
+
+
+def stg_yellow(raw: DataFrame, dev: tuple | None = None) -> DataFrame:
+    """Staged yellow trips; all are street hails (type 1) without an e-hail fee."""
+    return _staged(raw, "Yellow", dev)
+
+
+def stg_fhv(raw: DataFrame) -> DataFrame:
+    """Staged for-hire trips, without rows that lack a dispatching base."""
+    known = raw.where(F.col("dispatching_base_num").isNotNull())
+    return known.select(*[F.col(c).cast(t).alias(FHV_NAMES.get(c, c)) for c, t in STAGED_FHV.items()])
+
+
+def raw_fhv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A for-hire file's columns from the trip view; trips without a payment type have no base."""
+    t = trips(spark, sf_dir)
+    base = F.when(F.col("payment_type").isNotNull(), F.col("vendor_id").cast("string"))
+    return t.select(base.alias("dispatching_base_num"), "pickup_datetime", F.col("dropoff_datetime").alias("dropOff_datetime"),
+                    F.col("pickup_location_id").cast("double").alias("PUlocationID"), F.col("dropoff_location_id").cast("double").alias("DOlocationID"),
+                    F.col("trip_type").cast("string").alias("SR_Flag"), F.col("payment_type").cast("string").alias("Affiliated_base_number"))
+
+
 def clean_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all([clean(raw_trips(spark, sf_dir, s), s) for s in ("Green", "Yellow")])
 
@@ -114,6 +160,7 @@ def revenue_by_vendor_zone(base: DataFrame) -> DataFrame:
 
 # ---- E03 --------------------------------------------------------------------
 
+# Fixed values.
 CENTS_COLUMNS = ["fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge",
                  "total_amount"]
 
@@ -142,9 +189,10 @@ def int_trips(t: DataFrame, dedupe_keys=TRIP_KEYS, money_in_cents: bool = True)
     })
 
 
-FCT_COLUMNS = ["trip_id", "vendor_id", "service_type", "pickup_location_id", "pickup_borough", "pickup_zone",
+# The fact's columns, in their order.
+FCT_COLUMNS = ["trip_id", "vendor_id", "service_type", "rate_code_id", "pickup_location_id", "pickup_borough", "pickup_zone",
                "dropoff_location_id", "dropoff_borough", "dropoff_zone", "pickup_datetime", "dropoff_datetime",
-               "passenger_count", "trip_distance", "trip_type", "trip_duration_minutes", "fare_amount", "extra",
+               "store_and_fwd_flag", "passenger_count", "trip_distance", "trip_type", "trip_duration_minutes", "fare_amount", "extra",
                "mta_tax", "tip_amount", "tolls_amount", "ehail_fee", "improvement_surcharge", "total_amount",
                "payment_type", "payment_description"]
 
@@ -157,6 +205,7 @@ def fct_trips(trips: DataFrame, zone: DataFrame, dedupe_keys=TRIP_KEYS) -> DataF
     return f.select(*FCT_COLUMNS)
 
 
+# Money columns and the report's names for their sums.
 MONTHLY_SUMS = [("fare_amount", "revenue_monthly_fare"), ("extra", "revenue_monthly_extra"),
                 ("mta_tax", "revenue_monthly_mta_tax"), ("tip_amount", "revenue_monthly_tip_amount"),
                 ("tolls_amount", "revenue_monthly_tolls_amount"), ("ehail_fee", "revenue_monthly_ehail_fee"),
@@ -176,6 +225,7 @@ def monthly_zone_revenue(fct: DataFrame) -> DataFrame:
 
 # ---- E06 --------------------------------------------------------------------
 
+# What makes two staged trips the same.
 STG_KEYS = ["vendor_id", "pickup_datetime", "dropoff_datetime", "pickup_location_id", "dropoff_location_id"]
 
 

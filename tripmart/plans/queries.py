@@ -63,28 +63,45 @@ def q_scan_projection(spark, d):
 
 
 
-@register("conform_rename_cast", W(f"""
-SELECT vendor_id, pickup_datetime, dropoff_datetime, pickup_location_id, dropoff_location_id, passenger_count,
-       trip_distance, fare_amount, tip_amount,
-       CASE WHEN service_type = 'Yellow' THEN CAST(0 AS DECIMAL(18,2)) ELSE ehail_fee END AS ehail_fee,
-       total_amount, payment_type,
-       CASE WHEN service_type = 'Yellow' THEN 1 ELSE trip_type END AS trip_type, service_type
+@register("conform_rename_cast", W("""
+SELECT vendor_id, pickup_datetime, dropoff_datetime, store_and_fwd_flag, rate_code_id, pickup_location_id, dropoff_location_id, passenger_count,
+       trip_distance, fare_amount, extra, mta_tax, tip_amount, tolls_amount,
+       CASE WHEN service_type = 'Yellow' THEN CAST(0 AS DECIMAL(18,2)) ELSE ehail_fee END AS ehail_fee, improvement_surcharge,
+       total_amount, payment_type, CASE WHEN service_type = 'Yellow' THEN 1 ELSE trip_type END AS trip_type,
+       congestion_surcharge, cbd_congestion_fee, service_type, coalesce(airport_fee, CAST(0 AS DECIMAL(18,2))) AS airport_fee
 FROM trips""", TRIPS))
 def q_conform_rename_cast(spark, d):
     return marts.clean_all(spark, d)
 
 
+_STAGED_SQL = """
+SELECT vendor_id, rate_code_id, pickup_location_id, dropoff_location_id, pickup_datetime, dropoff_datetime, store_and_fwd_flag, passenger_count,
+       CAST(trip_distance AS DECIMAL(38,9)) AS trip_distance, {trip_type} AS trip_type, {money},
+       payment_type, CAST({ehail} AS DECIMAL(38,9)) AS ehail_fee, service_type
+FROM trips WHERE service_type = '{service}'"""
+_STAGED_MONEY = ", ".join(f"CAST({c} AS DECIMAL(38,9)) AS {c}" for c in (
+    "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "total_amount"))
+
+
+@register("stg_green", W(_STAGED_SQL.format(trip_type="trip_type", ehail="ehail_fee", service="Green", money=_STAGED_MONEY), TRIPS))
+def q_stg_green(spark, d):
+    return marts.stg_green(marts.raw_trips(spark, d, "Green"))
+
+
+@register("stg_yellow", W(_STAGED_SQL.format(trip_type="1", ehail="0", service="Yellow", money=_STAGED_MONEY)
+                          + " AND pickup_datetime BETWEEN TIMESTAMP '1996-01-01 00:00:00' AND TIMESTAMP '1996-02-01 00:00:00'", TRIPS))
+def q_stg_yellow(spark, d):
+    """With the development range, which is inclusive."""
+    return marts.stg_yellow(marts.raw_trips(spark, d, "Yellow"), (ts("1996-01-01"), ts("1996-02-01")))
+
+
 @register("filter_not_null", W("""
 SELECT CAST(vendor_id AS VARCHAR) AS dispatching_base_num, pickup_datetime, dropoff_datetime,
        pickup_location_id, dropoff_location_id, trip_type AS sr_flag,
        CAST(payment_type AS VARCHAR) AS affiliated_base_number
 FROM trips WHERE payment_type IS NOT NULL""", TRIPS))
 def q_filter_not_null(spark, d):
-    t = trips(spark, d).where(F.col("payment_type").isNotNull())
-    return t.select(F.col("vendor_id").cast("string").alias("dispatching_base_num"), "pickup_datetime",
-                    "dropoff_datetime", "pickup_location_id", "dropoff_location_id",
-                    F.col("trip_type").alias("sr_flag"),
-                    F.col("payment_type").cast("string").alias("affiliated_base_number"))
+    return marts.stg_fhv(marts.raw_fhv(spark, d))
 
 
 @register("filter_time_window", W("""
@@ -122,7 +139,7 @@ def q_filter_years_in(spark, d):
         "orderkey", "linenumber", "vendor_id", "service_type", "payment_type", "trip_type", "passenger_count",
         "pickup_datetime", "dropoff_datetime", "pickup_location_id", "dropoff_location_id", "trip_distance",
         "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "ehail_fee",
-        "total_amount")) + " FROM trips", TRIPS))
+        "total_amount", "rate_code_id", "store_and_fwd_flag", "congestion_surcharge", "cbd_congestion_fee", "airport_fee")) + " FROM trips", TRIPS))
 def q_null_counts(spark, d):
     return null_counts(trips(spark, d))
 
@@ -447,9 +464,9 @@ int_trips AS (
 
 _FCT_SQL = """
 fct AS (
-  SELECT t.trip_id, t.vendor_id, t.service_type, t.pickup_location_id, pz.borough AS pickup_borough, pz.zone AS pickup_zone,
+  SELECT t.trip_id, t.vendor_id, t.service_type, t.rate_code_id, t.pickup_location_id, pz.borough AS pickup_borough, pz.zone AS pickup_zone,
     t.dropoff_location_id, dz.borough AS dropoff_borough, dz.zone AS dropoff_zone, t.pickup_datetime, t.dropoff_datetime,
-    t.passenger_count, t.trip_distance, t.trip_type, t.trip_duration_minutes, t.fare_amount, t.extra, t.mta_tax,
+    t.store_and_fwd_flag, t.passenger_count, t.trip_distance, t.trip_type, t.trip_duration_minutes, t.fare_amount, t.extra, t.mta_tax,
     t.tip_amount, t.tolls_amount, t.ehail_fee, t.improvement_surcharge, t.total_amount, t.payment_type,
     t.payment_description
   FROM int_trips t LEFT JOIN zones pz ON t.pickup_location_id = pz.location_id

@@ -11,9 +11,11 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmart.operators import materialize as M
 from tripmart.operators.dedupe import dedupe_first
+from tripmart.operators.numbering import with_row_number
 from tripmart.operators.table_store import TableStore
 from tripmart.plans.queries import _DEDUP_T, TRIPS, W, _scratch, register, ts
 from tripmart.plans.trips import trips
@@ -164,16 +166,119 @@ def q_external_csv_lenient(spark, d):
 
 @register("paged_offset_events", """
 SELECT event_type, COUNT(*) AS n, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total
-FROM events GROUP BY event_type""")
+FROM events WHERE event_id % 3 <> 1 GROUP BY event_type""")
 def q_paged_offset_events(spark, d):
-    """Pages saved by offset, 500 records each, the total in the first body."""
+    """Pages saved by offset, 500 records each, from events whose ids have gaps;
+    the rows are numbered over all partitions before they are cut into pages."""
     from tripmart.sources.paged import paged_scan
-    e = table(spark, d, "events").select("event_id", "event_type", "value")
-    path = _scratch(spark, "pages")
-    total = e.count()
-    pages = e.withColumn("offset", (F.floor(F.col("event_id") / 500) * 500).cast("long"))
-    body = F.to_json(F.struct(F.lit(total).alias("total"), F.collect_list(F.struct("event_id", "event_type", "value")).alias("data")))
+    kept, path = _scratch(spark, "events"), _scratch(spark, "pages")
+    table(spark, d, "events").where("event_id % 3 <> 1").select("event_id", "event_type", "value").write.parquet(kept)
+    e = with_row_number(spark.read.parquet(kept), "at")
+    pages = e.withColumn("offset", (F.floor(F.col("at") / 500) * 500).cast("long"))
+    body = F.to_json(F.struct(F.collect_list(F.struct("event_id", "event_type", "value")).alias("data")))
     pages.groupBy("offset").agg(body.alias("value")).write.partitionBy("offset").text(path)
     got = paged_scan(spark, path + "/offset={offset}/part-*", "event_id long, event_type string, value double", kind="offset", limit=500)
     return got.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"),
                                          F.sum(F.col("value").cast("decimal(18,2)")).cast("decimal(38,2)").alias("total"))
+
+
+# ---- file sets
+
+_MONTHS = ("1996-01", "1996-02", "1996-03")
+
+
+def _monthly(spark, d) -> str:
+    """One folder per month of 1996; from March on the files have a column more."""
+    root = _scratch(spark, "monthly")
+    t = trips(spark, d, locations=False).select("pickup_datetime", "total_amount", "payment_type")
+    for m in _MONTHS:
+        part = t.where(F.date_format("pickup_datetime", "yyyy-MM") == m)
+        (part if m >= "1996-03" else part.drop("payment_type")).write.parquet(f"{root}/trips_{m}")
+    return root
+
+
+@register("glob_merged_schema", W("""
+SELECT CAST(date_trunc('month', pickup_datetime) AS DATE) AS month, COUNT(*) AS n,
+       COUNT(CASE WHEN pickup_datetime >= TIMESTAMP '1996-03-01 00:00:00' THEN payment_type END) AS n_paid
+FROM trips WHERE pickup_datetime >= TIMESTAMP '1996-01-01 00:00:00' AND pickup_datetime < TIMESTAMP '1996-04-01 00:00:00' GROUP BY 1""", TRIPS))
+def q_glob_merged_schema(spark, d):
+    """All months by one glob; the older files lack a column."""
+    t = FS.read_glob(spark, f"{_monthly(spark, d)}/trips_1996-*")
+    return t.groupBy(F.trunc("pickup_datetime", "month").alias("month")).agg(F.count(F.lit(1)).alias("n"), F.count("payment_type").alias("n_paid"))
+
+
+@register("partition_equals", W("""
+SELECT service_type, CAST(month(pickup_datetime) AS INTEGER) AS mon, COUNT(*) AS n FROM trips
+WHERE year(pickup_datetime) = 1996 AND service_type = 'Green' GROUP BY 1, 2""", TRIPS))
+def q_partition_equals(spark, d):
+    """A table of folders <service>/<year>/<month>, read by year and service."""
+    root = _scratch(spark, "folders")
+    t = trips(spark, d, locations=False).select("service_type", F.year("pickup_datetime").alias("yr"), F.month("pickup_datetime").alias("mon"), "total_amount")
+    t.hint("rebalance", "service_type", "yr", "mon").write.partitionBy("service_type", "yr", "mon").parquet(root)
+    return FS.read_partition(spark, root, service_type="Green", yr=1996).groupBy("service_type", "mon").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("rows_per_file", W("""
+SELECT strftime(pickup_datetime, 'trips_%Y-%m') AS folder, COUNT(*) AS n_rows FROM trips
+WHERE pickup_datetime >= TIMESTAMP '1996-01-01 00:00:00' AND pickup_datetime < TIMESTAMP '1996-04-01 00:00:00' GROUP BY 1""", TRIPS))
+def q_rows_per_file(spark, d):
+    """Rows behind the files of each month, from the scan's metadata."""
+    t = spark.read.parquet(f"{_monthly(spark, d)}/trips_1996-*")
+    folder = F.regexp_extract("_metadata.file_path", "/(trips_[^/]*)/", 1)
+    return t.select(folder.alias("folder"), F.struct(F.lit(1))).groupBy("folder").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("ledger_changed_files", """
+SELECT 'months' AS listed, 3 AS n_files, 0 AS n_rows_again
+UNION ALL SELECT 'loaded', 3, 0
+UNION ALL SELECT 'after a change', 1, (SELECT COUNT(*) FROM orders WHERE month(o_orderdate) = 2)""")
+def q_ledger_changed_files(spark, d):
+    """Files enter the ledger when loaded; a file that is written again with
+    another size is the only one listed, and only it is read again."""
+    from tripmart.sources import ledger
+    root = _scratch(spark, "listed")
+    o = table(spark, d, "orders").select("o_orderkey", F.month("o_orderdate").alias("mon"))
+
+    def write(mon: int, df: DataFrame) -> None:
+        # one file a month: the ledger knows files
+        df.where(F.col("mon") == mon).coalesce(1).write.mode("overwrite").parquet(f"{root}/m{mon}")
+
+    for mon in (1, 2, 3):
+        write(mon, o)
+    store = TableStore(spark, _scratch(spark, "ledger"))
+    by_month = F.regexp_extract("file_path", r"/(m\d+)/", 1)
+    files = lambda: ledger.listing(spark, f"{root}/m*/*.parquet").select(by_month.alias("file_path"), "file_size")
+    empty = spark.createDataFrame([], "file_path string, file_size long")
+    first = ledger.changed_files(files(), empty).count()
+    ledger.record(store, files())
+    loaded = store.read().count()
+    write(2, o.withColumn("more", F.lit("a column more")))
+    changed = ledger.changed_files(files(), store.read()).collect()
+    again = spark.read.parquet(*[f"{root}/{r.file_path}" for r in changed]).count()
+    return spark.createDataFrame([("months", first, 0), ("loaded", loaded, 0), ("after a change", len(changed), again)],
+                                 "listed string, n_files int, n_rows_again long")
+
+
+@register("snake_case_enforced", """
+SELECT CAST(p_partkey AS INTEGER) AS part_key, p_name AS part_name, CAST(p_retailprice AS DECIMAL(18,2)) AS retail_price, CAST(NULL AS DATE) AS sold_on
+FROM part""")
+def q_snake_case_enforced(spark, d):
+    """Camel-case names to snake case, then an enforced schema: a value that does not fit would stop the job."""
+    from tripmart.operators.project import enforce, snake_case_columns
+    raw = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("partKey"), F.col("p_name").alias("PartName"),
+                                         F.col("p_retailprice").alias("RetailPrice"), F.lit("x").alias("unused"))
+    schema = T.StructType([T.StructField("part_key", T.IntegerType()), T.StructField("part_name", T.StringType()),
+                           T.StructField("retail_price", T.DecimalType(18, 2)), T.StructField("sold_on", T.DateType())])
+    return enforce(snake_case_columns(raw), schema)
+
+
+@register("custom_check", W("""
+SELECT 'one trip per id' AS name, COUNT(*) = COUNT(DISTINCT (orderkey, linenumber)) AS ok FROM trips
+UNION ALL SELECT 'two services', COUNT(DISTINCT service_type) = 2 FROM trips""", TRIPS))
+def q_custom_check(spark, d):
+    """Checks given as queries of one cell."""
+    from tripmart.operators.quality import scalar_equals
+    t = trips(spark, d, locations=False)
+    twice = t.groupBy("orderkey", "linenumber").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(1)))
+    services = t.agg(F.count_distinct("service_type"))
+    return spark.createDataFrame([("one trip per id", scalar_equals(twice, 1)), ("two services", scalar_equals(services, 2))], "name string, ok boolean")

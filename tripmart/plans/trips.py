@@ -12,6 +12,7 @@ passenger_count        ``round(l_tax * 100)``
 pickup / dropoff time  ``o_orderdate`` / ``l_shipdate``
 pickup / dropoff loc.  supplier nation / customer nation
 distance, money        quantity; price, price*discount, price*(1+tax) ...
+rate code, flag, fees  line number % 6 + 1; return flag; steps of the quantity
 =====================  =====================================================
 
 Money is DECIMAL(18,2) from the first projection on, so every later sum is
@@ -84,6 +85,12 @@ def trips(spark: SparkSession, sf_dir: str, locations: bool | tuple[str, ...] =
         F.lit(1.00).cast(MONEY).alias("improvement_surcharge"),
         F.when(F.col("l_linestatus") == "F", F.lit(0)).cast(MONEY).alias("ehail_fee"),
         _money(price * (F.lit(1) + _money(F.col("l_tax")))).alias("total_amount"),
+        # what follows depends on the columns above only, so it breaks no tie between rows
+        (F.col("l_linenumber") % 6 + 1).cast("int").alias("rate_code_id"),
+        F.when(F.col("l_returnflag").isin("N", "R"), "N").otherwise("Y").alias("store_and_fwd_flag"),
+        F.when(F.col("l_quantity") > 30, F.lit(2.75)).otherwise(F.lit(0)).cast(MONEY).alias("congestion_surcharge"),
+        F.when(F.col("l_quantity") > 40, F.lit(0.75)).otherwise(F.lit(0)).cast(MONEY).alias("cbd_congestion_fee"),
+        F.when(F.col("l_linestatus") == "F", F.when(F.col("l_quantity") > 20, F.lit(1.75)).otherwise(F.lit(0))).cast(MONEY).alias("airport_fee"),
     ]
     return j.select(*cols)
 
@@ -125,7 +132,12 @@ trips AS (
     CAST(CASE WHEN l.l_quantity > 45 THEN 6.94 ELSE 0 END AS DECIMAL(18,2)) AS tolls_amount,
     CAST(1.00 AS DECIMAL(18,2)) AS improvement_surcharge,
     CAST(CASE WHEN l.l_linestatus = 'F' THEN 0 END AS DECIMAL(18,2)) AS ehail_fee,
-    CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) * (1 + CAST(l.l_tax AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total_amount
+    CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) * (1 + CAST(l.l_tax AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total_amount,
+    CAST(l.l_linenumber % 6 + 1 AS INTEGER) AS rate_code_id,
+    CASE WHEN l.l_returnflag IN ('N', 'R') THEN 'N' ELSE 'Y' END AS store_and_fwd_flag,
+    CAST(CASE WHEN l.l_quantity > 30 THEN 2.75 ELSE 0 END AS DECIMAL(18,2)) AS congestion_surcharge,
+    CAST(CASE WHEN l.l_quantity > 40 THEN 0.75 ELSE 0 END AS DECIMAL(18,2)) AS cbd_congestion_fee,
+    CAST(CASE WHEN l.l_linestatus = 'F' THEN CASE WHEN l.l_quantity > 20 THEN 1.75 ELSE 0 END END AS DECIMAL(18,2)) AS airport_fee
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
   LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
   LEFT JOIN customer c ON o.o_custkey = c.c_custkey

@@ -7,9 +7,10 @@ Two paging styles:
   (doubling, then bisection) unless ``pages`` declares the count, and the
   pages before it are split into ranges, one input partition per range.  Pages
   must be contiguous: an empty page before the end found is an error.
-* ``kind="offset"``: ``?offset=O&limit=L``; the first response carries the
-  total count and partitions are its offsets.  Without a total the first empty
-  offset is found as for pages.
+* ``kind="offset"``: ``?offset=O&limit=L``; an endpoint's first response
+  carries the total count and partitions are its offsets.  Without a total the
+  first empty offset is found as for pages.  Saved pages end at the first that
+  is missing or empty, whatever total they were saved with.
 
 There is no cap unless the caller passes one (``max``, rows of an offset
 source).  Only a page without records ends the data; any failure to read or
@@ -153,18 +154,15 @@ def _saved(spark: SparkSession, url: str, schema: StructType | str, kind: str, o
     field, total = o["records_field"], o["total_field"]
     listed = F.from_json("v", f"array<struct<{ddl}>>", fail)
     held = F.from_json("v", f"struct<`{field}`: array<struct<{ddl}>>, `{total}`: long>", fail)
-    whole = F.when(F.col("v").startswith("["), listed).otherwise(held[field])
-    pages = body.select("n", whole.alias("recs"), F.when(~F.col("v").startswith("["), held[total]).alias("total"))
+    pages = body.select("n", F.when(F.col("v").startswith("["), listed).otherwise(held[field]).alias("recs"))
     step = 1 if by_page else int(o["limit"])
-    filled = pages.where(F.size("recs") > 0).select("n").distinct()
     if "pages" in o:
         end = step * int(o["pages"]) + (1 if by_page else 0)
-    else:
-        end = None if by_page else pages.where("n = 0").agg(F.max("total")).first()[0]
-        if end is None:  # the first number after a page with records that has none itself
-            start = spark.range(1).select((F.lit(1 if by_page else 0)).cast("long").alias("n"))
-            follow = start.union(filled.select(F.col("n") + step))
-            end = follow.join(filled, "n", "left_anti").agg(F.min("n")).first()[0]
+    else:  # the first number after a page with records that has none itself
+        filled = pages.where(F.size("recs") > 0).select("n").distinct()
+        start = spark.range(1).select((F.lit(1 if by_page else 0)).cast("long").alias("n"))
+        follow = start.union(filled.select(F.col("n") + step))
+        end = follow.join(filled, "n", "left_anti").agg(F.min("n")).first()[0]
     rows = pages.where(F.col("n") < end).select("n", F.posexplode("recs").alias("i", "r"))
     if not by_page and "max" in o:
         rows = rows.where(F.col("n") + F.col("i") < int(o["max"]))
