@@ -8,6 +8,7 @@ the SQL twin computes from the driver tables.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -282,3 +283,90 @@ def q_custom_check(spark, d):
     twice = t.groupBy("orderkey", "linenumber").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(1)))
     services = t.agg(F.count_distinct("service_type"))
     return spark.createDataFrame([("one trip per id", scalar_equals(twice, 1)), ("two services", scalar_equals(services, 2))], "name string, ok boolean")
+
+
+# ---- loads, tables and views
+
+_PART_CSV = ["p_partkey", "p_name", "p_brand", "p_size", "p_retailprice"]
+
+
+def _part_csv(spark, d) -> str:
+    path = _scratch(spark, "csv")
+    table(spark, d, "part").select(*_PART_CSV).write.option("header", True).csv(path)
+    return path
+
+
+@register("csv_untyped", """
+SELECT p_brand, COUNT(*) AS n, CAST(SUM(p_size) AS BIGINT) AS sizes FROM part GROUP BY p_brand""")
+def q_csv_untyped(spark, d):
+    """Every column text, cast where it is used."""
+    p = FS.read_csv_untyped(spark, _part_csv(spark, d))
+    return p.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("p_size").cast("long")).alias("sizes"))
+
+
+@register("load_replace_table", """
+SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, CAST(p_size AS VARCHAR) AS p_size, CAST(p_retailprice AS DECIMAL(38,9)) AS p_retailprice
+FROM part""")
+def q_load_replace_table(spark, d):
+    """A CSV object loaded into a catalog table, text but for one column; the
+    second load replaces the first, and a view reads the table."""
+    from tripmart.operators.table_store import create_table_as, create_view
+    name = f"loaded_{uuid.uuid4().hex[:10]}"
+    df = FS.load_replace(spark, _part_csv(spark, d), {"p_retailprice": "decimal(38,9)"})
+    create_table_as(df.limit(3), name, path=_scratch(spark, "tables"))
+    create_table_as(df, name, path=_scratch(spark, "tables"))
+    create_view(spark.table(name), f"v_{name}")
+    return spark.sql(f"SELECT * FROM v_{name}")
+
+
+@register("source_registry", """
+SELECT n_name, r_name, (SELECT COUNT(*) FROM nation) AS n_staged FROM nation JOIN region ON n_regionkey = r_regionkey""")
+def q_source_registry(spark, d):
+    """Named sources staged as views, found again by a pattern and joined in SQL."""
+    from tripmart.sources.registry import Source, SourceRegistry
+    reg, mark = SourceRegistry(spark), uuid.uuid4().hex[:10]
+    for name in ("nation", "region"):
+        reg.add(name, Source("parquet", f"{d.rstrip('/')}/{name}.parquet"))
+        reg.stage(name, f"stg_{mark}_{name}")
+    nation, region = sorted(reg.tables(f"stg_{mark}_*"))
+    return spark.sql(f"SELECT n_name, r_name, (SELECT COUNT(*) FROM {nation}) AS n_staged FROM {nation} JOIN {region} ON n_regionkey = r_regionkey")
+
+
+@register("seed_checked", "SELECT n_nationkey, n_name FROM nation")
+def q_seed_checked(spark, d):
+    """A lookup CSV with a declared schema, checked before it is used."""
+    from tripmart.operators import quality as Q
+    path = _scratch(spark, "seed")
+    table(spark, d, "nation").select("n_nationkey", "n_name").write.option("header", True).csv(path)
+    schema = T.StructType([T.StructField("n_nationkey", T.IntegerType()), T.StructField("n_name", T.StringType())])
+    df = FS.seed(spark, path, schema)
+    Q.assert_passing(Q.run_checks(df, [Q.unique("n_nationkey"), Q.not_null("n_nationkey"), Q.not_null("n_name"), Q.not_empty()]))
+    return df
+
+
+@register("files_of_a_write", "SELECT 4 AS n_files, COUNT(*) AS n_rows FROM lineitem")
+def q_files_of_a_write(spark, d):
+    from tripmart.operators.table_store import write_table
+    path = _scratch(spark, "four")
+    write_table(table(spark, d, "lineitem").limit(10), path, files=2)
+    write_table(table(spark, d, "lineitem"), path, files=4)        # replaces the first
+    return FS.file_stats(spark.read.parquet(path)).agg(F.count(F.lit(1)).cast("int").alias("n_files"), F.sum("rows").alias("n_rows"))
+
+
+@register("file_lineage", """
+SELECT 'part' AS taxi_type, COUNT(*) AS n, COUNT(*) AS n_named, COUNT(*) AS n_stamped FROM part
+UNION ALL SELECT 'supplier', COUNT(*), COUNT(*), COUNT(*) FROM supplier""")
+def q_file_lineage(spark, d):
+    """Each row's file name and load time, over two kinds of files."""
+    paths = {}
+    for kind, key in (("part", "p_partkey"), ("supplier", "s_suppkey")):
+        paths[kind] = [_scratch(spark, kind)]
+        table(spark, d, kind).select(F.col(key).alias("id")).write.parquet(paths[kind][0])
+    df = FS.ingest(spark, paths, reader=lambda p: FS.with_source_file(spark.read.parquet(*p)))
+    return df.groupBy("taxi_type").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("filename").startswith("part-")).alias("n_named"),
+                                       F.count_if(F.col("extracted_at") <= F.current_timestamp()).alias("n_stamped"))
+
+
+@register("first_rows", "SELECT event_id, ts, user_id FROM events ORDER BY ts, event_id LIMIT 10")
+def q_first_rows(spark, d):
+    return table(spark, d, "events").select("event_id", "ts", "user_id").orderBy("ts", "event_id").limit(10)

@@ -54,6 +54,36 @@ def q_stream_once(spark, d):
     return store.read().withColumn("ts", C.instant_to_naive("ts"))
 
 
+@register("stream_restarted_consumer", "SELECT event_id, ts, user_id, value FROM events")
+def q_stream_restarted_consumer(spark, d):
+    """A consumer that is stopped and started again without naming a checkpoint
+    goes on after its last commit, a file a micro-batch."""
+    from tripmart.streaming.ride_jobs import consume_to_table
+    e = events(spark, d).select(*COLUMNS)
+    half = e.count() // 2
+    store = TableStore(spark, _scratch(spark, "stream_tables"))
+    path = _scratch(spark, "arrivals")
+    for i, block in enumerate((e.where(F.col("event_id") < half), e.where(F.col("event_id") >= half))):
+        block.write.parquet(f"{path}/block={i}")
+        consume_to_table(spark, e.schema, store, path=f"{path}/block=*", fmt="parquet", max_files=1, available_now=True).awaitTermination()
+    return store.read()
+
+
+@register("stream_time_from_text", """
+SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, COUNT(*) AS num_events FROM events GROUP BY 1""")
+def q_stream_time_from_text(spark, d):
+    """Event time written as text in JSON lines."""
+    from tripmart.streaming.jobs import tumbling_counts, upsert_sink
+    path = _scratch(spark, "topic")
+    e = events(spark, d).select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"))
+    e.write.json(path)
+    stream = with_event_time(read_events(spark, e.schema, path=path), "ts", "5 seconds", text="at")
+    store = TableStore(spark, _scratch(spark, "stream_tables"))
+    agg = tumbling_counts(stream, "ts", "1 hour", [], [F.count(F.lit(1)).alias("num_events")])
+    start(agg, sink=upsert_sink(store, ["window_start"], "hours"), mode="update", available_now=True).awaitTermination()
+    return store.read().select(C.instant_to_naive("window_start").alias("window_start"), "num_events")
+
+
 _ARRIVALS = """
 a AS (
   SELECT event_id, ts, least(3, CAST(floor((event_id + CASE WHEN event_id % 13 = 0 THEN n / 4.0 ELSE 0 END) * 4 / n) AS BIGINT)) AS batch_id
