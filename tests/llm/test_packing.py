@@ -64,3 +64,57 @@ def test_query_packs_every_word(spark):
     check_layout(got, want, P.CAPACITIES)
     filled = sum(want.values()) / sum({r.bin_id: r.bin_capacity for r in got}.values())
     assert filled > 0.9
+
+
+def optimum(sizes, caps, price):
+    """Least cost over all ways to part the items into bins."""
+    n = len(sizes)
+    total = [sum(s for i, s in enumerate(sizes) if m >> i & 1) for m in range(1 << n)]
+    bin_cost = [min((price(c) for c in caps if c >= t), default=float("inf")) for t in total]
+    best = [0.0] + [float("inf")] * ((1 << n) - 1)
+    for m in range(1, 1 << n):
+        low, part = m & -m, m
+        while part:
+            if part & low:  # the bin that holds the first item
+                best[m] = min(best[m], bin_cost[part] + best[m ^ part])
+            part = (part - 1) & m
+    return best[-1]
+
+
+def test_cost_against_the_optimum():
+    import random
+    rng, ratio = random.Random(6), []
+    for caps, price in (((8, 16, 64), P.cost), ((10, 15, 40), lambda c: c + 3.0), ((4, 8, 16, 32), lambda c: c ** 1.3)):
+        for _ in range(60):
+            sizes = sorted((rng.randint(1, max(caps)) if rng.random() < .3 else rng.randint(1, min(caps)) for _ in range(rng.randint(1, 9))), reverse=True)
+            _, final = P.pack(sizes, caps, price)
+            least = optimum(sizes, caps, price)
+            ratio.append(sum(map(price, final)) / least)
+            assert ratio[-1] > 1 - 1e-9
+    assert max(ratio) < 1.35 and sum(ratio) / len(ratio) < 1.04 and sum(r < 1 + 1e-9 for r in ratio) > 0.6 * len(ratio)
+
+
+def best_fit(sizes, caps, price, choose):
+    """Another best fit, over all open bins in turn."""
+    open_, out, left = [], [], sum(sizes)
+    for s in sizes:
+        fits = [b for b in open_ if b[0] - b[1] >= s]
+        if fits:
+            b = min(fits, key=lambda b: (b[0] - b[1], b[2]))
+        else:
+            b = [choose(s, max(left, 1), caps, price), 0, len(open_)]
+            open_.append(b)
+        b[1] += s
+        left -= s
+        out.append(b[2])
+    return out, [min((price(c), c) for c in caps if c >= b[1])[1] for b in open_]
+
+
+def test_equals_a_plain_best_fit():
+    import random
+    rng, caps = random.Random(9), (8, 16, 64)
+    for _ in range(200):
+        sizes = sorted((rng.randint(1, 64) for _ in range(rng.randint(0, 50))), reverse=True)
+        plans = [best_fit(sizes, caps, P.cost, policy) for policy in P.POLICIES]
+        least = min(sum(map(P.cost, final)) for _, final in plans)
+        assert abs(sum(map(P.cost, P.pack(sizes, caps)[1])) - least) < 1e-9
