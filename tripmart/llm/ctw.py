@@ -148,18 +148,19 @@ def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
     return ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(slice, chunk): rows numbered, in chunks of about CHUNK characters."""
+def _deal(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """(slice, chunk): rows numbered, in chunks of about CHUNK characters and
+    slices of about ``most``; a longer text is a chunk and a slice of its own."""
     row = slice_ = TaskContext.get().partitionId() << 40
     size = 0
     for batch in batches:
         length = pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_numpy()
-        part = np.cumsum(length) // CHUNK
+        part = np.cumsum(length) // min(CHUNK, most)
         edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
         for a, b in zip(edges, edges[1:], strict=False):
             if a == b:
                 continue
-            if size >= SLICE:
+            if size >= most:
                 slice_, size = slice_ + 1, 0
             columns = [pa.array(np.arange(row, row + b - a), pa.int64()), *(c.slice(a, b - a) for c in batch.columns)]
             chunk = _closed(pa.RecordBatch.from_arrays(columns, ["row", "id", "text", "train"]))
@@ -498,7 +499,7 @@ def _score(key, texts: pa.Table, pairs: pa.Table, frequent) -> pa.Table:
     return pa.Table.from_batches(out)
 
 
-def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", slice_chars: int = SLICE) -> DataFrame:
     """One row per input row: ``(id, n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte)``.
 
     Rows where ``train`` holds are learnt from; all are scored.  ``score`` is
@@ -510,7 +511,7 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     kind = dict(rows.dtypes)["id"]
-    rows = stored(rows.mapInArrow(_deal, "slice long, chunk binary"), "ctw-texts", "uncompressed")
+    rows = stored(rows.mapInArrow(partial(_deal, most=slice_chars), "slice long, chunk binary"), "ctw-texts", "uncompressed")
     vocabulary = stored(rows.select("chunk").mapInArrow(_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "ctw-words", "zstd")
     made = rows.agg(F.count_distinct("slice")).first()[0]
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-made // PER_BUCKET))
