@@ -389,36 +389,67 @@ def _mix(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBat
 
 
 class Top:
-    """The contexts of TOP bytes and less, from what the subtrees hand up."""
+    """The contexts of TOP bytes and less, from what the subtrees hand up.
 
-    def __init__(self, key: np.ndarray, leaf: np.ndarray, n0: np.ndarray, n1: np.ndarray, block: np.ndarray, least: int):
-        context = np.unique(key >> 8)
-        shape = len(context), 256
+    The longest are worked through ``BLOCK`` at a time and kept in single
+    precision, so that even all 65,536 contexts of two bytes take 200 MB.
+    """
 
-        def dense(value, some):
-            out = np.zeros(shape)
-            out[np.searchsorted(context, key[some] >> 8), key[some] & 255] = value[some]
-            return out
+    BLOCK = 2048
 
-        rest, deeper = [dense(x, leaf) for x in (n0, n1)], dense(block, ~leaf)
-        full = [r + dense(x, ~leaf) for r, x in zip(rest, (n0, n1), strict=True)]
+    def __init__(self, key: np.ndarray, leaf: np.ndarray, n0: np.ndarray, n1: np.ndarray, block: np.ndarray, least: int):
+        order = np.argsort(key, kind="stable")
+        key, leaf, n0, n1, block = (x[order] for x in (key, leaf, n0, n1, block))
+        longest, first = np.unique(key >> 8, return_index=True)
+        first = np.append(first, len(key))
         self.context, self.has, self.rest, self.one, self.own = {}, {}, {}, {}, {}
-        for d in range(TOP, -1, -1):
-            has = full[0][:, 1] + full[1][:, 1] >= max(least, 1) if d else np.ones(len(context), bool)
-            blocks, own = _weigh(_kt(*full), deeper + _kt(*rest))
-            self.context[d], self.has[d], self.rest[d], self.one[d], self.own[d] = context, has, _one(*rest), _one(*full), own
-            if not d:
-                break
-            shorter, at = np.unique(context & _mask(d - 1), return_inverse=True)
-
-            def up(x, some, at=at, size=len(shorter)):
-                out = np.zeros((size, 256))
-                np.add.at(out, at[some], x[some])
+        context = np.unique(longest & _mask(TOP - 1))
+        rest, full, deeper = [np.zeros((len(context), 256)) for _ in "01"], [np.zeros((len(context), 256)) for _ in "01"], np.zeros((len(context), 256))
+        parts = []
+        for a in range(0, len(longest), self.BLOCK):
+            some = longest[a:a + self.BLOCK]
+            rows = slice(first[a], first[a + len(some)])
+            under, of = ~leaf[rows], (np.searchsorted(some, key[rows] >> 8), key[rows] & 255)
+
+            def dense(value, which, of=of, shape=(len(some), 256), rows=rows):
+                out = np.zeros(shape)
+                out[of[0][which], of[1][which]] = value[rows][which]
                 return out
 
-            everything = np.ones(len(context), bool)
-            rest, deeper, full = [up(x, ~has) for x in full], up(blocks, has), [up(x, everything) for x in full]
-            context = shorter
+            own_rest = [dense(x, ~under) for x in (n0, n1)]
+            own_full = [r + dense(x, under) for r, x in zip(own_rest, (n0, n1), strict=True)]
+            has, blocks, kept = self._level(own_full, own_rest, dense(block, under), least)
+            parts.append((has, *(x.astype(np.float32) for x in kept)))
+            self._up(np.searchsorted(context, some & _mask(TOP - 1)), has, blocks, own_full, rest, full, deeper)
+        self.context[TOP] = longest
+        if parts:
+            self.has[TOP], self.rest[TOP], self.one[TOP], self.own[TOP] = (np.concatenate(x) for x in zip(*parts, strict=True))
+        for d in range(TOP - 1, -1, -1):
+            has, blocks, kept = self._level(full, rest, deeper, least if d else 0)
+            self.context[d], self.has[d] = context, has
+            self.rest[d], self.one[d], self.own[d] = kept
+            if not d:
+                break
+            shorter = np.unique(context & _mask(d - 1))
+            shape = len(shorter), 256
+            above = [np.zeros(shape) for _ in "01"], [np.zeros(shape) for _ in "01"], np.zeros(shape)
+            self._up(np.searchsorted(shorter, context & _mask(d - 1)), has, blocks, full, *above)
+            context, (rest, full, deeper) = shorter, above
+
+    @staticmethod
+    def _level(full: list, rest: list, deeper: np.ndarray, least: int) -> tuple:
+        """(which contexts branch, block probabilities, (estimates of the rest, own estimates, their weights))."""
+        has = full[0][:, 1] + full[1][:, 1] >= max(least, 1) if least else np.ones(len(deeper), bool)
+        blocks, own = _weigh(_kt(*full), deeper + _kt(*rest))
+        return has, blocks, (_one(*rest), _one(*full), own)
+
+    @staticmethod
+    def _up(at: np.ndarray, has: np.ndarray, blocks: np.ndarray, full: list, above_rest: list, above_full: list, above_deeper: np.ndarray) -> None:
+        """Adds a level's contexts to those one byte shorter."""
+        for x, r, f in zip(full, above_rest, above_full, strict=True):
+            np.add.at(f, at, x)
+            np.add.at(r, at[~has], x[~has])
+        np.add.at(above_deeper, at[has], blocks[has])
 
     def log10(self, gram: np.ndarray, has: np.ndarray, p: np.ndarray) -> np.ndarray:
         """log10 probability of each gram's byte; ``p`` as :func:`_subtrees` mixed it where ``has``."""
