@@ -117,3 +117,19 @@ def test_unused_location_lookup_is_not_joined(spark):
     assert "supplier.parquet" in p and "customer.parquet" not in p
     rev = Q["revenue_by_zone"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "customer.parquet" not in rev
+
+
+def test_both_services_share_the_orders_exchange(spark):
+    """Each service joins its own line items; the orders are shuffled once."""
+    from tripmart.plans import marts
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        p = marts.clean_all(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    reused = re.findall(r"ReusedExchange \[([^\]]*)\]", p)
+    assert any("o_orderkey" in r for r in reused), p
