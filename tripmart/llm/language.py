@@ -39,7 +39,9 @@ SCRIPT_SHARE = 0.01
 #: Characters handled at a time (a longer document is a chunk of its own).
 CHUNK = 1 << 19
 #: Words of mixed documents that advance together.
-PATH_WORDS = 1 << 20
+PATH_WORDS = 1 << 19
+#: Rows of an Arrow batch labelled, and handed on, at a time.
+ROWS = 1024
 UNKNOWN = "und"
 FAR = np.float32(-1e6)
 
@@ -98,6 +100,12 @@ def chunks(texts: list[str], most: int = CHUNK) -> Iterator[tuple[int, int]]:
         yield at, len(texts)
 
 
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, len(batch), ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Partial counts (lang, kind, key, n): trigrams (kind 0) and scripts (kind 1)."""
     grams: dict[str, np.ndarray] = {}
@@ -112,7 +120,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                      pa.array(n[key], pa.int64())], ["lang", "kind", "key", "n"])
             counts.clear()
 
-    for batch in batches:
+    for batch in _small(batches):
         texts, of = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist(), object)
         for a, b in chunks(texts):
             _, bucket, script, _, doc, _ = features(texts[a:b])
@@ -312,7 +320,7 @@ def spans_of(model: Model, texts: list[str], switch: float = SWITCH) -> tuple[np
 
 def _label(batches: Iterator[pa.RecordBatch], model: Model, switch: float) -> Iterator[pa.RecordBatch]:
     names = pa.array(model.langs, pa.string())
-    for batch in batches:
+    for batch in _small(batches):
         texts = [x or "" for x in batch.column(1).to_pylist()]
         doc, start, end, letters, label = spans_of(model, texts, switch)
         offsets = np.searchsorted(doc, np.arange(len(texts) + 1))
@@ -356,7 +364,7 @@ def training(docs: DataFrame, id_col: str = "doc_id", folds: int = 4) -> DataFra
 
 
 def _identified(batches: Iterator[pa.RecordBatch], column: int, model: Model, switch: float) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _small(batches):
         texts = [x or "" for x in batch.column(column).to_pylist()]
         found = np.zeros(len(texts), bool)
         found[spans_of(model, texts, switch)[0]] = True

@@ -36,7 +36,7 @@ MIN_LEN = 12
 #: Words compared at first when an extension is measured; doubles from there.
 STEP = 64
 #: Bytes of collapsed text after which a result batch is handed over.
-FLUSH = 1 << 24
+FLUSH = 1 << 22
 RUN = "array<struct<start:long,length:long,period:long>>"
 
 

@@ -52,7 +52,7 @@ BLOCKS_PER_FILE = 16
 #: Distinct pre-tokens that a worker remembers (some 200 MB).
 REMEMBERED = 1_000_000
 #: Characters tokenized at a time.
-CHUNK = 1 << 23
+CHUNK = 1 << 22
 
 # for a control byte: the four lengths it holds
 LENGTHS = np.stack([(np.arange(256) >> (2 * i) & 3) + 1 for i in range(4)], axis=1).astype(np.uint8)
