@@ -24,14 +24,14 @@ less (their number is bounded by the alphabet, not by the corpus) are joined on
 the driver.  The probabilities then meet the lists by bucket, and each slice is
 scored with those that come back to it.
 
-The unigram baseline splits the words: those that make up at least
-1/``FREQUENT`` of all training tokens are at most ``FREQUENT`` many and are
-looked up in the task, the others meet their counts in a shuffle join.
+The unigram baseline takes the same way: each slice's distinct words in packed
+lists by hash bucket, whose counts add up and come back to the slices.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
@@ -54,9 +54,8 @@ TOP = 2
 SLICE = 1 << 25
 #: Slices whose pairs fill a bucket.
 PER_BUCKET = 4
-FREQUENT = 50_000
-#: Distinct words a training task holds before it hands them on.
-WORDS = 300_000
+#: Distinct words a task holds before it hands them on.
+WORDS = 1_000_000
 #: Contexts with a byte that a training task holds.
 GRAMS = 1 << 21
 #: Bytes handled at a time.
@@ -168,24 +167,69 @@ def _deal(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBat
             row, size = row + b - a, size + int(length[a:b].sum())
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial counts: (word, n)."""
+def _words(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """(slice, bucket, words, counts) of each slice, the end among them; 0 for
+    words of texts that are not learnt from.  A slice may come in several parts."""
     words: Counter = Counter()
+    now = None
 
     def counted() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())], ["word", "n"])
+        lists: dict[int, list[bytes]] = defaultdict(list)
+        for w in sorted(words):
+            lists[zlib.crc32(w) % buckets].append(w)
+        out = pa.RecordBatch.from_arrays([
+            pa.array([now] * len(lists), pa.int64()), pa.array(list(lists), pa.int64()),
+            pa.array([_ZSTD.compress(b" ".join(x)) for x in lists.values()], pa.binary()),
+            pa.array([_packed(np.array([words[w] for w in x], "<u4")) for x in lists.values()], pa.binary())], ["slice", "bucket", "words", "counts"])
+        words.clear()
+        return out
 
     for batch in batches:
-        for chunk in batch.column(0):
+        for number, chunk in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            if number != now and words:
+                yield counted()
+            now = number
             rows = _open(chunk.as_py())
-            for _, split in slices(rows.column(2).filter(rows.column(3))):
-                for s in split:
-                    words.update(s)
-                    words[END] += 1
+            train = rows.column(3).to_pylist()
+            for at, split in slices(rows.column(2)):
+                for s, learnt in zip(split, train[at:], strict=False):
+                    if learnt:
+                        words.update(s)
+                        words[END] += 1
+                    else:
+                        words.update(dict.fromkeys([*s, END], 0))
                 if len(words) > WORDS:
                     yield counted()
-                    words.clear()
-    yield counted()
+    if words:
+        yield counted()
+
+
+def _listed(words: bytes, counts: bytes) -> Iterator[tuple[bytes, int]]:
+    return zip(zstandard.decompress(words).split(b" "), _unpacked(counts).tolist(), strict=True)
+
+
+def _vocabulary(lists: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, words, counts, n_words, n_tokens): the words of one bucket that were learnt."""
+    known: Counter = Counter()
+    bucket = 0
+    for batch in lists:
+        for row in batch.select(["bucket", "words", "counts"]).to_pylist():
+            bucket = row["bucket"]
+            for w, n in _listed(row["words"], row["counts"]):
+                if n:
+                    known[w] += n
+    if known:
+        counts = np.array(list(known.values()), "<i8")
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([bucket], pa.int64()), pa.array([_ZSTD.compress(b" ".join(known))], pa.binary()), pa.array([_packed(counts)], pa.binary()),
+             pa.array([len(known)], pa.int64()), pa.array([int(counts.sum())], pa.int64())], ["bucket", "words", "counts", "n_words", "n_tokens"])
+
+
+def _counted_words(key, lists: pa.Table, vocabulary: pa.Table) -> pa.Table:
+    """(slice, words, counts): each list of a bucket with the counts over all texts learnt from."""
+    known = {w: n for row in vocabulary.select(["words", "counts"]).to_pylist() for w, n in _listed(row["words"], row["counts"])}
+    counts = [_packed(np.array([known.get(w, 0) for w in zstandard.decompress(x.as_py()).split(b" ")], "<i8")) for x in lists["words"]]
+    return pa.table({"slice": lists["slice"], "words": lists["words"], "counts": pa.array(counts, pa.binary())})
 
 
 def _pairs(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -499,34 +543,31 @@ def probabilities(counts: DataFrame, buckets: int) -> DataFrame:
     return mixed.where("gram IS NOT NULL").select("gram", "p").mapInArrow(partial(_finished, top=top, buckets=buckets), "bucket long, gram long, log10 double")
 
 
-def _score(key, texts: pa.Table, pairs: pa.Table, frequent) -> pa.Table:
-    """Per row of a slice: the model's score, the baseline's sum over frequent words, the other words."""
-    logs = {w: float(np.log10(n + 1.0)) for w, n in frequent.value.items()}
+def _score(key, texts: pa.Table, answers: pa.Table) -> pa.Table:
+    """Per row of a slice: the model's score and the baseline's sum over its words."""
+    pairs = answers.filter(pc.is_valid(answers["grams"]))
     gram = np.concatenate([np.cumsum(_unpacked(g.as_py())) for g in pairs["grams"]])
     gram, first = np.unique(gram, return_index=True)
     log10 = np.concatenate([_unpacked(x.as_py()) for x in pairs["logs"]])[first].astype(np.float64)
+    logs: dict[bytes, float] = {}
+    for row in answers.filter(pc.is_valid(answers["words"])).select(["words", "counts"]).to_batches():
+        for words, counts in zip(row.column(0), row.column(1), strict=True):
+            n = _unpacked(counts.as_py())
+            some = zip(zstandard.decompress(words.as_py()).split(b" "), np.log10(n + 1.0).tolist(), strict=True)
+            logs.update((w, x) for w, x in some if x)  # a word that was learnt has a log above 0
     out = []
     for chunk in texts["chunk"]:
         batch = _open(chunk.as_py())
         for at, split in slices(batch.column("text")):
-            sums, known, rest, ends = [], [], [], [0]
-            for words in split:
-                found = list(map(logs.get, words))
-                few = [w for w, x in zip(words, found, strict=True) if x is None]
-                sums.append(sum(x for x in found if x is not None))
-                known.append(len(words) - len(few))
-                rest += few
-                ends.append(len(rest))
+            found = [[x for x in map(logs.get, [*words, END]) if x is not None] for words in split]
             streams = [stream(words) for words in split]
             size = np.fromiter(map(len, streams), np.int64, len(streams)) - DEPTH
             own, back = np.unique(grams(streams), return_inverse=True)
             scores = np.add.reduceat(log10[np.searchsorted(gram, own)][back], np.cumsum(size) - size)
-            n = len(split)
             out.append(pa.RecordBatch.from_arrays(
-                [batch.column("row").slice(at, n), batch.column("id").slice(at, n), pa.array(sums, pa.float64()),
-                 pa.array(known, pa.int64()), pa.array([len(words) + 1 for words in split], pa.int64()), pa.array(size),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rest, pa.binary())), pa.array(scores)],
-                ["row", "id", "sums", "known", "n_tokens", "n_bytes", "rest", "score"]))
+                [batch.column("id").slice(at, len(split)), pa.array(list(map(sum, found)), pa.float64()), pa.array(list(map(len, found)), pa.int64()),
+                 pa.array([len(words) + 1 for words in split], pa.int64()), pa.array(size), pa.array(scores)],
+                ["id", "sums", "n_known", "n_tokens", "n_bytes", "score"]))
     return pa.Table.from_batches(out)
 
 
@@ -543,38 +584,28 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     kind = dict(rows.dtypes)["id"]
     rows = stored(rows.mapInArrow(partial(_deal, most=slice_chars), "slice long, chunk binary"), "ctw-texts", "uncompressed")
-    vocabulary = stored(rows.select("chunk").mapInArrow(_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "ctw-words", "zstd")
     made = rows.agg(F.count_distinct("slice")).first()[0]
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-made // PER_BUCKET))
+
+    lists = stored(rows.mapInArrow(partial(_words, buckets=buckets), "slice long, bucket long, words binary, counts binary"), "ctw-lists", "uncompressed")
+    vocabulary = stored(lists.select("bucket", "words", "counts").groupBy("bucket")
+                        .applyInArrow(_vocabulary, "bucket long, words binary, counts binary, n_words long, n_tokens long"), "ctw-words", "uncompressed")
+    tokens_in, distinct = vocabulary.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
+    counted = (lists.select("bucket", "slice", "words").groupBy("bucket").cogroup(vocabulary.select("bucket", "words", "counts").groupBy("bucket"))
+               .applyInArrow(_counted_words, "slice long, words binary, counts binary"))
+
     pairs = stored(rows.mapInArrow(partial(_pairs, buckets=buckets), "slice long, bucket long, grams binary, counts binary"), "ctw-pairs", "uncompressed")
     log10 = probabilities(pairs.select("bucket", "grams", "counts").groupBy("bucket").applyInArrow(_added, "gram long, n long"), buckets)
-    total = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    frequent = vocabulary.where((F.col("n") * FREQUENT >= total[0]) & (F.col("word") != F.lit(bytearray(END))))
-    words = frequent.select("word", "n").toArrow()
-    frequent = spark.sparkContext.broadcast(dict(zip(words["word"].to_pylist(), words["n"].to_pylist(), strict=True)))
     known = (pairs.select("bucket", "slice", "grams").groupBy("bucket").cogroup(log10.groupBy("bucket"))
              .applyInArrow(_answered, "slice long, grams binary, logs binary"))
-    fields = f"row long, id {kind}, sums double, known long, n_tokens long, n_bytes long, rest array<binary>, score double"
-
-    def run(key, texts, some):
-        return _score(key, texts, some, frequent)
-
-    scored = rows.groupBy("slice").cogroup(known.groupBy("slice")).applyInArrow(run, fields)
-    return _finish(stored(scored, "ctw-scored"), vocabulary, total)
-
 
-def _finish(scored: DataFrame, vocabulary: DataFrame, total) -> DataFrame:
-    """Adds what the rarer words contribute to the baseline."""
-    rare = (scored.select("row", F.explode("rest").alias("word")).join(vocabulary, "word")
-            .groupBy("row").agg(F.sum(F.log10(F.col("n") + 1)).alias("rare"), F.count(F.lit(1)).alias("rare_known")))
-    ends = vocabulary.where(F.col("word") == F.lit(bytearray(END))).select("n").first()
-    tokens_in, distinct = total[0], total[1]
-    end = ends[0] if ends else 0
+    answers = known.unionByName(counted.where("words IS NOT NULL"), allowMissingColumns=True)
+    fields = f"id {kind}, sums double, n_known long, n_tokens long, n_bytes long, score double"
+    scored = rows.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_score, fields)
     each = float(np.log10(tokens_in + distinct + 1.0))
-    base = F.col("sums") + F.coalesce("rare", F.lit(0.0)) + float(np.log10(end + 1.0)) - F.col("n_tokens") * each
-    return scored.join(rare, "row", "left").select(
-        "id", "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0)) + (1 if end else 0)).alias("n_known"),
-        F.lit(tokens_in).cast("long").alias("train_tokens"), base.alias("base_score"), "score", "n_bytes",
+    return scored.select(
+        "id", "n_tokens", "n_known", F.lit(tokens_in).cast("long").alias("train_tokens"),
+        (F.col("sums") - F.col("n_tokens") * each).alias("base_score"), "score", "n_bytes",
         (-F.col("score") * float(np.log2(10.0)) / F.col("n_bytes")).alias("bits_per_byte"))
 
 
