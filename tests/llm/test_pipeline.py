@@ -93,3 +93,14 @@ def test_entry_without_the_subpackage(monkeypatch):
     assert "pipeline" in E.queries() and len([k for k in E.queries() if k.startswith("op")]) == 13
     monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
     assert "pipeline" not in E.queries() and not [k for k in E.queries() if k.startswith("op")] and E.oracle_sql()
+
+
+def test_keys_beyond_the_broadcast_bound(spark, monkeypatch):
+    """Many keys to drop go by a shuffle, with the same rows left."""
+    from tripmart.llm import common
+    docs = documents(spark, SF_SMALL)
+    docs = docs.union(docs.where("doc_id < 20"))
+    stages = [s for n, s in P.STAGES if n in ("simhash_near_dedup", "decontamination")]
+    few = [sorted(map(tuple, s(spark, docs, SF_SMALL).collect())) for s in stages]
+    monkeypatch.setattr(common, "FEW", 0)
+    assert [sorted(map(tuple, s(spark, docs, SF_SMALL).collect())) for s in stages] == few and len(few[0]) < docs.count() - 20

@@ -70,7 +70,8 @@ def row_key(*cols: Column) -> Column:
 FEW = 250_000
 
 
-def _few(keys: DataFrame) -> DataFrame:
+def few(keys: DataFrame) -> DataFrame:
+    """A stored table of keys, to be broadcast if it has ``FEW`` rows at most."""
     return F.broadcast(keys) if keys.limit(FEW + 1).count() <= FEW else keys
 
 
@@ -78,12 +79,12 @@ def without(docs: DataFrame, key: str, gone: DataFrame) -> DataFrame:
     """``docs`` without the rows whose ``key`` is in ``gone``, a stored table of
     distinct keys.  While these are few they are broadcast and the texts stay
     where they are; beyond ``FEW`` both sides are shuffled."""
-    return docs.join(_few(gone), key, "left_anti")
+    return docs.join(few(gone), key, "left_anti")
 
 
 def within(docs: DataFrame, key: str, some: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose ``key`` is in ``some``, as :func:`without` finds the others."""
-    return docs.join(_few(some), key, "left_semi")
+    return docs.join(few(some), key, "left_semi")
 
 
 def held_out(id_col: Column, folds: int, fold: int = 2) -> Column:

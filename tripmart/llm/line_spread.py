@@ -7,7 +7,8 @@ spaces trimmed; its site is the document's source.
    largest site differ; a line of one site can never spread.
 2. For those, HyperLogLog sketches of the sites are built per line hash; they
    merge map-side, so a line that a third of all rows share sends one sketch
-   per task.
+   per task.  While these lines are few they are broadcast, and a common line's
+   rows never meet in a task.
 3. Lines whose estimate is far from the threshold are decided by it; the band
    around it gets an exact distinct count.
 4. If asked for, lines of many words count as boilerplate from two sites on:
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import LAST_ID, documents, fresh, row_key, stored
+from tripmart.llm.common import LAST_ID, documents, few, fresh, row_key, stored
 
 #: Distinct sites from which a line is boilerplate.
 MIN_SITES = 10
@@ -72,11 +73,11 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K,
     spread = (lines.groupBy(*LINE).agg(F.min("site").alias("low"), F.max("site").alias("high"), F.min("id").alias("holder"), long.alias("long"))
               .where("low != high").select(*LINE, "holder", "long"))
     spread = stored(spread, "lines-spread")
-    sited = lines.join(spread.where("NOT long"), LINE, "left_semi").select(*LINE, "site")
+    sited = lines.join(few(spread.where("NOT long").select(*LINE)), LINE, "left_semi").select(*LINE, "site")
     est = (sited.groupBy(*LINE).agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", lg_k)).alias("sites")))
     est = stored(est, "lines-sites")
     near = est.where(F.col("sites").between(min_sites / band, min_sites * band))
-    exact = (sited.join(near.select(*LINE), LINE, "left_semi").distinct().where("site IS NOT NULL")
+    exact = (sited.join(few(near.select(*LINE)), LINE, "left_semi").distinct().where("site IS NOT NULL")
              .groupBy(*LINE).agg(F.count(F.lit(1)).alias("exact")))
     found = (est.where(F.col("sites") > min_sites * band).select(*LINE)
              .union(exact.where(F.col("exact") >= min_sites).select(*LINE)))
@@ -97,7 +98,8 @@ def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_c
     """
     n_lines, n_removed, text, key, gone = fresh(docs, "n_lines", "n_removed", "clean_text", "row_key", "gone")
     lines = stored(line_rows(docs, id_col, text_col, site_col, min_chars, long_words), "lines", "zstd")
-    drop = (lines.join(boilerplate(lines, min_sites), LINE).where("id != holder")
+    common = stored(boilerplate(lines, min_sites), "lines-common")
+    drop = (lines.join(few(common), LINE).where("id != holder")
             .groupBy("row_key").agg(F.collect_set("pos").alias(gone)).withColumnRenamed("row_key", key))
     out = docs.withColumn(key, row_key(F.col(id_col), F.col(text_col))).join(stored(drop, "lines-gone"), key, "left")
     parts = _lines(F.col(text_col))
