@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
