@@ -82,7 +82,7 @@ def without(docs: DataFrame, key: str, gone: DataFrame) -> DataFrame:
     return docs.join(few(gone), key, "left_anti")
 
 
-def within(docs: DataFrame, key: str, some: DataFrame) -> DataFrame:
+def only(docs: DataFrame, key: str, some: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose ``key`` is in ``some``, as :func:`without` finds the others."""
     return docs.join(few(some), key, "left_semi")
 

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import LAST_ID, fresh, row_key, stored, within, without
+from tripmart.llm.common import LAST_ID, fresh, only, row_key, stored, without
 from tripmart.llm.components import components
 
 BITS = 64
@@ -270,7 +270,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     again = keys.where("stays AND n > 1").select(key)  # rows equal in id and text: one of them stays
     ordered = [F.col(c) for c, t in docs.dtypes if not t.startswith(("map", "variant"))]
     once = Window.partitionBy(key).orderBy(*ordered)
-    repeated = within(left, key, again).withColumn(rank, F.row_number().over(once)).where(F.col(rank) == 1).drop(rank)
+    repeated = only(left, key, again).withColumn(rank, F.row_number().over(once)).where(F.col(rank) == 1).drop(rank)
     return without(left, key, again).unionByName(repeated).drop(key)
 
 
