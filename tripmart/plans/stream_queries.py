@@ -84,6 +84,46 @@ def q_stream_time_from_text(spark, d):
     return store.read().select(C.instant_to_naive("window_start").alias("window_start"), "num_events")
 
 
+@register("stream_tumble_5m_by_key", f"""
+SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, event_type, COUNT(*) AS num_events, CAST(SUM({_E_MONEY}) AS DECIMAL(38,2)) AS total_value
+FROM events GROUP BY 1, 2""")
+def q_stream_tumble_5m_by_key(spark, d):
+    """Two runs over the same table, the second after more events: windows that
+    grow are replaced by key, in the days they lie in."""
+    from tripmart.streaming.jobs import tumbling_counts, upsert_sink
+    from tripmart.streaming.ride_jobs import money_sum, with_window_date
+    e = events(spark, d).select("event_id", "ts", "event_type", "value")
+    half = e.count() // 2
+    store = TableStore(spark, _scratch(spark, "stream_tables"), ["window_date"])
+
+    def run(stream: DataFrame) -> None:
+        agg = tumbling_counts(with_event_time(stream, "ts", "5 seconds"), "ts", "5 minutes", ["event_type"],
+                              [F.count(F.lit(1)).alias("num_events"), money_sum("value", "total_value")])
+        start(with_window_date(agg), sink=upsert_sink(store, ["window_start", "event_type"], "five_minutes"), mode="update",
+              available_now=True).awaitTermination()
+
+    _arrive(spark, [e.where(F.col("event_id") < half), e.where(F.col("event_id") >= half)], run)
+    return store.read().select(C.instant_to_naive("window_start").alias("window_start"), "event_type", "num_events", "total_value")
+
+
+@register("stream_count_above", "SELECT COUNT(*) AS n FROM events WHERE value > 10")
+def q_stream_count_above(spark, d):
+    """A running total over a filtered stream; each run's total replaces the last."""
+    from tripmart.streaming.jobs import running_count
+    store = TableStore(spark, _scratch(spark, "stream_tables"))
+    e = events(spark, d).select(*COLUMNS)
+
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        store.overwrite(batch)
+    replace.checkpoint = f"{store.path}/_checkpoints/count"
+
+    def run(stream: DataFrame) -> None:
+        start(running_count(stream, F.col("value") > 10), sink=replace, mode="complete", available_now=True).awaitTermination()
+
+    _arrive(spark, [e.where("event_id % 2 = 0"), e.where("event_id % 2 = 1")], run)
+    return store.read()
+
+
 _ARRIVALS = """
 a AS (
   SELECT event_id, ts, least(3, CAST(floor((event_id + CASE WHEN event_id % 13 = 0 THEN n / 4.0 ELSE 0 END) * 4 / n) AS BIGINT)) AS batch_id
