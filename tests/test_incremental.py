@@ -167,9 +167,9 @@ def test_key_merge_behind_a_bloom_filter(spark, tmp_dir):
         target = spark.read.parquet(f"{tmp_dir}/target")
         batch = spark.read.parquet(f"{tmp_dir}/all").where("id % 100 = 0 AND id < 21000")
         keys = M.keys_in(target, batch, ["id"])
-        assert "might_contain" in plan_of(keys) and "might_contain" in plan_of(M.merge_insert(target, batch, ["id"]))
+        assert "might_contain" in plan_of(keys) and "might_contain" in plan_of(M.merge_insert(target, batch, ["id"], small_batch=True))
         assert sorted(r.id for r in keys.collect()) == list(range(19000, 20000, 100))
-        ids = [r.id for r in M.merge_insert(target, batch, ["id"]).collect()]
+        ids = [r.id for r in M.merge_insert(target, batch, ["id"], small_batch=True).collect()]
         assert sorted(ids) == [*range(20000), *range(20000, 21000, 100)]
         # of the target's 20000 rows hardly more than the ten that match are shuffled
         ran = M.keys_in(target, batch, ["id"])

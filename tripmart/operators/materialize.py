@@ -24,16 +24,17 @@ def append(target: DataFrame, source: DataFrame) -> DataFrame:
     return target.unionByName(source, allowMissingColumns=True)
 
 
-def merge_insert(target: DataFrame, source: DataFrame, key: Sequence[str], dedupe: bool = False) -> DataFrame:
+def merge_insert(target: DataFrame, source: DataFrame, key: Sequence[str], dedupe: bool = False, small_batch: bool = False) -> DataFrame:
     """Insert-only MERGE: source rows whose key is not in the target.
 
     As in ``MERGE ... WHEN NOT MATCHED THEN INSERT``, duplicates *inside* the
     batch are all inserted and a NULL key never matches; ``dedupe=True``
-    keeps one row per key of the batch instead.
+    keeps one row per key of the batch instead.  ``small_batch`` as in
+    :func:`new_rows`.
     """
     key = list(key)
     src = source.dropDuplicates(key) if dedupe else source
-    return target.unionByName(new_rows(target, src, key), allowMissingColumns=True)
+    return target.unionByName(new_rows(target, src, key, small_batch), allowMissingColumns=True)
 
 
 def key_set(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -56,11 +57,12 @@ def keys_in(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFra
     return target.select(*key).join(key_set(source, key), key, "left_semi").distinct()
 
 
-def new_rows(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
+def new_rows(target: DataFrame, source: DataFrame, key: Sequence[str], small_batch: bool = False) -> DataFrame:
     """Source rows whose key does not occur in the target (NULL-safe: a NULL
-    key part never matches, like an equality join).  The target is first cut
-    down to the keys the batch has (:func:`keys_in`)."""
-    t = keys_in(target, source, key).select(*[F.col(k).alias(f"__t_{k}") for k in key])
+    key part never matches, like an equality join).  For a ``small_batch``,
+    which is worth a second reading, the target is first cut down to the keys
+    the batch has (:func:`keys_in`)."""
+    t = (keys_in(target, source, key) if small_batch else key_set(target, key)).select(*[F.col(k).alias(f"__t_{k}") for k in key])
     cond = [source[k] == t[f"__t_{k}"] for k in key]
     return source.join(t, cond, "left_anti")
 

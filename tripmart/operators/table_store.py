@@ -156,7 +156,8 @@ class TableStore:
     # -------------------------------------------------------- strategies
     def merge_insert(self, source: DataFrame, key: Sequence[str], dedupe: bool = False) -> None:
         src = source.dropDuplicates(list(key)) if dedupe else source
-        self.append(M.new_rows(self.read(), src, key) if self.exists() else src)
+        # the batch is read twice: computed once before
+        self.append(M.new_rows(self.read(), self._once(src), key, small_batch=True) if self.exists() else src)
 
     def merge_upsert(self, source: DataFrame, key: Sequence[str], add_columns: bool = True, check_unique: bool = True) -> None:
         """Upsert; ``check_unique=False`` skips the duplicate-key job when the

@@ -159,7 +159,7 @@ def q_merge_small_batch(spark, d):
     """A batch of a twenty-fifth of the orders, half of them loaded already: the
     target is cut down to the batch's keys before it is shuffled."""
     t = trips(spark, d, locations=False).select("orderkey", "linenumber", "pickup_datetime")
-    merged = M.merge_insert(t.where("orderkey % 50 <> 0"), t.where("orderkey % 25 = 0"), ["orderkey", "linenumber"])
+    merged = M.merge_insert(t.where("orderkey % 50 <> 0"), t.where("orderkey % 25 = 0"), ["orderkey", "linenumber"], small_batch=True)
     return merged.groupBy(F.year("pickup_datetime").alias("yr")).agg(F.count(F.lit(1)).alias("n"))
 
 

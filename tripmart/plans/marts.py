@@ -232,7 +232,7 @@ STG_KEYS = ["vendor_id", "pickup_datetime", "dropoff_datetime", "pickup_location
 def stg_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staging: inner lookup join to payment names (drops unknown/NULL
     payment types), then one row per (vendor, times, locations)."""
-    t = trips(spark, sf_dir)
+    t = trips(spark, sf_dir, extras=False)
     lk = F.broadcast(payment_lookup(spark))  # fixed 7-row seed
     t = t.join(lk, t.payment_type == lk.payment_type_id, "inner").drop("payment_type_id")
     return dedupe_any(t, STG_KEYS)

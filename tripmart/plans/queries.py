@@ -22,7 +22,7 @@ from tripmart.operators.project import fields_with_default, null_counts
 from tripmart.operators.union import union_all
 from tripmart.operators.windows import session_totals, tumbling
 from tripmart.plans import marts
-from tripmart.plans.trips import PAYMENTS_SQL, TRIPS_SQL, ZONES_SQL, events, payment_lookup, trips, zones
+from tripmart.plans.trips import EXTRAS, PAYMENTS_SQL, TRIPS_SQL, ZONES_SQL, events, payment_lookup, trips, zones
 from tripmart.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -592,23 +592,23 @@ def _order_sql(cols):
 
 
 @register("dedupe_first", W("""
-SELECT * EXCLUDE (rn) FROM (
+SELECT * EXCLUDE (rn, {x}) FROM (
   SELECT *, row_number() OVER (PARTITION BY orderkey, linenumber ORDER BY dropoff_datetime NULLS FIRST, {o}) AS rn
-  FROM trips) WHERE rn = 1""".format(o=_order_sql([c for c in _T_COLS if c not in ("orderkey", "linenumber", "dropoff_datetime")])),
+  FROM trips) WHERE rn = 1""".format(o=_order_sql([c for c in _T_COLS if c not in ("orderkey", "linenumber", "dropoff_datetime")]), x=", ".join(EXTRAS)),
     TRIPS))
 def q_dedupe_first(spark, d):
-    return dedupe_first(trips(spark, d), ["orderkey", "linenumber"], ["dropoff_datetime"])
+    return dedupe_first(trips(spark, d, extras=False), ["orderkey", "linenumber"], ["dropoff_datetime"])
 
 
 _DA_KEYS = ["vendor_id", "pickup_datetime", "dropoff_datetime", "pickup_location_id", "dropoff_location_id"]
 
 
 @register("dedupe_any", W("""
-SELECT * EXCLUDE (rn) FROM (
+SELECT * EXCLUDE (rn, {x}) FROM (
   SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY {o}) AS rn FROM trips) WHERE rn = 1""".format(
-    k=", ".join(_DA_KEYS), o=_order_sql([c for c in _T_COLS if c not in _DA_KEYS])), TRIPS))
+    k=", ".join(_DA_KEYS), o=_order_sql([c for c in _T_COLS if c not in _DA_KEYS]), x=", ".join(EXTRAS)), TRIPS))
 def q_dedupe_any(spark, d):
-    return dedupe_any(trips(spark, d), _DA_KEYS)
+    return dedupe_any(trips(spark, d, extras=False), _DA_KEYS)
 
 
 # ================================ set ops ====================================

@@ -35,17 +35,19 @@ def _money(c) -> F.Column:
     return c.cast(MONEY)
 
 
+EXTRAS = ("rate_code_id", "store_and_fwd_flag", "congestion_surcharge", "cbd_congestion_fee", "airport_fee")
 SERVICE_CODES = {"Green": "O", "Yellow": "F"}
 
 
 def trips(spark: SparkSession, sf_dir: str, locations: bool | tuple[str, ...] = True,
-          services: tuple[str, ...] | None = None) -> DataFrame:
+          services: tuple[str, ...] | None = None, extras: bool = True) -> DataFrame:
     """Trip rows.  ``locations`` selects the location lookups to resolve:
     ``True`` (both), ``False`` (none) or a subset of ``("pickup", "dropoff")``
     - the planner cannot drop an unused lookup join by itself since it does
     not know the lookup keys are unique.  ``services`` keeps only those
     services, filtered on the raw status column so the predicate reaches the
-    Parquet scan."""
+    Parquet scan.  ``extras=False`` leaves out the columns (:data:`EXTRAS`) that
+    only the clean layer, the staging models and the fact read."""
     roles = {"pickup", "dropoff"} if locations is True else set(locations or ())
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
@@ -85,13 +87,15 @@ def trips(spark: SparkSession, sf_dir: str, locations: bool | tuple[str, ...] =
         F.lit(1.00).cast(MONEY).alias("improvement_surcharge"),
         F.when(F.col("l_linestatus") == "F", F.lit(0)).cast(MONEY).alias("ehail_fee"),
         _money(price * (F.lit(1) + _money(F.col("l_tax")))).alias("total_amount"),
-        # what follows depends on the columns above only, so it breaks no tie between rows
+    ]
+    # these depend on the columns above only, so they break no tie between rows
+    cols += [
         (F.col("l_linenumber") % 6 + 1).cast("int").alias("rate_code_id"),
         F.when(F.col("l_returnflag").isin("N", "R"), "N").otherwise("Y").alias("store_and_fwd_flag"),
         F.when(F.col("l_quantity") > 30, F.lit(2.75)).otherwise(F.lit(0)).cast(MONEY).alias("congestion_surcharge"),
         F.when(F.col("l_quantity") > 40, F.lit(0.75)).otherwise(F.lit(0)).cast(MONEY).alias("cbd_congestion_fee"),
         F.when(F.col("l_linestatus") == "F", F.when(F.col("l_quantity") > 20, F.lit(1.75)).otherwise(F.lit(0))).cast(MONEY).alias("airport_fee"),
-    ]
+    ] if extras else []
     return j.select(*cols)
 
 
