@@ -62,6 +62,22 @@ def test_ranges_read_the_stored_bitmaps_only(spark, tmp_dir):
     assert "events.parquet" not in plan and "partial_bitmap_or_agg" in plan
 
 
+def test_maps_grow_with_the_keys_not_with_days_times_blocks(spark):
+    rng = random.Random(2)
+    far = [(dt.date(2024, 1, 1 + i % 20), rng.randrange(2**40)) for i in range(3000)]        # a block for nearly every key
+    edge = [(dt.date(2024, 2, 1 + j), 32768 * 7 + 1 + i * 3) for j, n in enumerate((D.DENSE - 1, D.DENSE, D.DENSE + 1, 5000)) for i in range(n)]
+    df = spark.createDataFrame((far + edge) * 2, "day date, k long")
+    maps = D.bitmaps(df, "k", ["day"])
+    size = F.coalesce(F.octet_length(D.BITS), F.lit(0)) + F.coalesce(4 * F.size(D.PLACES), F.lit(0))
+    assert maps.agg(F.sum(size)).first()[0] <= 16 * len({*far, *edge})
+    kinds = {r.day: r.dense for r in maps.where("day >= DATE '2024-02-01'").select("day", F.col(D.BITS).isNotNull().alias("dense")).collect()}
+    assert kinds == {dt.date(2024, 2, 1 + j): j > 0 for j in range(4)}
+    # lists and bitmaps unite
+    spans = {f"{a}-{b}": (dt.date(2024, 2, a), dt.date(2024, 2, b)) for a, b in ((1, 2), (1, 4), (2, 5), (1, 5))} | {"all": (dt.date(2024, 1, 1), dt.date(2024, 3, 1))}
+    got = {r.range: r.n for r in D.count_in_ranges(maps, "day", spans).collect()}
+    assert got == {n: len({k for d, k in far + edge if a <= d < b}) for n, (a, b) in spans.items()}
+
+
 # ------------------------------------------------ reports in one pass
 
 def test_grouped_reports(spark, tmp_dir):
