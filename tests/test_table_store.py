@@ -163,6 +163,25 @@ def test_reports_table_and_view(spark, tmp_dir):
     assert spark.sql("SELECT SUM(v) FROM tm_test_view").first()[0] == 6
 
 
+def test_fixed_number_of_files_from_whole_pieces(spark, tmp_dir):
+    from tripmart.operators.table_store import write_table
+    from tripmart.session import scratch_path
+    rows_of = lambda path: [{r.id for r in spark.read.parquet(f).collect()} for f in files(path)]
+    write_table(spark.range(0, 8000, 1, 8), f"{tmp_dir}/a", files=3)
+    got = rows_of(f"{tmp_dir}/a")
+    assert sorted(map(len, got)) == [2000, 3000, 3000] and set.union(*got) == set(range(8000))
+    # no row was shuffled: what one task wrote aside lies in one file
+    assert all(ids >= set(range(1000 * (min(ids) // 1000), 1000 * (min(ids) // 1000) + 1000)) for ids in got)
+    assert all(len({i // 1000 for i in ids}) * 1000 == len(ids) for ids in got)
+    write_table(spark.range(0, 100, 1, 1), f"{tmp_dir}/b", files=4)      # fewer pieces than files
+    assert sorted(map(len, rows_of(f"{tmp_dir}/b"))) == [25] * 4
+    write_table(spark.range(0, 40, 1, 2), f"{tmp_dir}/b", files=1)       # replaces them
+    assert rows_of(f"{tmp_dir}/b") == [set(range(40))]
+    write_table(spark.range(40, 50, 1, 1), f"{tmp_dir}/b", files=1, mode="append")
+    assert sorted(map(len, rows_of(f"{tmp_dir}/b"))) == [10, 40]
+    assert not files(scratch_path(spark, "pieces").removeprefix("file:"))
+
+
 def test_rerunning_a_change_is_idempotent(spark, tmp_dir):
     base = [(1, "a", T1, 1), (2, "b", T2, 2), (3, "c", T3, 3)]
     src = [(2, "b", T2, 20), (4, "c", T3, 4)]
