@@ -182,6 +182,40 @@ def test_fixed_number_of_files_from_whole_pieces(spark, tmp_dir):
     assert not files(scratch_path(spark, "pieces").removeprefix("file:"))
 
 
+def test_rows_are_not_sorted_to_list_partitions(spark, tmp_dir, monkeypatch):
+    big = spark.range(0, 200_000, 1, 2).select(F.col("id").cast("int").alias("k"), F.when(F.col("id") < 150_000, "a").otherwise("b").alias("part"),
+                                               F.lit(T1).alias("ts"), F.lit(1).alias("v"))
+    kind = type(big)
+    ran, collect = [], kind.collect
+    monkeypatch.setattr(kind, "collect", lambda self: (collect(self), ran.append(self))[0])
+
+    def below(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return [node.executedPlan()]
+        if name.endswith("QueryStageExec"):
+            return [node.plan()]
+        return [node.children().apply(i) for i in range(node.children().size())]
+
+    def rows_of(node):
+        return node.metrics().apply("numOutputRows").value() if node.metrics().contains("numOutputRows") else sum(map(rows_of, below(node)))
+
+    def sorted_rows(node):
+        mine = sum(map(rows_of, below(node))) if node.getClass().getSimpleName() == "SortExec" else 0
+        return mine + sum(map(sorted_rows, below(node)))
+
+    changes = {"replace_interval": lambda st: st.replace_interval(df(spark, [(1, "b", T1, 9)]), "ts", T1, T2),
+               "delete_insert": lambda st: st.delete_insert(df(spark, [(1, "b", T1, 9)]), ["k"]),
+               "truncate_insert": lambda st: st.truncate_insert(df(spark, [(1, "b", T1, 9)]))}
+    for name, change in changes.items():
+        st = TableStore(spark, f"{tmp_dir}/{name}", ["part"])
+        st.append(big)
+        ran.clear()
+        change(st)
+        assert ran and sum(sorted_rows(d._jdf.queryExecution().executedPlan()) for d in ran) < 100, name
+        assert st.read().where("v = 9").count() == 1 and st.read().count() == {"delete_insert": 200_000}.get(name, 1), name
+
+
 def test_rerunning_a_change_is_idempotent(spark, tmp_dir):
     base = [(1, "a", T1, 1), (2, "b", T2, 2), (3, "c", T3, 3)]
     src = [(2, "b", T2, 20), (4, "c", T3, 4)]
