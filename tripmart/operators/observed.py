@@ -41,7 +41,10 @@ def checked_write(df: DataFrame, path: str, must: Sequence[Check] = (), should:
     """
     checks = [(c, "error") for c in must] + [(c, "warning") for c in should]
     names = [f"__broken{i}" for i in range(len(checks))]
-    marked = df.withColumns({n: _broken(c) for n, (c, _) in zip(names, checks, strict=True)})
+    # keys first: what the row checks add is not carried through the sort by the key
+    marked = df
+    for keyed in (True, False):
+        marked = marked.withColumns({n: _broken(c) for n, (c, _) in zip(names, checks, strict=True) if (c.kind in KEYED) == keyed})
     seen = Observation()
     metrics = [F.count_if(n).alias(n) for n in names]
     guard = F.lit(True)
